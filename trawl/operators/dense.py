@@ -26,6 +26,7 @@ MAX_BROADCAST_QUERIES = 8192
 MAX_BROADCAST_BYTES = 64 << 20
 CORPUS_BLOCK = 32768
 QUERY_BLOCK = 4096
+MAX_BROADCAST_HITS = 1_000_000
 _PRODUCT_CELLS = 1 << 22
 
 
@@ -316,6 +317,18 @@ def topk(
     )
 
 
+def join_hits(hits: DataFrame, rows: DataFrame, queries: DataFrame, per_query: int,
+              on: str = "id") -> DataFrame:
+    """Join hits with the rows they point to.
+
+    There are at most ``per_query`` hits per query, so when the query table is small the hits
+    are broadcast and the rows stay where they are; otherwise both sides are shuffled.
+    """
+    most = MAX_BROADCAST_HITS // max(1, per_query)
+    few = queries.limit(most + 1).count() <= most
+    return rows.join(F.broadcast(hits) if few else hits, on)
+
+
 def with_relevance(hits: DataFrame, metric: Metric | str, threshold: float | None = None,
                    alias: str = "distance") -> DataFrame:
     """Add the relevance of each hit; a threshold is applied after the top ``k``."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trawl.operators.dense import arrow_schema, knn_join, matrix_of, rank_best
+from trawl.operators.dense import arrow_schema, join_hits, knn_join, matrix_of, rank_best
 from trawl.schema import Metric
 
 
@@ -57,7 +57,7 @@ def mmr(
     hits = knn_join(queries, pool, fetch_k, metric, qid=qid, qvec=qvec, id=id, vec=vec)
     vectors = pool.select(F.col(id).alias("id"), F.col(vec).alias("v"))
     asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
-    rows = hits.join(vectors, "id").join(asked, "qid")
+    rows = join_hits(hits, vectors, queries, fetch_k).join(asked, "qid")
     out = T.StructType([
         T.StructField("qid", rows.schema["qid"].dataType),
         T.StructField("id", rows.schema["id"].dataType),
