@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ TRAIN_PER_CELL = 64
 MAX_CELLS = 16384
 KMEANS_SEED = 17
 MAX_POOL = 1 << 21
-MAX_BROADCAST_HITS = 1_000_000
+MODEL_SCHEMA = "metric string, centroids array<array<double>>, quantizer string, id string, vec string"
 
 
 def default_cells(rows: int) -> int:
@@ -140,15 +140,26 @@ class IvfIndex:
         """Layout for writing: sorted cells, a large cell spread over several files."""
         return table.repartitionByRange("cell", id).sortWithinPartitions("cell", id)
 
-    def write(self, path: str) -> "IvfIndex":
-        spark = self.cells.sparkSession
-        self.ranged(self.cells, self.id).write.mode("overwrite").parquet(f"{path}/cells")
-        cells, codes = spark.read.parquet(f"{path}/cells"), None
+    def write(self, store) -> "IvfIndex":
+        """Save cells, codes and model in a ``Folder`` or ``Tables`` store."""
+        cells = store.save("cells", self.ranged(self.cells, self.id))
+        codes = None
         if self.codes is not None:
-            self.ranged(self.codes, "id").write.mode("overwrite").parquet(f"{path}/codes")
-            codes = spark.read.parquet(f"{path}/codes")
+            codes = store.save("codes", self.ranged(self.codes, "id"))
+        spark = self.cells.sparkSession
+        model = self.quantizer.to_json() if self.quantizer else None
+        row = [(self.metric.value, self.centroids.tolist(), model, self.id, self.vec)]
+        store.save("model", spark.createDataFrame(row, MODEL_SCHEMA).coalesce(1))
         return IvfIndex(self.metric, self.centroids, cells, self.quantizer, codes, self.id, self.vec)
 
+    @classmethod
+    def read(cls, store) -> "IvfIndex":
+        row = store.load("model").first()
+        quantizer = Quantizer.from_json(row["quantizer"]) if row["quantizer"] else None
+        codes = store.load("codes") if quantizer else None
+        return cls(Metric(row["metric"]), np.array(row["centroids"], float), store.load("cells"),
+                   quantizer, codes, row["id"], row["vec"])
+
     # -- search ---------------------------------------------------------------------------
 
     def search(self, queries: DataFrame, k: int, nprobe: int = 8, rescore_width: float = -1,
@@ -164,13 +175,13 @@ class IvfIndex:
         check_search(nprobe=nprobe, rescore_width=rescore_width)
         nprobe = min(nprobe, len(self.centroids))
         block = None if layout == "grid" else small_queries(queries, qid, qvec)
-        width = self.auto_width() if rescore_width == -1 else float(rescore_width)
         if self.quantizer is None:
             if block is None:
                 return rank_best(self._grid(queries, k, nprobe, qid, qvec, where), k)
             return rank_best(self._scan(queries, block, k, nprobe, qid, where), k)
         if block is None:
             return self._chunks(queries, k, nprobe, rescore_width, qid, qvec, where)
+        width = self.auto_width() if rescore_width == -1 else float(rescore_width)
         found = self._code_scan(queries, block, k, nprobe, width, qid, where)
         if width == 0:
             hits = found.select("qid", "id", F.col("lower").alias("distance"))
@@ -396,7 +407,7 @@ def rescore(found: DataFrame, queries: DataFrame, vectors: DataFrame, k: int, me
     alive = found.join(cut, "qid").where(
         (F.col("n") < k) | (F.col("lower") <= F.col("cut"))
     ).select("qid", "id")
-    if alive.limit(MAX_BROADCAST_HITS + 1).count() <= MAX_BROADCAST_HITS:
+    if alive.limit(dense.MAX_BROADCAST_HITS + 1).count() <= dense.MAX_BROADCAST_HITS:
         alive = F.broadcast(alive)
     full = vectors.select(F.col(id).alias("id"), F.col(vec).alias("v"))
     asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))

@@ -12,10 +12,9 @@ match, only the rarest one generates candidates and the others are looked up for
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.text import SPLIT_LOWER, Analyzer, string_array
@@ -81,31 +80,32 @@ class LexicalIndex:
         totals = corpus_totals(docs, text, analyzer)
         return cls(postings, term_stats(postings), totals, analyzer, buckets)
 
-    def write(self, path: str) -> "LexicalIndex":
-        """Store the index under ``path``.
+    def with_bucket(self, postings: DataFrame) -> DataFrame:
+        return postings.withColumn("bucket", _bucket(F.col("term"), self.buckets))
+
+    def write(self, store) -> "LexicalIndex":
+        """Save the index in a ``Folder`` or ``Tables`` store.
 
         Ranges over (bucket, term, id) give even tasks: a frequent term is cut by id.
         """
-        (
-            self.postings.repartitionByRange("bucket", "term", "id")
-            .sortWithinPartitions("bucket", "term", "id")
-            .write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(path, "postings"))
+        ranged = self.postings.repartitionByRange("bucket", "term", "id")
+        ranged = ranged.sortWithinPartitions("bucket", "term", "id")
+        postings = store.save("postings", ranged, partition="bucket")
+        terms = store.save("terms", term_stats(postings))
+        # Only the document count is taken from the rows; tokens are summed from the terms.
+        n_docs = self.totals.select("n_docs").first()[0]
+        n_tokens = terms.agg(F.coalesce(F.sum("ttf"), F.lit(0))).first()[0]
+        row = terms.sparkSession.createDataFrame(
+            [(n_docs, n_tokens, self.buckets)], "n_docs bigint, n_tokens bigint, buckets int"
         )
-        spark = self.postings.sparkSession
-        stored = _read_postings(spark, path, self.postings)
-        term_stats(stored).write.mode("overwrite").parquet(os.path.join(path, "terms"))
-        totals = self.totals.withColumn("buckets", F.lit(self.buckets))
-        totals.write.mode("overwrite").parquet(os.path.join(path, "totals"))
-        return LexicalIndex.read(spark, path, self.analyzer, stored)
+        totals = store.save("totals", row.coalesce(1))
+        return LexicalIndex(postings, terms, totals, self.analyzer, self.buckets)
 
     @classmethod
-    def read(cls, spark: SparkSession, path: str, analyzer: Analyzer = SPLIT_LOWER,
-             postings: DataFrame | None = None) -> "LexicalIndex":
-        totals = spark.read.parquet(os.path.join(path, "totals"))
-        if postings is None:
-            postings = spark.read.parquet(os.path.join(path, "postings"))
-        terms = spark.read.parquet(os.path.join(path, "terms"))
-        return cls(postings, terms, totals, analyzer, int(totals.first()["buckets"]))
+    def read(cls, store, analyzer: Analyzer = SPLIT_LOWER) -> "LexicalIndex":
+        totals = store.load("totals")
+        buckets = int(totals.first()["buckets"])
+        return cls(store.load("postings"), store.load("terms"), totals, analyzer, buckets)
 
     def sums(self) -> tuple[int, int]:
         """(documents, tokens), read once from the one-row table."""
@@ -121,11 +121,6 @@ class LexicalIndex:
         return self.postings.where(F.col("bucket").isin(buckets))
 
 
-def _read_postings(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """Read with a known schema, which an empty index would not have."""
-    return spark.read.schema(like.schema).parquet(os.path.join(path, "postings"))
-
-
 # -- scorers -----------------------------------------------------------------------------
 
 # Published defaults of the ranking formulas.

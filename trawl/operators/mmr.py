@@ -48,13 +48,16 @@ def mmr(
     id: str = "id",
     vec: str = "embedding",
     where: Column | None = None,
+    hits: DataFrame | None = None,
 ) -> DataFrame:
     """``qid, id, rank, distance`` of the selected rows, in distance order.
 
     A group is one query's candidates, so it never holds more than ``fetch_k`` rows.
+    ``hits`` supplies the candidates when a search has already found them.
     """
     pool = corpus if where is None else corpus.where(where)
-    hits = knn_join(queries, pool, fetch_k, metric, qid=qid, qvec=qvec, id=id, vec=vec)
+    if hits is None:
+        hits = knn_join(queries, pool, fetch_k, metric, qid=qid, qvec=qvec, id=id, vec=vec)
     vectors = pool.select(F.col(id).alias("id"), F.col(vec).alias("v"))
     asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
     rows = join_hits(hits, vectors, queries, fetch_k).join(asked, "qid")

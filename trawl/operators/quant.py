@@ -7,6 +7,7 @@ lets a search decide exactly which rows must be read again at full precision.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -119,6 +120,18 @@ class Quantizer:
         length = np.sqrt((x * x).sum(axis=1, keepdims=True))
         return x / np.where(length > 0, length, 1.0)
 
+    def to_json(self) -> str:
+        plain = {**vars(self), "metric": self.metric.value}
+        plain["params"] = {k: v.tolist() for k, v in self.params.items()}
+        return json.dumps(plain)
+
+    @classmethod
+    def from_json(cls, text: str) -> "Quantizer":
+        plain = json.loads(text)
+        plain["metric"] = Metric(plain["metric"])
+        plain["params"] = {k: np.array(v, float) for k, v in plain["params"].items()}
+        return cls(**plain)
+
     def _levels(self) -> tuple[int, int]:
         """Levels per dimension and the bits that hold them."""
         bits = self.nb_bits if self.nb_bits is not None else DEFAULT_BITS[self.kind]

@@ -68,8 +68,12 @@ def spark_type(sql_type: str) -> T.DataType:
     base = base_type(sql_type)
     if base in ("DECIMAL", "NUMERIC"):
         args = sql_type[sql_type.index("("):] if "(" in sql_type else "(18,3)"
-        return T._parse_datatype_string("decimal" + args)
-    return T._parse_datatype_string(SQL_TYPES.get(base, sql_type))
+        return _from_ddl("decimal" + args)
+    return _from_ddl(SQL_TYPES.get(base, sql_type))
+
+
+def _from_ddl(ddl: str) -> T.DataType:
+    return T.StructType.fromDDL(f"c {ddl}")["c"].dataType
 
 
 def is_indexable(sql_type: str | None) -> bool:
