@@ -150,17 +150,22 @@ def _starts(t: Column, words: Sequence[str]) -> Column:
     ).otherwise(none)
 
 
+def _shift(positions: Column, by: int) -> Column:
+    return F.transform(positions, lambda p: p + by)
+
+
+def _span(positions: Column, lo: int, hi: int) -> Column:
+    """Every position between ``lo`` and ``hi`` tokens after one of ``positions``."""
+    return F.flatten(F.transform(positions, lambda p: F.sequence(p + lo, p + hi)))
+
+
 def _ends(t: Column, segments, gaps) -> Column:
-    ends = F.transform(_starts(t, segments[0]), lambda s: s + len(segments[0]))
+    """Positions just behind a complete match."""
+    ends = _shift(_starts(t, segments[0]), len(segments[0]))
     for gap, words in zip(gaps, segments[1:]):
         lo, hi = (gap, gap) if isinstance(gap, int) else gap
-        if lo == hi:
-            reach = F.transform(ends, lambda e, lo=lo: e + lo)
-        else:
-            reach = F.flatten(F.transform(ends, lambda e, lo=lo, hi=hi: F.sequence(e + lo, e + hi)))
-        ends = F.transform(
-            F.array_intersect(_starts(t, words), reach), lambda s, n=len(words): s + n
-        )
+        reach = _shift(ends, lo) if lo == hi else _span(ends, lo, hi)
+        ends = _shift(F.array_intersect(_starts(t, words), reach), len(words))
     return ends
 
 
@@ -174,17 +179,27 @@ def _sloppy(t: Column, segments, gaps, slop: int) -> Column:
     width = slop + 1
     state = F.transform(_starts(t, words[:1]), lambda s: (s + 1) * width)
     for want, word in zip(expected, words[1:]):
-        moves = [d for d in range(-min(want, slop), slop + 1)]
-        reach = F.flatten(F.transform(state, lambda p, want=want, moves=moves: F.filter(
-            F.array(*[
-                F.when((p % width) + abs(d) <= slop, p + (want + d) * width + abs(d))
-                for d in moves
-            ]),
-            lambda x: x.isNotNull(),
-        )))
-        legal = F.flatten(F.transform(
-            _starts(t, [word]),
-            lambda s: F.transform(F.sequence(F.lit(0), F.lit(slop)), lambda c: s * width + c),
-        ))
-        state = F.transform(F.array_intersect(reach, legal), lambda p: p + width)
+        legal = _with_costs(_starts(t, [word]), width)
+        state = _shift(F.array_intersect(_moves(state, want, slop), legal), width)
     return F.size(state) > 0
+
+
+def _moves(state: Column, want: int, slop: int) -> Column:
+    """States of the next word for every gap within the budget of each state."""
+    width = slop + 1
+
+    def of(p: Column) -> Column:
+        steps = [
+            F.when((p % width) + abs(d) <= slop, p + ((want + d) * width + abs(d)))
+            for d in range(-min(want, slop), slop + 1)
+        ]
+        return F.array_compact(F.array(*steps))
+
+    return F.flatten(F.transform(state, of))
+
+
+def _with_costs(starts: Column, width: int) -> Column:
+    costs = F.sequence(F.lit(0), F.lit(width - 1))
+    return F.flatten(F.transform(
+        starts, lambda s: F.transform(costs, lambda c: s * width + c)
+    ))

@@ -130,7 +130,7 @@ def metadata_split(spark, sf):
 QUERIES["metadata_split"] = metadata_split
 ORACLES["metadata_split"] = """
 SELECT event_id AS id, event_type, value, NULL::INTEGER AS missing,
-       '{"props":{"k":' || (props->>'k') || '},"user_id":' || user_id || '}' AS metadata
+       '{"user_id":' || user_id || ',"props":{"k":' || (props->>'k') || '}}' AS metadata
 FROM events"""
 
 
