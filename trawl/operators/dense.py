@@ -304,17 +304,47 @@ def topk(
     where: Column | None = None,
     alias: str = "distance",
     keep: list[str] | None = None,
+    method: str = "block",
 ) -> DataFrame:
-    """Exact top ``k`` for one query vector, as plain expressions and ``TakeOrdered``."""
+    """Exact top ``k`` rows for one query vector, with the columns ``keep`` (default: all others).
+
+    ``block`` scores Arrow batches and passes on at most ``k`` rows (and ties) of each;
+    ``expression`` stays in the JVM.  Both end in ``TakeOrderedAndProject``.
+    """
+    metric = Metric(metric)
     if where is not None:
         corpus = corpus.where(where)
-    d = distance(metric, F.col(vec), vector_literal(vector))
     cols = keep if keep is not None else [c for c in corpus.columns if c != vec]
-    return (
-        corpus.select(*cols, d.alias(alias))
-        .orderBy(F.col(alias).asc_nulls_last(), id)
-        .limit(k)
-    )
+    if method == "expression":
+        scored = corpus.select(
+            *cols, distance(metric, F.col(vec), vector_literal(vector)).alias(alias)
+        )
+    else:
+        scored = _score_batches(corpus.select(vec, *cols), cols, vector, k, metric, alias)
+    return scored.orderBy(F.col(alias).asc_nulls_last(), id).limit(k)
+
+
+def _score_batches(source: DataFrame, cols: list[str], vector, k: int, metric: Metric,
+                   alias: str) -> DataFrame:
+    query = np.array([float(x) for x in vector])
+    out = T.StructType([*(source.schema[c] for c in cols), T.StructField(alias, T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limit = np.inf
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix_of(batch.column(0))
+            d = precise(metric, np.broadcast_to(query, x.shape), x)
+            order = np.where(np.isnan(d), np.inf, d)
+            if len(order) > k:
+                limit = min(limit, np.partition(order, k - 1)[k - 1])
+            rows = pa.array(np.nonzero(order <= limit)[0])
+            scored = pa.array(d, mask=np.isnan(d))
+            picked = [c.take(rows) for c in (*batch.columns[1:], scored)]
+            yield pa.RecordBatch.from_arrays(picked, names=[*cols, alias])
+
+    return source.mapInArrow(run, out)
 
 
 def join_hits(hits: DataFrame, rows: DataFrame, queries: DataFrame, per_query: int,

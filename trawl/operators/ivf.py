@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from trawl.functions.distance import distance
 from trawl.operators import dense
 from trawl.operators.dense import (
-    Best, arrow_schema, block_count, coarse, id_values, matrix_of, rank_best, result_schema,
+    Best, arrow_schema, coarse, id_values, matrix_of, rank_best, result_schema,
     small_queries,
 )
 from trawl.operators.quant import Quantizer, codes_of, encode_table, fit, unit_vectors
@@ -32,14 +32,17 @@ from trawl.session import cut_lineage
 
 TRAIN_PER_CELL = 64
 MAX_CELLS = 16384
+MAX_CENTROID_BYTES = 64 << 20
+MAX_PROBES = 1 << 22
 KMEANS_SEED = 17
 MAX_POOL = 1 << 21
 MODEL_SCHEMA = "metric string, centroids array<array<double>>, quantizer string, id string, vec string"
 
 
-def default_cells(rows: int) -> int:
+def default_cells(rows: int, dim: int) -> int:
     """About the square root of the row count, bounded so centroids stay broadcastable."""
-    return max(1, min(MAX_CELLS, round(math.sqrt(rows))))
+    most = min(MAX_CELLS, MAX_CENTROID_BYTES // (8 * max(1, dim)))
+    return max(1, min(most, round(math.sqrt(rows))))
 
 
 def train_centroids(corpus: DataFrame, cells: int, metric: Metric, vec: str = "embedding") -> np.ndarray:
@@ -90,10 +93,14 @@ def assign_cells(corpus: DataFrame, centroids: np.ndarray, metric: Metric, vec:
 
 
 def nearest_cells(q: np.ndarray, centroids: np.ndarray, nprobe: int, metric: Metric) -> np.ndarray:
-    """(queries, nprobe) cells to read, nearest first."""
+    """(queries, nprobe) cells to read, nearest first; equal distances in cell order."""
     by = Metric.IP if metric is Metric.IP else Metric.L2
-    d = coarse(by, _prepare(q, metric), centroids)
-    return np.argsort(d, axis=1, kind="stable")[:, :nprobe]
+    q, out = _prepare(q, metric), []
+    step = max(1, (1 << 22) // len(centroids))
+    for start in range(0, len(q), step):
+        d = coarse(by, q[start:start + step], centroids)
+        out.append(np.argsort(d, axis=1, kind="stable")[:, :nprobe])
+    return np.concatenate(out) if out else np.empty((0, nprobe), int)
 
 
 @dataclass
@@ -123,7 +130,10 @@ class IvfIndex:
         if quant != "none":
             quantizer = fit(corpus, quant, metric, vec=vec, pq_m=pq_m, nb_bits=nb_bits,
                             query_bits=query_bits)
-        centroids = train_centroids(corpus, cells or default_cells(corpus.count()), metric, vec)
+        if cells is None:
+            size = corpus.agg(F.count(F.lit(1)), F.max(F.size(vec))).first()
+            cells = default_cells(size[0], size[1] or 1)
+        centroids = train_centroids(corpus, cells, metric, vec)
         return cls.assign(corpus, metric, centroids, quantizer, id=id, vec=vec)
 
     @classmethod
@@ -175,14 +185,18 @@ class IvfIndex:
         check_search(nprobe=nprobe, rescore_width=rescore_width)
         nprobe = min(nprobe, len(self.centroids))
         block = None if layout == "grid" else small_queries(queries, qid, qvec)
+        if block is not None and nprobe < len(self.centroids):
+            if len(block.ids) * nprobe > MAX_PROBES:
+                block = None
         if self.quantizer is None:
             if block is None:
                 return rank_best(self._grid(queries, k, nprobe, qid, qvec, where), k)
             return rank_best(self._scan(queries, block, k, nprobe, qid, where), k)
-        if block is None:
-            return self._chunks(queries, k, nprobe, rescore_width, qid, qvec, where)
         width = self.auto_width() if rescore_width == -1 else float(rescore_width)
-        found = self._code_scan(queries, block, k, nprobe, width, qid, where)
+        if block is None:
+            found = self._code_grid(queries, k, nprobe, width, qid, qvec, where)
+        else:
+            found = self._code_scan(queries, block, k, nprobe, width, qid, where)
         if width == 0:
             hits = found.select("qid", "id", F.col("lower").alias("distance"))
             return rank_best(hits, k)
@@ -196,7 +210,10 @@ class IvfIndex:
             return 1.0
         return min(1.0, 4.0 / math.sqrt(self.quantizer.dim))
 
-    def _probes(self, vectors: np.ndarray, nprobe: int) -> dict[int, np.ndarray]:
+    def _probes(self, vectors: np.ndarray, nprobe: int) -> dict[int, np.ndarray] | None:
+        """Cell -> rows of the queries that read it; ``None`` when every query reads all."""
+        if nprobe >= len(self.centroids):
+            return None
         near = nearest_cells(vectors, self.centroids, nprobe, self.metric)
         asked: dict[int, list[int]] = {}
         for row, cells in enumerate(near):
@@ -204,9 +221,9 @@ class IvfIndex:
                 asked.setdefault(int(cell), []).append(row)
         return {cell: np.array(rows) for cell, rows in asked.items()}
 
-    def _probed(self, table: DataFrame, probes: dict[int, np.ndarray], where) -> DataFrame:
+    def _probed(self, table: DataFrame, probes: dict[int, np.ndarray] | None, where) -> DataFrame:
         """Rows of the probed cells; the list reaches the scan as a pushed filter."""
-        if len(probes) < len(self.centroids):
+        if probes is not None and len(probes) < len(self.centroids):
             table = table.where(F.col("cell").isin(sorted(probes)))
         return table if where is None else table.where(where)
 
@@ -220,9 +237,8 @@ class IvfIndex:
             best = Best(metric, block.vectors, k)
             for batch in batches:
                 ids, x = id_values(batch.column(0)), matrix_of(batch.column(1))
-                for cell, rows in by_cell(batch.column(2)):
-                    if cell in probes:
-                        best.add(ids[rows], x[rows], probes[cell])
+                for rows, which in probed_rows(batch.column(2), probes):
+                    best.add(ids[rows], x[rows], which)
             yield best.batch(block.ids, wire)
 
         table = self._probed(self.cells, probes, where)
@@ -230,9 +246,33 @@ class IvfIndex:
 
     def _grid(self, queries, k, nprobe, qid, qvec, where) -> DataFrame:
         """Large query tables: bounded blocks of each cell against blocks of its queries."""
-        spark = self.cells.sparkSession
         out = result_schema(queries, qid, self.cells, self.id)
-        table = self.cells if where is None else self.cells.where(where)
+        left, right = self._blocks(queries, self.cells, self.id, [F.col(self.vec).alias("v")],
+                                   nprobe, qid, qvec, where)
+        kernel = dense.topk_kernel(self.metric, k, arrow_schema(out))
+        return dense.pair_blocks(left, right, ["cell", "qb", "cb"], kernel, out)
+
+    def _code_grid(self, queries, k, nprobe, width, qid, qvec, where) -> DataFrame:
+        """The block form of the code scan."""
+        out = self._candidate_schema(queries, qid)
+        left, right = self._blocks(queries, self.codes, "id", ["code", "err"], nprobe, qid, qvec,
+                                   where)
+        wire, quantizer = arrow_schema(out), self.quantizer
+
+        def kernel(asked: pa.Table, rows: pa.Table) -> pa.Table:
+            if not asked.num_rows or not rows.num_rows:
+                return wire.empty_table()
+            seen, moved = quantizer.quantize_queries(matrix_of(asked.column("qv")))
+            pool = Candidates(quantizer.metric, seen, moved, k, width)
+            x = quantizer.decode(codes_of(rows.column("code")))
+            pool.add(id_values(rows.column("id")), x, rows.column("err").to_numpy(), None)
+            return pa.Table.from_batches([pool.flush(id_values(asked.column("qid")), wire)])
+
+        return dense.pair_blocks(left, right, ["cell", "qb", "cb"], kernel, out)
+
+    def _blocks(self, queries, table, id, payload, nprobe, qid, qvec, where):
+        """Queries and rows cut by (cell, query block, row block), each block bounded."""
+        table = table if where is None else table.where(where)
         asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
         probes = probe_table(asked, self.centroids, nprobe, self.metric)
         rows = table.groupBy("cell").count().withColumnRenamed("count", "rows")
@@ -243,39 +283,30 @@ class IvfIndex:
             F.ceil(F.col("asked") / dense.QUERY_BLOCK).cast("int").alias("qbs"),
         )
         # One row per cell: at most MAX_CELLS rows, so broadcasting it is bounded.
-        cuts = F.broadcast(spark.createDataFrame(cuts.collect(), cuts.schema))
+        cuts = F.broadcast(cuts)
         left = probes.join(cuts, "cell").join(asked, "qid").select(
             "qid", "qv", "cell",
             F.pmod(F.xxhash64("qid"), F.col("qbs").cast("bigint")).cast("int").alias("qb"),
             F.explode(F.sequence(F.lit(0), F.col("cbs") - 1)).alias("cb"),
         )
         right = table.join(cuts, "cell").select(
-            F.col(self.id).alias("id"), F.col(self.vec).alias("v"), "cell",
-            F.pmod(F.xxhash64(self.id), F.col("cbs").cast("bigint")).cast("int").alias("cb"),
+            F.col(id).alias("id"), *payload, "cell",
+            F.pmod(F.xxhash64(id), F.col("cbs").cast("bigint")).cast("int").alias("cb"),
             F.explode(F.sequence(F.lit(0), F.col("qbs") - 1)).alias("qb"),
         )
-        kernel = dense.topk_kernel(self.metric, k, arrow_schema(out))
-        return dense.pair_blocks(left, right, ["cell", "qb", "cb"], kernel, out)
+        return left, right
 
-    def _chunks(self, queries, k, nprobe, rescore_width, qid, qvec, where) -> DataFrame:
-        """Quantized search of a large query table: one broadcast-sized slice at a time."""
-        parts = block_count(queries.count(), dense.MAX_BROADCAST_QUERIES // 2)
-        slot = F.pmod(F.xxhash64(qid), F.lit(parts))
-        out = None
-        for part in range(parts):
-            found = self.search(queries.where(slot == part), k, nprobe, rescore_width, qid=qid,
-                                qvec=qvec, where=where)
-            out = found if out is None else out.unionByName(found)
-        return out
-
-    def _code_scan(self, queries, block, k, nprobe, width, qid, where) -> DataFrame:
-        """Candidates ``qid, id, lower, upper``: all rows that may be among the best ``k``."""
-        out = T.StructType([
+    def _candidate_schema(self, queries, qid) -> T.StructType:
+        return T.StructType([
             T.StructField("qid", queries.schema[qid].dataType),
             T.StructField("id", self.codes.schema["id"].dataType),
             T.StructField("lower", T.DoubleType()),
             T.StructField("upper", T.DoubleType()),
         ])
+
+    def _code_scan(self, queries, block, k, nprobe, width, qid, where) -> DataFrame:
+        """Candidates ``qid, id, lower, upper``: all rows that may be among the best ``k``."""
+        out = self._candidate_schema(queries, qid)
         probes, wire = self._probes(block.vectors, nprobe), arrow_schema(out)
         seen, moved = self.quantizer.quantize_queries(block.vectors)
         shared = self.codes.sparkSession.sparkContext.broadcast(
@@ -290,11 +321,10 @@ class IvfIndex:
                     continue
                 ids, err = id_values(batch.column(0)), batch.column(2).to_numpy()
                 x = quantizer.decode(codes_of(batch.column(1)))
-                for cell, rows in by_cell(batch.column(3)):
-                    if cell in probes:
-                        pool.add(ids[rows], x[rows], err[rows], probes[cell])
-                        if len(pool.q) > MAX_POOL:
-                            yield pool.flush(qids, wire)
+                for rows, which in probed_rows(batch.column(3), probes):
+                    pool.add(ids[rows], x[rows], err[rows], which)
+                    if len(pool.q) > MAX_POOL:
+                        yield pool.flush(qids, wire)
             yield pool.flush(qids, wire)
 
         table = self._probed(self.codes, probes, where)
@@ -321,14 +351,18 @@ def probe_table(asked: DataFrame, centroids: np.ndarray, nprobe: int, metric: Me
     return asked.select("qid", "qv").mapInArrow(run, out)
 
 
-def by_cell(column: pa.Array):
-    """(cell, row numbers) for each distinct cell of a batch."""
+def probed_rows(column: pa.Array, probes: dict[int, np.ndarray] | None):
+    """(row numbers, queries) of a batch, cell by cell; all rows and queries without probes."""
+    if probes is None:
+        yield slice(None), None
+        return
     cells = column.to_numpy(zero_copy_only=False)
     order = np.argsort(cells, kind="stable")
     values, starts = np.unique(cells[order], return_index=True)
     for i, cell in enumerate(values):
         stop = starts[i + 1] if i + 1 < len(starts) else len(cells)
-        yield int(cell), order[starts[i]:stop]
+        if int(cell) in probes:
+            yield order[starts[i]:stop], probes[int(cell)]
 
 
 class Candidates:
@@ -350,7 +384,14 @@ class Candidates:
         length = np.sqrt((x * x).sum(axis=1))
         return self.length[which][:, None] * err[None, :] + self.moved[which][:, None] * length[None, :]
 
-    def add(self, ids, x, err, which) -> None:
+    def add(self, ids, x, err, which=None) -> None:
+        """Score decoded rows against the queries ``which`` (default: all), in bounded steps."""
+        which = np.arange(len(self.seen)) if which is None else which
+        step = max(1, (1 << 22) // max(1, len(ids)))
+        for start in range(0, len(which), step):
+            self._add(ids, x, err, which[start:start + step])
+
+    def _add(self, ids, x, err, which) -> None:
         scored = Metric.L2 if self.metric is Metric.L2 else Metric.IP
         d = coarse(scored, self.seen[which], x)
         if self.metric is Metric.COSINE:

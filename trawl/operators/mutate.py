@@ -82,7 +82,7 @@ def delete(table: DataFrame, ids: DataFrame | None = None, where: Column | None
         return table
     if ids is None:
         return table.where(~F.coalesce(where, F.lit(False)))
-    doomed = ids.select(id)
+    doomed = ids.select(id).distinct()
     if where is not None:
         doomed = table.where(where).select(id).join(doomed, id, "left_semi")
     return table.join(doomed, id, "left_anti").select(*table.columns)

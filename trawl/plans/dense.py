@@ -23,9 +23,10 @@ QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def _topk(metric):
+def _topk(metric, method="block"):
     def run(spark, sf):
-        return topk(embeddings(spark, sf), PROBE, 10, metric).select("id", "label", tidy("distance"))
+        found = topk(embeddings(spark, sf), PROBE, 10, metric, method=method)
+        return found.select("id", "label", tidy("distance"))
     return run
 
 
@@ -49,6 +50,8 @@ for _m in METRICS:
 SELECT id, label, {sql_tidy('distance')} AS distance FROM (
   SELECT vec_id AS id, label, {sql_distance(_m, 'embedding::DOUBLE[]', VECTOR)} AS distance
   FROM embeddings) ORDER BY distance, id LIMIT 10"""
+    QUERIES[f"dense_expression_{_m}"] = _topk(_m, "expression")
+    ORACLES[f"dense_expression_{_m}"] = ORACLES[f"dense_{_m}"]
     QUERIES[f"knn_join_{_m}"] = _knn(_m)
     ORACLES[f"knn_join_{_m}"] = f"""
 WITH {sql_knn(_m, K)}
