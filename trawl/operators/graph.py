@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trawl.functions.distance import distance
-from trawl.operators.dense import knn_join, rank_best
-from trawl.operators.ivf import IvfIndex, check_search, probe_table
+from trawl.operators.dense import knn_join, rank_best, small_queries
+from trawl.operators.ivf import IvfIndex, check_search, probe_table, score_joined, score_pairs
 from trawl.operators.quant import decode_table
 from trawl.schema import Metric
 from trawl.session import cut_lineage
@@ -101,27 +102,32 @@ class GraphIndex:
         if coded:
             vectors = decode_table(self.ivf.codes, self.ivf.quantizer)
             vectors = vectors.withColumnRenamed("embedding", "v")
-        seen = self._walk(asked, vectors, ef)
+        block = small_queries(queries, qid, qvec)
+        seen = self._walk(asked, vectors, ef, block)
         if where is not None:
             allowed = self.cells.where(where).select(F.col(self.id).alias("id"))
             seen = seen.join(allowed, "id", "left_semi")
         hits = seen.select("qid", "id", "distance")
         if coded and rescore_width != 0:
             wide = rank_best(hits, ef).select("qid", "id")
-            hits = self._score(wide, asked, exact)
+            hits = self._score(wide, asked, exact, block)
         return rank_best(hits, k)
 
-    def _score(self, pairs: DataFrame, asked: DataFrame, vectors: DataFrame) -> DataFrame:
-        scored = pairs.join(vectors, "id").join(asked, "qid")
-        return scored.select(
-            "qid", "id", distance(self.metric, F.col("qv"), F.col("v")).alias("distance")
-        )
-
-    def _walk(self, asked: DataFrame, vectors: DataFrame, ef: int) -> DataFrame:
+    def _score(self, pairs: DataFrame, asked: DataFrame, vectors: DataFrame, block) -> DataFrame:
+        if block is None:
+            return score_joined(pairs, vectors, asked, self.metric)
+        out = T.StructType([
+            T.StructField("qid", asked.schema["qid"].dataType),
+            T.StructField("id", vectors.schema["id"].dataType),
+            T.StructField("distance", T.DoubleType()),
+        ])
+        return score_pairs(pairs, vectors, block, self.metric, out)
+
+    def _walk(self, asked: DataFrame, vectors: DataFrame, ef: int, block) -> DataFrame:
         """All rows scored on the way: ``qid, id, distance, open``."""
         probes = probe_table(asked, self.ivf.centroids, ENTRY_CELLS, self.metric)
         first = probes.join(self.entries, "cell").select("qid", "id").distinct()
-        seen = self._score(first, asked, vectors).withColumn("open", F.lit(True))
+        seen = self._score(first, asked, vectors, block).withColumn("open", F.lit(True))
         seen = cut_lineage(seen)
         order = Window.partitionBy("qid").orderBy(F.col("distance").asc_nulls_last(), "id")
         for _ in range(MAX_ROUNDS):
@@ -134,7 +140,7 @@ class GraphIndex:
                 .select("qid", F.explode("neighbours").alias("id")).distinct()
                 .join(seen.select("qid", "id"), ["qid", "id"], "left_anti")
             )
-            fresh = self._score(reached, asked, vectors).withColumn("open", F.lit(True))
+            fresh = self._score(reached, asked, vectors, block).withColumn("open", F.lit(True))
             done = frontier.withColumn("done", F.lit(True))
             old = seen.join(done, ["qid", "id"], "left").select(
                 "qid", "id", "distance", (F.col("open") & F.col("done").isNull()).alias("open")

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from trawl.functions.distance import distance
 from trawl.operators import dense
 from trawl.operators.dense import (
-    Best, arrow_schema, coarse, id_values, matrix_of, rank_best, result_schema,
+    Best, QueryBlock, arrow_schema, coarse, id_values, matrix_of, rank_best, result_schema,
     small_queries,
 )
 from trawl.operators.quant import Quantizer, codes_of, encode_table, fit, unit_vectors
@@ -35,7 +35,7 @@ MAX_CELLS = 16384
 MAX_CENTROID_BYTES = 64 << 20
 MAX_PROBES = 1 << 22
 KMEANS_SEED = 17
-MAX_POOL = 1 << 21
+BLOCK_KEYS = ["cell", "qb", "cb"]
 MODEL_SCHEMA = "metric string, centroids array<array<double>>, quantizer string, id string, vec string"
 
 
@@ -192,16 +192,18 @@ class IvfIndex:
             if block is None:
                 return rank_best(self._grid(queries, k, nprobe, qid, qvec, where), k)
             return rank_best(self._scan(queries, block, k, nprobe, qid, where), k)
+        ask = CodeSearch(self, queries, block, nprobe, qid, qvec, where)
+        by_code = rank_best(ask.nearest(k), k)
+        if rescore_width == 0:
+            return by_code
         width = self.auto_width() if rescore_width == -1 else float(rescore_width)
-        if block is None:
-            found = self._code_grid(queries, k, nprobe, width, qid, qvec, where)
-        else:
-            found = self._code_scan(queries, block, k, nprobe, width, qid, where)
-        if width == 0:
-            hits = found.select("qid", "id", F.col("lower").alias("distance"))
-            return rank_best(hits, k)
-        found = cut_lineage(found)
-        return rescore(found, queries, self.cells, k, self.metric, qid, qvec, self.id, self.vec)
+        by_code = cut_lineage(by_code.select("qid", "id"))
+        cut = (
+            ask.exact(by_code).groupBy("qid")
+            .agg(F.max("distance").alias("cut"), F.count("distance").alias("n"))
+            .select("qid", F.when(F.col("n") >= k, F.col("cut")).alias("cut"))
+        )
+        return rank_best(ask.exact(cut_lineage(ask.alive(cut, width)), k), k)
 
     def auto_width(self) -> float:
         """The safe width for fine codes.  Coarse codes lose a residual in a near random
@@ -250,30 +252,12 @@ class IvfIndex:
         left, right = self._blocks(queries, self.cells, self.id, [F.col(self.vec).alias("v")],
                                    nprobe, qid, qvec, where)
         kernel = dense.topk_kernel(self.metric, k, arrow_schema(out))
-        return dense.pair_blocks(left, right, ["cell", "qb", "cb"], kernel, out)
-
-    def _code_grid(self, queries, k, nprobe, width, qid, qvec, where) -> DataFrame:
-        """The block form of the code scan."""
-        out = self._candidate_schema(queries, qid)
-        left, right = self._blocks(queries, self.codes, "id", ["code", "err"], nprobe, qid, qvec,
-                                   where)
-        wire, quantizer = arrow_schema(out), self.quantizer
-
-        def kernel(asked: pa.Table, rows: pa.Table) -> pa.Table:
-            if not asked.num_rows or not rows.num_rows:
-                return wire.empty_table()
-            seen, moved = quantizer.quantize_queries(matrix_of(asked.column("qv")))
-            pool = Candidates(quantizer.metric, seen, moved, k, width)
-            x = quantizer.decode(codes_of(rows.column("code")))
-            pool.add(id_values(rows.column("id")), x, rows.column("err").to_numpy(), None)
-            return pa.Table.from_batches([pool.flush(id_values(asked.column("qid")), wire)])
-
-        return dense.pair_blocks(left, right, ["cell", "qb", "cb"], kernel, out)
-
-    def _blocks(self, queries, table, id, payload, nprobe, qid, qvec, where):
+        return dense.pair_blocks(left, right, BLOCK_KEYS, kernel, out)
+
+    def _blocks(self, queries, table, id, payload, nprobe, qid, qvec, where, extra=()):
         """Queries and rows cut by (cell, query block, row block), each block bounded."""
         table = table if where is None else table.where(where)
-        asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
+        asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"), *extra)
         probes = probe_table(asked, self.centroids, nprobe, self.metric)
         rows = table.groupBy("cell").count().withColumnRenamed("count", "rows")
         hits = probes.groupBy("cell").count().withColumnRenamed("count", "asked")
@@ -285,7 +269,7 @@ class IvfIndex:
         # One row per cell: at most MAX_CELLS rows, so broadcasting it is bounded.
         cuts = F.broadcast(cuts)
         left = probes.join(cuts, "cell").join(asked, "qid").select(
-            "qid", "qv", "cell",
+            "qid", "qv", "cell", *extra,
             F.pmod(F.xxhash64("qid"), F.col("qbs").cast("bigint")).cast("int").alias("qb"),
             F.explode(F.sequence(F.lit(0), F.col("cbs") - 1)).alias("cb"),
         )
@@ -296,41 +280,6 @@ class IvfIndex:
         )
         return left, right
 
-    def _candidate_schema(self, queries, qid) -> T.StructType:
-        return T.StructType([
-            T.StructField("qid", queries.schema[qid].dataType),
-            T.StructField("id", self.codes.schema["id"].dataType),
-            T.StructField("lower", T.DoubleType()),
-            T.StructField("upper", T.DoubleType()),
-        ])
-
-    def _code_scan(self, queries, block, k, nprobe, width, qid, where) -> DataFrame:
-        """Candidates ``qid, id, lower, upper``: all rows that may be among the best ``k``."""
-        out = self._candidate_schema(queries, qid)
-        probes, wire = self._probes(block.vectors, nprobe), arrow_schema(out)
-        seen, moved = self.quantizer.quantize_queries(block.vectors)
-        shared = self.codes.sparkSession.sparkContext.broadcast(
-            (block.ids, seen, moved, probes, self.quantizer)
-        )
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            qids, seen, moved, probes, quantizer = shared.value
-            pool = Candidates(quantizer.metric, seen, moved, k, width)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                ids, err = id_values(batch.column(0)), batch.column(2).to_numpy()
-                x = quantizer.decode(codes_of(batch.column(1)))
-                for rows, which in probed_rows(batch.column(3), probes):
-                    pool.add(ids[rows], x[rows], err[rows], which)
-                    if len(pool.q) > MAX_POOL:
-                        yield pool.flush(qids, wire)
-            yield pool.flush(qids, wire)
-
-        table = self._probed(self.codes, probes, where)
-        found = table.select("id", "code", "err", "cell").mapInArrow(run, out)
-        return found
-
 
 def probe_table(asked: DataFrame, centroids: np.ndarray, nprobe: int, metric: Metric) -> DataFrame:
     """``qid, cell`` rows for a query table of any size."""
@@ -365,97 +314,219 @@ def probed_rows(column: pa.Array, probes: dict[int, np.ndarray] | None):
             yield order[starts[i]:stop], probes[int(cell)]
 
 
-class Candidates:
-    """Rows whose lower bound is not above the ``k``-th smallest upper bound seen so far."""
-
-    def __init__(self, metric: Metric, seen: np.ndarray, moved: np.ndarray, k: int, width: float):
-        self.metric, self.seen, self.moved, self.k, self.width = metric, seen, moved, k, width
-        self.limit = np.full(len(seen), np.inf)
-        self.length = np.sqrt((seen * seen).sum(axis=1)) + moved
-        self.q = np.empty(0, np.int64)
-        self.lower = np.empty(0)
-        self.upper = np.empty(0)
-        self.ids: np.ndarray | None = None
-
-    def _margin(self, which: np.ndarray, x: np.ndarray, err: np.ndarray) -> np.ndarray:
-        """Largest possible gap between a code distance and the real one."""
-        if self.metric is Metric.L2:
-            return err[None, :] + self.moved[which][:, None]
-        length = np.sqrt((x * x).sum(axis=1))
-        return self.length[which][:, None] * err[None, :] + self.moved[which][:, None] * length[None, :]
-
-    def add(self, ids, x, err, which=None) -> None:
-        """Score decoded rows against the queries ``which`` (default: all), in bounded steps."""
-        which = np.arange(len(self.seen)) if which is None else which
-        step = max(1, (1 << 22) // max(1, len(ids)))
-        for start in range(0, len(which), step):
-            self._add(ids, x, err, which[start:start + step])
-
-    def _add(self, ids, x, err, which) -> None:
-        scored = Metric.L2 if self.metric is Metric.L2 else Metric.IP
-        d = coarse(scored, self.seen[which], x)
-        if self.metric is Metric.COSINE:
-            d = 1.0 + d
-        margin = self.width * self._margin(which, x, err)
-        if self.width:
-            margin = margin + 1e-6 * (1.0 + float(self.length.max(initial=0.0)))
-        lower, upper = d - margin, d + margin
-        bound = self.limit[which]
-        if len(ids) > self.k:
-            bound = np.minimum(bound, np.partition(upper, self.k - 1, axis=1)[:, self.k - 1])
-        qi, xi = np.nonzero(lower <= bound[:, None])
-        self.q = np.concatenate([self.q, which[qi]])
-        self.lower = np.concatenate([self.lower, lower[qi, xi]])
-        self.upper = np.concatenate([self.upper, upper[qi, xi]])
-        self.ids = ids[xi] if self.ids is None else np.concatenate([self.ids, ids[xi]])
-        order = np.lexsort((self.upper, self.q))
-        q, upper = self.q[order], self.upper[order]
-        last = np.arange(len(q)) - np.searchsorted(q, q, side="left") == self.k - 1
-        self.limit[q[last]] = np.minimum(self.limit[q[last]], upper[last])
-        keep = self.lower <= self.limit[self.q]
-        self.q, self.lower, self.upper = self.q[keep], self.lower[keep], self.upper[keep]
-        self.ids = self.ids[keep]
-
-    def flush(self, qids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
-        """Hand over what was kept so far; the limits stay valid for later rows."""
-        out = self._batch(qids, schema)
-        self.q, self.lower, self.upper = self.q[:0], self.lower[:0], self.upper[:0]
-        self.ids = None
-        return out
-
-    def _batch(self, qids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
-        ids = np.empty(0, np.int64) if self.ids is None else self.ids
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(qids[self.q].tolist(), schema.field(0).type),
-                pa.array(ids.tolist(), schema.field(1).type),
-                pa.array(self.lower), pa.array(self.upper),
-            ],
-            schema=schema,
-        )
+@dataclass
+class CodeSearch:
+    """The passes of a quantized search, for broadcast queries or in blocks."""
+
+    index: IvfIndex
+    queries: DataFrame
+    block: QueryBlock | None
+    nprobe: int
+    qid: str
+    qvec: str
+    where: Column | None
+
+    def _schema(self) -> T.StructType:
+        return T.StructType([
+            T.StructField("qid", self.queries.schema[self.qid].dataType),
+            T.StructField("id", self.index.codes.schema["id"].dataType),
+            T.StructField("distance", T.DoubleType()),
+        ])
+
+    def nearest(self, k: int) -> DataFrame:
+        """Best ``k`` per query and task by code distance: ``qid, id, distance``."""
+        out = self._schema()
+        wire, quantizer = arrow_schema(out), self.index.quantizer
+        scored, lift = _code_metric(quantizer.metric)
+
+        def finish(best: Best, qids: np.ndarray) -> pa.RecordBatch:
+            best.d = best.d + lift
+            return best.batch(qids, wire)
 
+        if self.block is None:
+            def kernel(asked: pa.Table, rows: pa.Table) -> pa.Table:
+                if not asked.num_rows or not rows.num_rows:
+                    return wire.empty_table()
+                seen, _ = quantizer.quantize_queries(matrix_of(asked.column("qv")))
+                best = Best(scored, seen, k)
+                best.add(id_values(rows.column("id")), quantizer.decode(codes_of(rows.column("code"))))
+                return pa.Table.from_batches([finish(best, id_values(asked.column("qid")))])
 
-def rescore(found: DataFrame, queries: DataFrame, vectors: DataFrame, k: int, metric: Metric,
-            qid: str, qvec: str, id: str, vec: str) -> DataFrame:
-    """Exact distances of the candidates that can still win, then the best ``k``.
+            return dense.pair_blocks(*self._blocks(), BLOCK_KEYS, kernel, out)
 
-    The cut is the ``k``-th smallest upper bound per query, over all tasks.
+        shared, probes = self._shared()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            qids, seen, _, probes, quantizer = shared.value
+            best = Best(scored, seen, k)
+            for batch in batches:
+                if batch.num_rows:
+                    ids, x = id_values(batch.column(0)), quantizer.decode(codes_of(batch.column(1)))
+                    for rows, which in probed_rows(batch.column(3), probes):
+                        best.add(ids[rows], x[rows], which)
+            yield finish(best, qids)
+
+        return self._codes(probes).mapInArrow(run, out)
+
+    def alive(self, cut: DataFrame, width: float) -> DataFrame:
+        """``qid, id`` of all rows whose code distance, less its error, is within the cut."""
+        out = T.StructType(self._schema().fields[:2])
+        wire, quantizer = arrow_schema(out), self.index.quantizer
+        if self.block is None:
+            def kernel(asked: pa.Table, rows: pa.Table) -> pa.Table:
+                if not asked.num_rows or not rows.num_rows:
+                    return wire.empty_table()
+                seen, moved = quantizer.quantize_queries(matrix_of(asked.column("qv")))
+                x, err = quantizer.decode(codes_of(rows.column("code"))), rows.column("err").to_numpy()
+                cuts = _cuts(asked.column("cut"))
+                found = within(quantizer.metric, seen, moved, cuts, width, x, err)
+                qids, ids = id_values(asked.column("qid")), id_values(rows.column("id"))
+                return _pairs(found, qids, ids, wire)
+
+            return dense.pair_blocks(*self._blocks(cut), BLOCK_KEYS, kernel, out)
+
+        # One value per broadcast query: as bounded as the queries themselves.
+        table = cut.select("qid", "cut").toArrow()
+        cuts = np.full(len(self.block.ids), np.inf)
+        cuts[_places(self.block.ids, id_values(table.column(0)))] = _cuts(table.column(1))
+        shared, probes = self._shared()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            qids, seen, moved, probes, quantizer = shared.value
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                ids, err = id_values(batch.column(0)), batch.column(2).to_numpy()
+                x = quantizer.decode(codes_of(batch.column(1)))
+                for rows, which in probed_rows(batch.column(3), probes):
+                    found = within(quantizer.metric, seen, moved, cuts, width, x[rows], err[rows], which)
+                    yield from _pairs(found, qids, ids[rows], wire).to_batches()
+
+        return self._codes(probes).mapInArrow(run, out)
+
+    def exact(self, pairs: DataFrame, k: int | None = None) -> DataFrame:
+        """Full-precision distances of ``qid, id`` pairs; with ``k``, the best of each task."""
+        index = self.index
+        vectors = index.cells.select(F.col(index.id).alias("id"), F.col(index.vec).alias("v"))
+        if self.block is not None:
+            return score_pairs(pairs, vectors, self.block, index.metric, self._schema(), k)
+        asked = self.queries.select(F.col(self.qid).alias("qid"), F.col(self.qvec).alias("qv"))
+        return score_joined(pairs, vectors, asked, index.metric)
+
+    def _codes(self, probes) -> DataFrame:
+        table = self.index._probed(self.index.codes, probes, self.where)
+        return table.select("id", "code", "err", "cell")
+
+    def _shared(self):
+        index, block = self.index, self.block
+        probes = index._probes(block.vectors, self.nprobe)
+        seen, moved = index.quantizer.quantize_queries(block.vectors)
+        spark = index.codes.sparkSession
+        payload = (block.ids, seen, moved, probes, index.quantizer)
+        return spark.sparkContext.broadcast(payload), probes
+
+    def _blocks(self, cut: DataFrame | None = None):
+        queries = self.queries
+        extra = []
+        if cut is not None:
+            queries = queries.join(cut.withColumnRenamed("qid", self.qid), self.qid, "left")
+            extra = ["cut"]
+        return self.index._blocks(queries, self.index.codes, "id", ["code", "err"], self.nprobe,
+                                  self.qid, self.qvec, self.where, extra)
+
+
+def _code_metric(metric: Metric) -> tuple[Metric, float]:
+    """Codes of unit vectors: cosine is one plus the negative inner product."""
+    if metric is Metric.L2:
+        return Metric.L2, 0.0
+    return Metric.IP, 1.0 if metric is Metric.COSINE else 0.0
+
+
+def _cuts(column) -> np.ndarray:
+    values = column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
+    return np.where(np.isnan(values.astype(float)), np.inf, values.astype(float))
+
+
+def _places(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Row numbers of ``wanted`` in ``ids``."""
+    order = np.argsort(ids, kind="stable")
+    return order[np.searchsorted(ids[order], wanted)]
+
+
+def _pairs(found, qids: np.ndarray, ids: np.ndarray, wire: pa.Schema) -> pa.Table:
+    qi, xi = found
+    return pa.table([
+        pa.array(qids[qi].tolist(), wire.field(0).type), pa.array(ids[xi].tolist(), wire.field(1).type)
+    ], schema=wire)
+
+
+def within(metric, seen, moved, cuts, width, x, err, which=None):
+    """(query, row) numbers whose distance may be at most the query's cut.
+
+    A code distance is off by at most the row's error and the query's, scaled for inner
+    products by the other side's length; ``width`` scales that margin.
     """
-    cut = (
-        rank_best(found.select("qid", "id", F.col("upper").alias("distance")), k)
-        .groupBy("qid").agg(F.max("distance").alias("cut"), F.count(F.lit(1)).alias("n"))
-    )
-    alive = found.join(cut, "qid").where(
-        (F.col("n") < k) | (F.col("lower") <= F.col("cut"))
-    ).select("qid", "id")
-    if alive.limit(dense.MAX_BROADCAST_HITS + 1).count() <= dense.MAX_BROADCAST_HITS:
-        alive = F.broadcast(alive)
-    full = vectors.select(F.col(id).alias("id"), F.col(vec).alias("v"))
-    asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
-    exact = alive.join(full, "id").join(asked, "qid").select(
-        "qid", "id", distance(metric, F.col("qv"), F.col("v")).alias("distance")
-    )
-    return rank_best(exact, k)
+    which = np.arange(len(seen)) if which is None else which
+    scored, lift = _code_metric(metric)
+    length = np.sqrt((x * x).sum(axis=1))
+    reach = np.sqrt((seen * seen).sum(axis=1)) + moved
+    step, found = max(1, (1 << 22) // max(1, len(x))), []
+    for start in range(0, len(which), step):
+        rows = which[start:start + step]
+        d = coarse(scored, seen[rows], x) + lift
+        if metric is Metric.L2:
+            margin = err[None, :] + moved[rows][:, None]
+        else:
+            margin = reach[rows][:, None] * err[None, :] + moved[rows][:, None] * length[None, :]
+        slack = 1e-6 * (1.0 + reach[rows])[:, None]
+        qi, xi = np.nonzero(d - width * margin - slack <= cuts[rows][:, None])
+        found.append((rows[qi], xi))
+    if not found:
+        return np.empty(0, int), np.empty(0, int)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def score_pairs(pairs: DataFrame, vectors: DataFrame, block: QueryBlock, metric: Metric,
+                out: T.StructType, k: int | None = None) -> DataFrame:
+    """``qid, id, distance`` of given pairs, each vector read once with all its queries.
+
+    A row's list of queries is bounded by the broadcast query block.
+    """
+    spark = vectors.sparkSession
+    shared, wire = spark.sparkContext.broadcast((block.ids, block.vectors)), arrow_schema(out)
+    lists = pairs.groupBy("id").agg(F.collect_list("qid").alias("qids"))
+    rows = vectors.join(lists, "id").select("id", "v", "qids")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qids, asked = shared.value
+        best = Best(metric, asked, k or 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, x, lists = id_values(batch.column(0)), matrix_of(batch.column(1)), batch.column(2)
+            ri = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+            qi = _places(qids, id_values(lists.flatten()))
+            for start in range(0, len(ri), 1 << 16):
+                q, r = qi[start:start + (1 << 16)], ri[start:start + (1 << 16)]
+                d = dense.precise(metric, asked[q], x[r])
+                if k:
+                    best._merge(q, d, ids[r])
+                else:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(qids[q].tolist(), wire.field(0).type),
+                        pa.array(ids[r].tolist(), wire.field(1).type),
+                        pa.array(d, mask=np.isnan(d)),
+                    ], schema=wire)
+        if k:
+            yield best.batch(qids, wire)
+
+    return rows.mapInArrow(run, out)
+
+
+def score_joined(pairs: DataFrame, vectors: DataFrame, asked: DataFrame, metric: Metric) -> DataFrame:
+    """The same by joins alone, for query tables too large to broadcast."""
+    scored = pairs.join(vectors, "id").join(asked, "qid")
+    return scored.select("qid", "id", distance(metric, F.col("qv"), F.col("v")).alias("distance"))
 
 
 def check_search(nprobe: int | None = None, ef_search: int | None = None,
@@ -495,5 +566,5 @@ def filtered_search(index, queries: DataFrame, k: int, where: Column, mode: str
 
 __all__ = [
     "IvfIndex", "assign_cells", "check_search", "default_cells", "filtered_search",
-    "nearest_cells", "probe_table", "rescore", "train_centroids",
+    "nearest_cells", "probe_table", "score_joined", "score_pairs", "train_centroids",
 ]
