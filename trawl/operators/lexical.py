@@ -5,21 +5,27 @@ total frequency of each term) and ``totals`` (one row).  At rest the postings ar
 hash bucket of the term and sorted by term, so a search reads only the buckets of its terms.
 
 A frequent term owns a large share of the postings.  Postings are therefore never shuffled by term
-alone: the build groups by (term, id), which spreads every term, and the search replicates the
+alone: the build groups the tokens of a document where its row lies, and the search replicates the
 small query side over salts instead of gathering a term in one task.  When all query terms must
 match, only the rarest one generates candidates and the others are looked up for those.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trawl.functions.text import SPLIT_LOWER, Analyzer, string_array
 
 DEFAULT_BUCKETS = 256
+DOCS_PER_FILE = 1_000_000
 SALTS = 16
 # Scores are compared at this many decimals, so equal documents tie whatever the sum order.
 SCORE_DECIMALS = 9
@@ -38,12 +44,44 @@ def build_postings(
 ) -> DataFrame:
     """``term, id, tf, dl[, positions]``: one row per distinct term of each document."""
     tokens = docs.select(F.col(id).alias("id"), analyzer.tokens(F.col(text)).alias("tokens"))
-    rows = tokens.select("id", F.size("tokens").alias("dl"), F.posexplode("tokens").alias("pos", "term"))
-    aggs = [F.count(F.lit(1)).cast("int").alias("tf")]
+    fields = [
+        T.StructField("term", T.StringType()), tokens.schema["id"],
+        T.StructField("tf", T.IntegerType()), T.StructField("dl", T.IntegerType()),
+    ]
     if positions:
-        aggs.append(F.array_sort(F.collect_list("pos")).alias("positions"))
-    out = rows.groupBy("term", "id", "dl").agg(*aggs)
-    return out.select("term", "id", "tf", "dl", *(["positions"] if positions else []))
+        fields.append(T.StructField("positions", T.ArrayType(T.IntegerType())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield group_tokens(batch.column(0), batch.column(1), positions)
+
+    return tokens.where(F.size("tokens") > 0).mapInArrow(run, T.StructType(fields))
+
+
+def group_tokens(ids: pa.Array, tokens: pa.Array, positions: bool) -> pa.RecordBatch:
+    """Group the tokens of each document of a batch: a document is one row, so no shuffle."""
+    sizes = np.diff(tokens.offsets.to_numpy())
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    coded = tokens.flatten().dictionary_encode()
+    term = coded.indices.to_numpy()
+    order = np.lexsort((place, term, row))
+    row, term = row[order], term[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (term[1:] != term[:-1])
+    starts = np.nonzero(fresh)[0]
+    columns = [
+        coded.dictionary.take(pa.array(term[starts])),
+        ids.take(pa.array(row[starts])),
+        pa.array(np.diff(np.append(starts, len(row))), pa.int32()),
+        pa.array(sizes[row[starts]], pa.int32()),
+    ]
+    names = ["term", "id", "tf", "dl"]
+    if positions:
+        bounds = pa.array(np.append(starts, len(row)), pa.int32())
+        columns.append(pa.ListArray.from_arrays(bounds, pa.array(place[order], pa.int32())))
+        names.append("positions")
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -86,14 +124,17 @@ class LexicalIndex:
     def write(self, store) -> "LexicalIndex":
         """Save the index in a ``Folder`` or ``Tables`` store.
 
-        Ranges over (bucket, term, id) give even tasks: a frequent term is cut by id.
+        A bucket is cut by document into as many sorted files as keep any one term below
+        ``DOCS_PER_FILE`` rows in each, however frequent it is.
         """
-        ranged = self.postings.repartitionByRange("bucket", "term", "id")
-        ranged = ranged.sortWithinPartitions("bucket", "term", "id")
-        postings = store.save("postings", ranged, partition="bucket")
+        n_docs = self.totals.select("n_docs").first()[0]
+        cuts = max(1, math.ceil(n_docs / DOCS_PER_FILE))
+        cut = F.pmod(F.xxhash64("id"), F.lit(cuts))
+        sorted_files = self.postings.repartition(F.col("bucket"), cut)
+        sorted_files = sorted_files.sortWithinPartitions("bucket", "term", "id")
+        postings = store.save("postings", sorted_files, partition="bucket")
         terms = store.save("terms", term_stats(postings))
         # Only the document count is taken from the rows; tokens are summed from the terms.
-        n_docs = self.totals.select("n_docs").first()[0]
         n_tokens = terms.agg(F.coalesce(F.sum("ttf"), F.lit(0))).first()[0]
         row = terms.sparkSession.createDataFrame(
             [(n_docs, n_tokens, self.buckets)], "n_docs bigint, n_tokens bigint, buckets int"
@@ -193,10 +234,20 @@ def match_terms(
     if mode not in ("all", "any", "phrase"):
         raise ValueError(f"unknown match mode: {mode}")
     asked = _distinct_terms(tokens)
-    postings = index.pruned(asked)
-    known = asked.join(index.terms, "term")
+    postings, known = index.pruned(asked), asked.join(index.terms, "term")
+    if mode == "phrase" and "positions" not in postings.columns:
+        raise ValueError("phrase queries need an index with positions")
     if mode == "any":
         return _allowed(join_postings(postings, known), keep)
+    hits = _every_term(postings, known, keep)
+    return hits if mode == "all" else _adjacent(hits, tokens)
+
+
+def _every_term(postings: DataFrame, known: DataFrame, keep: DataFrame | None) -> DataFrame:
+    """Rows of the documents holding all ``n_terms`` terms of a query.
+
+    The rarest term of each query proposes documents; the others are only looked up there.
+    """
     rarest = (
         known.groupBy("qid")
         .agg(F.min(F.struct("df", "term")).alias("r"), F.count(F.lit(1)).alias("found"),
@@ -205,14 +256,17 @@ def match_terms(
         .select("qid", F.col("r.term").alias("term"))
     )
     candidates = _allowed(join_postings(postings.select("term", "id"), rarest), keep)
-    hits = candidates.select("qid", "id").join(known, "qid").join(postings, ["id", "term"])
-    if mode == "all":
-        whole = Window.partitionBy("qid", "id")
-        return (
-            hits.withColumn("matched", F.count(F.lit(1)).over(whole))
-            .where(F.col("matched") == F.col("n_terms")).drop("matched")
-        )
-    return _adjacent(hits, tokens)
+    hits = look_up(postings, candidates.select("qid", "id"), known)
+    whole = Window.partitionBy("qid", "id")
+    return (
+        hits.withColumn("matched", F.count(F.lit(1)).over(whole))
+        .where(F.col("matched") == F.col("n_terms")).drop("matched")
+    )
+
+
+def look_up(postings: DataFrame, pairs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Postings of the wanted terms of each query in the given documents only."""
+    return pairs.join(wanted, "qid").join(postings, ["id", "term"])
 
 
 def _adjacent(hits: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -222,16 +276,8 @@ def _adjacent(hits: DataFrame, tokens: DataFrame) -> DataFrame:
         F.collect_list(F.struct("term", "tf", "dl", "df", "ttf")).alias("rows"),
         F.first("n_terms").alias("n_terms"),
     )
-    at = F.col("at")
-    runs = F.exists(
-        F.element_at(at, F.col("tokens").getItem(0)),
-        lambda p: F.forall(
-            F.transform(F.col("tokens"), lambda t, i: F.array_contains(F.element_at(at, t), p + i)),
-            lambda ok: ok,
-        ),
-    )
-    kept = found.where(F.map_keys(at).isNotNull() & (F.size(at) == F.col("n_terms")))
-    return kept.join(tokens, "qid").where(runs).select("qid", "id", "n_terms", F.inline("rows"))
+    kept = found.join(tokens, "qid").where(_run(F.col("at"), F.col("tokens")))
+    return kept.select("qid", "id", "n_terms", F.inline("rows"))
 
 
 def best_scores(scored: DataFrame, k: int | None) -> DataFrame:
@@ -284,33 +330,40 @@ def web_match(index: LexicalIndex, queries: DataFrame, *, qid: str = "qid",
         F.array_distinct(F.coalesce("must_not", none)).alias("must_not"),
         F.coalesce("phrases", F.array().cast("array<array<string>>")).alias("phrases"),
     )
-    positive = F.array_distinct(F.concat("must", "should", F.flatten("phrases")))
-    asked = shape.select("qid", F.explode(positive).alias("term"))
-    with_phrases = "positions" in index.postings.columns
-    known = asked.join(index.terms, "term")
-    hits = _allowed(join_postings(index.pruned(asked), known), keep)
-    rows = ["term", "tf", "dl", "df", "ttf"]
-    found = hits.groupBy("qid", "id").agg(
-        F.collect_list(F.struct(*rows)).alias("rows"),
-        F.map_from_entries(F.collect_list(F.struct(
-            "term", F.col("positions") if with_phrases else F.array().cast("array<int>")
-        ))).alias("at"),
-    ).join(shape, "qid")
-    at, have = F.col("at"), F.map_keys("at")
     required = F.array_union("must", F.flatten("phrases"))
-    ok = F.size(F.array_except(required, have)) == 0
-    ok = ok & ((F.size(required) > 0) | F.arrays_overlap("should", have))
-    ok = ok & F.forall("phrases", lambda words: F.exists(
-        F.element_at(at, F.get(words, F.lit(0))),
-        lambda p: F.forall(
-            F.transform(words, lambda t, i: F.array_contains(F.element_at(at, t), p + i)),
-            lambda hit: hit,
-        ),
-    ))
-    kept = found.where(ok).select("qid", "id", F.inline("rows"))
+    shape = shape.withColumn("required", required)
+    every = F.array_distinct(F.concat("required", "should", "must_not"))
+    postings = index.pruned(shape.select(F.explode(every).alias("term")))
+
+    needed = shape.select("qid", F.size("required").alias("n_terms"), F.explode("required").alias("term"))
+    full = _every_term(postings, needed.join(index.terms, "term"), keep)
+    if "positions" in postings.columns:
+        full = _with_phrases(full, shape)
+    loose = shape.where(F.size("required") == 0).select("qid", F.explode("should").alias("term"))
+    loose = _allowed(join_postings(postings.select("term", "id"), loose), keep)
+    found = full.select("qid", "id").unionByName(loose.select("qid", "id")).distinct()
+
     banned = shape.select("qid", F.explode("must_not").alias("term"))
-    excluded = join_postings(index.pruned(banned).select("term", "id"), banned)
-    return kept.join(excluded.select("qid", "id"), ["qid", "id"], "left_anti")
+    excluded = look_up(postings.select("term", "id"), found, banned).select("qid", "id")
+    found = found.join(excluded, ["qid", "id"], "left_anti")
+    wanted = shape.select("qid", F.explode(F.array_union("required", "should")).alias("term"))
+    return look_up(postings, found, wanted.join(index.terms, "term"))
+
+
+def _with_phrases(hits: DataFrame, shape: DataFrame) -> DataFrame:
+    """Keep documents in which every phrase of the query stands word by word."""
+    at = F.map_from_entries(F.collect_list(F.struct("term", "positions")))
+    found = hits.groupBy("qid", "id").agg(at.alias("at")).join(shape.select("qid", "phrases"), "qid")
+    return found.where(F.forall("phrases", lambda words: _run(F.col("at"), words)))
+
+
+def _run(at: Column, words: Column) -> Column:
+    """Whether the words stand next to each other, given the positions of each term."""
+    def follows(p: Column) -> Column:
+        hits = F.transform(words, lambda t, i: F.array_contains(F.element_at(at, t), p + i))
+        return F.forall(hits, lambda hit: hit)
+
+    return F.exists(F.element_at(at, F.get(words, F.lit(0))), follows)
 
 
 def expression_terms(expr) -> set[str]:
