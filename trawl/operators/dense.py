@@ -100,6 +100,8 @@ class Best:
         """Score rows ``x`` against the queries ``which`` (default: all)."""
         if not len(x) or not len(self.queries):
             return
+        if x.shape[1] != self.queries.shape[1]:
+            raise ValueError("vectors and queries must be of one length")
         which = np.arange(len(self.queries)) if which is None else which
         slack = self._slack(x)
         step = max(1, _PRODUCT_CELLS // max(1, len(x)))
