@@ -29,7 +29,6 @@ FILTER_MODES = ("auto", "scan", "walk", "prune", "twohop", "bridge")
 COLUMN_FILTERS = ("auto", "fold", "read")
 
 ENTRY_CELLS = 8
-MAX_ROUNDS = 64
 
 
 def check_graph(m: int, ef_construction: int) -> None:
@@ -103,14 +102,12 @@ class GraphIndex:
             vectors = decode_table(self.ivf.codes, self.ivf.quantizer)
             vectors = vectors.withColumnRenamed("embedding", "v")
         block = small_queries(queries, qid, qvec)
-        seen = self._walk(asked, vectors, ef, block)
+        allowed = None
         if where is not None:
             allowed = self.cells.where(where).select(F.col(self.id).alias("id"))
-            seen = seen.join(allowed, "id", "left_semi")
-        hits = seen.select("qid", "id", "distance")
+        hits = self._walk(asked, vectors, ef, block, allowed)
         if coded and rescore_width != 0:
-            wide = rank_best(hits, ef).select("qid", "id")
-            hits = self._score(wide, asked, exact, block)
+            hits = self._score(hits.select("qid", "id"), asked, exact, block)
         return rank_best(hits, k)
 
     def _score(self, pairs: DataFrame, asked: DataFrame, vectors: DataFrame, block) -> DataFrame:
@@ -123,30 +120,45 @@ class GraphIndex:
         ])
         return score_pairs(pairs, vectors, block, self.metric, out)
 
-    def _walk(self, asked: DataFrame, vectors: DataFrame, ef: int, block) -> DataFrame:
-        """All rows scored on the way: ``qid, id, distance, open``."""
+    def _walk(self, asked: DataFrame, vectors: DataFrame, ef: int, block,
+              allowed: DataFrame | None) -> DataFrame:
+        """The best ``ef`` rows per query the walk meets: ``qid, id, distance``.
+
+        The state is the beam, never more than ``ef`` rows per query.  A row that left it may
+        be met and scored again, but cannot return, as the beam only improves.  Under a filter
+        the best ``ef`` allowed rows are kept beside it.
+        """
         probes = probe_table(asked, self.ivf.centroids, ENTRY_CELLS, self.metric)
         first = probes.join(self.entries, "cell").select("qid", "id").distinct()
-        seen = self._score(first, asked, vectors, block).withColumn("open", F.lit(True))
-        seen = cut_lineage(seen)
-        order = Window.partitionBy("qid").orderBy(F.col("distance").asc_nulls_last(), "id")
-        for _ in range(MAX_ROUNDS):
-            beam = seen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ef)
-            frontier = cut_lineage(beam.where("open").select("qid", "id"))
-            if frontier.isEmpty():
-                break
+        fresh = self._score(first, asked, vectors, block)
+        beam = cut_lineage(fresh.withColumn("open", F.lit(True)))
+        found = None if allowed is None else self._keep(beam, None, allowed, ef)
+        # Every round that opens a row improves some beam, so the walk ends by itself.
+        while not (frontier := beam.where("open").select("qid", "id")).isEmpty():
             reached = (
                 frontier.join(self.edges, "id")
                 .select("qid", F.explode("neighbours").alias("id")).distinct()
-                .join(seen.select("qid", "id"), ["qid", "id"], "left_anti")
+                .join(beam.select("qid", "id"), ["qid", "id"], "left_anti")
             )
             fresh = self._score(reached, asked, vectors, block).withColumn("open", F.lit(True))
-            done = frontier.withColumn("done", F.lit(True))
-            old = seen.join(done, ["qid", "id"], "left").select(
-                "qid", "id", "distance", (F.col("open") & F.col("done").isNull()).alias("open")
-            )
-            seen = cut_lineage(old.unionByName(fresh))
-        return seen
+            if allowed is not None:
+                fresh = cut_lineage(fresh)
+                found = self._keep(fresh, found, allowed, ef)
+            beam = cut_lineage(_best_rows(beam.withColumn("open", F.lit(False)).unionByName(fresh), ef))
+        return beam.drop("open") if found is None else found
+
+    @staticmethod
+    def _keep(fresh: DataFrame, found: DataFrame | None, allowed: DataFrame, ef: int) -> DataFrame:
+        passing = fresh.select("qid", "id", "distance").join(allowed, "id", "left_semi")
+        passing = passing.select("qid", "id", "distance")
+        if found is not None:
+            passing = found.unionByName(passing).distinct()
+        return cut_lineage(_best_rows(passing, ef))
+
+
+def _best_rows(rows: DataFrame, n: int) -> DataFrame:
+    order = Window.partitionBy("qid").orderBy(F.col("distance").asc_nulls_last(), "id")
+    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).drop("place")
 
 
 def neighbour_edges(ivf: IvfIndex, m: int, ef_construction: int) -> DataFrame:
