@@ -297,7 +297,9 @@ def test_index_tables(index):
     assert (row["tf"], row["dl"], row["positions"]) == (2, 6, [1, 5])
 
 
-def test_modes(spark, index):
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_modes(spark, index, limit, monkeypatch):
+    monkeypatch.setattr("trawl.operators.lexical.MAX_BROADCAST_TERMS", limit)
     queries = asked(spark, "brown the", "fox nothing", "the dog", "", "fox the")
     def found(mode):
         return {(r["qid"], r["id"]) for r in lexical_topk(index, queries, 10, mode=mode).collect()}
@@ -325,7 +327,16 @@ def test_keep_restricts_documents(spark, index):
     assert {(r["qid"], r["id"]) for r in rows} == {(0, 0), (1, 2)}
 
 
-def test_web_queries(spark, index):
+def test_small_query_tables_do_not_move_postings(spark, index):
+    found = lexical_topk(index, asked(spark, "fox the"), 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "positions" not in line]
+    assert scans and "Exchange hashpartitioning(term" not in plan
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_web_queries(spark, index, limit, monkeypatch):
+    monkeypatch.setattr("trawl.operators.lexical.MAX_BROADCAST_TERMS", limit)
     rows = [
         (0, ["the"], ["fox"], ["lazy"], []),
         (1, [], ["lazy", "quantum"], None, None),

@@ -27,6 +27,7 @@ from trawl.functions.text import SPLIT_LOWER, Analyzer, string_array
 DEFAULT_BUCKETS = 256
 DOCS_PER_FILE = 1_000_000
 SALTS = 16
+MAX_BROADCAST_TERMS = 500_000
 # Scores are compared at this many decimals, so equal documents tie whatever the sum order.
 SCORE_DECIMALS = 9
 
@@ -65,7 +66,8 @@ def group_tokens(ids: pa.Array, tokens: pa.Array, positions: bool) -> pa.RecordB
     place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     coded = tokens.flatten().dictionary_encode()
     term = coded.indices.to_numpy()
-    order = np.lexsort((place, term, row))
+    # Stable, so the places of a term stay in order.
+    order = np.argsort(row * np.int64(len(coded.dictionary)) + term, kind="stable")
     row, term = row[order], term[order]
     fresh = np.ones(len(row), bool)
     fresh[1:] = (row[1:] != row[:-1]) | (term[1:] != term[:-1])
@@ -209,8 +211,19 @@ def _distinct_terms(tokens: DataFrame) -> DataFrame:
     return terms.select("qid", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
 
 
-def join_postings(postings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Postings of the wanted terms; a frequent term is met in ``SALTS`` places at once."""
+def _is_small(rows: DataFrame) -> bool:
+    """Whether a query-side table may be broadcast."""
+    return rows.limit(MAX_BROADCAST_TERMS + 1).count() <= MAX_BROADCAST_TERMS
+
+
+def join_postings(postings: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
+    """Postings of the wanted terms.
+
+    A small query side is broadcast and the postings stay in place.  Otherwise it is repeated
+    over salts, so that a frequent term is met in ``SALTS`` places at once.
+    """
+    if small:
+        return postings.join(F.broadcast(wanted), "term")
     salted = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
     return postings.withColumn("salt", salt).join(salted, ["term", "salt"]).drop("salt")
@@ -234,29 +247,34 @@ def match_terms(
     if mode not in ("all", "any", "phrase"):
         raise ValueError(f"unknown match mode: {mode}")
     asked = _distinct_terms(tokens)
+    small = _is_small(asked)
     postings, known = index.pruned(asked), asked.join(index.terms, "term")
     if mode == "phrase" and "positions" not in postings.columns:
         raise ValueError("phrase queries need an index with positions")
     if mode == "any":
-        return _allowed(join_postings(postings, known), keep)
-    hits = _every_term(postings, known, keep)
+        return _allowed(join_postings(postings, known, small), keep)
+    hits = _every_term(postings, known, keep, small)
     return hits if mode == "all" else _adjacent(hits, tokens)
 
 
-def _every_term(postings: DataFrame, known: DataFrame, keep: DataFrame | None) -> DataFrame:
+def _every_term(postings: DataFrame, known: DataFrame, keep: DataFrame | None,
+                small: bool) -> DataFrame:
     """Rows of the documents holding all ``n_terms`` terms of a query.
 
     The rarest term of each query proposes documents; the others are only looked up there.
+    How many that can be is known from the document frequencies, before any posting is read.
     """
     rarest = (
         known.groupBy("qid")
         .agg(F.min(F.struct("df", "term")).alias("r"), F.count(F.lit(1)).alias("found"),
              F.first("n_terms").alias("n_terms"))
         .where(F.col("found") == F.col("n_terms"))
-        .select("qid", F.col("r.term").alias("term"))
     )
-    candidates = _allowed(join_postings(postings.select("term", "id"), rarest), keep)
-    hits = look_up(postings, candidates.select("qid", "id"), known)
+    most = rarest.agg(F.sum(F.col("r.df") * F.col("n_terms"))).first()[0] or 0
+    rarest = rarest.select("qid", F.col("r.term").alias("term"))
+    candidates = _allowed(join_postings(postings.select("term", "id"), rarest, small), keep)
+    hits = look_up(postings, candidates.select("qid", "id"), known, small,
+                   few_pairs=most <= MAX_BROADCAST_TERMS)
     whole = Window.partitionBy("qid", "id")
     return (
         hits.withColumn("matched", F.count(F.lit(1)).over(whole))
@@ -264,9 +282,11 @@ def _every_term(postings: DataFrame, known: DataFrame, keep: DataFrame | None) -
     )
 
 
-def look_up(postings: DataFrame, pairs: DataFrame, wanted: DataFrame) -> DataFrame:
+def look_up(postings: DataFrame, pairs: DataFrame, wanted: DataFrame, small: bool,
+            few_pairs: bool = False) -> DataFrame:
     """Postings of the wanted terms of each query in the given documents only."""
-    return pairs.join(wanted, "qid").join(postings, ["id", "term"])
+    asked = pairs.join(F.broadcast(wanted) if small else wanted, "qid")
+    return postings.join(F.broadcast(asked) if few_pairs else asked, ["id", "term"])
 
 
 def _adjacent(hits: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -336,18 +356,19 @@ def web_match(index: LexicalIndex, queries: DataFrame, *, qid: str = "qid",
     postings = index.pruned(shape.select(F.explode(every).alias("term")))
 
     needed = shape.select("qid", F.size("required").alias("n_terms"), F.explode("required").alias("term"))
-    full = _every_term(postings, needed.join(index.terms, "term"), keep)
+    small = _is_small(shape.select(F.explode(F.concat("required", "should", "must_not"))))
+    full = _every_term(postings, needed.join(index.terms, "term"), keep, small)
     if "positions" in postings.columns:
         full = _with_phrases(full, shape)
     loose = shape.where(F.size("required") == 0).select("qid", F.explode("should").alias("term"))
-    loose = _allowed(join_postings(postings.select("term", "id"), loose), keep)
+    loose = _allowed(join_postings(postings.select("term", "id"), loose, small), keep)
     found = full.select("qid", "id").unionByName(loose.select("qid", "id")).distinct()
 
     banned = shape.select("qid", F.explode("must_not").alias("term"))
-    excluded = look_up(postings.select("term", "id"), found, banned).select("qid", "id")
+    excluded = look_up(postings.select("term", "id"), found, banned, small).select("qid", "id")
     found = found.join(excluded, ["qid", "id"], "left_anti")
     wanted = shape.select("qid", F.explode(F.array_union("required", "should")).alias("term"))
-    return look_up(postings, found, wanted.join(index.terms, "term"))
+    return look_up(postings, found, wanted.join(index.terms, "term"), small)
 
 
 def _with_phrases(hits: DataFrame, shape: DataFrame) -> DataFrame:
