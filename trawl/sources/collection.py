@@ -11,8 +11,9 @@ dropping is ``DROP TABLE``:
 
 A write appends to the log and touches nothing else.  The current rows are the published ones whose
 id is not in the log, plus the last logged row of each id, so only the log is ever deduplicated.
-``refresh`` writes that view as the next version, derives index entries for the changed ids only,
-and then appends the state row which makes the version visible.  Exact search sees every write;
+With an index, ``refresh`` writes that view as the next version, derives index entries for the
+changed ids only, and then appends the state row which makes the version visible; without one, the
+log is folded in by ``compact`` or once it holds many writes.  Exact search sees every write;
 index search sees published ones.
 """
 
@@ -47,6 +48,7 @@ STATE = "version int, upto bigint, index string, text_index boolean, trained big
 STREAMS = "stream string, batch bigint, seq bigint"
 RETRAIN_GROWTH = 4
 KEEP_VERSIONS = 2
+MAX_LOG_WRITES = 32
 
 
 @dataclass
@@ -179,10 +181,19 @@ class Collection:
         key = self.schema.id_column
         base = self.spark.table(self._name(f"rows_{state.version}"))
         latest = self._latest(state)
-        stored = [c for c in base.columns if not c.startswith("json__")]
-        kept = base.select(*stored).join(latest.select(key), key, "left_anti")
-        fresh = latest.where(F.col("_op") == "upsert")
-        return self.schema.promote(kept.unionByName(fresh.select(*stored)))
+        kept = base.join(latest.select(key), key, "left_anti")
+        fresh = latest.where(F.col("_op") == "upsert").drop("_op", "_pos", "seq")
+        promoted = {f.physical for f in self._json_fields()}
+        plain = [c for c in base.columns if not c.startswith("json__")]
+        if promoted <= set(base.columns):
+            # Promoted fields are stored, and filters on them reach the scan.
+            columns = [*plain, *sorted(promoted)]
+            return kept.select(*columns).unionByName(self.schema.promote(fresh).select(*columns))
+        return self.schema.promote(kept.select(*plain).unionByName(fresh.select(*plain)))
+
+    def _json_fields(self):
+        index = self.schema.metadata_index
+        return index.json_fields if index else ()
 
     # -- writes ---------------------------------------------------------------------------
 
@@ -365,7 +376,20 @@ class Collection:
         self._advance(replace(state, index=None, text_index=False, trained=0))
 
     def refresh(self) -> None:
-        """Publish the writes since the last version, so that index search sees them."""
+        """Publish the writes since the last version, so that index search sees them.
+
+        Without an index there is nothing to publish to: exact search sees the log, which is
+        folded into the rows only once it holds many writes.
+        """
+        state = self.state()
+        if state.index is None and not state.text_index:
+            writes = self._log(state.upto).select("seq").distinct().limit(MAX_LOG_WRITES).count()
+            if writes < MAX_LOG_WRITES:
+                return
+        self._advance(state)
+
+    def compact(self) -> None:
+        """Fold the log into a new version of the rows."""
         self._advance(self.state())
 
     def _advance(self, state: State) -> None:
