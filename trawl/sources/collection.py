@@ -49,6 +49,7 @@ STREAMS = "stream string, batch bigint, seq bigint"
 RETRAIN_GROWTH = 4
 KEEP_VERSIONS = 2
 MAX_LOG_WRITES = 32
+MAX_PUSHED_IDS = 1000
 
 
 @dataclass
@@ -335,7 +336,11 @@ class Collection:
 
     def get_by_ids(self, ids: Sequence | DataFrame) -> DataFrame:
         """Documents of the requested ids in request order; missing ids are skipped."""
-        rows = mutate.get_by_ids(self.rows(), self._id_frame(ids), self.schema.id_column)
+        rows, key = self.rows(), self.schema.id_column
+        if not isinstance(ids, DataFrame) and len(ids) <= MAX_PUSHED_IDS:
+            dtype = rows.schema[key].dataType
+            rows = rows.where(F.col(key).isin([F.lit(str(i)).cast(dtype) for i in ids]))
+        rows = mutate.get_by_ids(rows, self._id_frame(ids), key)
         return mutate.to_documents(rows, self.schema, ["pos"]).orderBy("pos").drop("pos")
 
     # -- index ----------------------------------------------------------------------------
@@ -404,7 +409,7 @@ class Collection:
         rows = self._current(before)
         store = Tables(self.spark, self._name(""))
         # The log may grow meanwhile; rows up to ``upto`` belong to this version.
-        stored = store.save(f"rows_{version}", rows)
+        stored = store.save(f"rows_{version}", rows, options=self._bloom_filters(rows))
         dirty = pending.where(F.col("seq") <= upto).select(key).distinct() if changed else None
         state = replace(state, version=version, upto=before.upto if upto is None else upto)
         if state.text_index:
@@ -414,6 +419,16 @@ class Collection:
         self._publish(state)
         self._drop_tables(lambda part: self._stale(part, version))
 
+    def _bloom_filters(self, rows: DataFrame) -> dict[str, str]:
+        """Parquet Bloom filters on the id and the indexed columns, for equality filters."""
+        wanted = [self.schema.id_column, *self.schema.indexed_columns(),
+                  *(f.physical for f in self._json_fields())]
+        kinds = (T.StringType, T.IntegerType, T.LongType)
+        return {
+            f"parquet.bloom.filter.enabled#{c}": "true"
+            for c in wanted if isinstance(rows.schema[c].dataType, kinds)
+        }
+
     @staticmethod
     def _stale(part: str, version: int) -> bool:
         """Tables of versions no reader should still be on."""

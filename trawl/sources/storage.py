@@ -32,8 +32,9 @@ class Tables:
     spark: SparkSession
     prefix: str
 
-    def save(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
-        writer = df.write.mode("overwrite").format("parquet")
+    def save(self, name: str, df: DataFrame, partition: str | None = None,
+             options: dict[str, str] | None = None) -> DataFrame:
+        writer = df.write.mode("overwrite").format("parquet").options(**(options or {}))
         writer = writer.partitionBy(partition) if partition else writer
         writer.saveAsTable(self.prefix + name)
         return self.load(name)
