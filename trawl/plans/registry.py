@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from trawl.plans import approximate, dense, filters, lexical, mutation
+from trawl.session import ship_package
 
 FAMILIES = (dense, filters, lexical, mutation, approximate)
 
@@ -10,10 +13,20 @@ FAMILIES = (dense, filters, lexical, mutation, approximate)
 def all_queries():
     out = {}
     for family in FAMILIES:
-        out.update(family.QUERIES)
+        out.update({name: _shipped(run) for name, run in family.QUERIES.items()})
     return out
 
 
+def _shipped(run):
+    """Run a query with the package's code available on the workers."""
+    @wraps(run)
+    def query(spark, sf):
+        ship_package(spark)
+        return run(spark, sf)
+
+    return query
+
+
 def all_oracles():
     out = {}
     for family in FAMILIES:

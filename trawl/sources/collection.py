@@ -38,7 +38,7 @@ from trawl.operators.ivf import IvfIndex, filtered_search
 from trawl.operators.lexical import LexicalIndex, build_postings
 from trawl.operators.mmr import mmr
 from trawl.schema import CollectionSchema, MetadataIndex, Metric
-from trawl.session import cut_lineage
+from trawl.session import cut_lineage, ship_package
 from trawl.sources.options import (
     GraphOptions, GraphQuery, IvfOptions, IvfQuery, TextIndexOptions, check_query_type,
 )
@@ -84,6 +84,7 @@ class Collection:
                  hybrid: HybridConfig | None = None,
                  query_options: IvfQuery | GraphQuery | None = None,
                  sync_load: bool = True) -> None:
+        ship_package(spark)
         self.spark, self.name, self.schema, self.database = spark, name, schema, database
         self.embedder, self.hybrid, self.query_options = embedder, hybrid, query_options
         self.sync_load = sync_load
