@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from check_queries import compare
 from conftest import SF
+from trawl.plans import all_oracles, all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 def test_every_oracle_has_a_query():
@@ -14,6 +15,11 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) - set(ORACLES) == {"graph_walk", "ivf_recall", "quant_recall"}
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 

@@ -13,11 +13,11 @@ FAMILIES = (dense, filters, lexical, mutation, approximate)
 def all_queries():
     out = {}
     for family in FAMILIES:
-        out.update({name: _shipped(run) for name, run in family.QUERIES.items()})
+        out.update({name: shipped(run) for name, run in family.QUERIES.items()})
     return out
 
 
-def _shipped(run):
+def shipped(run):
     """Run a query with the package's code available on the workers."""
     @wraps(run)
     def query(spark, sf):
