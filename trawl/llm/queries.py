@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm.common import id_remainder, table
+from trawl.llm.common import id_remainder, labelled_sample, table
 from trawl.llm.langid import LanguageModel, identify
+from trawl.llm.packing import pack
+from trawl.llm.quality import SAMPLE_ROWS, fit_quality, score_quality
 from trawl.llm.sharding import assign_shards
 from trawl.llm.url_rules import glob_rule, host_rule, judge_urls
 from trawl.plans.registry import shipped
@@ -33,13 +35,33 @@ def op3_language_id(spark, sf):
     return found.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_additive_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    sample = labelled_sample(table(spark, sf, "labels"), "quality", 3, 1, SAMPLE_ROWS)
+    scored = score_quality(docs, fit_quality(docs, sample))
+    return scored.select("doc_id", F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+                         "score", "predicted")
+
+
 def op7_byte_shards(spark, sf):
     placed = assign_shards(table(spark, sf, "documents"), 40)
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"),
                          "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op2_url_rules, op3_language_id, op7_byte_shards)}
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed public tokenizers keep a file; another path may be given to the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_best_fit_packing(spark, sf):
+    return pack(table(spark, sf, "documents"), tokenizer_file())
+
+
+QUERIES = {f.__name__: shipped(f) for f in (
+    op2_url_rules, op3_language_id, op6_additive_quality, op7_byte_shards, op8_best_fit_packing)}
 
 _PATTERN_SQL = " ".join(
     f"WHEN regexp_matches(target, '{r.regex.replace(chr(92) + 'z', '$')}') THEN '{r.name}'"
