@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trawl.llm import toxicity
+from trawl.llm.ann import projected_neighbours
 from trawl.llm.common import id_remainder, labelled_sample, table
 from trawl.llm.langid import LanguageModel, identify
 from trawl.llm.packing import pack
@@ -22,6 +24,11 @@ URL_RULES = [
 ]
 
 
+def op1_projected_neighbours(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return projected_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op2_url_rules(spark, sf):
     judged = judge_urls(table(spark, sf, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -60,8 +67,17 @@ def op8_best_fit_packing(spark, sf):
     return pack(table(spark, sf, "documents"), tokenizer_file())
 
 
+def op10_clause_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    sample = labelled_sample(table(spark, sf, "labels"), "toxic", 4, 2, toxicity.SAMPLE_ROWS)
+    scored = toxicity.score_toxicity(docs, toxicity.ToxicityModel.fit(docs, sample))
+    return scored.select("doc_id", F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+                         "score", "predicted", "clauses", "strongest")
+
+
 QUERIES = {f.__name__: shipped(f) for f in (
-    op2_url_rules, op3_language_id, op6_additive_quality, op7_byte_shards, op8_best_fit_packing)}
+    op1_projected_neighbours, op2_url_rules, op3_language_id, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
+    op10_clause_toxicity)}
 
 _PATTERN_SQL = " ".join(
     f"WHEN regexp_matches(target, '{r.regex.replace(chr(92) + 'z', '$')}') THEN '{r.name}'"
