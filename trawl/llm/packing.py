@@ -33,7 +33,7 @@ FILLINGS, EXTENSIONS, STEPS = 8, 256, 50_000
 
 
 @functools.cache
-def _encoder(path: str):
+def text_encoder(path: str):
     """The byte-level BPE of a ``tokenizers`` file; its vocabulary also serves tiktoken's faster
     implementation, which is used where both agree on a probe text."""
     from tokenizers import Tokenizer
@@ -81,7 +81,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFram
                         ("nth", pa.int64())])
 
     def run(batches):
-        encode, seen = _encoder(tokenizer), {}
+        encode, seen = text_encoder(tokenizer), {}
         part = TaskContext.get().partitionId()
         for batch in batches:
             rows = []

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from trawl.llm import toxicity
 from trawl.llm.ann import projected_neighbours
 from trawl.llm.common import id_remainder, labelled_sample, table
+from trawl.llm.decontaminate import find_leaks
 from trawl.llm.langid import LanguageModel, identify
 from trawl.llm.packing import pack
 from trawl.llm.quality import SAMPLE_ROWS, fit_quality, score_quality
+from trawl.llm.rollup import TokenRollup, count_tokens
 from trawl.llm.sharding import assign_shards
 from trawl.llm.url_rules import glob_rule, host_rule, judge_urls
 from trawl.plans.registry import shipped
+from trawl.session import scratch_path
 
 URL_RULES = [
     host_rule("block", "net/"), host_rule("allow", "example.net/en/"),
@@ -42,6 +47,10 @@ def op3_language_id(spark, sf):
     return found.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op5_benchmark_leaks(spark, sf):
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op6_additive_quality(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     sample = labelled_sample(table(spark, sf, "labels"), "quality", 3, 1, SAMPLE_ROWS)
@@ -67,6 +76,24 @@ def op8_best_fit_packing(spark, sf):
     return pack(table(spark, sf, "documents"), tokenizer_file())
 
 
+def op9_token_rollup(spark, sf):
+    """Loads every document, loads it again to no effect, and takes exact copies out again."""
+    docs = table(spark, sf, "documents")
+    counted = count_tokens(docs.select("doc_id", "source", "lang", "text"), tokenizer_file()).select(
+        F.lit("insert").alias("op"), "doc_id", "source", "lang", F.lit("byte_bpe_50k").alias("version"),
+        "tokens", F.octet_length("text").alias("bytes"))
+    rollup = TokenRollup(spark, scratch_path(spark, f"rollup-{uuid.uuid4().hex}"))
+    rollup.apply("load", counted)
+    rollup.apply("load", counted)
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.md5(F.encode("text", "UTF-8")).alias("digest"))
+    first = texts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    rollup.apply("copies", texts.join(first, "digest").where("doc_id > first").select(
+        F.lit("delete").alias("op"), "doc_id", F.lit("byte_bpe_50k").alias("version"),
+        *(F.lit(None).cast("string").alias(c) for c in ("source", "lang")),
+        *(F.lit(0).alias(c) for c in ("tokens", "bytes"))))
+    return rollup.totals()
+
+
 def op10_clause_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     sample = labelled_sample(table(spark, sf, "labels"), "toxic", 4, 2, toxicity.SAMPLE_ROWS)
@@ -76,8 +103,8 @@ def op10_clause_toxicity(spark, sf):
 
 
 QUERIES = {f.__name__: shipped(f) for f in (
-    op1_projected_neighbours, op2_url_rules, op3_language_id, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
-    op10_clause_toxicity)}
+    op1_projected_neighbours, op2_url_rules, op3_language_id, op5_benchmark_leaks, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
+    op9_token_rollup, op10_clause_toxicity)}
 
 _PATTERN_SQL = " ".join(
     f"WHEN regexp_matches(target, '{r.regex.replace(chr(92) + 'z', '$')}') THEN '{r.name}'"
