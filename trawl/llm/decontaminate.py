@@ -31,12 +31,11 @@ SLICE = 1 << 21
 #: Words in more than this share of the documents count for nothing in cosines and subsequences.
 COMMON = 0.1
 
-_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _DROP = b".,;:!?\"'()[]{}"
 
 
 def _split(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_FOLD, _DROP).split()
+    return text.lower().encode("utf-8", "surrogatepass").translate(None, _DROP).split()
 
 
 def text_slices(text: str | None, carry: int = 0) -> Iterator[tuple[int, list[bytes]]]:
@@ -112,7 +111,7 @@ def passages(items: DataFrame, idf: np.ndarray, text: str = "text") -> DataFrame
         cut, "item_id long, passage int, words array<binary>, item_words long")
 
 
-def latent_blocks(cut: DataFrame, idf: np.ndarray, blocks: int) -> DataFrame:
+def latent_blocks(cut: DataFrame, idf: np.ndarray) -> DataFrame:
     """Per block the word buckets' latent vectors, and per passage its unit latent vector."""
 
     def factor(rows: pd.DataFrame) -> pd.DataFrame:
@@ -135,7 +134,6 @@ def latent_blocks(cut: DataFrame, idf: np.ndarray, blocks: int) -> DataFrame:
             "vector": [*latent.astype(np.float32).tolist(), *basis.astype(np.float32).tolist()]}).astype(
                 {"bucket": "Int32", "item_id": "Int64", "passage": "Int32", "item_words": "Int64"})
 
-    # A passage's place among all, in a fixed order, deals the blocks evenly.
     return cut.groupBy("block").applyInPandas(
         factor, "block int, bucket int, item_id long, passage int, words array<binary>, item_words long, "
                 "vector array<float>")
@@ -268,7 +266,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.3, overl
            "overlap double, answer double, first_word long, last_word long")
     cut = passages(items, idf)
     blocks = max(1, -(-cut.count() // (BLOCK_PASSAGES * 3 // 4)))
-    # By hash a block gets three quarters of its dimensions on average; its rank is never over them.
+    # By hash, a block gets three quarters of the passages that it has dimensions for.
     cut = cut.withColumn("block", F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks)).cast("int"))
 
     def scanner(shared):
@@ -284,7 +282,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.3, overl
     hits = spark.createDataFrame([], ddl)
     for start in range(0, blocks, WAVE_BLOCKS):
         wave = latent_blocks(cut.where((F.col("block") >= start) & (F.col("block") < start + WAVE_BLOCKS)),
-                             idf, blocks).toArrow()  # WAVE_BLOCKS x 256 passages of 64 words at most
+                             idf).toArrow()  # WAVE_BLOCKS x 256 passages of 64 words at most
         if wave.num_rows:
             finder = spark.sparkContext.broadcast(LeakFinder(wave, idf, similarity, overlap))
             hits = hits.unionAll(rows.mapInArrow(scanner(finder), ddl))
