@@ -11,6 +11,7 @@ from trawl.llm.ann import projected_neighbours
 from trawl.llm.common import id_remainder, labelled_sample, table
 from trawl.llm.decontaminate import find_leaks
 from trawl.llm.langid import LanguageModel, identify
+from trawl.llm.ngram_join import near_duplicates
 from trawl.llm.packing import pack
 from trawl.llm.quality import SAMPLE_ROWS, fit_quality, score_quality
 from trawl.llm.rollup import TokenRollup, count_tokens
@@ -47,6 +48,10 @@ def op3_language_id(spark, sf):
     return found.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op4_ngram_jaccard_join(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"))
+
+
 def op5_benchmark_leaks(spark, sf):
     return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -103,7 +108,7 @@ def op10_clause_toxicity(spark, sf):
 
 
 QUERIES = {f.__name__: shipped(f) for f in (
-    op1_projected_neighbours, op2_url_rules, op3_language_id, op5_benchmark_leaks, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
+    op1_projected_neighbours, op2_url_rules, op3_language_id, op4_ngram_jaccard_join, op5_benchmark_leaks, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
     op9_token_rollup, op10_clause_toxicity)}
 
 _PATTERN_SQL = " ".join(
