@@ -27,8 +27,8 @@ from trawl.llm.common import batch_of, texts_of
 SAMPLE_ROWS = 10_000
 #: Toxic texts of the sample that a learned word or word beginning must occur in.
 LEAST_TEXTS = 5
-#: Share of the sampled texts holding it that must be toxic.
-LEAST_PRECISION = 0.7
+#: Share of the sampled texts holding it that are toxic, for an insult and for a weak sign of one.
+PRECISION, WEAK_PRECISION = 0.7, 0.35
 
 # Common words of each class in English, French, German and Spanish.
 INSULTS = ("idiot idiots moron morons stupid dumb imbecile loser losers scum trash worthless pathetic "
@@ -41,11 +41,13 @@ NEGATIONS = "not never no isn aren wasn don doesn won cannot pas jamais nicht ni
 REPORTS = ("said says say wrote writes called calls claimed claims quoted quote reported alleged "
            "dit disait écrit sagte sagt schrieb dijo dice escribió").split()
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITPNRo"
+INSULT, WEAK, THREAT, TARGET, NEGATION, REPORT, OTHER = "IWTPNRo"
 #: What the composed machine puts out for a clause: events, each with a weight.
-EVENTS = ("insult", "aimed_insult", "threat", "quoted", "negated")
+EVENTS = ("insult", "aimed_insult", "threat", "quoted", "negated", "weak")
 #: The weights before any label is seen.
-PRIOR = (2.5, 3.5, 3.5, 0.5, 0.5)
+PRIOR = (2.5, 3.5, 3.5, 0.5, 0.5, 1.0)
+#: One over the variance that weights may have around them.
+PRIOR_WEIGHT = 0.1
 
 
 class Transducer:
@@ -98,12 +100,13 @@ def grammar() -> Transducer:
         ("", TARGET): ("P", ""), ("", INSULT): ("I", "i"), ("", THREAT): ("T", ""),
         ("P", INSULT): ("P", "a"), ("P", THREAT): ("P", "t"),
         ("I", TARGET): ("P", "a"), ("I", INSULT): ("I", "i"), ("I", THREAT): ("T", ""),
-        ("T", TARGET): ("P", "t"), ("T", INSULT): ("T", "i"), ("T", THREAT): ("T", "")}, start="")
-    symbols = INSULT + THREAT + TARGET + NEGATION + REPORT + OTHER
+        ("T", TARGET): ("P", "t"), ("T", INSULT): ("T", "i"), ("T", THREAT): ("T", ""),
+        **{(s, WEAK): (s, "w") for s in ("", "P", "I", "T")}}, start="")
+    symbols = INSULT + WEAK + THREAT + TARGET + NEGATION + REPORT + OTHER
     return reported.compose(negated, symbols).compose(aimed, symbols)
 
 
-_EVENT_OF = {"i": 0, "a": 1, "t": 2, "q": 3, "n": 4}
+_EVENT_OF = {"i": 0, "a": 1, "t": 2, "q": 3, "n": 4, "w": 5}
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
 
@@ -116,8 +119,8 @@ def word_keys(word: str) -> list[str]:
 class Lexicon:
     """Insult keys and threats; finds the places of a text that a clause must be read around."""
 
-    def __init__(self, insults):
-        self.insults = frozenset(insults)
+    def __init__(self, insults, weak=()):
+        self.insults, self.weak = frozenset(insults), frozenset(weak)
         self.classes = {w: c for words, c in ((REPORTS, REPORT), (NEGATIONS, NEGATION), (TARGETS, TARGET),
                                               (THREATS, THREAT)) for w in words}
         self._finder = None
@@ -126,8 +129,11 @@ class Lexicon:
         return {**self.__dict__, "_finder": None}
 
     def class_of(self, word: str) -> str:
-        if not self.insults.isdisjoint(word_keys(word)):
+        keys = word_keys(word)
+        if not self.insults.isdisjoint(keys):
             return INSULT
+        if not self.weak.isdisjoint(keys):
+            return WEAK
         return self.classes.get(word, OTHER)
 
     def _triggers(self, text: str):
@@ -136,13 +142,13 @@ class Lexicon:
             import ahocorasick
 
             self._finder = ahocorasick.Automaton()
-            for key in (*self.insults, *(t + "$" for t in THREATS)):
+            for key in (*self.insults, *self.weak, *(t + "$" for t in THREATS)):
                 self._finder.add_word(key[:-1], key[-1])
             self._finder.make_automaton()
         return self._finder.iter(text)
 
     def clauses(self, text: str | None):
-        """(clause, event counts) of every clause that holds an insult or a threat."""
+        """(clause, event counts) of every clause with an event."""
         text = (text or "").lower()
         done = -1
         if not text:
@@ -155,7 +161,7 @@ class Lexicon:
             done = stop.start() if stop else len(text)
             clause = text[start:done]
             symbols = "".join(map(self.class_of, _WORD.findall(clause)))
-            if INSULT in symbols or THREAT in symbols:
+            if not {INSULT, WEAK, THREAT}.isdisjoint(symbols):
                 counts = [0] * len(EVENTS)
                 for o in grammar().run(symbols):
                     if o in _EVENT_OF:
@@ -220,16 +226,16 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
     def likelihood(k, n, p):
         return (k * math.log(p) if k else 0.0) + ((n - k) * math.log(1 - p) if n > k else 0.0)
 
-    keys = {w + "$" for w in INSULTS}
+    insults, weak = {w + "$" for w in INSULTS}, set()
     for key, n in often.items():
         m = clean.get(key, 0)
-        if good and bad > n and n >= LEAST_PRECISION * (n + m):
+        if good and n >= WEAK_PRECISION * (n + m):
             both = (n + m) / (bad + good)
             ratio = 2 * (likelihood(n, bad, n / bad) + likelihood(m, good, m / good)
                          - likelihood(n, bad, both) - likelihood(m, good, both))
             if ratio > 2 * math.log(tried) + 6:
-                keys.add(key)
-    return Lexicon(keys)
+                (insults if n >= PRECISION * (n + m) else weak).add(key)
+    return Lexicon(insults, weak)
 
 
 def _evidence(counts: np.ndarray) -> np.ndarray:
@@ -268,8 +274,8 @@ class ToxicityModel:
         w, z = center.copy(), np.column_stack([np.ones(len(x)), x])
         for _ in range(30):
             p = 1 / (1 + np.exp(-z @ w)) if len(z) else np.zeros(0)
-            slope = z.T @ (n * (y - p)) - (w - center)
-            curve = (z.T * (n * p * (1 - p))) @ z + np.eye(len(w))
+            slope = z.T @ (n * (y - p)) - PRIOR_WEIGHT * (w - center)
+            curve = (z.T * (n * p * (1 - p))) @ z + PRIOR_WEIGHT * np.eye(len(w))
             w = w + np.clip(np.linalg.solve(curve, slope), -2, 2)
         return ToxicityModel(lexicon, float(w[0]), w[1:])
 
