@@ -67,6 +67,7 @@ def chains(words, seed, n=40):
 @pytest.mark.parametrize("block, pivot_bytes", [(100_000, 1 << 25), (600, 1 << 25), (600, 0)])
 def test_blocks_and_pivots_lose_no_link(spark, docs_of, words, monkeypatch, block, pivot_bytes):
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(ngram_join, "PIVOT_SHINGLES", block)
     monkeypatch.setattr(ngram_join, "BROADCAST_BYTES", pivot_bytes)
     monkeypatch.setattr(ngram_join, "SLICE_SHINGLES", 500)
     rows = chains(words, 1) + chains(words, 2)

@@ -34,9 +34,11 @@ from trawl.session import cut_lineage
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Shingles in a slice of the hash space, on average, and in a block of a group, at most on average.
-SLICE_SHINGLES, BLOCK_SHINGLES = 4_000_000, 100_000
+SLICE_SHINGLES, BLOCK_SHINGLES = 4_000_000, 2_000_000
+#: Shingles of a group that is first compared with a pivot, and of small groups that share a task.
+PIVOT_SHINGLES, TASK_SHINGLES = 250_000, 50_000
 #: Counters of the frequency sketch.
-SKETCH_BITS = 20
+SKETCH_BITS = 18
 #: Ids, and bytes of sets, up to which one side of a join is sent to every executor.
 BROADCAST_IDS, BROADCAST_BYTES = 2_000_000, 32 << 20
 _SLICE_CHARS = 1 << 21
@@ -187,9 +189,19 @@ def _credits(table: pa.Table) -> pa.Table:
     flags = np.repeat(common, np.diff(np.append(starts, len(h))))
     total = np.bincount(row_of[order][flags], minlength=sum(map(len, keys)))
     total += np.concatenate([np.frombuffer(x, np.uint32) for x in columns["credits"]])
-    there = np.flatnonzero(total)
-    return pa.table({"batch": np.repeat(batches, [len(x) for x in keys])[there],
-                     "key8": np.concatenate(keys)[there], "credit": total[there].astype(np.int64)})
+    # One row for each batch, whatever the number of its classes.
+    parts = np.split(total.astype(np.uint32), np.cumsum([len(x) for x in keys])[:-1])
+    return pa.table({"batch": batches, "keys": pa.array(columns["keys"], pa.binary()),
+                     "credits": pa.array([x.tobytes() for x in parts], pa.binary())})
+
+
+def _sum_credits(table: pa.Table) -> pa.Table:
+    """The credits of one batch's classes, summed over the slices."""
+    keys = np.concatenate([np.frombuffer(x, np.int64) for x in table["keys"].to_pylist()])
+    credits = np.concatenate([np.frombuffer(x, np.uint32) for x in table["credits"].to_pylist()])
+    key8, place = np.unique(keys, return_inverse=True)
+    total = np.bincount(place, credits).astype(np.int64)
+    return pa.table({"key8": key8[total > 0], "credit": total[total > 0]})
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -200,8 +212,8 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFrame:
     """``rep, n, shingles`` of the classes that share enough of their shingles to link at all."""
     bits = max(0, math.ceil(math.log2(max(1, shingles / SLICE_SHINGLES))))
-    credits = _sliced(docs, bits).groupBy("slice").applyInArrow(_credits, "batch long, key8 long, credit long")
-    shared = (credits.groupBy("batch", "key8").agg(F.sum("credit").alias("credit"))
+    credits = _sliced(docs, bits).groupBy("slice").applyInArrow(_credits, "batch long, keys binary, credits binary")
+    shared = (credits.groupBy("batch").applyInArrow(_sum_credits, "key8 long, credit long")
               .groupBy("key8").agg(F.max("credit").alias("credit")))
     kept = cut_lineage(classes.join(shared, "key8")
                        .where(f"{DENOMINATOR} * credit >= {NUMERATOR} * n").select(F.col("rep").alias("doc_id"), "key8"))
@@ -229,20 +241,23 @@ def frequency_levels(sets: DataFrame) -> np.ndarray:
     schema = pa.schema([("segment", pa.int32()), ("counts", pa.binary())])
 
     def count(batches):
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.uint32)
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 held = [np.frombuffer(s, np.uint64) for s in batch.column(0).slice(start, 4096).to_pylist()]
-                total += np.bincount((np.concatenate(held) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+                cell = (np.concatenate(held) & np.uint64(cells - 1)).astype(np.int64)
+                total += np.bincount(cell, minlength=cells).astype(np.uint32)
         if total.any():
             yield batch_of(schema, list(range(segments)), [x.tobytes() for x in total.reshape(segments, -1)])
 
     def add(table: pa.Table) -> pa.Table:
-        summed = np.sum([np.frombuffer(x, np.int64) for x in table["counts"].to_pylist()], axis=0)
+        summed = np.zeros(cells // segments, np.int64)
+        for x in table["counts"].to_pylist():
+            summed += np.frombuffer(x, np.uint32)
         return pa.table({"segment": table["segment"][:1], "counts": pa.array([summed.tobytes()], pa.binary())})
 
     rows = (sets.select("shingles").mapInArrow(count, "segment int, counts binary")
-            .groupBy("segment").applyInArrow(add, "segment int, counts binary").collect())  # 8 MB
+            .groupBy("segment").applyInArrow(add, "segment int, counts binary").collect())  # 2 MB
     levels = np.zeros((segments, cells // segments), np.uint8)
     for segment, counts in rows:
         levels[segment] = np.round(np.log2(1 + np.frombuffer(counts, np.int64)))
@@ -289,7 +304,7 @@ def _prefix_links(sets: DataFrame, levels: np.ndarray) -> DataFrame:
     tasks = found.where("shingle IS NOT NULL")
     least = tasks.groupBy("shingle").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1")
     across = tasks.select("shingle", "a").join(least.select("shingle", "b"), "shingle").where("a > b").select("a", "b")
-    return found.where("shingle IS NULL").select("a", "b").unionAll(across).distinct()
+    return found.where("shingle IS NULL").select("a", "b").unionAll(across)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -298,6 +313,7 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among the neighbours, then the label of the label; both
     halve what is left of a chain. Labels are checkpointed, as the rounds build on each other.
     """
+    links = cut_lineage(links)
     both = cut_lineage(links.unionAll(links.select("b", "a")).distinct())
     labels = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(
         F.least(F.min("b"), F.first("a")).alias("component")))
@@ -423,12 +439,11 @@ def _solve(table: pa.Table) -> pa.Table:
 def _links_within(members: DataFrame) -> DataFrame:
     """``a, b``: links that span every component of every group."""
     sizes = cut_lineage(members.groupBy("grp").agg(F.sum("n").alias("total"), F.max("n").alias("most")))
-    whole = sizes.agg(F.sum("total"), F.sum(F.when(F.col("total") > BLOCK_SHINGLES, F.col("most")))).first()
-    blocks = F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")
-    # No more rows than all shingles by BLOCK_SHINGLES.
-    big = sizes.where(F.col("total") > BLOCK_SHINGLES).select("grp")
+    whole = sizes.agg(F.sum("total"), F.sum(F.when(F.col("total") > PIVOT_SHINGLES, F.col("most")))).first()
+    # No more rows than all shingles by PIVOT_SHINGLES.
+    big = sizes.where(F.col("total") > PIVOT_SHINGLES).select("grp")
     small = members.join(F.broadcast(big), "grp", "left_anti")
-    bins = max(1, (whole[0] or 0) // (BLOCK_SHINGLES // 2))
+    bins = max(1, (whole[0] or 0) // TASK_SHINGLES)
     tasks = small.select("rep", "grp", "shingles", F.lit(None).cast("long").alias("label"),
                          F.concat(F.lit("s"), F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("task"))
     links = None
@@ -439,17 +454,21 @@ def _links_within(members: DataFrame) -> DataFrame:
             # d(x, y) >= |d(x, pivot) - d(y, pivot)|: who is near the pivot links to nobody far from it.
             far = near.where("NOT linked").groupBy("grp").agg(F.min("distance").alias("nearest"))
             slack = 1 - NUMERATOR / DENOMINATOR + 1e-9
-            left = (near.join(F.broadcast(far), "grp")
-                    .where(F.col("distance") >= F.col("nearest") - slack)
-                    .withColumn("label", F.when(F.col("linked"), F.col("grp"))))
+            left = (near.join(F.broadcast(far), "grp").where(F.col("distance") >= F.col("nearest") - slack)
+                    .select("rep", "grp", "n", "shingles", "linked"))
         else:
-            left = members.join(F.broadcast(big), "grp", "left_semi").withColumn("label", F.lit(None).cast("long"))
-        left = left.select("rep", "grp", "n", "shingles", "label")
-        parts = left.groupBy("grp").agg(F.sum("n").alias("total")).select("grp", blocks.alias("blocks"))
-        block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-        pairs = (left.join(F.broadcast(parts), "grp").withColumn("block", block)
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .select("rep", "grp", "shingles", "label", F.concat_ws(
+            left = members.join(F.broadcast(big), "grp", "left_semi").select(
+                "rep", "grp", "n", "shingles", F.lit(False).alias("linked"))
+        # Blocks of linked members come first; two of them need not be compared.
+        parts = left.groupBy("grp").agg(*(
+            F.coalesce(F.ceil(F.sum(F.when(F.col("linked") == flag, F.col("n"))) / BLOCK_SHINGLES), F.lit(0))
+            .cast("int").alias(name) for flag, name in ((True, "settled"), (False, "open"))))
+        own = F.when(F.col("linked"), F.pmod(F.xxhash64("rep"), "settled")).otherwise(
+            F.col("settled") + F.pmod(F.xxhash64("rep"), "open")).cast("int")
+        others = F.sequence(F.when(F.col("linked"), F.col("settled")).otherwise(0),
+                            F.col("settled") + F.col("open") - 1)
+        pairs = (left.join(F.broadcast(parts), "grp").withColumns({"block": own, "other": F.explode(others)})
+                 .select("rep", "grp", "shingles", F.when(F.col("linked"), F.col("grp")).alias("label"), F.concat_ws(
                      ":", "grp", F.least("block", "other"), F.greatest("block", "other")).alias("task")))
         tasks = tasks.unionAll(pairs)
     solved = tasks.groupBy("task").applyInArrow(_solve, "a long, b long")
