@@ -88,12 +88,12 @@ def _field(name: Any, body: Any, schema: CollectionSchema) -> Column:
     if name.startswith("$"):
         raise ValueError(f"Expected a field, got the operator {name}")
     if not all(part.isidentifier() for part in name.split(".")):
-        raise ValueError(f"Invalid field name: {name}")
+        raise ValueError(f"{name!r} cannot name a field")
     operator, value = "$eq", body
     if isinstance(body, dict):
         if len(body) != 1:
             raise ValueError(
-                f"A field takes exactly one operator, got {len(body)}: {list(body)[:3]}"
+                f"{name}: write one operator per field and combine fields, not {sorted(body)[:3]}"
             )
         (operator, value), = body.items()
         if operator not in SUPPORTED:
@@ -190,8 +190,8 @@ def _field_analyzer(name: str, schema: CollectionSchema) -> Analyzer:
             if column.name == head:
                 return column.analyzer or VERBATIM
     raise ValueError(
-        f"Term operators need '{name}' to be an inverted-indexed metadata column or a TEXT "
-        "JSON field declared in the metadata index"
+        f"{name} has no terms to match: declare it in the metadata index, as a column or a "
+        "TEXT field"
     )
 
 

@@ -127,5 +127,5 @@ def refuse_fused_scores(fts_query=None, config: HybridConfig | None = None) -> N
     """Scored search is by distance only: fused scores are rankings."""
     if fts_query or config:
         raise NotImplementedError(
-            "Scored search returns distances; fused scores are rankings. Use search() for them."
+            "a fused score is no distance; search() ranks by it"
         )

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,6 @@ from trawl.operators.quant import Quantizer, codes_of, encode_table, fit, unit_v
 from trawl.schema import Metric
 from trawl.session import cut_lineage
 
-TRAIN_PER_CELL = 64
 MAX_CELLS = 16384
 MAX_CENTROID_BYTES = 64 << 20
 MAX_PROBES = 1 << 22
@@ -45,18 +45,23 @@ def default_cells(rows: int, dim: int) -> int:
     return max(1, min(most, round(math.sqrt(rows))))
 
 
-def train_centroids(corpus: DataFrame, cells: int, metric: Metric, vec: str = "embedding") -> np.ndarray:
-    """k-means on a bounded training sample; unit vectors for cosine."""
+def train_centroids(corpus: DataFrame, cells: int, metric: Metric, vec: str = "embedding",
+                    train_rows: int | None = None) -> np.ndarray:
+    """k-means over every vector, unit vectors for cosine; one cell is their mean.
+
+    ``train_rows`` asks for a sample of about so many rows instead.
+    """
     rows = corpus.count()
-    wanted = cells * TRAIN_PER_CELL
     train = corpus.select(vec)
-    if rows > 4 * wanted:
-        train = train.sample(2.0 * wanted / rows, seed=KMEANS_SEED)
+    if train_rows is not None and train_rows < rows:
+        train = train.sample(train_rows / rows, seed=KMEANS_SEED)
     if metric is Metric.COSINE:
         train = unit_vectors(train, vec)
-    model = KMeans(k=min(cells, max(1, rows)), seed=KMEANS_SEED, maxIter=10).fit(
-        train.select(array_to_vector(vec).alias("features"))
-    )
+    train = train.select(array_to_vector(vec).alias("features"))
+    if min(cells, rows) < 2:
+        center = train.select(Summarizer.mean(F.col("features")).alias("c")).first()["c"]
+        return np.array([center.toArray()])
+    model = KMeans(k=min(cells, rows), seed=KMEANS_SEED, maxIter=10).fit(train)
     return np.array(model.clusterCenters(), float)
 
 
@@ -124,7 +129,7 @@ class IvfIndex:
     def build(cls, corpus: DataFrame, metric: Metric | str = Metric.COSINE, *, id: str = "id",
               vec: str = "embedding", cells: int | None = None, quant: str = "none",
               pq_m: int | None = None, nb_bits: float | None = None,
-              query_bits: int | None = None) -> "IvfIndex":
+              query_bits: int | None = None, train_rows: int | None = None) -> "IvfIndex":
         metric = Metric(metric)
         quantizer = None
         if quant != "none":
@@ -133,7 +138,7 @@ class IvfIndex:
         if cells is None:
             size = corpus.agg(F.count(F.lit(1)), F.max(F.size(vec))).first()
             cells = default_cells(size[0], size[1] or 1)
-        centroids = train_centroids(corpus, cells, metric, vec)
+        centroids = train_centroids(corpus, cells, metric, vec, train_rows)
         return cls.assign(corpus, metric, centroids, quantizer, id=id, vec=vec)
 
     @classmethod
@@ -180,7 +185,7 @@ class IvfIndex:
         On a quantized index, codes are scored first; a row is read at full precision while
         its code distance minus ``rescore_width`` times the code's error could still be among
         the best.  ``1`` cannot miss a row of the probed cells, ``0`` answers from the codes,
-        ``-1`` picks a width for the quantizer.
+        ``-1`` means ``1``; only a caller's own smaller width can lose a row.
         """
         check_search(nprobe=nprobe, rescore_width=rescore_width)
         nprobe = min(nprobe, len(self.centroids))
@@ -196,7 +201,7 @@ class IvfIndex:
         by_code = rank_best(ask.nearest(k), k)
         if rescore_width == 0:
             return by_code
-        width = self.auto_width() if rescore_width == -1 else float(rescore_width)
+        width = 1.0 if rescore_width == -1 else float(rescore_width)
         by_code = cut_lineage(by_code.select("qid", "id"))
         cut = (
             ask.exact(by_code).groupBy("qid")
@@ -205,13 +210,6 @@ class IvfIndex:
         )
         return rank_best(ask.exact(cut_lineage(ask.alive(cut, width)), k), k)
 
-    def auto_width(self) -> float:
-        """The safe width for fine codes.  Coarse codes lose a residual in a near random
-        direction, so four of its standard deviations (1/sqrt(dim) each) are taken."""
-        if self.quantizer.kind in ("sq8", "usq8", "fp16", "bf16"):
-            return 1.0
-        return min(1.0, 4.0 / math.sqrt(self.quantizer.dim))
-
     def _probes(self, vectors: np.ndarray, nprobe: int) -> dict[int, np.ndarray] | None:
         """Cell -> rows of the queries that read it; ``None`` when every query reads all."""
         if nprobe >= len(self.centroids):
@@ -541,17 +539,14 @@ def check_search(nprobe: int | None = None, ef_search: int | None = None,
 
 
 def filtered_search(index, queries: DataFrame, k: int, where: Column, mode: str = "auto",
-                    *, qid: str = "qid", qvec: str = "embedding", scan_rows: int = 100_000,
-                    **knobs) -> DataFrame:
-    """Approximate search under a filter that still returns ``k`` rows when there are ``k``.
+                    *, qid: str = "qid", qvec: str = "embedding", **knobs) -> DataFrame:
+    """Search under a filter that returns ``k`` rows when there are ``k``, whatever their number.
 
-    ``scan`` (and ``auto`` below ``scan_rows`` matching rows) is exact over the filtered rows.
-    Otherwise the filter applies inside the search, and queries left short are answered exactly.
+    ``scan`` and ``auto`` are exact over the filtered rows.  In any other mode the filter applies
+    inside the index search, and queries left short are answered exactly.
     """
     passing = index.cells.where(where)
-    exact = mode == "scan"
-    if mode == "auto":
-        exact = passing.limit(scan_rows + 1).count() <= scan_rows
+    exact = mode in ("scan", "auto")
     knn = dict(qid=qid, qvec=qvec, id=index.id, vec=index.vec)
     if exact:
         return dense.knn_join(queries, passing, k, index.metric, **knn)

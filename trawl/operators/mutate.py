@@ -101,7 +101,7 @@ def id_table(spark: SparkSession, ids: Sequence, dtype: T.DataType, id: str = "i
 
 def to_documents(df: DataFrame, schema: CollectionSchema, extra: Sequence[str] = ()) -> DataFrame:
     """``id, content, metadata[, extra]``: typed columns overwrite keys of the JSON object."""
-    typed = [c for c in schema.metadata_columns if c != schema.json_column]
+    typed = [c for c in schema.shown if c != schema.json_column]
     parts = json_map(F.col(schema.json_column) if schema.json_column else F.lit(None).cast("string"))
     if typed:
         parts = F.map_filter(parts, lambda key, _: ~key.isin(typed))

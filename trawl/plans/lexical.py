@@ -179,23 +179,25 @@ def _hybrid(fusion, spec=None, scorer="bm25", k=K):
     return run
 
 
+# Both rankings side by side, one row per document: text score ``t``, distance ``d``.
+_BOTH = """
+pair AS (SELECT qid, id, t, d FROM (SELECT qid, id, sc AS t FROM lex)
+  FULL JOIN (SELECT qid, id, sc AS d FROM vec) USING (qid, id))"""
 _FUSED = {
-    "rrf": """
-ranked AS (SELECT qid, id, rank() OVER (PARTITION BY qid ORDER BY sc DESC) AS r FROM lex
-  UNION ALL SELECT qid, id, rank() OVER (PARTITION BY qid ORDER BY sc) AS r FROM vec),
-fused AS (SELECT qid, id, sum(1.0::DOUBLE / (60 + r)) AS score FROM ranked GROUP BY qid, id)""",
-    "normalized": """
-hits AS (SELECT 1 AS branch, * FROM lex UNION ALL SELECT 2 AS branch, * FROM vec),
-normed AS (SELECT qid, id, (CASE WHEN max(sc) OVER w = min(sc) OVER w THEN 1.0::DOUBLE
-    WHEN branch = 2 THEN (max(sc) OVER w - sc) / (max(sc) OVER w - min(sc) OVER w)
-    ELSE (sc - min(sc) OVER w) / (max(sc) OVER w - min(sc) OVER w) END)
-    * CASE WHEN branch = 2 THEN 0.3::DOUBLE ELSE 0.7::DOUBLE END AS ns
-  FROM hits WINDOW w AS (PARTITION BY qid, branch)),
-fused AS (SELECT qid, id, sum(ns) AS score FROM normed GROUP BY qid, id)""",
-    "weighted_sum": """
-hits AS (SELECT qid, id, 0.7::DOUBLE * sc AS part FROM lex
-  UNION ALL SELECT qid, id, 0.3::DOUBLE * (-sc) AS part FROM vec),
-fused AS (SELECT qid, id, sum(part) AS score FROM hits GROUP BY qid, id)""",
+    "rrf": f"""{_BOTH},
+fused AS (SELECT qid, id,
+    coalesce(1.0::DOUBLE / (60 + CASE WHEN t IS NOT NULL THEN (
+      SELECT count(*) + 1 FROM lex WHERE lex.qid = pair.qid AND lex.sc > pair.t) END), 0)
+  + coalesce(1.0::DOUBLE / (60 + CASE WHEN d IS NOT NULL THEN (
+      SELECT count(*) + 1 FROM vec WHERE vec.qid = pair.qid AND vec.sc < pair.d) END), 0) AS score FROM pair)""",
+    "normalized": f"""{_BOTH},
+span AS (SELECT qid, min(t) AS t0, max(t) - min(t) AS dt, max(d) AS d1, max(d) - min(d) AS dd
+         FROM pair GROUP BY qid),
+fused AS (SELECT qid, id,
+    0.7::DOUBLE * coalesce(if(dt = 0, t - t + 1, (t - t0) / dt), 0)
+  + 0.3::DOUBLE * coalesce(if(dd = 0, d - d + 1, (d1 - d) / dd), 0) AS score FROM pair JOIN span USING (qid))""",
+    "weighted_sum": f"""{_BOTH},
+fused AS (SELECT qid, id, 0.7::DOUBLE * coalesce(t, 0) - 0.3::DOUBLE * coalesce(d, 0) AS score FROM pair)""",
 }
 
 

@@ -13,7 +13,7 @@ from trawl.plans.common import (
     documents, sql_hash_embedding, sql_tidy, table, text_queries, tidy,
 )
 from trawl.schema import CollectionSchema, Column
-from trawl.session import scratch_path
+from trawl.session import cut_lineage, scratch_path
 from trawl.sources.collection import Collection
 from trawl.sources.options import IvfOptions, IvfQuery
 from trawl.streaming.ingest import ingest
@@ -176,6 +176,13 @@ def _collection(spark, **options) -> Collection:
     return Collection.create(spark, name, schema, embedder=HashModel(8), sync_load=False, **options)
 
 
+def _dropping(target: Collection, out):
+    """The rows of ``out``, kept apart from the collection, which is dropped."""
+    kept = cut_lineage(out)
+    target.drop()
+    return kept
+
+
 def _batch(spark, sf):
     return documents(spark, sf).select(
         F.col("id").cast("string").alias("id"), F.col("text").alias("content"),
@@ -193,7 +200,7 @@ def continuous_ingest(spark, sf):
         F.to_json(F.struct("lang", "source")).alias("metadata"))
     checkpoint = scratch_path(spark, "ingest-" + uuid.uuid4().hex)
     ingest(stream, target, checkpoint, refresh_every=1).awaitTermination()
-    return target.rows().select("id", F.md5("content").alias("content"), "lang")
+    return _dropping(target, target.rows().select("id", F.md5("content").alias("content"), "lang"))
 
 
 def collection_writes(spark, sf):
@@ -204,7 +211,7 @@ def collection_writes(spark, sf):
     target.delete(filter={"lang": "fr", "source": {"$like": "src1%"}})
     again = _batch(spark, sf).withColumn("content", F.lower("content"))
     target.add_texts(again.where(F.get_json_object("metadata", "$['lang']") == "es"))
-    return target.rows().select("id", F.md5("content").alias("content"), "lang")
+    return _dropping(target, target.rows().select("id", F.md5("content").alias("content"), "lang"))
 
 
 def collection_search(spark, sf):
@@ -214,7 +221,8 @@ def collection_search(spark, sf):
     target.add_texts(_batch(spark, sf))
     target.refresh()
     found = target.search_with_score(text_queries(spark, sf), 4, {"lang": {"$ne": "fr"}})
-    return found.select("qid", "rank", "id", F.md5("content").alias("content"), tidy("distance", 5))
+    return _dropping(target, found.select(
+        "qid", "rank", "id", F.md5("content").alias("content"), tidy("distance", 5)))
 
 
 QUERIES["continuous_ingest"] = continuous_ingest

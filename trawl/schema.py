@@ -8,7 +8,8 @@ names, so that operators never guess them, and checks a DataFrame against them a
 from __future__ import annotations
 
 import enum
-from dataclasses import dataclass, field, replace
+import json
+from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column as SparkColumn
@@ -173,6 +174,8 @@ class CollectionSchema:
     lambda_mult: float = 0.5
     content_analyzer: Analyzer = SPLIT_LOWER
     metadata_index: MetadataIndex | None = None
+    #: Metadata columns that documents are returned with; ``None`` means all.
+    returned: tuple[str, ...] | None = None
 
     # -- declaring and opening ------------------------------------------------------------
 
@@ -214,28 +217,27 @@ class CollectionSchema:
     ) -> "CollectionSchema":
         """Validate an existing table against the requested names (ValueError on mismatch)."""
         if metadata_columns and ignore_metadata_columns:
-            raise ValueError("Give metadata_columns or ignore_metadata_columns, not both.")
+            raise ValueError("metadata_columns and ignore_metadata_columns exclude each other")
         types = {f.name: f.dataType for f in df.schema.fields}
         if not types:
-            raise ValueError("The table has no columns.")
-        for role, name in (
-            ("Id", id_column), ("Content", content_column), ("Embedding", embedding_column)
-        ):
-            if name not in types:
-                raise ValueError(f"{role} column, {name}, does not exist.")
-        if not isinstance(types[content_column], (T.StringType, T.CharType, T.VarcharType)):
-            raise ValueError(f"Content column, {content_column}, must be a character string.")
-        if not isinstance(types[embedding_column], T.ArrayType):
-            raise ValueError(f"Embedding column, {embedding_column}, must be a float array.")
+            raise ValueError("there is no column to read")
+        missing = [c for c in (id_column, content_column, embedding_column) if c not in types]
+        if missing:
+            raise ValueError(f"no such column: {', '.join(missing)}")
+        wanted = {content_column: (T.StringType, T.CharType, T.VarcharType),
+                  embedding_column: T.ArrayType}
+        for name, kind in wanted.items():
+            if not isinstance(types[name], kind):
+                raise ValueError(f"{name} is {types[name].simpleString()}, which cannot be used here")
         if json_column not in types:
             json_column = None
         chosen = list(metadata_columns or [])
         if ignore_metadata_columns:
             skip = {id_column, content_column, embedding_column, *ignore_metadata_columns}
             chosen = [c for c in df.columns if c not in skip and not c.startswith("json__")]
-        for name in chosen:
-            if name not in types:
-                raise ValueError(f"Metadata column, {name}, does not exist.")
+        unknown = [c for c in chosen if c not in types]
+        if unknown:
+            raise ValueError(f"no such metadata column: {', '.join(unknown)}")
         return cls(
             id_column=id_column,
             content_column=content_column,
@@ -245,12 +247,39 @@ class CollectionSchema:
             **options,
         )
 
+    def to_json(self) -> str:
+        """The whole definition, as a collection keeps it."""
+        spec = asdict(self)
+        spec["not_null"], spec["metric"] = sorted(self.not_null), self.metric.value
+        del spec["returned"]  # a reader's choice
+        return json.dumps(spec)
+
+    @classmethod
+    def from_json(cls, text: str) -> "CollectionSchema":
+        spec = json.loads(text)
+        index = spec.pop("metadata_index")
+        if index is not None:
+            columns = index["columns"]
+            index = MetadataIndex(
+                None if columns is None else [
+                    IndexedColumn(c["name"], _analyzer(c["analyzer"])) for c in columns],
+                [IndexedJsonField(f["path"], f["data_type"], _analyzer(f["analyzer"]))
+                 for f in index["json_fields"]])
+        return cls(**{
+            **spec, "not_null": frozenset(spec["not_null"]), "metric": Metric(spec["metric"]),
+            "content_analyzer": _analyzer(spec["content_analyzer"]), "metadata_index": index})
+
     # -- derived names --------------------------------------------------------------------
 
+    @property
+    def shown(self) -> list[str]:
+        """Metadata columns of a returned document, in declared order."""
+        return [c for c in self.metadata_columns if self.returned is None or c in self.returned]
+
     @property
     def reserved(self) -> list[str]:
         names = [self.id_column, self.content_column, self.embedding_column]
-        names += list(self.metadata_columns)
+        names += self.shown
         if self.json_column and self.json_column not in names:
             names.append(self.json_column)
         return names
@@ -293,17 +322,15 @@ class CollectionSchema:
         """Typed columns in the metadata index, each with its analyzer (None = verbatim)."""
         spec = self.metadata_index
         if spec is not None and spec.json_fields and not self.json_column:
-            raise ValueError("JSON fields cannot be indexed: there is no JSON metadata column.")
+            raise ValueError("promoted fields need a JSON metadata column")
         if spec is None or spec.columns is None:
             return {n: None for n, t in self.metadata_columns.items() if is_indexable(t)}
         for column in spec.columns:
             if column.name not in self.metadata_columns:
-                raise ValueError(f"Metadata column, {column.name}, does not exist.")
+                raise ValueError(f"the metadata index names an unknown column: {column.name}")
             if not is_indexable(self.metadata_columns[column.name]):
-                raise ValueError(
-                    f"Column {column.name} of type {self.metadata_columns[column.name]} "
-                    "cannot be indexed."
-                )
+                kind = self.metadata_columns[column.name]
+                raise ValueError(f"the metadata index does not take {kind} columns: {column.name}")
         return {c.name: c.analyzer for c in spec.columns}
 
     def json_field(self, path: str) -> IndexedJsonField | None:
@@ -315,13 +342,17 @@ class CollectionSchema:
         if not self.metadata_index or not self.metadata_index.json_fields:
             return df
         if not self.json_column:
-            raise ValueError("JSON fields cannot be indexed: there is no JSON metadata column.")
+            raise ValueError("promoted fields need a JSON metadata column")
         return df.withColumns({
             f.physical: json_typed(F.col(self.json_column), f.path, f.data_type)
             for f in self.metadata_index.json_fields
         })
 
 
+def _analyzer(spec: dict | None) -> Analyzer | None:
+    return None if spec is None else Analyzer(**spec)
+
+
 def json_text(column: SparkColumn, path: str) -> SparkColumn:
     """Text of a (dotted) path inside a JSON string column; JSON null and absent are NULL."""
     steps = "".join(f"['{part}']" for part in path.split("."))

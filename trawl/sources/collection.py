@@ -11,15 +11,18 @@ dropping is ``DROP TABLE``:
 
 A write appends to the log and touches nothing else.  The current rows are the published ones whose
 id is not in the log, plus the last logged row of each id, so only the log is ever deduplicated.
-With an index, ``refresh`` writes that view as the next version, derives index entries for the
-changed ids only, and then appends the state row which makes the version visible; without one, the
-log is folded in by ``compact`` or once it holds many writes.  Exact search sees every write;
-index search sees published ones.
+``refresh`` writes that view as the next version, derives index entries for the changed ids only,
+and then appends the state row which makes the version visible.  ``vacuum`` drops older versions
+and the log they were made of; nothing else does.  Exact search sees every write; index search sees
+published ones, and never a deleted one.
+
+The state row keeps the collection's definition, so that ``open`` needs no declaration.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from typing import Any
@@ -44,12 +47,12 @@ from trawl.sources.options import (
 )
 from trawl.sources.storage import Tables
 
-STATE = "version int, upto bigint, index string, text_index boolean, trained bigint"
+STATE = ("version int, upto bigint, index string, text_index boolean, trained bigint, "
+         "definition string")
 STREAMS = "stream string, batch bigint, seq bigint"
-RETRAIN_GROWTH = 4
-KEEP_VERSIONS = 2
-MAX_LOG_WRITES = 32
 MAX_PUSHED_IDS = 1000
+MAX_PENDING_DELETES = 10_000
+NAME = re.compile(r"(?!.*__)[A-Za-z0-9_]+")
 
 
 @dataclass
@@ -59,6 +62,7 @@ class State:
     index: str | None = None
     text_index: bool = False
     trained: int = 0
+    definition: str = ""
 
 
 def _plain(options) -> str | None:
@@ -84,6 +88,8 @@ class Collection:
                  hybrid: HybridConfig | None = None,
                  query_options: IvfQuery | GraphQuery | None = None,
                  sync_load: bool = True) -> None:
+        if not NAME.fullmatch(name) or name.endswith("_"):
+            raise ValueError("a collection's name holds letters, digits and single underscores")
         ship_package(spark)
         self.spark, self.name, self.schema, self.database = spark, name, schema, database
         self.embedder, self.hybrid, self.query_options = embedder, hybrid, query_options
@@ -109,9 +115,9 @@ class Collection:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         if self.exists():
             if if_not_exists:
-                return self
+                return cls.open(spark, name, database=database, **options)
             if not overwrite:
-                raise ValueError(f"Collection {database}.{name} already exists.")
+                raise ValueError(f"{database}.{name} is taken; overwrite it or open it")
             self.drop()
         rows = spark.createDataFrame([], schema.struct())
         Tables(spark, self._name("")).save("rows_0", schema.promote(rows))
@@ -119,7 +125,8 @@ class Collection:
         log = log.add("_op", T.StringType()).add("_pos", T.LongType()).add("seq", T.LongType())
         Tables(spark, self._name("")).save("log", spark.createDataFrame([], log), "seq")
         Tables(spark, self._name("")).save("streams", spark.createDataFrame([], STREAMS))
-        self._publish(State(index=_plain(vector_index), text_index=text_index is not None))
+        self._publish(State(index=_plain(vector_index), text_index=text_index is not None,
+                            definition=schema.to_json()))
         return self
 
     @classmethod
@@ -127,12 +134,28 @@ class Collection:
              embedder: Any = None, hybrid: HybridConfig | None = None,
              query_options: IvfQuery | GraphQuery | None = None, sync_load: bool = True,
              metadata_index: MetadataIndex | None = None, **columns: Any) -> "Collection":
-        """Open an existing collection and validate the requested columns against it."""
+        """Open an existing collection as it was defined.
+
+        Named columns are checked against the stored definition; ``metadata_columns`` or
+        ``ignore_metadata_columns`` choose which of its metadata columns are returned, and
+        ``metadata_index`` is for rows not yet published with another one.
+        """
         probe = cls(spark, name, CollectionSchema(), database=database)
         if not probe.exists():
-            raise ValueError(f"Collection {database}.{name} does not exist.")
-        rows = spark.table(probe._name(f"rows_{probe.state().version}"))
-        schema = CollectionSchema.inspect(rows, **columns).with_index(metadata_index)
+            raise ValueError(f"there is no collection {database}.{name}")
+        state = probe.state()
+        schema = CollectionSchema.from_json(state.definition)
+        names = dict(id_column=schema.id_column, content_column=schema.content_column,
+                     embedding_column=schema.embedding_column, json_column=schema.json_column)
+        rows = spark.table(probe._name(f"rows_{state.version}"))
+        asked = CollectionSchema.inspect(rows, **{**names, **columns})
+        for what, kept in names.items():
+            if what in columns and columns[what] != kept:
+                raise ValueError(f"{what} of {database}.{name} is {kept}, not {columns[what]}")
+        if columns.get("metadata_columns") or columns.get("ignore_metadata_columns"):
+            schema = replace(schema, returned=tuple(asked.metadata_columns))
+        if metadata_index is not None:
+            schema = schema.with_index(metadata_index)
         return cls(spark, name, schema, database=database, embedder=embedder, hybrid=hybrid,
                    query_options=query_options, sync_load=sync_load)
 
@@ -271,10 +294,15 @@ class Collection:
         seq = self._write_log(self.prepare(batch))
         written = self.spark.table(self._name("log")).where(F.col("seq") == seq)
         ids = written.select("_pos", F.col(self.schema.id_column).cast("string").alias("id"))
-        if self.sync_load:
-            self.refresh()
+        self._synchronize()
         return ids.orderBy("_pos")
 
+    def _synchronize(self) -> None:
+        """With ``sync_load`` indexes see a write at once; exact search does anyway."""
+        state = self.state()
+        if self.sync_load and (state.index or state.text_index):
+            self._advance(state)
+
     def _next_seq(self) -> int:
         used = [self.state().upto]
         for table in ("log", "streams"):
@@ -325,8 +353,7 @@ class Collection:
         ]
         gone = rows.select(*blank, F.lit("delete").alias("_op"), F.lit(0).cast("bigint").alias("_pos"))
         self._write_log(cut_lineage(gone))
-        if self.sync_load:
-            self.refresh()
+        self._synchronize()
         return True
 
     def _id_frame(self, ids: Sequence | DataFrame) -> DataFrame:
@@ -382,29 +409,46 @@ class Collection:
         self._advance(replace(state, index=None, text_index=False, trained=0))
 
     def refresh(self) -> None:
-        """Publish the writes since the last version, so that index search sees them.
+        """Publish the writes since the last version, so that index search sees them."""
+        self._advance(self.state())
+
+    def rebuild_index(self) -> None:
+        """Train the vector index anew on the current rows, as after much growth."""
+        self._advance(replace(self.state(), trained=0))
 
-        Without an index there is nothing to publish to: exact search sees the log, which is
-        folded into the rows only once it holds many writes.
+    def vacuum(self, keep: int = 1) -> None:
+        """Drop all but the last ``keep`` versions and the logged writes that they all include.
+
+        No reader may still be on an older version.
         """
-        state = self.state()
-        if state.index is None and not state.text_index:
-            writes = self._log(state.upto).select("seq").distinct().limit(MAX_LOG_WRITES).count()
-            if writes < MAX_LOG_WRITES:
-                return
-        self._advance(state)
+        if keep < 1:
+            raise ValueError("at least the current version is kept")
+        states = self.spark.table(self._name("state")).orderBy(F.desc("version")).limit(keep).collect()
+        oldest = states[-1]
+        self._drop_tables(lambda part: re.match(r"(rows|ix)_\d+", part)
+                          and int(part.split("_")[1]) < oldest["version"])
+        logged = [int(r[0].removeprefix("seq=")) for r in self.spark.sql(
+            f"SHOW PARTITIONS {self._name('log')}").collect()]  # one short row for each write
+        done = ", ".join(f"PARTITION (seq = {n})" for n in sorted(logged) if n <= oldest["upto"])
+        if done:
+            self.spark.sql(f"ALTER TABLE {self._name('log')} DROP IF EXISTS {done}")
 
     def compact(self) -> None:
-        """Fold the log into a new version of the rows."""
-        self._advance(self.state())
+        """Publish, and drop everything that the new version replaces."""
+        self.refresh()
+        self.vacuum()
 
     def _advance(self, state: State) -> None:
-        """Write the next version of rows and derived tables, then make it visible."""
+        """Write the next version of rows and derived tables, then make it visible.
+
+        The definition is published with it, so a later ``open`` sees changed analyzers and indexes.
+        """
+        state = replace(state, definition=self.schema.to_json())
         before, key = self.state(), self.schema.id_column
         pending = self._log(before.upto)
         upto = pending.agg(F.max("seq")).first()[0]
         changed = upto is not None
-        if not changed and (state.index, state.text_index) == (before.index, before.text_index):
+        if not changed and state == before:
             return
         version = before.version + 1
         rows = self._current(before)
@@ -418,7 +462,6 @@ class Collection:
         if state.index:
             state = self._derive_vectors(before, state, stored, dirty)
         self._publish(state)
-        self._drop_tables(lambda part: self._stale(part, version))
 
     def _bloom_filters(self, rows: DataFrame) -> dict[str, str]:
         """Parquet Bloom filters on the id and the indexed columns, for equality filters."""
@@ -430,16 +473,11 @@ class Collection:
             for c in wanted if isinstance(rows.schema[c].dataType, kinds)
         }
 
-    @staticmethod
-    def _stale(part: str, version: int) -> bool:
-        """Tables of versions no reader should still be on."""
-        words = part.split("_")
-        return words[0] in ("rows", "ix") and int(words[1]) <= version - KEEP_VERSIONS
-
     def _derive_text(self, before: State, state: State, rows: DataFrame, dirty) -> None:
         s, analyzer = self.schema, self.schema.content_analyzer
         fresh = LexicalIndex.build(rows, s.id_column, s.content_column, analyzer, positions=True)
-        if before.text_index and before.version > 0 and dirty is not None:
+        same = CollectionSchema.from_json(before.definition).content_analyzer == analyzer
+        if before.text_index and before.version > 0 and dirty is not None and same:
             old = LexicalIndex.read(self._tables(before.version), analyzer)
             ids = dirty.withColumnRenamed(s.id_column, "id")
             part = rows.join(dirty, s.id_column, "left_semi")
@@ -456,8 +494,8 @@ class Collection:
         spec = options.quantizer(s.metric)
         kind = spec.pop("kind")
         names = dict(id=s.id_column, vec=s.embedding_column)
-        keep = before.index == state.index and before.trained > 0
-        if keep and n_rows < RETRAIN_GROWTH * before.trained and dirty is not None:
+        keep = before.index == state.index and min(before.trained, state.trained) > 0
+        if keep and dirty is not None:
             old = IvfIndex.read(self._tables(before.version))
             part = rows.join(dirty, s.id_column, "left_semi")
             new = IvfIndex.assign(part, s.metric, old.centroids, old.quantizer, **names)
@@ -511,22 +549,53 @@ class Collection:
         if "embedding" not in query.columns:
             if self.embedder is None:
                 raise ValueError("text queries need an embedder")
-            query = embed(query, self.embedder, "text", "embedding")
+            # The model runs once, however often the search reads its queries.
+            query = cut_lineage(embed(query, self.embedder, "text", "embedding"))
         return query
 
     def _dense(self, queries: DataFrame, k: int, filter: dict | None) -> DataFrame:
         """Hits by distance, through the index when there is one."""
-        s, where = self.schema, compile_filter(filter, self.schema) if filter else None
+        s, where = self.schema, self._where(filter)
         check_query_type(self.query_options, self.index_type(), self.name)
         index = self.vector_index()
         if index is None:
             return dense.knn_join(queries, self.rows(), k, s.metric, id=s.id_column,
                                   vec=s.embedding_column, where=where)
         knobs = self.query_options.knobs() if self.query_options else {}
-        if where is None:
-            return index.search(queries, k, **knobs)
         mode = self.query_options.filter_mode_or_auto() if self.query_options else "auto"
-        return filtered_search(index, queries, k, where, mode, **knobs)
+
+        def through_index(k: int) -> DataFrame:
+            if where is None:
+                return index.search(queries, k, **knobs)
+            # Fields promoted since the index was written are read from the JSON there.
+            inside = self._where(filter, index.cells.columns)
+            return filtered_search(index, queries, k, inside, mode, **knobs)
+
+        gone = self._pending_deletes()
+        number = gone.limit(MAX_PENDING_DELETES + 1).count()
+        if not number:
+            return through_index(k)
+        if number > MAX_PENDING_DELETES:
+            return dense.knn_join(queries, self.rows(), k, s.metric, id=s.id_column,
+                                  vec=s.embedding_column, where=where)
+        # Each deleted row can take one place at most.
+        left = through_index(k + number).join(F.broadcast(gone), "id", "left_anti")
+        return dense.rank_best(left.select("qid", "id", "distance"), k)
+
+    def _pending_deletes(self) -> DataFrame:
+        """Ids that the published version holds and a later write deleted."""
+        latest = self._latest(self.state()).where(F.col("_op") == "delete")
+        return latest.select(F.col(self.schema.id_column).alias("id"))
+
+    def _where(self, filter: dict | None, columns: Sequence[str] | None = None):
+        """The filter's condition; over a table with these columns, if they are given."""
+        if not filter:
+            return None
+        schema, index = self.schema, self.schema.metadata_index
+        if columns is not None and index:
+            there = tuple(f for f in index.json_fields if f.physical in columns)
+            schema = replace(schema, metadata_index=replace(index, json_fields=there))
+        return compile_filter(filter, schema)
 
     def _documents(self, hits: DataFrame, queries: DataFrame, k: int, scored: bool,
                    extra: Sequence[str] = ()) -> DataFrame:
@@ -564,7 +633,7 @@ class Collection:
         worded = queries.where(F.coalesce(F.col("__fts"), F.lit("")) != "")
         s = self.schema
         check_query_type(self.query_options, self.index_type(), self.name)
-        where = compile_filter(filter, s) if filter else None
+        where = self._where(filter)
         hits = hybrid_search(
             worded, self.rows(), self.text_index(), k, config, s.metric, text="__fts",
             id=s.id_column, vec=s.embedding_column, where=where,

@@ -89,7 +89,11 @@ class IvfQuery:
 
 @dataclass
 class GraphQuery:
-    """Search knobs of a neighbour graph."""
+    """Search knobs of a neighbour graph.
+
+    ``scan`` and ``auto`` answer filtered searches exactly; the other filter modes, and every
+    ``column_filter``, mean the same here: the filter applies inside the walk.
+    """
 
     index_type: ClassVar[str] = "hnsw"
 
@@ -119,6 +123,6 @@ def check_query_type(options, index_type: str | None, name: str) -> None:
     """Knobs of the other index type would be ignored silently, so they are refused."""
     if options is not None and index_type and options.index_type != index_type:
         raise ValueError(
-            f"{type(options).__name__} tunes {options.index_type.upper()} indexes, but the index "
-            f"of collection '{name}' is {index_type.upper()}"
+            f"{name}: its index is {index_type.upper()}, which {type(options).__name__} "
+            "has no settings for"
         )
