@@ -70,14 +70,17 @@ for _m in ("l2", "ip"):
     ORACLES[f"sq8_rescored_{_m}"] = _exact(_m)
 
 
-def ivf_cells(spark, sf):
-    """Rows per cell when the centroids are the label means: a fixed, checkable model."""
-    rows = embeddings(spark, sf)
+def _label_means(rows: DataFrame) -> np.ndarray:
     parts = rows.select("label", F.posexplode("embedding").alias("pos", "x"))
     means = parts.groupBy("label", "pos").agg(F.avg("x").alias("x")).orderBy("label", "pos")
     # One value per label and dimension comes back: the size of a centroid table.
-    centroids = np.array([r["x"] for r in means.collect()]).reshape(-1, 64)
-    return assign_cells(rows, centroids, Metric.L2).groupBy("cell").agg(F.count("*").alias("n"))
+    return np.array([r["x"] for r in means.collect()]).reshape(-1, 64)
+
+
+def ivf_cells(spark, sf):
+    """Rows per cell when the centroids are the label means: a fixed, checkable model."""
+    rows = embeddings(spark, sf)
+    return assign_cells(rows, _label_means(rows), Metric.L2).groupBy("cell").agg(F.count("*").alias("n"))
 
 
 QUERIES["ivf_assign"] = ivf_cells
@@ -89,6 +92,32 @@ near AS (SELECT vec_id, label, row_number() OVER (PARTITION BY vec_id ORDER BY d
 SELECT label AS cell, count(*) AS n FROM near WHERE n = 1 GROUP BY label"""
 
 
+def _partial(nprobe):
+    def run(spark, sf):
+        rows = embeddings(spark, sf)
+        index = IvfIndex.assign(rows, Metric.L2, _label_means(rows))
+        return _out(index.search(vector_queries(spark, sf), K, nprobe))
+    return run
+
+
+def _sql_partial(nprobe):
+    return f"""
+WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+parts AS (SELECT label, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM v),
+means AS (SELECT label, list(x ORDER BY pos) AS c FROM (SELECT label, pos, avg(x) AS x FROM parts GROUP BY label, pos) GROUP BY label),
+near AS (SELECT vec_id, e, m.label AS cell, row_number() OVER (PARTITION BY vec_id ORDER BY list_distance(e, c), m.label) AS n
+         FROM v, means m),
+hits AS (SELECT q.vec_id AS qid, r.vec_id AS id, list_distance(q.e, r.e) AS distance,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.e, r.e), r.vec_id) AS rank
+         FROM near q JOIN near r ON q.cell = r.cell WHERE q.n <= {nprobe} AND r.n = 1)
+SELECT qid, id, rank, {sql_tidy('distance')} AS distance FROM hits WHERE rank <= {K}"""
+
+
+for _n in (1, 3):
+    QUERIES[f"ivf_probe_{_n}"] = _partial(_n)
+    ORACLES[f"ivf_probe_{_n}"] = _sql_partial(_n)
+
+
 def sq_ranges(spark, sf):
     """The fitted per-dimension ranges of the scalar quantizer."""
     model = fit(embeddings(spark, sf), "sq8", Metric.L2)

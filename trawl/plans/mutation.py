@@ -7,15 +7,16 @@ import uuid
 from pyspark.sql import functions as F
 
 from trawl.functions.embed import HashModel
+from trawl.functions.text import Analyzer
 from trawl.operators import mutate
 from trawl.operators.filters import compile_filter
 from trawl.plans.common import (
     documents, sql_hash_embedding, sql_tidy, table, text_queries, tidy,
 )
-from trawl.schema import CollectionSchema, Column
+from trawl.schema import CollectionSchema, Column, IndexedJsonField, MetadataIndex
 from trawl.session import cut_lineage, scratch_path
 from trawl.sources.collection import Collection
-from trawl.sources.options import IvfOptions, IvfQuery
+from trawl.sources.options import IvfOptions, IvfQuery, TextIndexOptions
 from trawl.streaming.ingest import ingest
 
 QUERIES: dict = {}
@@ -240,3 +241,73 @@ SELECT qid, rank, id, content, {sql_tidy('distance', 5)} AS distance FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM (
     SELECT qid, id, content, list_cosine_distance(q.e, d.e) AS distance FROM q, d)
 ) WHERE rank <= 4"""
+
+
+# -- collections that live on ----------------------------------------------------------------
+
+_EVERY_CELL = IvfQuery(nprobe=1 << 20)
+
+
+def _nearest(target: Collection, spark, sf, k: int, spec=None):
+    found = target.search_with_score(text_queries(spark, sf), k, spec)
+    return _dropping(target, found.select("qid", "rank", "id", tidy("distance", 5)))
+
+
+def _sql_nearest(k: int, where: str) -> str:
+    return f"""
+WITH d AS (SELECT doc_id, doc_id::VARCHAR AS id, {sql_hash_embedding('text')}::DOUBLE[] AS e FROM documents WHERE {where}),
+q AS (SELECT item_id AS qid, {sql_hash_embedding('text')}::DOUBLE[] AS e FROM benchmark),
+best AS (SELECT qid, doc_id, id, list_cosine_distance(q.e, d.e) AS distance FROM q, d)
+SELECT qid, rank, id, {sql_tidy('distance', 5)} AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, {{order}}) AS rank FROM best)
+WHERE rank <= {k}"""
+
+
+def collection_reopen(spark, sf):
+    """Half of the rows before, half after an ``open`` that is told nothing but the name."""
+    schema = CollectionSchema.declare(
+        8, id_column=Column("key", "BIGINT"), metadata_columns=[Column("lang", "TEXT", False)],
+        metadata_index=MetadataIndex(json_fields=[IndexedJsonField("n_chars", "INTEGER")]))
+    name = "registered_" + uuid.uuid4().hex[:10]
+    made = Collection.create(spark, name, schema, embedder=HashModel(8), sync_load=False,
+                             text_index=TextIndexOptions(Analyzer("split", lower=False)))
+    batch = documents(spark, sf).select(
+        F.col("id").cast("string").alias("id"), F.col("text").alias("content"),
+        F.to_json(F.struct("lang", "source", "n_chars")).alias("metadata"))
+    even = F.col("id").cast("long") % 2 == 0
+    made.add_texts(batch.where(even))
+    made.refresh()
+    again = Collection.open(spark, name, embedder=HashModel(8), sync_load=False,
+                            query_options=_EVERY_CELL)
+    again.add_texts(batch.where(~even))
+    again.refresh()
+    return _nearest(again, spark, sf, 3, {"n_chars": {"$gte": 500}, "lang": {"$ne": "es"}})
+
+
+def collection_small_index(spark, sf):
+    """An index begun with a single row, and then given all others."""
+    target = _collection(spark, vector_index=IvfOptions(), query_options=_EVERY_CELL)
+    batch = _batch(spark, sf)
+    first = batch.orderBy("id").limit(1)
+    target.add_texts(first)
+    target.refresh()
+    target.add_texts(batch.join(first.select("id"), "id", "left_anti"))
+    target.refresh()
+    return _nearest(target, spark, sf, 3)
+
+
+def collection_pending_delete(spark, sf):
+    """A published index, and deletions that are not: no result is shorter for them."""
+    target = _collection(spark, vector_index=IvfOptions(quant="none"), query_options=_EVERY_CELL)
+    target.add_texts(_batch(spark, sf))
+    target.refresh()
+    target.delete(filter={"lang": {"$in": ["es", "de"]}})
+    return _nearest(target, spark, sf, 4)
+
+
+QUERIES["collection_reopen"] = collection_reopen
+ORACLES["collection_reopen"] = _sql_nearest(3, "n_chars >= 500 AND lang <> 'es'").format(order="doc_id")
+QUERIES["collection_small_index"] = collection_small_index
+ORACLES["collection_small_index"] = _sql_nearest(3, "true").format(order="id")
+QUERIES["collection_pending_delete"] = collection_pending_delete
+ORACLES["collection_pending_delete"] = _sql_nearest(4, "lang NOT IN ('es', 'de')").format(order="id")
