@@ -422,3 +422,26 @@ def test_threshold(spark):
     q = frame(spark, [[1, 0]], "qid")
     found = with_relevance(knn_join(q, frame(spark, [[1, 0], [1, 1], [0, 1]]), 3), "cosine", 0.5)
     assert [h[2] for h in hits(found)] == [0, 1]
+
+
+def test_terms_reach_the_scan(spark, tmp_path):
+    from trawl.sources.storage import Folder
+
+    docs = spark.createDataFrame(DOCS, "id long, text string")
+    index = LexicalIndex.build(docs, "id", "text", positions=True, buckets=4).write(
+        Folder(spark, str(tmp_path)))
+    for found in (lexical_topk(index, asked(spark, "gull"), 3), boolean_match(index, "gull"),
+                  boolean_match(index, {"and": ["the", {"not": "seal"}]})):
+        plan = found._jdf.queryExecution().toString()
+        physical = plan[plan.index("== Physical Plan =="):]
+        assert "PartitionFilters" in physical and "bucket" in physical
+        assert "EqualTo(term,gull)" in physical or "In(term" in physical
+
+
+def test_many_terms_take_the_join(spark, monkeypatch):
+    docs = spark.createDataFrame(DOCS, "id long, text string")
+    index = LexicalIndex.build(docs, "id", "text", positions=True, buckets=4)
+    words = asked(spark, "grey the", "gull the", "seal")
+    few = sorted(map(tuple, lexical_topk(index, words, 5).collect()))
+    monkeypatch.setattr("trawl.operators.lexical.MAX_PUSHED_TERMS", 1)
+    assert sorted(map(tuple, lexical_topk(index, words, 5).collect())) == few and few

@@ -23,11 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.functions.text import SPLIT_LOWER, Analyzer, string_array
+from trawl.session import cut_lineage
 
 DEFAULT_BUCKETS = 256
 DOCS_PER_FILE = 1_000_000
 SALTS = 16
 MAX_BROADCAST_TERMS = 500_000
+#: Terms that reach a scan as values.
+MAX_PUSHED_TERMS = 2_000
 # Scores are compared at this many decimals, so equal documents tie whatever the sum order.
 SCORE_DECIMALS = 9
 
@@ -135,7 +138,7 @@ class LexicalIndex:
         sorted_files = self.postings.repartition(F.col("bucket"), cut)
         sorted_files = sorted_files.sortWithinPartitions("bucket", "term", "id")
         postings = store.save("postings", sorted_files, partition="bucket")
-        terms = store.save("terms", term_stats(postings))
+        terms = store.save("terms", term_stats(postings).sortWithinPartitions("term"))
         # Only the document count is taken from the rows; tokens are summed from the terms.
         n_tokens = terms.agg(F.coalesce(F.sum("ttf"), F.lit(0))).first()[0]
         row = terms.sparkSession.createDataFrame(
@@ -157,11 +160,28 @@ class LexicalIndex:
             self._sums = (int(row["n_docs"]), int(row["n_tokens"]))
         return self._sums
 
-    def pruned(self, terms: DataFrame) -> DataFrame:
-        """Postings of the buckets the given terms fall in (at most ``buckets`` values)."""
-        wanted = terms.select(_bucket(F.col("term"), self.buckets)).distinct()
-        buckets = [r[0] for r in wanted.collect()]
-        return self.postings.where(F.col("bucket").isin(buckets))
+    def narrowed(self, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Postings and statistics of the given terms (column ``term``) alone.
+
+        Up to ``MAX_PUSHED_TERMS`` of them reach both scans as values; the files are sorted by term,
+        so other row groups are not read. More are joined, after the buckets that hold none.
+        """
+        wanted = terms.select("term").distinct()
+        first = [r["term"] for r in wanted.limit(MAX_PUSHED_TERMS + 1).collect()]
+        if len(first) <= MAX_PUSHED_TERMS:
+            return self.of_terms(first)
+        buckets = [r[0] for r in wanted.select(_bucket(F.col("term"), self.buckets)).distinct().collect()]
+        wanted = F.broadcast(wanted) if _is_small(wanted) else wanted
+        postings = self.postings.where(F.col("bucket").isin(buckets))
+        return postings.join(wanted, "term", "left_semi"), self.terms.join(wanted, "term", "left_semi")
+
+    def of_terms(self, terms: list[str]) -> tuple[DataFrame, DataFrame]:
+        """As ``narrowed``, of a list of terms that is short by nature."""
+        spark = self.postings.sparkSession
+        rows = spark.createDataFrame([(t,) for t in terms], "term string")
+        buckets = [r[0] for r in rows.select(_bucket(F.col("term"), self.buckets)).distinct().collect()]
+        chosen = F.col("term").isin(terms)
+        return self.postings.where(F.col("bucket").isin(buckets) & chosen), self.terms.where(chosen)
 
 
 # -- scorers -----------------------------------------------------------------------------
@@ -248,7 +268,8 @@ def match_terms(
         raise ValueError(f"unknown match mode: {mode}")
     asked = _distinct_terms(tokens)
     small = _is_small(asked)
-    postings, known = index.pruned(asked), asked.join(index.terms, "term")
+    postings, stats = index.narrowed(asked)
+    known = asked.join(stats, "term")
     if mode == "phrase" and "positions" not in postings.columns:
         raise ValueError("phrase queries need an index with positions")
     if mode == "any":
@@ -353,22 +374,25 @@ def web_match(index: LexicalIndex, queries: DataFrame, *, qid: str = "qid",
     required = F.array_union("must", F.flatten("phrases"))
     shape = shape.withColumn("required", required)
     every = F.array_distinct(F.concat("required", "should", "must_not"))
-    postings = index.pruned(shape.select(F.explode(every).alias("term")))
+    postings, stats = index.narrowed(shape.select(F.explode(every).alias("term")))
 
     needed = shape.select("qid", F.size("required").alias("n_terms"), F.explode("required").alias("term"))
     small = _is_small(shape.select(F.explode(F.concat("required", "should", "must_not"))))
-    full = _every_term(postings, needed.join(index.terms, "term"), keep, small)
+    full = _every_term(postings, needed.join(stats, "term"), keep, small)
     if "positions" in postings.columns:
         full = _with_phrases(full, shape)
     loose = shape.where(F.size("required") == 0).select("qid", F.explode("should").alias("term"))
     loose = _allowed(join_postings(postings.select("term", "id"), loose, small), keep)
     found = full.select("qid", "id").unionByName(loose.select("qid", "id")).distinct()
+    # Read twice below, and the most work of the query.
+    found = cut_lineage(found)
+    few = found.limit(MAX_BROADCAST_TERMS + 1).count() <= MAX_BROADCAST_TERMS
 
     banned = shape.select("qid", F.explode("must_not").alias("term"))
-    excluded = look_up(postings.select("term", "id"), found, banned, small).select("qid", "id")
+    excluded = look_up(postings.select("term", "id"), found, banned, small, few).select("qid", "id")
     found = found.join(excluded, ["qid", "id"], "left_anti")
     wanted = shape.select("qid", F.explode(F.array_union("required", "should")).alias("term"))
-    return look_up(postings, found, wanted.join(index.terms, "term"), small)
+    return look_up(postings, found, wanted.join(stats, "term"), small, few)
 
 
 def _with_phrases(hits: DataFrame, shape: DataFrame) -> DataFrame:
@@ -443,7 +467,7 @@ def boolean_match(index: LexicalIndex, expr, documents: DataFrame | None = None)
     words = sorted(expression_terms(expr))
     if not words:
         raise ValueError("the expression has no terms")
-    rows = index.postings.where(F.col("term").isin(words))
+    rows, _ = index.of_terms(words)
     positions = (
         F.col("positions") if "positions" in rows.columns else F.array().cast("array<int>")
     )
