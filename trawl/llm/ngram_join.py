@@ -112,10 +112,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 # -- classes that share enough shingles --------------------------------------------------------
 
 _SLICED = pa.schema([("slice", pa.int32()), ("batch", pa.int64()), ("hashes", pa.binary()),
-                     ("keys", pa.binary()), ("counts", pa.binary()), ("credits", pa.binary()),
-                     ("shared", pa.binary())])
-_SLICED_DDL = ("slice int, batch long, hashes binary, keys binary, counts binary, credits binary, "
-               "shared binary")
+                     ("owners", pa.binary()), ("counts", pa.binary()), ("credits", pa.binary()),
+                     ("shared", pa.binary()), ("keys", pa.binary())])
+_SLICED_DDL = ("slice int, batch long, hashes binary, owners binary, counts binary, credits binary, "
+               "shared binary, keys binary")
 
 
 def _sliced(docs: DataFrame, bits: int) -> DataFrame:
@@ -123,7 +123,9 @@ def _sliced(docs: DataFrame, bits: int) -> DataFrame:
 
     A shingle that several classes of the batch hold is sent once, as shared, and credited to them
     at once; so a shingle of many documents costs one entry for each batch. The others are sent as
-    32 bits within their slice, by class.
+    32 bits within their slice, by class. Classes go by their number in the batch, and their keys
+    along with one of its slices. That a class of two batches seems to share with itself only lets
+    it stay on for the next step.
     """
 
     def run(batches):
@@ -158,9 +160,10 @@ def _sliced(docs: DataFrame, bits: int) -> DataFrame:
                     total = np.bincount(own[one], minlength=len(keys))
                     credit = np.bincount(own[~one], minlength=len(keys))
                     there = np.flatnonzero(total + credit)
-                    rows.append((s, part << 32 | number, low[at][one][by_owner].tobytes(), keys[there].tobytes(),
-                                 total[there].astype(np.uint32).tobytes(), credit[there].astype(np.uint32).tobytes(),
-                                 low[at][~one & first[at]].tobytes()))
+                    rows.append((s, part << 32 | number, low[at][one][by_owner].tobytes(),
+                                 there.astype(np.uint16).tobytes(), total[there].astype(np.uint32).tobytes(),
+                                 credit[there].astype(np.uint32).tobytes(), low[at][~one & first[at]].tobytes(),
+                                 None if rows else keys.tobytes()))
                 number += 1
                 yield batch_of(_SLICED, *zip(*rows))
 
@@ -169,39 +172,33 @@ def _sliced(docs: DataFrame, bits: int) -> DataFrame:
 
 def _credits(table: pa.Table) -> pa.Table:
     """For one slice, how many of its shingles each class of each batch shares with other classes."""
-    batches = table["batch"].to_pylist()
-    columns = {n: table[n].to_pylist() for n in ("hashes", "keys", "counts", "credits", "shared")}
-    keys = [np.frombuffer(x, np.int64) for x in columns["keys"]]
-    counts = [np.frombuffer(x, np.uint32) for x in columns["counts"]]
+    columns = {n: table[n].to_pylist() for n in ("hashes", "counts", "credits", "shared")}
+    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in columns["counts"]])
     hashes = np.concatenate([np.frombuffer(x, np.uint32) for x in columns["hashes"]])
-    key_of = np.concatenate([np.repeat(k, c) for k, c in zip(keys, counts)])
-    row_of = np.repeat(np.arange(sum(map(len, keys))), np.concatenate(counts))
+    owner = np.repeat(np.arange(len(counts)), counts)
     known = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in columns["shared"]]))
     order = np.argsort(hashes, kind="stable")
-    h, k = hashes[order], key_of[order]
+    h = hashes[order]
     starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-    common = np.zeros(len(starts), bool)
-    if len(starts):
-        common = np.minimum.reduceat(k, starts) != np.maximum.reduceat(k, starts)
-        if len(known):
-            place = np.minimum(np.searchsorted(known, h[starts]), len(known) - 1)
-            common |= known[place] == h[starts]
-    flags = np.repeat(common, np.diff(np.append(starts, len(h))))
-    total = np.bincount(row_of[order][flags], minlength=sum(map(len, keys)))
+    length = np.diff(np.append(starts, len(h)))
+    common = length > 1  # a batch sends a shingle once
+    if len(known) and len(starts):
+        common |= known[np.minimum(np.searchsorted(known, h[starts]), len(known) - 1)] == h[starts]
+    total = np.bincount(owner[order][np.repeat(common, length)], minlength=len(counts))
     total += np.concatenate([np.frombuffer(x, np.uint32) for x in columns["credits"]])
     # One row for each batch, whatever the number of its classes.
-    parts = np.split(total.astype(np.uint32), np.cumsum([len(x) for x in keys])[:-1])
-    return pa.table({"batch": batches, "keys": pa.array(columns["keys"], pa.binary()),
+    parts = np.split(total.astype(np.uint32), np.cumsum([len(x) // 4 for x in columns["counts"]])[:-1])
+    return pa.table({"batch": table["batch"], "owners": table["owners"], "keys": table["keys"],
                      "credits": pa.array([x.tobytes() for x in parts], pa.binary())})
 
 
 def _sum_credits(table: pa.Table) -> pa.Table:
     """The credits of one batch's classes, summed over the slices."""
-    keys = np.concatenate([np.frombuffer(x, np.int64) for x in table["keys"].to_pylist()])
+    keys = next(np.frombuffer(x, np.int64) for x in table["keys"].to_pylist() if x is not None)
+    owners = np.concatenate([np.frombuffer(x, np.uint16) for x in table["owners"].to_pylist()])
     credits = np.concatenate([np.frombuffer(x, np.uint32) for x in table["credits"].to_pylist()])
-    key8, place = np.unique(keys, return_inverse=True)
-    total = np.bincount(place, credits).astype(np.int64)
-    return pa.table({"key8": key8[total > 0], "credit": total[total > 0]})
+    total = np.bincount(owners, credits, len(keys)).astype(np.int64)
+    return pa.table({"key8": keys[total > 0], "credit": total[total > 0]})
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -212,7 +209,8 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFrame:
     """``rep, n, shingles`` of the classes that share enough of their shingles to link at all."""
     bits = max(0, math.ceil(math.log2(max(1, shingles / SLICE_SHINGLES))))
-    credits = _sliced(docs, bits).groupBy("slice").applyInArrow(_credits, "batch long, keys binary, credits binary")
+    credits = _sliced(docs, bits).groupBy("slice").applyInArrow(
+        _credits, "batch long, owners binary, keys binary, credits binary")
     shared = (credits.groupBy("batch").applyInArrow(_sum_credits, "key8 long, credit long")
               .groupBy("key8").agg(F.max("credit").alias("credit")))
     kept = cut_lineage(classes.join(shared, "key8")
@@ -226,10 +224,9 @@ def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFram
                 texts_of(batch, "doc_id"), texts_of(batch, "key8"), sets) if len(s) and _key8(_key(s)) == k]
             yield batch_of(schema, *(zip(*own) if own else [[]] * 3))
 
-    # Rows that repeat an id: only those with the text of its class, and of them one.
-    rows = (docs.join(_sized(kept, kept.count()), "doc_id").select("doc_id", "key8", "text")
-            .mapInArrow(run, "rep long, n long, shingles binary"))
-    return cut_lineage(rows.groupBy("rep").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")))
+    # Of rows that repeat an id only those with the text of its class; several of them do no harm.
+    return cut_lineage(docs.join(_sized(kept, kept.count()), "doc_id").select("doc_id", "key8", "text")
+                       .mapInArrow(run, "rep long, n long, shingles binary"))
 
 
 # -- coarse groups -----------------------------------------------------------------------------
@@ -500,7 +497,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 def _components_of(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     sets = sharing_sets(docs, classes, total)
     coarse = components(_prefix_links(sets, frequency_levels(sets)))
-    members = cut_lineage(sets.join(coarse.select(F.col("id").alias("rep"), F.col("component").alias("grp")), "rep"))
+    groups = coarse.select(F.col("id").alias("rep"), F.col("component").alias("grp"))
+    members = cut_lineage(sets.join(_sized(groups, groups.count()), "rep"))
     return components(_links_within(members))
 
 
