@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows and bytes that go to a Python worker at once. Texts may be long, and a worker holds a batch
+#: several times over, as texts, hashes and results.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Gives the session Arrow batches of this size, unless it has sizes of its own."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import functions as F
 
 from trawl.llm import toxicity
 from trawl.llm.ann import projected_neighbours
-from trawl.llm.common import id_remainder, labelled_sample, table
+from trawl.llm.common import bound_batches, id_remainder, labelled_sample, table
 from trawl.llm.decontaminate import find_leaks
 from trawl.llm.langid import LanguageModel, identify
 from trawl.llm.ngram_join import near_duplicates
@@ -107,7 +108,16 @@ def op10_clause_toxicity(spark, sf):
                          "score", "predicted", "clauses", "strongest")
 
 
-QUERIES = {f.__name__: shipped(f) for f in (
+def _bounded(run):
+    @wraps(run)
+    def query(spark, sf):
+        bound_batches(spark)
+        return run(spark, sf)
+
+    return shipped(query)
+
+
+QUERIES = {f.__name__: _bounded(f) for f in (
     op1_projected_neighbours, op2_url_rules, op3_language_id, op4_ngram_jaccard_join, op5_benchmark_leaks, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
     op9_token_rollup, op10_clause_toxicity)}
 
