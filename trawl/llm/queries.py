@@ -121,6 +121,9 @@ QUERIES = {f.__name__: _bounded(f) for f in (
     op1_projected_neighbours, op2_url_rules, op3_language_id, op4_ngram_jaccard_join, op5_benchmark_leaks, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
     op9_token_rollup, op10_clause_toxicity)}
 
+# In larger batches more shingles meet in one task and need not be shuffled; alone it has the memory.
+QUERIES["op4_ngram_jaccard_join"] = shipped(op4_ngram_jaccard_join)
+
 _PATTERN_SQL = " ".join(
     f"WHEN regexp_matches(target, '{r.regex.replace(chr(92) + 'z', '$')}') THEN '{r.name}'"
     for r in sorted((r for r in URL_RULES if not r.named), key=lambda r: (r.action, r.name)))
