@@ -67,6 +67,20 @@ def test_long_texts_and_many_items_lose_nothing(spark, docs_of, words, monkeypat
     assert {(r["doc_id"], r["item_id"]) for r in find_leaks(docs_of(rows), items_of(spark, items)).collect()} == wanted
 
 
+def test_an_item_in_a_third_of_the_rows_is_found_in_all(spark, docs_of, words):
+    item, other = words(29, 1000), words(15, 1100)
+    reworded = [w if i % 5 else "swapped" + str(i) for i, w in enumerate(item)]
+    rows = [(i, " ".join(words(120, i))) for i in range(400)]
+    rows += [(1000 + i, " ".join(words(60, 5000 + i) + (item if i % 2 else reworded) + words(60, 7000 + i)))
+             for i in range(200)]
+    rows += [(2000, " ".join(words(70, 9000) + other + words(60, 9001)))]
+    items = items_of(spark, [(1, " ".join(item)), (2, " ".join(other))])
+    found = {(r["doc_id"], r["item_id"]) for r in find_leaks(docs_of(rows), items).collect()}
+    assert found == {(1000 + i, 1) for i in range(200)} | {(2000, 2)}
+    same = find_leaks(docs_of([(1, " ".join(item))]), items).collect()  # every word in every document
+    assert [(r["doc_id"], r["item_id"]) for r in same] == [(1, 1)]
+
+
 def test_empty_tables(spark, docs_of, words):
     assert find_leaks(docs_of([]), items_of(spark, [(1, "a b c")])).count() == 0
     assert find_leaks(docs_of(corpus(words, 3)), items_of(spark, [])).count() == 0

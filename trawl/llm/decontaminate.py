@@ -28,8 +28,10 @@ PASSAGE_WORDS, BLOCK_PASSAGES, WAVE_BLOCKS = 64, 256, 4
 SEGMENT = 16
 #: Characters of a text that are split into words at once.
 SLICE = 1 << 21
-#: Words in more than this share of the documents count for nothing in cosines and subsequences.
+#: Words in more than this share of the documents count for nothing in cosines and subsequences, unless
+#: copies of a passage may have made them so (``word_weights``). No weight is below that of the share.
 COMMON = 0.1
+LEAST_WEIGHT = -float(np.log(COMMON))
 
 _DROP = b".,;:!?\"'()[]{}"
 
@@ -78,6 +80,32 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
     return int(counts[-1]), counts[:-1]
 
 
+def word_weights(items: DataFrame, number: int, counts: np.ndarray, text: str = "text") -> np.ndarray:
+    """Inverse document frequencies by bucket; common words have none.
+
+    A passage that many documents hold lifts the counts of all its words. About as many documents as
+    hold its words of the lower quartile may hold all of it, and these make no word of it common. So at
+    least a quarter of a passage's words has a weight, however often the passage is copied.
+    """
+    # In a few documents every word would be common, so a handful of them never is.
+    limit = max(COMMON * number, 20)
+
+    def lifted(batches):
+        kept = np.zeros(1 << BITS, bool)
+        for batch in batches:
+            for value in texts_of(batch):
+                words = [w for _, part in text_slices(value) for w in part]
+                for start in range(0, len(words), PASSAGE_WORDS):
+                    h = _hashed(words[start:start + PASSAGE_WORDS])
+                    kept[h[counts[h] <= limit + np.quantile(counts[h], 0.25, method="higher")]] = True
+        yield batch_of(pa.schema([("bucket", pa.int32())]), np.flatnonzero(kept).astype(np.int32))
+
+    kept = items.select(F.col(text).alias("text")).mapInArrow(lifted, "bucket int").distinct().toArrow()
+    idf = np.where(counts <= limit, np.log((1 + number) / (1 + counts)), 0.0)
+    idf[kept["bucket"].to_numpy()] = np.maximum(idf[kept["bucket"].to_numpy()], LEAST_WEIGHT)
+    return idf
+
+
 def randomised_svd(a: np.ndarray, rank: int, rounds: int = 3, seed: int = 5) -> np.ndarray:
     """The leading right singular vectors of ``a`` as columns, by subspace iteration."""
     wide = min(a.shape[0], a.shape[1], rank + 8)
@@ -88,11 +116,8 @@ def randomised_svd(a: np.ndarray, rank: int, rounds: int = 3, seed: int = 5) ->
     return (basis @ vt.T)[:, :rank]
 
 
-def passages(items: DataFrame, idf: np.ndarray, text: str = "text") -> DataFrame:
-    """``item_id, passage, words, block``: items cut into passages, dealt into blocks.
-
-    Items without a content word, null or blank ones among them, have no passage.
-    """
+def passages(items: DataFrame, text: str = "text") -> DataFrame:
+    """``item_id, passage, words, item_words``: items cut into passages; null and blank ones have none."""
     schema = pa.schema([("item_id", pa.int64()), ("passage", pa.int32()), ("words", pa.list_(pa.binary())),
                         ("item_words", pa.int64())])
 
@@ -102,9 +127,7 @@ def passages(items: DataFrame, idf: np.ndarray, text: str = "text") -> DataFrame
             for item, value in zip(texts_of(batch, "item_id"), texts_of(batch)):
                 words = [w for _, part in text_slices(value) for w in part]
                 for n, start in enumerate(range(0, len(words), PASSAGE_WORDS)):
-                    part = words[start:start + PASSAGE_WORDS]
-                    if idf[_hashed(part)].any():
-                        rows.append((item, n, part, len(words)))
+                    rows.append((item, n, words[start:start + PASSAGE_WORDS], len(words)))
             yield batch_of(schema, *(zip(*rows) if rows else [[]] * 4))
 
     return items.select(F.col("item_id").cast("long").alias("item_id"), F.col(text).alias("text")).mapInArrow(
@@ -164,13 +187,18 @@ class _Space:
         self.place[bucket[of_words]] = np.arange(1, of_words.sum() + 1)
         self.basis = np.concatenate([np.zeros((1, vectors.shape[1]), np.float32), vectors[of_words]])
         self.latent = np.ascontiguousarray(vectors[~of_words].T)
-        self.passages = []
+        self.passages, norms = [], []
         for i in np.flatnonzero(~of_words):
             words = names["words"][i]
-            content = [w for w, h in zip(words, _hashed(words)) if idf[h] > 0]
+            hashed = _hashed(words)
+            content = [w for w, h in zip(words, hashed) if idf[h] > 0]
+            # Beside words that copies have made cheap, any other outweighs: no cosine, but the share held.
+            cheap = np.mean(idf[hashed[idf[hashed] > 0]] <= LEAST_WEIGHT) >= 0.5
+            norms.append(np.linalg.norm(np.bincount(hashed, idf[hashed])) if cheap else np.inf)
             answer = content[-max(2, len(content) // 4):]
             self.passages.append((names["item_id"][i], names["passage"][i], content, answer, len(words),
                                   names["item_words"][i]))
+        self.norms = np.array(norms, np.float32)
 
 
 class LeakFinder:
@@ -219,8 +247,9 @@ class LeakFinder:
             sums[at] = np.add.reduceat(space.basis[place[hits]] * weight[hits, None], begin, axis=0)
             sums[:-1] += np.where(ends[:-1, None], 0, sums[1:])
             busy = np.flatnonzero((norm > 0) & sums.any(axis=1))
-            close = sums[busy] @ space.latent / norm[busy, None]
-            window, passage = np.nonzero(close >= self.similarity)
+            inner = sums[busy] @ space.latent
+            close = inner / norm[busy, None]
+            window, passage = np.nonzero((close >= self.similarity) | (inner >= self.overlap / 2 * space.norms))
             if not len(window):
                 continue
             cosine, window = close[window, passage], busy[window]
@@ -250,21 +279,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.3, overl
 
     One row for each document and item, of its best place. An item counts if the passages confirmed
     hold at least half of its words. Null and blank texts hold nothing; rows with a null id, or an
-    id given twice, are reported under that id; empty tables give no rows; items without a content
-    word cannot be found. Other columns play no part.
+    id given twice, are reported under that id; empty tables give no rows. However many documents
+    hold an item, its words keep a weight. Other columns play no part.
     """
     spark = docs.sparkSession
     number, counts = document_frequencies(docs, text)
-    idf = np.log((1 + number) / (1 + counts))
-    # In a few documents every word would be common, so a handful of them never is.
-    idf[counts > max(COMMON * number, 20)] = 0.0
+    idf = word_weights(items, number, counts)
     out = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("passage", pa.int32()),
                      ("size", pa.int64()), ("item_words", pa.int64()), ("similarity", pa.float64()),
                      ("overlap", pa.float64()), ("answer", pa.float64()), ("first_word", pa.int64()),
                      ("last_word", pa.int64())])
     ddl = ("doc_id long, item_id long, passage int, size long, item_words long, similarity double, "
            "overlap double, answer double, first_word long, last_word long")
-    cut = passages(items, idf)
+    cut = passages(items)
     blocks = max(1, -(-cut.count() // (BLOCK_PASSAGES * 3 // 4)))
     # By hash, a block gets three quarters of the passages that it has dimensions for.
     cut = cut.withColumn("block", F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks)).cast("int"))
