@@ -81,6 +81,21 @@ def test_an_item_in_a_third_of_the_rows_is_found_in_all(spark, docs_of, words):
     assert [(r["doc_id"], r["item_id"]) for r in same] == [(1, 1)]
 
 
+def test_runs_of_words_are_found_without_the_rest(spark, docs_of, words):
+    item, long, short = words(45, 1000), words(200, 1200), words(6, 1300)
+    pieces = {(100, 1): item[:27], (101, 1): item[:36], (102, 1): item[20:33], (103, 2): long[55:70],
+              (104, 2): long[60:73], (105, 3): short, (106, 2): long[187:]}
+    less = {110: item[:12], 111: long[58:70]}
+    rows = corpus(words)
+    rows += [(d, " ".join(words(150, 6000 + d) + part + words(150, 6500 + d))) for (d, _), part in pieces.items()]
+    rows += [(d, " ".join(words(150, 6000 + d) + part + words(150, 6500 + d))) for d, part in less.items()]
+    items = items_of(spark, [(1, " ".join(item)), (2, " ".join(long)), (3, " ".join(short))])
+    found = {(r["doc_id"], r["item_id"]): r for r in find_leaks(docs_of(rows), items).collect()}
+    assert set(found) == set(pieces)
+    assert (found[102, 1]["first_word"], found[102, 1]["last_word"]) == (150, 163)
+    assert found[102, 1]["overlap"] == 13 / 45 and 0 < found[102, 1]["similarity"] < 1
+
+
 def test_empty_tables(spark, docs_of, words):
     assert find_leaks(docs_of([]), items_of(spark, [(1, "a b c")])).count() == 0
     assert find_leaks(docs_of(corpus(words, 3)), items_of(spark, [])).count() == 0

@@ -4,8 +4,10 @@ Benchmark passages become TF-IDF rows over hashed words, with document frequenci
 corpus. Blocks of them are factored by randomised SVD, each block in a task of its own; a block has
 no more passages than dimensions, so that its latent space keeps their inner products. The corpus is
 then read once per wave of blocks: overlapping windows of words are folded into the latent space, and
-windows close to a passage by cosine are candidates. A candidate counts only if the longest common
-subsequence of content words covers the passage, and the passage's answer is there.
+windows close to a passage by cosine are candidates. A candidate counts if the longest common
+subsequence of content words covers 0.8 of the passage, or 0.6 with half of the passage's answer, its
+last quarter. Beside this, ``RUN`` words of an item in a row count wherever they stand, by an index of
+all such runs and without any weights.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from trawl.llm.common import batch_of, texts_of
 BITS = 16
 #: Words of a passage at most, passages and dimensions of a block, blocks sent out at a time.
 PASSAGE_WORDS, BLOCK_PASSAGES, WAVE_BLOCKS = 64, 256, 4
+#: So many words of an item in a row are a leak; of a shorter item all words, from SHORT_RUN words on.
+RUN, SHORT_RUN = 13, 5
 #: A window is two segments of this many words.
 SEGMENT = 16
 #: Characters of a text that are split into words at once.
@@ -54,8 +58,22 @@ def text_slices(text: str | None, carry: int = 0) -> Iterator[tuple[int, list[by
         at = end
 
 
+def _crc(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+
+
 def _hashed(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) >> np.uint32(32 - BITS)
+    return _crc(words) >> np.uint32(32 - BITS)
+
+
+def _runs_of(crc: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each ``length`` consecutive words; the last ``length`` - 1 words begin none."""
+    count = max(0, len(crc) - length + 1)
+    out = np.zeros(count, np.uint64)
+    for i in range(length):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += crc[i:i + count]
+    return out ^ out >> np.uint64(29)
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarray]:
@@ -117,9 +135,12 @@ def randomised_svd(a: np.ndarray, rank: int, rounds: int = 3, seed: int = 5) ->
 
 
 def passages(items: DataFrame, text: str = "text") -> DataFrame:
-    """``item_id, passage, words, item_words``: items cut into passages; null and blank ones have none."""
+    """``item_id, passage, words, after, item_words``: items cut into passages; null and blank ones have none.
+
+    ``after`` is what follows in the item, as far as runs that begin in the passage go.
+    """
     schema = pa.schema([("item_id", pa.int64()), ("passage", pa.int32()), ("words", pa.list_(pa.binary())),
-                        ("item_words", pa.int64())])
+                        ("after", pa.list_(pa.binary())), ("item_words", pa.int64())])
 
     def cut(batches):
         for batch in batches:
@@ -127,11 +148,12 @@ def passages(items: DataFrame, text: str = "text") -> DataFrame:
             for item, value in zip(texts_of(batch, "item_id"), texts_of(batch)):
                 words = [w for _, part in text_slices(value) for w in part]
                 for n, start in enumerate(range(0, len(words), PASSAGE_WORDS)):
-                    rows.append((item, n, words[start:start + PASSAGE_WORDS], len(words)))
-            yield batch_of(schema, *(zip(*rows) if rows else [[]] * 4))
+                    end = start + PASSAGE_WORDS
+                    rows.append((item, n, words[start:end], words[end:end + RUN - 1], len(words)))
+            yield batch_of(schema, *(zip(*rows) if rows else [[]] * 5))
 
     return items.select(F.col("item_id").cast("long").alias("item_id"), F.col(text).alias("text")).mapInArrow(
-        cut, "item_id long, passage int, words array<binary>, item_words long")
+        cut, "item_id long, passage int, words array<binary>, after array<binary>, item_words long")
 
 
 def latent_blocks(cut: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -153,13 +175,14 @@ def latent_blocks(cut: DataFrame, idf: np.ndarray) -> DataFrame:
             "item_id": rows["item_id"].tolist() + [None] * len(buckets),
             "passage": rows["passage"].tolist() + [None] * len(buckets),
             "words": rows["words"].tolist() + [None] * len(buckets),
+            "after": rows["after"].tolist() + [None] * len(buckets),
             "item_words": rows["item_words"].tolist() + [None] * len(buckets),
             "vector": [*latent.astype(np.float32).tolist(), *basis.astype(np.float32).tolist()]}).astype(
                 {"bucket": "Int32", "item_id": "Int64", "passage": "Int32", "item_words": "Int64"})
 
     return cut.groupBy("block").applyInPandas(
-        factor, "block int, bucket int, item_id long, passage int, words array<binary>, item_words long, "
-                "vector array<float>")
+        factor, "block int, bucket int, item_id long, passage int, words array<binary>, after array<binary>, "
+                "item_words long, vector array<float>")
 
 
 def common_subsequence(pattern: list, text: list) -> int:
@@ -201,16 +224,85 @@ class _Space:
         self.norms = np.array(norms, np.float32)
 
 
+class _Runs:
+    """The runs of words of all passages of a wave, by hash; what is found is compared word by word."""
+
+    def __init__(self, rows: pa.Table, idf: np.ndarray):
+        rows = rows.filter(rows["bucket"].is_null())
+        self.idf, self.texts, self.sizes, self.names, found = idf, [], [], [], {}
+        for item, part, words, after, size in zip(*(rows[n].to_pylist() for n in (
+                "item_id", "passage", "words", "after", "item_words"))):
+            length = min(RUN, size)
+            if length < SHORT_RUN:
+                continue
+            runs = _runs_of(_crc(words + after), length)[:len(words)]
+            found.setdefault(length, []).append(
+                (runs, np.full(len(runs), len(self.texts)), np.arange(len(runs))))
+            self.texts.append(words + after)
+            self.sizes.append(len(words))
+            self.names.append((item, part, len(words), size))
+        self.tables = []
+        for length, parts in found.items():
+            runs, passage, place = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(runs, kind="stable")
+            known = np.zeros(1 << 20, bool)
+            known[runs & np.uint64((1 << 20) - 1)] = True
+            self.tables.append((length, known, runs[order], passage[order], place[order]))
+
+    def find(self, runs, crc: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple]:
+        """What ``LeakFinder.find`` yields, for the longest run of each text slice and passage."""
+        best: dict = {}
+        for length, known, table, passage, place in self.tables:
+            hashes = _runs_of(crc, length)
+            at = np.flatnonzero(known[hashes & np.uint64((1 << 20) - 1)])
+            low = np.searchsorted(table, hashes[at])
+            hit = low < len(table)
+            at, low = at[hit], low[hit]
+            there = table[low] == hashes[at]
+            at, low = at[there], low[there]
+            owner = np.searchsorted(starts, at, side="right") - 1
+            inside = at - starts[owner] + length <= lengths[owner]
+            at, low, owner = at[inside], low[inside], owner[inside]
+            high = np.searchsorted(table, hashes[at], side="right")
+            open_runs: dict = {}
+            for position, lo, hi, run in zip(at.tolist(), low.tolist(), high.tolist(), owner.tolist()):
+                begin = position - int(starts[run])
+                words = runs[run][2][begin:begin + length]
+                for p, q in zip(passage[lo:hi].tolist(), place[lo:hi].tolist()):
+                    if self.texts[p][q:q + length] != words:
+                        continue
+                    # A hit continues the one a word before it, in the text and in the passage.
+                    key = run, p, q - begin
+                    seen = open_runs.get(key)
+                    first = seen[0] if seen and seen[1] == begin - 1 else begin
+                    open_runs[key] = first, begin
+                    top = best.get((run, p))
+                    if top is None or begin + length - first > top[1] - top[0]:
+                        best[run, p] = first, begin + length, q - (begin - first)
+        for (run, p), (first, last, place) in best.items():
+            row, before, words = runs[run]
+            item, part, size, item_words = self.names[p]
+            text, run_words = self.texts[p], last - first
+            whole, held = _hashed(text[:size]), _hashed(text[place:place + run_words])
+            a, b = (np.bincount(h, self.idf[h], 1 << BITS) for h in (whole, held))
+            answer = max(2, size // 4)
+            cosine = a @ b / max(1e-12, np.linalg.norm(a) * np.linalg.norm(b))
+            yield (row, item, part, size, item_words, float(cosine), min(1.0, run_words / size),
+                   min(1.0, max(0, min(place + run_words, size) - max(place, size - answer)) / answer),
+                   int(before + first), int(before + last), True)
+
+
 class LeakFinder:
     """The blocks of a wave; compares a batch of texts with all their passages."""
 
     def __init__(self, rows: pa.Table, idf: np.ndarray, similarity: float, overlap: float):
         self.idf, self.similarity, self.overlap = idf.astype(np.float32), similarity, overlap
         block = rows["block"].to_numpy()
+        self.runs = _Runs(rows, idf)
         self.spaces = [_Space(rows.filter(pa.array(block == b)), idf) for b in np.unique(block)]
 
     def find(self, texts: list) -> Iterator[tuple]:
-        """(row, item, passage, its words, item's words, cosine, overlap, answer, first word, last word)."""
+        """(row, item, passage, its words, item's words, cosine, overlap, answer, first, last word, verbatim)."""
         runs, held = [], 0
         for row, text in enumerate(texts):
             for before, words in text_slices(text, carry=4 * PASSAGE_WORDS):
@@ -226,7 +318,9 @@ class LeakFinder:
     def _compare(self, runs) -> Iterator[tuple]:
         lengths = np.array([len(w) for _, _, w in runs])
         starts = np.cumsum(lengths) - lengths
-        hashed = np.concatenate([_hashed(w) for _, _, w in runs])
+        crc = np.concatenate([_crc(w) for _, _, w in runs])
+        yield from self.runs.find(runs, crc, starts, lengths)
+        hashed = crc >> np.uint32(32 - BITS)
         weight = self.idf[hashed]
         segments = -(-lengths // SEGMENT)
         first = np.cumsum(segments) - segments
@@ -270,15 +364,19 @@ class LeakFinder:
                 answered = common_subsequence(answer, kept) / len(answer)
                 if covered >= 0.8 or covered >= self.overlap and answered >= 0.5:
                     yield (row, item, part, size, item_words, float(cosine[lo:hi].max()), covered, answered,
-                           int(before + left), int(before + right))
+                           int(before + left), int(before + right), False)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.3, overlap: float = 0.6,
                id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, item_id, similarity, overlap, answer, first_word, last_word``: documents with items.
 
-    One row for each document and item, of its best place. An item counts if the passages confirmed
-    hold at least half of its words. Null and blank texts hold nothing; rows with a null id, or an
+    One row for each document and item, of its best place. An item counts if ``RUN`` words of it stand
+    in a row (all of it if it has fewer, from ``SHORT_RUN`` on), or if confirmed passages hold at least
+    half of its words. A passage of up to 64 words is confirmed by 0.8 of its content words in order, or
+    by ``overlap`` of them and half of its answer, the last quarter; windows are looked at from the cosine
+    ``similarity`` on. For runs, the columns tell the cosine with the passage and the shares of the
+    passage's and of its answer's words. Null and blank texts hold nothing; rows with a null id, or an
     id given twice, are reported under that id; empty tables give no rows. However many documents
     hold an item, its words keep a weight. Other columns play no part.
     """
@@ -288,9 +386,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.3, overl
     out = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("passage", pa.int32()),
                      ("size", pa.int64()), ("item_words", pa.int64()), ("similarity", pa.float64()),
                      ("overlap", pa.float64()), ("answer", pa.float64()), ("first_word", pa.int64()),
-                     ("last_word", pa.int64())])
+                     ("last_word", pa.int64()), ("verbatim", pa.bool_())])
     ddl = ("doc_id long, item_id long, passage int, size long, item_words long, similarity double, "
-           "overlap double, answer double, first_word long, last_word long")
+           "overlap double, answer double, first_word long, last_word long, verbatim boolean")
     cut = passages(items)
     blocks = max(1, -(-cut.count() // (BLOCK_PASSAGES * 3 // 4)))
     # By hash, a block gets three quarters of the passages that it has dimensions for.
@@ -315,10 +413,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.3, overl
             hits = hits.unionAll(rows.mapInArrow(scanner(finder), ddl))
     best = F.struct("similarity", "overlap", "answer", "first_word", "last_word")
     by_passage = hits.groupBy("doc_id", "item_id", "passage", "size", "item_words").agg(
-        F.max(F.struct("overlap", best.alias("best"))).alias("top"))
+        F.max(F.struct("overlap", best.alias("best"))).alias("top"), F.max("verbatim").alias("verbatim"))
     return (by_passage.groupBy("doc_id", "item_id", "item_words").agg(
-                F.sum("size").alias("found"), F.max("top").alias("top"))
-            .where("2 * found >= item_words")
+                F.sum("size").alias("found"), F.max("top").alias("top"), F.max("verbatim").alias("verbatim"))
+            .where("verbatim OR 2 * found >= item_words")
             .select("doc_id", "item_id", "top.best.similarity", "top.best.overlap", "top.best.answer",
                     "top.best.first_word", "top.best.last_word"))
 
