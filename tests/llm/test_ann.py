@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from conftest import SF
-from trawl.llm.ann import chi_square_cdf, chi_square_quantile, projected_neighbours
+from trawl.llm.ann import ProjectedTree, chi_square_cdf, chi_square_quantile, projected_neighbours
 from trawl.llm.queries import QUERIES
 
 
@@ -60,3 +60,14 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")
     assert projected_neighbours(empty, empty).count() == 0
     assert projected_neighbours(one, one).count() == 0
+
+
+def test_copies_of_the_query_are_ranked_by_id_whatever_the_rounding():
+    rnd = np.random.default_rng(11)
+    vector, directions = rnd.standard_normal(64), rnd.standard_normal((64, 16))
+    ids = rnd.permutation(700)
+    tree = ProjectedTree(ids, np.concatenate([np.tile(vector, (600, 1)), rnd.standard_normal((100, 64))]),
+                             directions)
+    for point in (np.nextafter(vector @ directions, np.inf), np.nextafter(vector @ directions, -np.inf)):
+        found, distances = tree.search(-1, vector, point, 10, chi_square_quantile(0.95, 16))
+        assert found.tolist() == sorted(ids[:600])[:10] and not distances.any()

@@ -50,6 +50,8 @@ class ProjectedTree:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, directions: np.ndarray):
         points = vectors @ directions
+        # Products of the same vector in two matrices may differ by this much of its length.
+        self.rounding = 4 * len(directions) * np.finfo(float).eps * np.linalg.norm(directions)
         leaves, todo = [], [np.arange(len(ids))]
         while todo:
             rows = todo.pop()
@@ -70,17 +72,19 @@ class ProjectedTree:
         """(ids, distances) of the k nearest verified vectors, nearest first, ties to smaller ids.
 
         Leaves come up in the order of their boxes' projected distance. A leaf or point is passed
-        over, and the search over, once its projected distance is ``stop`` times the k-th best.
+        over, and the search over, once its squared projected distance is more than ``stop`` times the
+        square of the k-th best, beyond rounding; so copies of the query are all verified.
         """
+        length = np.linalg.norm(vector)
         gap = np.maximum(self.low - point, 0) + np.maximum(point - self.high, 0)
         near = np.einsum("ij,ij->i", gap, gap)
-        ids, best, kth = np.zeros(0, self.ids.dtype), np.zeros(0), np.inf
+        ids, best, most = np.zeros(0, self.ids.dtype), np.zeros(0), np.inf
         for leaf in np.argsort(near, kind="stable"):
-            if near[leaf] > stop * kth * kth:
+            if near[leaf] > most:
                 break
             at = slice(self.starts[leaf], self.ends[leaf])
             apart = self.points[at] - point
-            take = np.flatnonzero((np.einsum("ij,ij->i", apart, apart) <= stop * kth * kth)
+            take = np.flatnonzero((np.einsum("ij,ij->i", apart, apart) <= most)
                                   & (self.ids[at] != query_id)) + self.starts[leaf]
             if not len(take):
                 continue
@@ -92,6 +96,7 @@ class ProjectedTree:
             first = np.sort(np.unique(ids, return_index=True)[1])[:k]
             ids, best = ids[first], best[first]
             kth = best[-1] if len(best) == k else np.inf
+            most = (math.sqrt(stop) * kth + self.rounding * (length + kth)) ** 2
         return ids, best
 
 
