@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from trawl.llm import toxicity
+from trawl.llm import pii, toxicity
 from trawl.llm.ann import projected_neighbours
 from trawl.llm.common import bound_batches, id_remainder, labelled_sample, table
 from trawl.llm.decontaminate import find_leaks
@@ -18,6 +18,7 @@ from trawl.llm.quality import SAMPLE_ROWS, fit_quality, score_quality
 from trawl.llm.rollup import TokenRollup, count_tokens
 from trawl.llm.sharding import assign_shards
 from trawl.llm.url_rules import glob_rule, host_rule, judge_urls
+from trawl.llm.whitening import whiten
 from trawl.plans.registry import shipped
 from trawl.session import scratch_path
 
@@ -108,6 +109,20 @@ def op10_clause_toxicity(spark, sf):
                          "score", "predicted", "clauses", "strongest")
 
 
+def op11_personal_data(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit_field(docs))
+    base = F.filter("found", lambda s: s["by_rule"])
+    return found.select(
+        "doc_id",
+        *(pii.span_count(base, kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("found")).alias("spans"))
+
+
+def op13_embedding_whitening(spark, sf):
+    return whiten(table(spark, sf, "embeddings"))
+
+
 def _bounded(run):
     @wraps(run)
     def query(spark, sf):
@@ -119,7 +134,7 @@ def _bounded(run):
 
 QUERIES = {f.__name__: _bounded(f) for f in (
     op1_projected_neighbours, op2_url_rules, op3_language_id, op4_ngram_jaccard_join, op5_benchmark_leaks, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
-    op9_token_rollup, op10_clause_toxicity)}
+    op9_token_rollup, op10_clause_toxicity, op11_personal_data, op13_embedding_whitening)}
 
 # In larger batches more shingles meet in one task and need not be shuffled; alone it has the memory.
 QUERIES["op4_ngram_jaccard_join"] = shipped(op4_ngram_jaccard_join)
