@@ -17,6 +17,7 @@ from trawl.llm.packing import pack
 from trawl.llm.quality import SAMPLE_ROWS, fit_quality, score_quality
 from trawl.llm.rollup import TokenRollup, count_tokens
 from trawl.llm.sharding import assign_shards
+from trawl.llm.spelling import count_words, group_variants
 from trawl.llm.url_rules import glob_rule, host_rule, judge_urls
 from trawl.llm.whitening import whiten
 from trawl.plans.registry import shipped
@@ -119,6 +120,10 @@ def op11_personal_data(spark, sf):
         F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("found")).alias("spans"))
 
 
+def op12_spelling_variants(spark, sf):
+    return group_variants(count_words(table(spark, sf, "documents")))
+
+
 def op13_embedding_whitening(spark, sf):
     return whiten(table(spark, sf, "embeddings"))
 
@@ -134,7 +139,8 @@ def _bounded(run):
 
 QUERIES = {f.__name__: _bounded(f) for f in (
     op1_projected_neighbours, op2_url_rules, op3_language_id, op4_ngram_jaccard_join, op5_benchmark_leaks, op6_additive_quality, op7_byte_shards, op8_best_fit_packing,
-    op9_token_rollup, op10_clause_toxicity, op11_personal_data, op13_embedding_whitening)}
+    op9_token_rollup, op10_clause_toxicity, op11_personal_data,
+    op12_spelling_variants, op13_embedding_whitening)}
 
 # In larger batches more shingles meet in one task and need not be shuffled; alone it has the memory.
 QUERIES["op4_ngram_jaccard_join"] = shipped(op4_ngram_jaccard_join)
@@ -158,4 +164,37 @@ SELECT page_id, host, path, split_part(named, ' ', 2) AS rule,
        CASE WHEN named IS NULL THEN general END AS pattern,
        CASE WHEN named IS NOT NULL THEN split_part(named, ' ', 1)
             WHEN general IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict FROM d""",
+    # The checksum byte by byte; words one edit apart share what is left when a code point goes, or one
+    # is what is left of the other.
+    "op12_spelling_variants": r"""
+WITH RECURSIVE t AS (
+    SELECT list(c ORDER BY i) AS crc FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+        CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i))),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(h) // 2),
+        lambda i: ('0x' || substr(h, (2 * i + 1)::INT, 2))::BIGINT)),
+    lambda c, b: xor(c // 256, t.crc[xor(c % 256, b) + 1]))) AS h FROM bytes, t),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT)
+        || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS most FROM pairs GROUP BY word),
+first AS (SELECT p.word, min(other) AS other FROM pairs p JOIN best b ON p.word = b.word AND other_n = most GROUP BY p.word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN other END AS form,
+        CASE WHEN most >= 5 * w.n THEN most END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word LEFT JOIN first f ON f.word = w.word),
+chain AS (SELECT word, word AS root FROM forms
+    UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c ON c.word = f.word JOIN forms e ON e.word = c.root AND e.form IS NULL""",
 }
