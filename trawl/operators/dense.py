@@ -250,6 +250,25 @@ def grid_topk(queries: DataFrame, corpus: DataFrame, out: T.StructType, k: int,
     return pair_blocks(left, right, ["qb", "cb"], topk_kernel(metric, k, arrow_schema(out)), out)
 
 
+def pruned_topk(queries: DataFrame, corpus: DataFrame, out: T.StructType, k: int, metric: Metric,
+                qid: str, qvec: str, id: str, vec: str, always: bool = False) -> DataFrame | None:
+    """The join over Voronoi cells, or ``None`` where it does not apply or ships more than the grid."""
+    from trawl.operators import voronoi
+
+    if metric not in voronoi.METRICS or k < 1:
+        return None
+    left = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
+    right = corpus.select(F.col(id).alias("id"), F.col(vec).alias("v"))
+    cells = voronoi.plan_cells(left, right, k, metric)
+    if cells is None:
+        return None
+    n_queries, n_rows = int(cells.queries.sum()), corpus.count()
+    q_blocks, c_blocks = block_count(n_queries, QUERY_BLOCK), block_count(n_rows, CORPUS_BLOCK)
+    if not always and cells.shipped >= n_queries * c_blocks + n_rows * q_blocks:
+        return None
+    return voronoi.voronoi_topk(left, right, out, k, cells)
+
+
 def topk_kernel(metric: Metric, k: int, wire: pa.Schema):
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -279,18 +298,22 @@ def knn_join(
 ) -> DataFrame:
     """Exact ``k`` nearest rows of ``corpus`` per query: ``qid, id, rank, distance``.
 
-    ``where`` filters the corpus first.  ``layout`` forces ``broadcast`` or ``grid``.
+    ``where`` filters the corpus first.  ``layout`` forces ``broadcast``, ``grid`` or ``pruned``.
+    Query tables too large to broadcast are joined over Voronoi cells where that ships fewer rows
+    than the grid of blocks; inner products have no triangle inequality and keep the grid.
     """
     metric = Metric(metric)
     if where is not None:
         corpus = corpus.where(where)
     out = result_schema(queries, qid, corpus, id)
-    block = None if layout == "grid" else small_queries(queries, qid, qvec)
+    block = small_queries(queries, qid, qvec) if layout in ("auto", "broadcast") else None
     if block is not None:
-        hits = scan_topk(corpus, out, block, k, metric, id, vec)
-    elif layout == "broadcast":
+        return rank_best(scan_topk(corpus, out, block, k, metric, id, vec), k)
+    if layout == "broadcast":
         raise ValueError("the query table is too large to broadcast")
-    else:
+    hits = None if layout == "grid" else pruned_topk(
+        queries, corpus, out, k, metric, qid, qvec, id, vec, always=layout == "pruned")
+    if hits is None:
         hits = grid_topk(queries, corpus, out, k, metric, qid, qvec, id, vec)
     return rank_best(hits, k)
 

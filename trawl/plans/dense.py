@@ -63,6 +63,9 @@ SELECT qid, id, rank, {sql_tidy(sql_relevance(_m))} AS relevance FROM hits"""
 
 QUERIES["knn_join_blocks"] = _knn("cosine", "grid")
 ORACLES["knn_join_blocks"] = ORACLES["knn_join_cosine"]
+for _name, _m in (("knn_join_pruned", "l2"), ("knn_join_pruned_cosine", "cosine"), ("knn_join_pruned_l1", "l1")):
+    QUERIES[_name] = _knn(_m, "pruned")
+    ORACLES[_name] = ORACLES[f"knn_join_{_m}"]
 
 
 def dense_filtered(spark, sf):
