@@ -2,7 +2,11 @@
 
 The index is three tables: ``postings`` (one row per term and document), ``terms`` (document and
 total frequency of each term) and ``totals`` (one row).  At rest the postings are partitioned by a
-hash bucket of the term and sorted by term, so a search reads only the buckets of its terms.
+hash bucket of the term and sorted by term, so a search reads only the buckets of its terms.  A
+fourth, ``bounds``, is kept on request: what a document of a range can score at most.
+
+Query tables that pass a size check are evaluated range by range of documents (``ranges``); larger
+ones by the joins below.
 
 A frequent term owns a large share of the postings.  Postings are therefore never shuffled by term
 alone: the build groups the tokens of a document where its row lies, and the search replicates the
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.functions.text import SPLIT_LOWER, Analyzer, string_array
+from trawl.operators import ranges
 from trawl.session import cut_lineage
 
 DEFAULT_BUCKETS = 256
@@ -113,6 +118,8 @@ class LexicalIndex:
     totals: DataFrame
     analyzer: Analyzer = SPLIT_LOWER
     buckets: int = DEFAULT_BUCKETS
+    #: ``term, range, tf, dl``: greatest frequency and least length of a term in a range.
+    bounds: DataFrame | None = None
     _sums: tuple[int, int] | None = field(default=None, repr=False)
 
     @classmethod
@@ -126,8 +133,8 @@ class LexicalIndex:
     def with_bucket(self, postings: DataFrame) -> DataFrame:
         return postings.withColumn("bucket", _bucket(F.col("term"), self.buckets))
 
-    def write(self, store) -> "LexicalIndex":
-        """Save the index in a ``Folder`` or ``Tables`` store.
+    def write(self, store, bounds: bool = False) -> "LexicalIndex":
+        """Save the index in a ``Folder`` or ``Tables`` store, with score ``bounds`` on request.
 
         A bucket is cut by document into as many sorted files as keep any one term below
         ``DOCS_PER_FILE`` rows in each, however frequent it is.
@@ -135,8 +142,11 @@ class LexicalIndex:
         n_docs = self.totals.select("n_docs").first()[0]
         cuts = max(1, math.ceil(n_docs / DOCS_PER_FILE))
         cut = F.pmod(F.xxhash64("id"), F.lit(cuts))
-        sorted_files = self.postings.repartition(F.col("bucket"), cut)
-        sorted_files = sorted_files.sortWithinPartitions("bucket", "term", "id")
+        rows, order = self.postings, ["bucket", "term", "id"]
+        if bounds:
+            rows = rows.withColumn("range", ranges.range_of(F.col("id"), F.col("dl"), n_docs))
+            order = ["bucket", "term", "range", "id"]
+        sorted_files = rows.repartition(F.col("bucket"), cut).sortWithinPartitions(*order)
         postings = store.save("postings", sorted_files, partition="bucket")
         terms = store.save("terms", term_stats(postings).sortWithinPartitions("term"))
         # Only the document count is taken from the rows; tokens are summed from the terms.
@@ -145,13 +155,19 @@ class LexicalIndex:
             [(n_docs, n_tokens, self.buckets)], "n_docs bigint, n_tokens bigint, buckets int"
         )
         totals = store.save("totals", row.coalesce(1))
-        return LexicalIndex(postings, terms, totals, self.analyzer, self.buckets)
+        kept = None
+        if bounds:
+            kept = (postings.groupBy("bucket", "term", "range").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")))
+            kept = store.save("bounds", kept.repartition("bucket").sortWithinPartitions("bucket", "term", "range"),
+                              partition="bucket")
+        return LexicalIndex(postings, terms, totals, self.analyzer, self.buckets, kept)
 
     @classmethod
     def read(cls, store, analyzer: Analyzer = SPLIT_LOWER) -> "LexicalIndex":
         totals = store.load("totals")
         buckets = int(totals.first()["buckets"])
-        return cls(store.load("postings"), store.load("terms"), totals, analyzer, buckets)
+        kept = store.load("bounds") if store.has("bounds") else None
+        return cls(store.load("postings"), store.load("terms"), totals, analyzer, buckets, kept)
 
     def sums(self) -> tuple[int, int]:
         """(documents, tokens), read once from the one-row table."""
@@ -177,13 +193,24 @@ class LexicalIndex:
 
     def of_terms(self, terms: list[str]) -> tuple[DataFrame, DataFrame]:
         """As ``narrowed``, of a list of terms that is short by nature."""
+        chosen = F.col("term").isin(terms)
+        if len(terms) > 8 * self.buckets:  # hardly a bucket is without one
+            return self.postings.where(chosen), self.terms.where(chosen)
         spark = self.postings.sparkSession
         rows = spark.createDataFrame([(t,) for t in terms], "term string")
         buckets = [r[0] for r in rows.select(_bucket(F.col("term"), self.buckets)).distinct().collect()]
-        chosen = F.col("term").isin(terms)
         return self.postings.where(F.col("bucket").isin(buckets) & chosen), self.terms.where(chosen)
 
 
+    def of_many(self, terms: list[str]) -> tuple[DataFrame, DataFrame]:
+        """As ``narrowed``, of a list of any length that a check allowed on the driver."""
+        if len(terms) <= MAX_PUSHED_TERMS:
+            return self.of_terms(terms)
+        spark = self.postings.sparkSession
+        wanted = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))
+        return self.postings.join(wanted, "term", "left_semi"), self.terms.join(wanted, "term", "left_semi")
+
+
 # -- scorers -----------------------------------------------------------------------------
 
 # Published defaults of the ranking formulas.
@@ -253,6 +280,26 @@ def _allowed(rows: DataFrame, keep: DataFrame | None) -> DataFrame:
     return rows if keep is None else rows.join(keep, "id", "left_semi")
 
 
+def tokens_shape(tokens: DataFrame, mode: str) -> DataFrame:
+    """``qid, tokens`` as required and optional terms and phrases."""
+    if mode not in ("all", "any", "phrase"):
+        raise ValueError(f"unknown match mode: {mode}")
+    none, words = string_array([]), F.coalesce(F.array_distinct("tokens"), string_array([]))
+    phrase = F.array(F.col("tokens")) if mode == "phrase" else F.array().cast("array<array<string>>")
+    return tokens.where("tokens IS NOT NULL").select(
+        "qid", (none if mode == "any" else words).alias("required"),
+        (words if mode == "any" else none).alias("should"), none.alias("must_not"), phrase.alias("phrases"))
+
+
+def small_search(index: LexicalIndex, tokens: DataFrame, mode: str, keep: DataFrame | None) -> ranges.Search | None:
+    """The batch as a search by ranges, or ``None`` if it is too large to broadcast."""
+    shape = tokens_shape(tokens, mode)
+    if mode == "phrase" and "positions" not in index.postings.columns:
+        raise ValueError("phrase queries need an index with positions")
+    asked = ranges.Asked.of(shape, MAX_BROADCAST_TERMS)
+    return None if asked is None else ranges.Search(index, asked, keep)
+
+
 def match_terms(
     index: LexicalIndex,
     tokens: DataFrame,
@@ -264,8 +311,9 @@ def match_terms(
     ``all`` needs every term of the query, ``any`` at least one, ``phrase`` every term in
     order and adjacent.  ``keep`` (column ``id``) restricts the documents.
     """
-    if mode not in ("all", "any", "phrase"):
-        raise ValueError(f"unknown match mode: {mode}")
+    search = small_search(index, tokens, mode, keep)
+    if search is not None:
+        return search.hits(tokens.schema["qid"].dataType)
     asked = _distinct_terms(tokens)
     small = _is_small(asked)
     postings, stats = index.narrowed(asked)
@@ -346,23 +394,25 @@ def lexical_topk(
     qid: str = "qid",
     text: str = "text",
     keep: DataFrame | None = None,
+    prune: bool | None = None,
 ) -> DataFrame:
-    """Best ``k`` matching documents per text query: ``qid, id, rank, score``."""
+    """Best ``k`` matching documents per text query: ``qid, id, rank, score``.
+
+    ``prune`` forces, or forbids, that score bounds rule out ranges of documents first; they change
+    no result.
+    """
     tokens = query_tokens(queries, qid, text, index.analyzer)
+    search = small_search(index, tokens, mode, keep)
+    if search is not None:
+        return best_scores(search.top(scorer, k, tokens.schema["qid"].dataType, SCORE_DECIMALS, prune), k)
     return best_scores(score_hits(index, match_terms(index, tokens, mode, keep), scorer), k)
 
 
 # -- Boolean queries ---------------------------------------------------------------------
 
 
-def web_match(index: LexicalIndex, queries: DataFrame, *, qid: str = "qid",
-              keep: DataFrame | None = None) -> DataFrame:
-    """Matched rows of queries given as columns ``must, should, must_not`` and ``phrases``.
-
-    A document needs every ``must`` term and phrase, no ``must_not`` term, and one ``should``
-    term when nothing else is required.  Terms are already analyzed; ``phrases`` holds
-    token arrays.  A query without a positive part matches nothing.
-    """
+def web_shape(queries: DataFrame, qid: str) -> DataFrame:
+    """``qid, must, should, must_not, phrases, required`` without nulls and repeats."""
     none = string_array([])
     shape = queries.select(
         F.col(qid).alias("qid"),
@@ -372,7 +422,21 @@ def web_match(index: LexicalIndex, queries: DataFrame, *, qid: str = "qid",
         F.coalesce("phrases", F.array().cast("array<array<string>>")).alias("phrases"),
     )
     required = F.array_union("must", F.flatten("phrases"))
-    shape = shape.withColumn("required", required)
+    return shape.withColumn("required", required)
+
+
+def web_match(index: LexicalIndex, queries: DataFrame, *, qid: str = "qid",
+              keep: DataFrame | None = None) -> DataFrame:
+    """Matched rows of queries given as columns ``must, should, must_not`` and ``phrases``.
+
+    A document needs every ``must`` term and phrase, no ``must_not`` term, and one ``should``
+    term when nothing else is required.  Terms are already analyzed; ``phrases`` holds
+    token arrays.  A query without a positive part matches nothing.
+    """
+    shape = web_shape(queries, qid)
+    search = small_web_search(index, shape, keep)
+    if search is not None:
+        return search.hits(shape.schema["qid"].dataType)
     every = F.array_distinct(F.concat("required", "should", "must_not"))
     postings, stats = index.narrowed(shape.select(F.explode(every).alias("term")))
 
@@ -395,6 +459,23 @@ def web_match(index: LexicalIndex, queries: DataFrame, *, qid: str = "qid",
     return look_up(postings, found, wanted.join(stats, "term"), small, few)
 
 
+def small_web_search(index: LexicalIndex, shape: DataFrame, keep: DataFrame | None) -> ranges.Search | None:
+    # A term that is required as well as optional scores once.
+    once = shape.withColumn("should", F.array_except("should", "required"))
+    asked = ranges.Asked.of(once, MAX_BROADCAST_TERMS)
+    return None if asked is None else ranges.Search(index, asked, keep)
+
+
+def web_topk(index: LexicalIndex, queries: DataFrame, k: int, scorer: str = "bm25", *, qid: str = "qid",
+             keep: DataFrame | None = None) -> DataFrame:
+    """Best ``k`` matches of web queries (see ``web_match``): ``qid, id, rank, score``."""
+    shape = web_shape(queries, qid)
+    search = small_web_search(index, shape, keep)
+    if search is not None:
+        return best_scores(search.top(scorer, k, shape.schema["qid"].dataType, SCORE_DECIMALS), k)
+    return best_scores(score_hits(index, web_match(index, queries, qid=qid, keep=keep), scorer), k)
+
+
 def _with_phrases(hits: DataFrame, shape: DataFrame) -> DataFrame:
     """Keep documents in which every phrase of the query stands word by word."""
     at = F.map_from_entries(F.collect_list(F.struct("term", "positions")))
@@ -486,5 +567,5 @@ def boolean_match(index: LexicalIndex, expr, documents: DataFrame | None = None)
 __all__ = [
     "LexicalIndex", "best_scores", "boolean_match", "build_postings", "corpus_totals",
     "lexical_topk", "match_terms", "query_tokens", "score_hits", "score_term", "term_stats",
-    "web_match",
+    "web_match", "web_topk",
 ]

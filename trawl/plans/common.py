@@ -64,7 +64,7 @@ def document_index(spark: SparkSession, sf: str, analyzer: Analyzer = Analyzer("
         path = scratch_path(spark, f"text-index-{uuid.uuid4().hex}")
         built = LexicalIndex.build(documents(spark, sf), "id", "text", analyzer, positions=True,
                                    buckets=8)
-        _BUILT[key] = built.write(Folder(spark, path))
+        _BUILT[key] = built.write(Folder(spark, path), bounds=True)
     return _BUILT[key]
 
 

@@ -9,7 +9,7 @@ from trawl.operators.filters import compile_filter
 from trawl.operators.hybrid import Fusion, HybridConfig, hybrid_search
 from trawl.operators.lexical import (
     best_scores, boolean_match, build_postings, corpus_totals, lexical_topk, score_hits,
-    term_stats, web_match,
+    term_stats, web_match, web_topk,
 )
 from trawl.plans.common import (
     SQL_POSTINGS, SQL_TOKENS, document_index, documents, embedded_documents, sql_best,
@@ -53,9 +53,9 @@ ORACLES["corpus_totals"] = f"""
 WITH {SQL_POSTINGS} SELECT n::BIGINT AS n_docs, t::BIGINT AS n_tokens FROM tot"""
 
 
-def _ranked(scorer, mode):
+def _ranked(scorer, mode, prune=None):
     def run(spark, sf):
-        found = lexical_topk(document_index(spark, sf), text_queries(spark, sf), K, scorer, mode)
+        found = lexical_topk(document_index(spark, sf), text_queries(spark, sf), K, scorer, mode, prune=prune)
         return found.select("qid", "id", "rank", tidy("score"))
     return run
 
@@ -71,6 +71,11 @@ for _name, _scorer, _mode in (
     )
 
 
+for _name, _scorer, _mode in (("bm25_any", "bm25", "any"), ("bm25", "bm25", "all"), ("dfi", "dfi", "any")):
+    QUERIES[f"{_name}_pruned"] = _ranked(_scorer, _mode, True)
+    ORACLES[f"{_name}_pruned"] = ORACLES[_name]
+
+
 def tsquery_plain(spark, sf):
     """All matches of every query, ranked without a cut."""
     found = lexical_topk(document_index(spark, sf), text_queries(spark, sf), None)
@@ -100,7 +105,7 @@ def tsquery_web(spark, sf):
         F.array().cast("array<array<string>>").alias("phrases"),
     )
     index = document_index(spark, sf)
-    found = best_scores(score_hits(index, web_match(index, asked)), K)
+    found = web_topk(index, asked, K)
     return found.select("qid", "id", "rank", tidy("score"))
 
 
@@ -123,7 +128,7 @@ def tsquery_web_phrase(spark, sf):
         F.array(SPLIT_LOWER.tokens(F.col("text"))).alias("phrases"),
     )
     index = document_index(spark, sf)
-    found = best_scores(score_hits(index, web_match(index, asked)), K)
+    found = web_topk(index, asked, K)
     return found.select("qid", "id", "rank", tidy("score"))
 
 

@@ -24,6 +24,10 @@ class Folder:
     def load(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
+    def has(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -41,3 +45,6 @@ class Tables:
 
     def load(self, name: str) -> DataFrame:
         return self.spark.table(self.prefix + name)
+
+    def has(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self.prefix + name)
