@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trawl import (
     Analyzer, Collection, CollectionSchema, Column, Fusion, GraphOptions, GraphQuery, HashModel,
     HybridConfig, IndexedJsonField, IvfOptions, IvfQuery, MetadataIndex, Metric, TextIndexOptions,
-    from_documents, from_texts, ingest,
+    LexicalIndex, from_documents, from_texts, ingest,
 )
 
 TEXTS = ["low tide at dawn", "a grey heron", "granite cliffs"]
@@ -454,3 +454,71 @@ def test_continuous_ingest(spark, name, tmp_path):
         ("a", "three"), ("b", "four")}
     write_batch(spark.createDataFrame(rows, shape).coalesce(1), c, seq)
     assert c.rows().where(F.col("content") == "four").count() == 1
+
+
+# -- incremental publishing --------------------------------------------------------------
+
+
+def _files(spark, c):
+    """Every data file of the collection's published tables."""
+    found = set()
+    for t in spark.catalog.listTables(c.database):
+        if t.name.startswith(c.name + "__") and ("rows_" in t.name or "ix_" in t.name):
+            found |= set(spark.table(f"{c.database}.{t.name}").inputFiles())
+    return found
+
+
+def test_a_small_publish_writes_its_own_partition_alone(spark, name):
+    c = make(spark, name, vector_index=IvfOptions(cells=4, quant="sq8"), text_index=TextIndexOptions(),
+             query_options=IvfQuery(nprobe=100), hybrid=WIDE, sync_load=False)
+    texts = [f"stone number {n} of the shore" for n in range(40)]
+    c.add_texts(texts=texts, ids=[str(n) for n in range(40)])
+    c.refresh()
+    before = _files(spark, c)
+    c.add_texts(texts=["a heron on the shore"], ids=["7"])
+    c.refresh()
+    after = _files(spark, c)
+    assert before <= after and all("/gen=2/" in f for f in after - before) and after > before
+    state = c.state()
+    assert (state.version, state.base, state.changed, state.base_rows) == (2, 1, 1, 40)
+    c.delete(ids=["8", "9"])
+    c.add_texts(texts=["a gull at sea"], ids=["7"])
+    c.add_texts(texts=["a second gull"], ids=["new"])
+    c.refresh()
+    assert all("/gen=2/" in f or "/gen=3/" in f for f in _files(spark, c) - before)
+    kept = {r["id"] for r in c.published().collect()}
+    assert kept == {str(n) for n in range(40) if n not in (8, 9)} | {"new"}
+    # Statistics, postings and cells are those of an index built anew.
+    index = c.text_index()
+    fresh = LexicalIndex.build(c.rows(), "id", "content", positions=True)
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(index.terms.select("term", "df", "ttf")) == key(fresh.terms.select("term", "df", "ttf"))
+    assert key(index.postings.select("term", "id", "tf", "dl")) == key(fresh.postings.select("term", "id", "tf", "dl"))
+    assert index.sums() == (39, c.rows().selectExpr("sum(size(split(content, ' ')))").first()[0])
+    assert {r["id"] for r in c.vector_index().cells.collect()} == kept
+    assert contents(c.search("gull", k=2))[0].endswith("gull") or "gull" in contents(c.search("gull", k=2))[0]
+    assert contents(c.search_with_score("a gull at sea", k=1)) == ["a gull at sea"]
+    again = Collection.open(spark, name, embedder=HashModel(8), hybrid=WIDE)
+    assert again.rows().count() == 39 and again.text_index().sums() == index.sums()
+
+
+def test_many_changes_make_a_new_base(spark, name):
+    c = make(spark, name, text_index=TextIndexOptions(), sync_load=False)
+    bases = []
+    for n in range(12):
+        c.add_texts(texts=[f"text {n}"], ids=[str(n)])
+        c.refresh()
+        bases.append(c.state().base)
+    assert bases[-1] < 12 and len(set(bases)) < 9  # not every version is written whole
+    assert c.published().count() == 12 and c.text_index().sums() == (12, 24)
+    c.compact()
+    state = c.state()
+    assert state.base == state.version and spark.table(c._name("log")).count() == 0
+    assert c.text_index().sums() == (12, 24) and c.published().count() == 12
+    # A version that was written but not published is written over.
+    for n in range(12, 16):
+        c.add_texts(texts=[f"text {n}"], ids=[str(n)])
+    dirty = c._log(c.state().upto).select("id").distinct()
+    c._extend(c.state(), dirty, 4, 99)
+    c.refresh()
+    assert c.text_index().sums() == (16, 32) and c.published().count() == 16

@@ -157,9 +157,12 @@ class LexicalIndex:
         totals = store.save("totals", row.coalesce(1))
         kept = None
         if bounds:
-            kept = (postings.groupBy("bucket", "term", "range").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")))
-            kept = store.save("bounds", kept.repartition("bucket").sortWithinPartitions("bucket", "term", "range"),
-                              partition="bucket")
+            # Dealt by a part of what is grouped by: one shuffle, and files as large as those of the postings.
+            cut = F.pmod("range", F.lit(cuts)).alias("cut")
+            kept = (postings.select("bucket", cut, "term", "range", "tf", "dl").repartition("bucket", "cut")
+                    .groupBy("bucket", "cut", "term", "range").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl"))
+                    .sortWithinPartitions("bucket", "term", "range").drop("cut"))
+            kept = store.save("bounds", kept, partition="bucket")
         return LexicalIndex(postings, terms, totals, self.analyzer, self.buckets, kept)
 
     @classmethod

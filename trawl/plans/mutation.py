@@ -11,10 +11,12 @@ from trawl.functions.text import Analyzer
 from trawl.operators import mutate
 from trawl.operators.filters import compile_filter
 from trawl.plans.common import (
-    documents, sql_hash_embedding, sql_tidy, table, text_queries, tidy,
+    SQL_POSTINGS, documents, sql_hash_embedding, sql_scored, sql_tidy, table, text_queries, tidy,
 )
 from trawl.schema import CollectionSchema, Column, IndexedJsonField, MetadataIndex
 from trawl.session import cut_lineage, scratch_path
+from trawl.operators.hybrid import HybridConfig
+from trawl.operators.lexical import lexical_topk
 from trawl.sources.collection import Collection
 from trawl.sources.options import IvfOptions, IvfQuery, TextIndexOptions
 from trawl.streaming.ingest import ingest
@@ -311,3 +313,53 @@ QUERIES["collection_small_index"] = collection_small_index
 ORACLES["collection_small_index"] = _sql_nearest(3, "true").format(order="id")
 QUERIES["collection_pending_delete"] = collection_pending_delete
 ORACLES["collection_pending_delete"] = _sql_nearest(4, "lang NOT IN ('es', 'de')").format(order="id")
+
+
+def collection_incremental(spark, sf):
+    """Three publishes, two of them additions to the first: updates, deletions, then three searches."""
+    target = _collection(spark, vector_index=IvfOptions(quant="none"), text_index=TextIndexOptions(),
+                         query_options=_EVERY_CELL,
+                         hybrid=HybridConfig(primary_top_k=10, secondary_top_k=10))
+    batch, last = _batch(spark, sf), F.col("id").cast("long")
+    target.add_texts(batch)
+    target.refresh()
+    target.add_texts(batch.where(last % 10 == 3).withColumn("content", F.concat(F.lit("renewed "), "content")))
+    target.refresh()
+    target.delete(ids=batch.where(last % 10 == 7).select("id"))
+    target.add_texts(batch.where(last % 20 == 3).withColumn("content", F.concat(F.lit("twice renewed "), "content")))
+    target.refresh()
+    state = target.state()
+    if state.base == state.version:
+        raise AssertionError("the last publish was to be an addition")
+    asked = text_queries(spark, sf)
+    asked = asked.withColumn("text", F.concat(F.lit("renewed "), F.array_join(F.slice(F.split("text", " "), 1, 3), " ")))
+    text = lexical_topk(target.text_index(), asked, 5, mode="any").select("qid", "rank", "id")
+    dense = target.search_with_score(asked, 5).select("qid", "rank", "id")
+    fused = target.search(asked, 5).select("qid", "rank", "id")
+    return _dropping(target, text.withColumn("kind", F.lit("text")).unionByName(dense.withColumn("kind", F.lit("dense")))
+                     .unionByName(fused.withColumn("kind", F.lit("hybrid"))))
+
+
+QUERIES["collection_incremental"] = collection_incremental
+ORACLES["collection_incremental"] = f"""
+WITH now AS (
+  SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 20 = 3 THEN 'twice renewed ' || text
+    WHEN doc_id % 10 = 3 THEN 'renewed ' || text ELSE text END AS text FROM documents WHERE doc_id % 10 <> 7),
+asked AS (SELECT item_id, 'renewed ' || array_to_string(string_split(text, ' ')[1:3], ' ') AS text FROM benchmark),
+{SQL_POSTINGS.replace('FROM documents', 'FROM now').replace('doc_id AS id', 'id').replace('FROM benchmark', 'FROM asked')},
+{sql_scored('bm25', False).replace('scored AS', 'any_term AS')},
+{sql_scored('bm25', True).replace('scored AS', 'every_term AS')},
+d AS (SELECT id, {sql_hash_embedding('text')}::DOUBLE[] AS e FROM now),
+qe AS (SELECT item_id AS qid, {sql_hash_embedding('text')}::DOUBLE[] AS e FROM asked),
+near AS (SELECT qid, id, rank() OVER (PARTITION BY qid ORDER BY distance) AS place,
+    row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank
+  FROM (SELECT qid, id, list_cosine_distance(qe.e, d.e) AS distance FROM qe, d)),
+lex AS (SELECT qid, id, rank() OVER (PARTITION BY qid ORDER BY score DESC) AS place,
+    row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM every_term),
+fused AS (SELECT qid, id, sum(1.0::DOUBLE / (60 + place)) AS score
+  FROM (SELECT * FROM near WHERE rank <= 10 UNION ALL SELECT * FROM lex WHERE rank <= 10) GROUP BY qid, id)
+SELECT qid, rank, id, 'text' AS kind FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM any_term) WHERE rank <= 5
+UNION ALL SELECT qid, rank, id, 'dense' FROM near WHERE rank <= 5
+UNION ALL SELECT qid, rank, id, 'hybrid' FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= 5"""

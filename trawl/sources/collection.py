@@ -3,16 +3,20 @@
 Every piece is a managed Parquet table of the session catalog, so a namespace is a database and
 dropping is ``DROP TABLE``:
 
-``<name>__rows_<v>``      the rows of published version ``v``, one per id
+``<name>__rows_<b>``      the rows of base version ``b``, one per id
 ``<name>__log``           writes since then, partitioned by write number ``seq``
 ``<name>__state``         one appended row per published version
 ``<name>__streams``       the write number of every streamed micro-batch
-``<name>__ix_<v>_<part>`` full-text and vector tables derived from version ``v``
+``<name>__ix_<b>_<part>`` full-text and vector tables derived from version ``b``
+``<name>__ix_<b>_new_<part>``  entries of later versions, partitioned by the version ``gen``
+``<name>__ix_<b>_changes`` ids changed in later versions, partitioned likewise
 
-A write appends to the log and touches nothing else.  The current rows are the published ones whose
+A write appends to the log and touches nothing else.  The current rows are those of the base whose
 id is not in the log, plus the last logged row of each id, so only the log is ever deduplicated.
-``refresh`` writes that view as the next version, derives index entries for the changed ids only,
-and then appends the state row which makes the version visible.  ``vacuum`` drops older versions
+``refresh`` adds one partition of changed ids and one of their new index entries, and then appends
+the state row which makes the version visible; an entry counts if its id has not changed since.  No
+other file is written.  Once the changes since the base come to ``REWRITE_SHARE`` of its rows, or an
+index is built anew, the next version is written whole, as a new base.  ``vacuum`` drops older bases
 and the log they were made of; nothing else does.  Exact search sees every write; index search sees
 published ones, and never a deleted one.
 
@@ -38,7 +42,7 @@ from trawl.operators.filters import compile_filter
 from trawl.operators.graph import GraphIndex
 from trawl.operators.hybrid import HybridConfig, hybrid_search, refuse_fused_scores
 from trawl.operators.ivf import IvfIndex, filtered_search
-from trawl.operators.lexical import LexicalIndex, build_postings
+from trawl.operators.lexical import LexicalIndex, build_postings, term_stats
 from trawl.operators.mmr import mmr
 from trawl.schema import CollectionSchema, MetadataIndex, Metric
 from trawl.session import cut_lineage, ship_package
@@ -48,7 +52,12 @@ from trawl.sources.options import (
 from trawl.sources.storage import Tables
 
 STATE = ("version int, upto bigint, index string, text_index boolean, trained bigint, "
-         "definition string")
+         "definition string, base int, base_upto bigint, base_rows bigint, changed bigint")
+#: Changed rows, as a share of the base's rows, from which on a version is written whole: every row
+#: is then rewritten a bounded number of times, however many versions there are.
+REWRITE_SHARE = 0.5
+#: Changed ids that are broadcast, at most.
+MAX_BROADCAST_CHANGES = 1_000_000
 STREAMS = "stream string, batch bigint, seq bigint"
 MAX_PUSHED_IDS = 1000
 MAX_PENDING_DELETES = 10_000
@@ -63,6 +72,11 @@ class State:
     text_index: bool = False
     trained: int = 0
     definition: str = ""
+    #: The version last written whole, the last write in it, its rows, and changes of rows since.
+    base: int = 0
+    base_upto: int = -1
+    base_rows: int = 0
+    changed: int = 0
 
 
 def _plain(options) -> str | None:
@@ -147,7 +161,7 @@ class Collection:
         schema = CollectionSchema.from_json(state.definition)
         names = dict(id_column=schema.id_column, content_column=schema.content_column,
                      embedding_column=schema.embedding_column, json_column=schema.json_column)
-        rows = spark.table(probe._name(f"rows_{state.version}"))
+        rows = spark.table(probe._name(f"rows_{state.base}"))
         asked = CollectionSchema.inspect(rows, **{**names, **columns})
         for what, kept in names.items():
             if what in columns and columns[what] != kept:
@@ -191,21 +205,25 @@ class Collection:
     def _log(self, after: int) -> DataFrame:
         return self.spark.table(self._name("log")).where(F.col("seq") > after)
 
-    def _latest(self, state: State) -> DataFrame:
-        """The last logged row of each id written since the published version."""
-        return mutate.last_per_id(self._log(state.upto), self.schema.id_column, ("seq", "_pos"))
+    def _latest(self, after: int, upto: int | None = None) -> DataFrame:
+        """The last logged row of each id among the writes after one, up to another."""
+        log = self._log(after)
+        log = log if upto is None else log.where(F.col("seq") <= upto)
+        return mutate.last_per_id(log, self.schema.id_column, ("seq", "_pos"))
 
     def published(self) -> DataFrame:
-        return self.spark.table(self._name(f"rows_{self.state().version}"))
+        """The rows of the published version."""
+        state = self.state()
+        return self._current(state, state.upto)
 
     def rows(self) -> DataFrame:
         """Every current row, published or not."""
         return self._current(self.state())
 
-    def _current(self, state: State) -> DataFrame:
+    def _current(self, state: State, upto: int | None = None) -> DataFrame:
         key = self.schema.id_column
-        base = self.spark.table(self._name(f"rows_{state.version}"))
-        latest = self._latest(state)
+        base = self.spark.table(self._name(f"rows_{state.base}"))
+        latest = self._latest(state.base_upto, upto)
         kept = base.join(latest.select(key), key, "left_anti")
         fresh = latest.where(F.col("_op") == "upsert").drop("_op", "_pos", "seq")
         promoted = {f.physical for f in self._json_fields()}
@@ -417,7 +435,7 @@ class Collection:
         self._advance(replace(self.state(), trained=0))
 
     def vacuum(self, keep: int = 1) -> None:
-        """Drop all but the last ``keep`` versions and the logged writes that they all include.
+        """Drop what the last ``keep`` versions do not need: older bases, and the writes their bases include.
 
         No reader may still be on an older version.
         """
@@ -426,43 +444,129 @@ class Collection:
         states = self.spark.table(self._name("state")).orderBy(F.desc("version")).limit(keep).collect()
         oldest = states[-1]
         self._drop_tables(lambda part: re.match(r"(rows|ix)_\d+", part)
-                          and int(part.split("_")[1]) < oldest["version"])
+                          and int(part.split("_")[1]) < oldest["base"])
         logged = [int(r[0].removeprefix("seq=")) for r in self.spark.sql(
             f"SHOW PARTITIONS {self._name('log')}").collect()]  # one short row for each write
-        done = ", ".join(f"PARTITION (seq = {n})" for n in sorted(logged) if n <= oldest["upto"])
+        done = ", ".join(f"PARTITION (seq = {n})" for n in sorted(logged) if n <= oldest["base_upto"])
         if done:
             self.spark.sql(f"ALTER TABLE {self._name('log')} DROP IF EXISTS {done}")
 
     def compact(self) -> None:
-        """Publish, and drop everything that the new version replaces."""
-        self.refresh()
+        """Publish a version written whole, and drop everything that it replaces."""
+        self._advance(self.state(), whole=True)
         self.vacuum()
 
-    def _advance(self, state: State) -> None:
-        """Write the next version of rows and derived tables, then make it visible.
+    def _advance(self, state: State, whole: bool = False) -> None:
+        """Write what the next version needs, then make it visible.
 
         The definition is published with it, so a later ``open`` sees changed analyzers and indexes.
         """
         state = replace(state, definition=self.schema.to_json())
-        before, key = self.state(), self.schema.id_column
+        before = self.state()
         pending = self._log(before.upto)
         upto = pending.agg(F.max("seq")).first()[0]
         changed = upto is not None
-        if not changed and state == before:
+        if not changed and state == before and not (whole and before.version > before.base):
             return
+        # The log may grow meanwhile; rows up to ``upto`` belong to this version.
+        upto = before.upto if upto is None else upto
+        dirty = pending.where(F.col("seq") <= upto).select(self.schema.id_column).distinct() if changed else None
+        number = dirty.count() if changed else 0
+        few = before.changed + number < REWRITE_SHARE * before.base_rows
+        if changed and state == before and few and not whole and self._grows(state):
+            self._publish(self._extend(state, dirty, number, upto))
+        else:
+            self._rewrite(before, state, dirty, upto)
+
+    def _grows(self, state: State) -> bool:
+        """Whether new entries can be added to the indexes; a graph has to be linked again."""
+        options = _options(state.index)
+        return options is None or (state.trained > 0 and options.index_type == "ivf")
+
+    def _rewrite(self, before: State, state: State, dirty: DataFrame | None, upto: int) -> None:
+        """The next version as a new base."""
         version = before.version + 1
-        rows = self._current(before)
+        rows = self._current(before, upto)
         store = Tables(self.spark, self._name(""))
-        # The log may grow meanwhile; rows up to ``upto`` belong to this version.
         stored = store.save(f"rows_{version}", rows, options=self._bloom_filters(rows))
-        dirty = pending.where(F.col("seq") <= upto).select(key).distinct() if changed else None
-        state = replace(state, version=version, upto=before.upto if upto is None else upto)
+        state = replace(state, version=version, upto=upto, base=version, base_upto=upto,
+                        base_rows=stored.count(), changed=0)
         if state.text_index:
             self._derive_text(before, state, stored, dirty)
         if state.index:
             state = self._derive_vectors(before, state, stored, dirty)
         self._publish(state)
 
+    def _extend(self, before: State, dirty: DataFrame, number: int, upto: int) -> State:
+        """The next version as additions to the base of ``before``: one partition of each table.
+
+        A version that was not published is written over by the next attempt.
+        """
+        s, gen, store = self.schema, before.version + 1, self._tables(before.base)
+        ids = dirty.select(F.col(s.id_column).alias("id"))
+        fresh = self._latest(before.upto, upto).where(F.col("_op") == "upsert").drop("_op", "_pos", "seq")
+        store.put("changes", ids, "gen", gen)
+        if before.text_index:
+            analyzer = s.content_analyzer
+            new = build_postings(fresh, s.id_column, s.content_column, analyzer, True)
+            new = self._base_text(before).with_bucket(new)
+            store.put("new_postings", new, "gen", gen)
+            # What the changed ids held before is taken off the statistics.
+            old = self._current(before, before.upto).join(F.broadcast(dirty) if number <= MAX_BROADCAST_CHANGES
+                                                          else dirty, s.id_column, "left_semi")
+            gone = term_stats(build_postings(old, s.id_column, s.content_column, analyzer)).select(
+                "term", (-F.col("df")).alias("df"), (-F.col("ttf")).alias("ttf"))
+            terms = term_stats(new).unionByName(gone).groupBy("term").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+            store.put("new_terms", terms.where("df <> 0 OR ttf <> 0"), "gen", gen)
+            count = fresh.select(F.lit(1).alias("n")).unionAll(old.select(F.lit(-1).alias("n")))
+            store.put("new_docs", count.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_docs")), "gen", gen)
+        if before.index:
+            base = IvfIndex.read(store)
+            new = IvfIndex.assign(self.schema.promote(fresh), s.metric, base.centroids, base.quantizer,
+                                  id=s.id_column, vec=s.embedding_column)
+            store.put("new_cells", new.cells.select(*base.cells.columns), "gen", gen)
+            if new.codes is not None:
+                store.put("new_codes", new.codes.select(*base.codes.columns), "gen", gen)
+        return replace(before, version=gen, upto=upto, changed=before.changed + number)
+
+    def _newest(self, state: State, base: DataFrame, part: str, key: str) -> DataFrame:
+        """Entries of the base whose id has not changed since, and the newest of those that have."""
+        store = self._tables(state.base)
+        if state.version == state.base:
+            return base
+        last = (store.load("changes").where(F.col("gen") <= state.version)
+                .groupBy(F.col("id").alias(key)).agg(F.max("gen").alias("gen")))
+        last = F.broadcast(last) if state.changed <= MAX_BROADCAST_CHANGES else last
+        new = store.load(f"new_{part}").where(F.col("gen") <= state.version)
+        return (base.join(last.drop("gen"), key, "left_anti")
+                .unionByName(new.join(last, [key, "gen"], "left_semi").select(*base.columns)))
+
+    def _base_text(self, state: State) -> LexicalIndex:
+        return LexicalIndex.read(self._tables(state.base), self.schema.content_analyzer)
+
+    def _text_view(self, state: State) -> LexicalIndex:
+        """The text index of a version."""
+        base, store = self._base_text(state), self._tables(state.base)
+        if state.version == state.base:
+            return base
+        until = F.col("gen") <= state.version
+        terms = (base.terms.unionByName(store.load("new_terms").where(until).drop("gen"))
+                 .groupBy("term").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf")).where("df > 0"))
+        tokens = store.load("new_terms").where(until).agg(F.coalesce(F.sum("ttf"), F.lit(0)).alias("more_tokens"))
+        docs = store.load("new_docs").where(until).agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("more_docs"))
+        more = (docs.first()[0], tokens.first()[0])
+        totals = base.totals.withColumns({"n_docs": F.col("n_docs") + more[0], "n_tokens": F.col("n_tokens") + more[1]})
+        postings = self._newest(state, base.postings, "postings", "id")
+        return LexicalIndex(postings, terms, totals, base.analyzer, base.buckets)
+
+    def _vector_view(self, state: State) -> IvfIndex:
+        """The cells and codes of a version."""
+        index = IvfIndex.read(self._tables(state.base))
+        index.cells = self._newest(state, index.cells, "cells", self.schema.id_column)
+        if index.codes is not None:
+            index.codes = self._newest(state, index.codes, "codes", "id")
+        return index
+
     def _bloom_filters(self, rows: DataFrame) -> dict[str, str]:
         """Parquet Bloom filters on the id and the indexed columns, for equality filters."""
         wanted = [self.schema.id_column, *self.schema.indexed_columns(),
@@ -478,7 +582,7 @@ class Collection:
         fresh = LexicalIndex.build(rows, s.id_column, s.content_column, analyzer, positions=True)
         same = CollectionSchema.from_json(before.definition).content_analyzer == analyzer
         if before.text_index and before.version > 0 and dirty is not None and same:
-            old = LexicalIndex.read(self._tables(before.version), analyzer)
+            old = self._text_view(before)
             ids = dirty.withColumnRenamed(s.id_column, "id")
             part = rows.join(dirty, s.id_column, "left_semi")
             new = build_postings(part, s.id_column, s.content_column, analyzer, True)
@@ -496,7 +600,7 @@ class Collection:
         names = dict(id=s.id_column, vec=s.embedding_column)
         keep = before.index == state.index and min(before.trained, state.trained) > 0
         if keep and dirty is not None:
-            old = IvfIndex.read(self._tables(before.version))
+            old = self._vector_view(before)
             part = rows.join(dirty, s.id_column, "left_semi")
             new = IvfIndex.assign(part, s.metric, old.centroids, old.quantizer, **names)
             old.cells = old.cells.join(dirty, s.id_column, "left_anti").unionByName(new.cells)
@@ -505,7 +609,7 @@ class Collection:
                 old.codes = old.codes.join(ids, "id", "left_anti").unionByName(new.codes)
             index, trained = old, before.trained
         elif keep and dirty is None:
-            index, trained = IvfIndex.read(self._tables(before.version)), before.trained
+            index, trained = self._vector_view(before), before.trained
         else:
             index = IvfIndex.build(rows, s.metric, cells=options.cells, quant=kind, **names, **spec)
             trained = n_rows
@@ -521,8 +625,8 @@ class Collection:
         options = _options(state.index)
         if options is None or state.trained == 0:
             return None
-        tables = self._tables(state.version)
-        ivf = IvfIndex.read(tables)
+        tables = self._tables(state.base)
+        ivf = self._vector_view(state)
         if options.index_type == "ivf":
             return ivf
         return GraphIndex(ivf, tables.load("edges"), tables.load("entries"), options.m,
@@ -532,7 +636,7 @@ class Collection:
         state = self.state()
         if not state.text_index or state.version == 0:
             raise ValueError(f"collection '{self.name}' has no text index")
-        return LexicalIndex.read(self._tables(state.version), self.schema.content_analyzer)
+        return self._text_view(state)
 
     # -- search ---------------------------------------------------------------------------
 
@@ -584,7 +688,7 @@ class Collection:
 
     def _pending_deletes(self) -> DataFrame:
         """Ids that the published version holds and a later write deleted."""
-        latest = self._latest(self.state()).where(F.col("_op") == "delete")
+        latest = self._latest(self.state().upto).where(F.col("_op") == "delete")
         return latest.select(F.col(self.schema.id_column).alias("id"))
 
     def _where(self, filter: dict | None, columns: Sequence[str] | None = None):

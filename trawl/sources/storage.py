@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -48,3 +49,14 @@ class Tables:
 
     def has(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.prefix + name)
+
+    def put(self, name: str, df: DataFrame, partition: str, value: int) -> None:
+        """Write ``df`` as the one partition ``value``, replacing it alone; other files stay as they are."""
+        df = df.withColumn(partition, F.lit(value))
+        if not self.has(name):
+            df.write.format("parquet").partitionBy(partition).saveAsTable(self.prefix + name)
+            return
+        columns = [c for c in self.load(name).columns if c != partition]
+        df.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {self.prefix}{name} PARTITION ({partition} = {int(value)}) SELECT * FROM {{rows}}",
+            rows=df.select(*columns))
