@@ -61,6 +61,14 @@ def test_allowing_pattern_outweighs_blocking(spark):
     assert [r["verdict"] for r in judge_urls(urls, rules).collect()] == ["allow", "block"]
 
 
+def test_columns_of_any_name_stay(spark):
+    names = ["_host", "_path", "_target", "_tokens", "_hits", "_named", "_general", "__url_host", "host"]
+    rows = spark.createDataFrame([("http://a.net/", *names)], ", ".join(f"{c} string" for c in ["url", *names]))
+    row = judge_urls(rows, [host_rule("block", "net/")]).first().asDict()
+    assert {c: row[c] for c in names[:-1]} == {c: c for c in names[:-1]}
+    assert row["host"] == "a.net" and row["verdict"] == "block" and len(row) == len(names) + 1 + 4
+
+
 def test_empty_table(spark):
     assert judge_urls(spark.createDataFrame([], "url string"), URL_RULES).count() == 0
 

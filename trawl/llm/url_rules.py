@@ -128,24 +128,29 @@ def judge_urls(urls: DataFrame, rules: Sequence[UrlRule], column: str = "url",
         "host", "path", "rule", "pattern", "verdict") else urls
     if frequency is None:
         frequency = token_frequencies(urls, column, rules)
-    work = urls.withColumns({"_host": url_host(F.col(column)), "_path": url_path(F.col(column))})
-    work = work.withColumn("_target", F.concat("_host", "_path")).withColumn("_tokens", _tokens(F.col("_target")))
+    # Working columns under names that the table does not have.
+    mark = "__url"
+    while any(c.lower().startswith(mark) for c in urls.columns):
+        mark += "_"
+    own = {name: f"{mark}_{name}" for name in ("host", "path", "target", "tokens", "hits", "named", "general")}
+    work = urls.withColumns({own["host"]: url_host(F.col(column)), own["path"]: url_path(F.col(column))})
+    work = work.withColumn(own["target"], F.concat(own["host"], own["path"])).withColumn(own["tokens"], _tokens(F.col(own["target"])))
     hits = []
     for start in range(0, len(rules), RULES_PER_INDEX):
         index, size = _index(rules[start:start + RULES_PER_INDEX], frequency)
-        fetched = F.flatten(F.transform("_tokens", _lookup(index, size)))
-        hits.append(F.filter(fetched, lambda r: F.array_contains("_tokens", r["token"])
-                             & F.regexp_like(F.col("_target"), r["regex"])))
-    work = work.withColumn("_hits", F.flatten(F.array(*hits)))
+        fetched = F.flatten(F.transform(own["tokens"], _lookup(index, size)))
+        hits.append(F.filter(fetched, lambda r: F.array_contains(own["tokens"], r["token"])
+                             & F.regexp_like(F.col(own["target"]), r["regex"])))
+    work = work.withColumn(own["hits"], F.flatten(F.array(*hits)))
     # The longest host rule, and the first pattern by name with allowing ones before blocking ones.
-    named = F.array_max(F.transform(F.filter("_hits", lambda r: r["named"]), lambda r: F.struct(
+    named = F.array_max(F.transform(F.filter(own["hits"], lambda r: r["named"]), lambda r: F.struct(
         F.length(r["name"]).alias("n"), r["name"].alias("name"), r["action"].alias("action"))))
-    general = F.array_min(F.transform(F.filter("_hits", lambda r: ~r["named"]), lambda r: F.struct(
+    general = F.array_min(F.transform(F.filter(own["hits"], lambda r: ~r["named"]), lambda r: F.struct(
         r["action"].alias("action"), r["name"].alias("name"))))
-    work = work.withColumns({"_named": named, "_general": general})
+    work = work.withColumns({own["named"]: named, own["general"]: general})
     return work.select(
         *[F.col(f"`{c}`") for c in urls.columns],
-        F.col("_host").alias("host"), F.col("_path").alias("path"),
-        F.col("_named.name").alias("rule"),
-        F.when(F.col("_named").isNull(), F.col("_general.name")).alias("pattern"),
-        F.coalesce("_named.action", "_general.action", F.lit("allow")).alias("verdict"))
+        F.col(own["host"]).alias("host"), F.col(own["path"]).alias("path"),
+        F.col(own["named"] + ".name").alias("rule"),
+        F.when(F.col(own["named"]).isNull(), F.col(own["general"] + ".name")).alias("pattern"),
+        F.coalesce(own["named"] + ".action", own["general"] + ".action", F.lit("allow")).alias("verdict"))
