@@ -50,3 +50,19 @@ def test_nothing_learned_and_empty_tables(spark, docs_of):
 def test_ties_go_to_the_first_language(spark, docs_of):
     model = LanguageModel.fit(docs_of([(1, "abc", "zz"), (2, "abc", "aa")]))
     assert model.score(["abc"]) == (["aa"], [0.5])
+
+
+def test_more_languages_than_a_worker_holds(spark, docs_of, monkeypatch):
+    """Dirty language columns: block by block, as with all languages at once."""
+    rows = [(i, f"{EN if i % 2 else DE} {chr(97 + i % 26) * 4}", f"l{i:03}") for i in range(300)] + [
+        (400 + i, EN, "en") for i in range(5)]
+    docs, asked = docs_of(rows), docs_of([(1, EN), (2, DE + " zzzz zzzz"), (3, None), (4, "1 2")], score_total="old")
+    many = LanguageModel.fit(docs)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(asked, many).collect()}
+    monkeypatch.setattr("trawl.llm.langid.BLOCK_LANGUAGES", 400)
+    whole = LanguageModel.fit(docs)
+    assert len(whole.languages) == 301 and isinstance(whole, LanguageModel) and not isinstance(many, LanguageModel)
+    wanted = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(asked, whole).collect()}
+    assert {i: n for i, (n, _) in got.items()} == {i: n for i, (n, _) in wanted.items()} and got[1][0] == "en"
+    assert all(abs(got[i][1] - s) < 1e-9 for i, (_, s) in wanted.items()) and got[3] == got[4] == ("und", 0.0)
+    assert identify(asked, many).columns == [*asked.columns, "lang_pred", "score"]
