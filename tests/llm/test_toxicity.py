@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -79,3 +81,10 @@ def test_without_labels_or_rows(spark, docs_of):
     assert np.allclose(model.weights, PRIOR)
     assert score_toxicity(docs_of([(1, "you idiot"), (2, "hello")]), model).collect()[0]["predicted"] == 1
     assert score_toxicity(docs_of([]), model).count() == 0
+
+
+def test_long_text_with_a_trigger_in_every_sentence():
+    text = "you idiot, it is so and so. " * 180_000  # 5 MB
+    start = time.time()
+    assert sum(1 for _ in LEXICON.clauses(text)) == 180_000 and time.time() - start < 30
+    assert sum(1 for _ in LEXICON.clauses("idiot " * 100_000)) == 1

@@ -156,7 +156,7 @@ class Lexicon:
         for end, _ in self._triggers(text):
             if end < done:
                 continue
-            start = max(text.rfind(c, 0, end) for c in ".!?;:\n") + 1
+            start = max(text.rfind(c, max(done, 0), end) for c in ".!?;:\n") + 1
             stop = _CLAUSE_END.search(text, end + 1)
             done = stop.start() if stop else len(text)
             clause = text[start:done]
