@@ -118,3 +118,14 @@ def test_svd_spans_the_rows():
     assert np.allclose(a @ basis @ basis.T, a)
     assert np.allclose(np.sort(np.linalg.norm(a @ randomised_svd(a, 3), axis=0))[::-1],
                        np.linalg.svd(a)[1][:3], rtol=0.02)
+
+
+def test_only_the_leaking_rows_of_an_id_go(spark, docs_of, words):
+    item = " ".join(words(40, 1))
+    clean = " ".join(words(60, 2))
+    docs = docs_of([(1, clean + " " + item), (1, clean), (2, clean), (None, item), (3, None)], row_key="old")
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    left = remove_leaking(docs, items)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted(
+        [(1, clean), (2, clean), (None, item), (3, None)], key=repr)

@@ -422,6 +422,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.3, overl
 
 
 def remove_leaking(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item; rows with a null id stay, as nothing names them."""
-    leaking = find_leaks(docs, items, **options).select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti")
+    """The rows of ``docs`` that hold no item; rows with a null id stay, as nothing names them.
+
+    A row is named by its id and its text, so of an id given twice only the rows that hold an item go.
+    """
+    text, id_column = options.pop("text", "text"), options.pop("id_column", "doc_id")
+    row = "row_key"
+    while row in docs.columns:
+        row += "_"
+    keyed = docs.withColumn(row, F.when(F.col(id_column).isNotNull(), F.xxhash64(id_column, text)))
+    leaking = find_leaks(keyed, items, id_column=row, text=text, **options).select(F.col("doc_id").alias(row)).distinct()
+    return keyed.join(leaking, row, "left_anti").select(*docs.columns)
