@@ -33,6 +33,10 @@ URL_RULES = [
 ]
 
 
+#: Places in which the copies of one text are looked for.
+COPY_SALTS = 16
+
+
 def op1_projected_neighbours(spark, sf):
     vectors = table(spark, sf, "embeddings")
     return projected_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
@@ -95,7 +99,11 @@ def op9_token_rollup(spark, sf):
     rollup.apply("load", counted)
     texts = docs.where("text IS NOT NULL").select("doc_id", F.md5(F.encode("text", "UTF-8")).alias("digest"))
     first = texts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    rollup.apply("copies", texts.join(first, "digest").where("doc_id > first").select(
+    # A digest that many documents have is met in several places.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(COPY_SALTS - 1)))
+    salted = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(COPY_SALTS)).cast("int"))
+    copies = salted.join(first.withColumn("salt", salts), ["digest", "salt"]).where("doc_id > first")
+    rollup.apply("copies", copies.select(
         F.lit("delete").alias("op"), "doc_id", F.lit("byte_bpe_50k").alias("version"),
         *(F.lit(None).cast("string").alias(c) for c in ("source", "lang")),
         *(F.lit(0).alias(c) for c in ("tokens", "bytes"))))
