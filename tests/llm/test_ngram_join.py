@@ -98,6 +98,23 @@ def test_keep_first(spark, docs_of, words):
     assert sorted((str(r["doc_id"]) for r in kept.collect())) == ["1", "3", "4", "5", "None"]
 
 
+def test_keep_first_tells_rows_of_one_id_apart(spark, docs_of, words):
+    a, b, c = (" ".join(words(50, n)) for n in (3, 4, 5))
+    rows = [(3, a), (7, a), (7, b), (7, b), (8, None), (8, ""), (9, c), (9, c), (10, c), (11, b)]
+    kept = sorted((r["doc_id"], r["text"]) for r in keep_first(docs_of(rows, row_set="old")).collect() if r["doc_id"] != 8)
+    assert kept == [(3, a), (7, b), (9, c)]
+
+
+def test_slices_do_not_depend_on_arrow_batches(spark, docs_of, words, monkeypatch):
+    docs = docs_of(chains(words, 1)).repartition(2).cache()
+    sizes = []
+    for rows in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        sizes.append(ngram_join._sliced(docs, 1).selectExpr("count(*)", "sum(length(hashes))").first())
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sizes[0] == sizes[1] and sizes[0][0] > 0
+
+
 def test_empty_table(spark, docs_of):
     assert near_duplicates(docs_of([])).count() == 0
     assert keep_first(docs_of([])).count() == 0

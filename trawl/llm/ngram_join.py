@@ -37,6 +37,8 @@ WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 SLICE_SHINGLES, BLOCK_SHINGLES = 4_000_000, 2_000_000
 #: Shingles of a group that is first compared with a pivot, and of small groups that share a task.
 PIVOT_SHINGLES, TASK_SHINGLES = 250_000, 50_000
+#: Rows and shingles of a task that are cut into slices together, at most.
+PIECE_ROWS, PIECE_SHINGLES = 16_384, 2_000_000
 #: Counters of the frequency sketch.
 SKETCH_BITS = 18
 #: Ids, and bytes of sets, up to which one side of a join is sent to every executor.
@@ -128,44 +130,56 @@ def _sliced(docs: DataFrame, bits: int) -> DataFrame:
     it stay on for the next step.
     """
 
-    def run(batches):
-        part, number = TaskContext.get().partitionId(), 0
+    def pieces(batches):
+        """The sets of so many rows or shingles at a time, however large Arrow's batches are."""
+        sets: dict[bytes, np.ndarray] = {}
+        rows = held = 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 8192):
-                sets: dict[bytes, np.ndarray] = {}
-                for text in texts_of(batch.slice(start, 8192)):
+            for start in range(0, batch.num_rows, 1024):
+                for text in texts_of(batch.slice(start, 1024)):
                     s = shingle_set(text)
-                    if len(s):
-                        sets[_key(s)[:8]] = s
-                if not sets:
+                    rows += 1
+                    if len(s) and (key := _key(s)[:8]) not in sets:
+                        sets[key] = s
+                        held += len(s)
+                    if rows >= PIECE_ROWS or held >= PIECE_SHINGLES:
+                        yield sets
+                        sets, rows, held = {}, 0, 0
+        if sets:
+            yield sets
+
+    def run(batches):
+        part, number = TaskContext.get().partitionId(), 0
+        for sets in pieces(batches):
+            if not sets:
+                continue
+            keys = np.frombuffer(b"".join(sets), np.int64)
+            hashes = np.concatenate(list(sets.values()))
+            owner = np.repeat(np.arange(len(keys)), [len(s) for s in sets.values()])
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner = hashes[order], owner[order]
+            same = hashes[1:] == hashes[:-1]
+            alone = ~(np.append(same, False) | np.append(False, same))
+            first = np.append(True, ~same)
+            slices = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+            low = (hashes >> np.uint64(32 - bits)).astype(np.uint32)
+            edges = np.searchsorted(slices, np.arange((1 << bits) + 1))
+            rows = []
+            for s in range(1 << bits):
+                at = slice(edges[s], edges[s + 1])
+                if at.start == at.stop:
                     continue
-                keys = np.frombuffer(b"".join(sets), np.int64)
-                hashes = np.concatenate(list(sets.values()))
-                owner = np.repeat(np.arange(len(keys)), [len(s) for s in sets.values()])
-                order = np.argsort(hashes, kind="stable")
-                hashes, owner = hashes[order], owner[order]
-                same = hashes[1:] == hashes[:-1]
-                alone = ~(np.append(same, False) | np.append(False, same))
-                first = np.append(True, ~same)
-                slices = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-                low = (hashes >> np.uint64(32 - bits)).astype(np.uint32)
-                edges = np.searchsorted(slices, np.arange((1 << bits) + 1))
-                rows = []
-                for s in range(1 << bits):
-                    at = slice(edges[s], edges[s + 1])
-                    if at.start == at.stop:
-                        continue
-                    one, own = alone[at], owner[at]
-                    by_owner = np.argsort(own[one], kind="stable")
-                    total = np.bincount(own[one], minlength=len(keys))
-                    credit = np.bincount(own[~one], minlength=len(keys))
-                    there = np.flatnonzero(total + credit)
-                    rows.append((s, part << 32 | number, low[at][one][by_owner].tobytes(),
-                                 there.astype(np.uint16).tobytes(), total[there].astype(np.uint32).tobytes(),
-                                 credit[there].astype(np.uint32).tobytes(), low[at][~one & first[at]].tobytes(),
-                                 None if rows else keys.tobytes()))
-                number += 1
-                yield batch_of(_SLICED, *zip(*rows))
+                one, own = alone[at], owner[at]
+                by_owner = np.argsort(own[one], kind="stable")
+                total = np.bincount(own[one], minlength=len(keys))
+                credit = np.bincount(own[~one], minlength=len(keys))
+                there = np.flatnonzero(total + credit)
+                rows.append((s, part << 32 | number, low[at][one][by_owner].tobytes(),
+                             there.astype(np.uint16).tobytes(), total[there].astype(np.uint32).tobytes(),
+                             credit[there].astype(np.uint32).tobytes(), low[at][~one & first[at]].tobytes(),
+                             None if rows else keys.tobytes()))
+            number += 1
+            yield batch_of(_SLICED, *zip(*rows))
 
     return docs.select("doc_id", "text").mapInArrow(run, _SLICED_DDL)
 
@@ -481,6 +495,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     no rows; other columns play no part. Links are exact up to collisions of 64-bit hashes.
     """
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _labelled(docs).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """``doc_id, n, key, rep, component`` of every row: its class, the class's smallest id, and the
+    smallest id that links lead to; null without shingles."""
     rows = cut_lineage(signatures(docs))
     named = rows.where("doc_id IS NOT NULL AND key IS NOT NULL")
     classes = cut_lineage(named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
@@ -488,10 +510,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     total = classes.agg(F.sum("n")).first()[0] or 0
     by_rep = _components_of(docs.where("doc_id IS NOT NULL"), classes, total)
     labelled = cut_lineage(classes.join(by_rep, classes["rep"] == by_rep["id"], "left")
-                           .select("key", F.coalesce("component", "rep").alias("component")))
-    return rows.join(labelled, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+                           .select("key", "rep", F.coalesce("component", "rep").alias("component")))
+    return rows.join(labelled, "key", "left").select("doc_id", "n", "key", "rep", "component")
 
 
 def _components_of(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
@@ -505,18 +525,42 @@ def _components_of(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component of near duplicates: the row whose id names the component.
 
-    Rows with a null id stay. Of rows that repeat one id a single one stays, the one of the smallest
-    text hash.
+    Rows with a null id stay. An id may be repeated: its rows with other texts are classes of their
+    own, so that a copy goes and a text unlike all others stays, and of rows that repeat both the id
+    and the set of shingles a single one stays, the one of the smallest text hash. (Where an id is
+    repeated and one of its texts is a near, not an exact, copy, all its rows are in one component.)
     """
-    found = near_duplicates(docs)
-    extra = cut_lineage(found.where("doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(_sized(extra, extra.count()), "doc_id", "left_anti").select(*docs.columns)
-    twice = cut_lineage(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    found = cut_lineage(_labelled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
+    named = found.where("doc_id IS NOT NULL")
+    twice = cut_lineage(named.groupBy("doc_id").count().where("count > 1").select("doc_id"))
     number = twice.count()
+    extra = named.where("component IS NOT NULL AND doc_id <> component").select("doc_id").distinct()
+    extra = cut_lineage(extra.unionAll(twice).distinct() if number else extra)
+    kept = docs.join(_sized(extra, extra.count()), "doc_id", "left_anti").select(*docs.columns)
     if not number:
         return kept
-    single = kept.join(_sized(twice, number), "doc_id", "left_anti").select(*docs.columns)
-    repeated = kept.join(_sized(twice, number), "doc_id", "left_semi")
-    chosen = repeated.groupBy("doc_id").agg(
-        F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.length("text"))).alias("row"))
-    return single.unionAll(chosen.select("row.*").select(*docs.columns))
+    # The few rows whose id does not name them are told apart by their sets.
+    repeated = docs.join(_sized(twice, number), "doc_id", "left_semi").select(*docs.columns)
+    mark = "row_set"
+    while mark in docs.columns:
+        mark += "_"
+    keyed = _with_key(repeated, mark)
+    first = (named.join(_sized(twice, number), "doc_id", "left_semi")
+             .where("key IS NULL OR (doc_id = rep AND rep = component)")
+             .select("doc_id", F.coalesce("key", F.lit(b"")).alias(mark)).distinct())
+    chosen = (keyed.join(first, ["doc_id", mark], "left_semi").groupBy("doc_id", mark)
+              .agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.length("text"))).alias("row")))
+    return kept.unionAll(chosen.select("row.*").select(*docs.columns))
+
+
+def _with_key(docs: DataFrame, name: str) -> DataFrame:
+    """Adds the key of the row's set; empty for an empty set."""
+    schema = docs.select("*", F.lit(b"").alias(name)).schema
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t) for t in texts_of(batch)]
+            keys = pa.array([_key(s) if len(s) else b"" for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
