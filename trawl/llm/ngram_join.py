@@ -6,9 +6,11 @@ A document is its set of distinct five-word shingles; two link when their sets'
 1. Documents with equal sets are one class and go on as one.
 2. A linked class shares three quarters of its shingles with others. Blocks of shingles are counted
    by slices of the hash space, and classes with fewer shared shingles drop out: nearly all unique text.
-3. Linked classes also share a shingle among the first quarter of their own, in any common order.
-   The order puts shingles that a count sketch knows as frequent last. Sharing one joins classes
-   into coarse groups, which contain the components.
+3. Linked classes also share a shingle among the first quarter of their own, in any common order,
+   and one has three quarters of the other's shingles at least. The order puts shingles that a count
+   sketch knows as frequent last. Among classes of two neighbouring bands of size, sharing one joins
+   them into coarse groups; links lie within the groups of some pair of bands. A passage that texts of
+   all sizes share does not join them all.
 4. Within a group, classes search the inverted lists of its shingles (DivideSkip): the lists of rare
    shingles are merged, the documents that could still reach the required overlap are looked up in
    the long lists by binary search. A class that is already in the largest component need not search.
@@ -39,6 +41,10 @@ SLICE_SHINGLES, BLOCK_SHINGLES = 4_000_000, 2_000_000
 PIVOT_SHINGLES, TASK_SHINGLES = 250_000, 50_000
 #: Rows and shingles of a task that are cut into slices together, at most.
 PIECE_ROWS, PIECE_SHINGLES = 16_384, 2_000_000
+#: Ratio of the sizes at which bands begin; more than 4/3, so that linked classes are at most a band apart.
+BAND_RATIO = 1.35
+#: Nodes of a class: one for each pair of bands, numbered below this.
+BANDS = 128
 #: Counters of the frequency sketch.
 SKETCH_BITS = 18
 #: Ids, and bytes of sets, up to which one side of a join is sent to every executor.
@@ -221,7 +227,7 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 
 
 def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFrame:
-    """``rep, n, shingles`` of the classes that share enough of their shingles to link at all."""
+    """``rep, n, band, shingles, node`` of the classes that share enough of their shingles to link at all."""
     bits = max(0, math.ceil(math.log2(max(1, shingles / SLICE_SHINGLES))))
     credits = _sliced(docs, bits).groupBy("slice").applyInArrow(
         _credits, "batch long, owners binary, keys binary, credits binary")
@@ -229,18 +235,20 @@ def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFram
               .groupBy("key8").agg(F.max("credit").alias("credit")))
     kept = cut_lineage(classes.join(shared, "key8")
                        .where(f"{DENOMINATOR} * credit >= {NUMERATOR} * n").select(F.col("rep").alias("doc_id"), "key8"))
-    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("band", pa.int32()), ("shingles", pa.binary())])
 
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t) for t in texts_of(batch)]
-            own = [(r, len(s), s.tobytes()) for r, k, s in zip(
+            own = [(r, len(s), int(math.log(len(s)) / math.log(BAND_RATIO)), s.tobytes()) for r, k, s in zip(
                 texts_of(batch, "doc_id"), texts_of(batch, "key8"), sets) if len(s) and _key8(_key(s)) == k]
-            yield batch_of(schema, *(zip(*own) if own else [[]] * 3))
+            yield batch_of(schema, *(zip(*own) if own else [[]] * 4))
 
     # Of rows that repeat an id only those with the text of its class; several of them do no harm.
-    return cut_lineage(docs.join(_sized(kept, kept.count()), "doc_id").select("doc_id", "key8", "text")
-                       .mapInArrow(run, "rep long, n long, shingles binary"))
+    found = (docs.join(_sized(kept, kept.count()), "doc_id").select("doc_id", "key8", "text")
+             .mapInArrow(run, "rep long, n long, band int, shingles binary"))
+    # A class takes part in two pairs of bands: node + band with the one below, node + band + 1 with the one above.
+    return cut_lineage(found.withColumn("node", F.monotonically_increasing_id() * BANDS))
 
 
 # -- coarse groups -----------------------------------------------------------------------------
@@ -276,7 +284,7 @@ def frequency_levels(sets: DataFrame) -> np.ndarray:
 
 
 def _prefix_links(sets: DataFrame, levels: np.ndarray) -> DataFrame:
-    """``a, b``: pairs of classes that share a prefix shingle, as stars around the smallest.
+    """``a, b``: pairs of nodes of one pair of bands that share a prefix shingle, as stars around the smallest.
 
     A task links the classes it holds to the smallest with the same shingle, and sends on that one
     alone, so that a shingle of many classes costs a row for each task.
@@ -298,20 +306,22 @@ def _prefix_links(sets: DataFrame, levels: np.ndarray) -> DataFrame:
         levels = shared.value
         reps, hashes, held = [], [], 0
         for batch in batches:
-            for rep, n, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for node, n, band, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 s = np.frombuffer(raw, np.uint64)
                 level = levels[(s & np.uint64(len(levels) - 1)).astype(np.int64)]
                 keep = n - least_overlap(n) + 1
-                reps.append(np.full(keep, rep, np.int64))
-                hashes.append(s[np.argsort(level, kind="stable")[:keep]])
-                held += keep
+                prefix = s[np.argsort(level, kind="stable")[:keep]]
+                for pair in (band, band + 1):
+                    reps.append(np.full(keep, node + pair, np.int64))
+                    hashes.append(_mix(prefix + np.uint64(pair)))
+                held += 2 * keep
                 if held > 2_000_000:
                     yield from stars(np.concatenate(reps), np.concatenate(hashes))
                     reps, hashes, held = [], [], 0
         if held:
             yield from stars(np.concatenate(reps), np.concatenate(hashes))
 
-    found = cut_lineage(sets.select("rep", "n", "shingles").mapInArrow(run, "shingle long, a long, b long"))
+    found = cut_lineage(sets.select("node", "n", "band", "shingles").mapInArrow(run, "shingle long, a long, b long"))
     tasks = found.where("shingle IS NOT NULL")
     least = tasks.groupBy("shingle").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1")
     across = tasks.select("shingle", "a").join(least.select("shingle", "b"), "shingle").where("a > b").select("a", "b")
@@ -409,26 +419,28 @@ def join_group(sets: list[np.ndarray], labels: list) -> np.ndarray:
 
 
 def _settle_by_pivot(members: DataFrame, big: DataFrame) -> DataFrame:
-    """Members of large groups with their ``distance`` to the group's smallest member, the pivot."""
-    pivots = members.where("rep = grp").join(F.broadcast(big), "grp").select("grp", "shingles").collect()
+    """Members of large groups with their ``distance`` to the group's first member, the ``pivot``."""
+    pivots = members.where("node = grp").join(F.broadcast(big), "grp").select("grp", "rep", "shingles").collect()
     shared = members.sparkSession.sparkContext.broadcast(
-        {g: np.frombuffer(s, np.uint64) for g, s in pivots})  # BROADCAST_BYTES at most, see caller
+        {g: (rep, np.frombuffer(s, np.uint64)) for g, rep, s in pivots})  # BROADCAST_BYTES at most, see caller
     schema = pa.schema([("rep", pa.int64()), ("grp", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary()),
-                        ("distance", pa.float64()), ("linked", pa.bool_())])
+                        ("distance", pa.float64()), ("linked", pa.bool_()), ("pivot", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            distances, linked = [], []
+            distances, linked, named = [], [], []
             for grp, raw in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-                s, p = np.frombuffer(raw, np.uint64), shared.value[grp]
+                rep, p = shared.value[grp]
+                s = np.frombuffer(raw, np.uint64)
+                named.append(rep)
                 both = int((p[np.minimum(np.searchsorted(p, s), len(p) - 1)] == s).sum())
                 distances.append(1 - both / (len(s) + len(p) - both))
                 linked.append(bool(_linked(both, len(s), len(p))))
-            yield batch_of(schema, *batch.columns, distances, linked)
+            yield batch_of(schema, *batch.columns, distances, linked, named)
 
     return (members.select("rep", "grp", "n", "shingles").join(F.broadcast(big.select("grp")), "grp", "left_semi")
             .select("rep", "grp", "n", "shingles")
-            .mapInArrow(run, "rep long, grp long, n long, shingles binary, distance double, linked boolean"))
+            .mapInArrow(run, "rep long, grp long, n long, shingles binary, distance double, linked boolean, pivot long"))
 
 
 def _solve(table: pa.Table) -> pa.Table:
@@ -461,7 +473,7 @@ def _links_within(members: DataFrame) -> DataFrame:
     if whole[1] is not None:
         if 8 * whole[1] <= BROADCAST_BYTES:
             near = cut_lineage(_settle_by_pivot(members, big))
-            links = near.where("linked AND rep <> grp").select(F.col("rep").alias("a"), F.col("grp").alias("b"))
+            links = near.where("linked AND rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
             # d(x, y) >= |d(x, pivot) - d(y, pivot)|: who is near the pivot links to nobody far from it.
             far = near.where("NOT linked").groupBy("grp").agg(F.min("distance").alias("nearest"))
             slack = 1 - NUMERATOR / DENOMINATOR + 1e-9
@@ -517,8 +529,10 @@ def _labelled(docs: DataFrame) -> DataFrame:
 def _components_of(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     sets = sharing_sets(docs, classes, total)
     coarse = components(_prefix_links(sets, frequency_levels(sets)))
-    groups = coarse.select(F.col("id").alias("rep"), F.col("component").alias("grp"))
-    members = cut_lineage(sets.join(_sized(groups, groups.count()), "rep"))
+    groups = coarse.select(F.col("id").alias("node"), F.col("component").alias("grp"))
+    nodes = F.explode(F.array(F.col("node") + F.col("band"), F.col("node") + F.col("band") + 1))
+    members = cut_lineage(sets.select("rep", "n", "shingles", nodes.alias("node"))
+                          .join(_sized(groups, groups.count()), "node"))
     return components(_links_within(members))
 
 
