@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions import text as tx
 from trawl.functions.text import VERBATIM, Analyzer
+from trawl.operators.fieldterms import FieldTerms
 from trawl.schema import CollectionSchema, json_text, json_typed
 
 COMPARISONS = {
@@ -50,12 +51,62 @@ def compile_filter(spec: dict[str, Any], schema: CollectionSchema) -> Column | N
     return _tree(spec, schema) if spec else None
 
 
-def apply_filter(df: DataFrame, spec: dict | None, schema: CollectionSchema) -> DataFrame:
-    predicate = compile_filter(spec, schema) if spec else None
-    return df if predicate is None else df.where(predicate)
+#: Members of ``$in`` and ``$nin`` that stay in the plan; longer lists are joined, broadcast up to the
+#: second number.
+MAX_LISTED, MAX_BROADCAST_MEMBERS = 1_000, 1_000_000
 
 
-def _tree(spec: Any, schema: CollectionSchema) -> Column:
+def apply_filter(df: DataFrame, spec: dict | None, schema: CollectionSchema,
+                 terms: dict[str, FieldTerms] | None = None) -> DataFrame:
+    """The rows of ``df`` the filter holds for.
+
+    ``terms`` names fields with an index of their terms (``FieldTerms`` over the ids of ``df``): term
+    predicates on them are looked up there, and no row is analyzed. Long lists are joined as tables.
+    """
+    if not spec:
+        return df
+    joins = Joins(df, schema, terms or {})
+    predicate = _tree(spec, schema, joins)
+    for table, condition in joins.tables:
+        df = df.join(table, condition, "left")
+    return df.where(predicate).select(*joins.columns)
+
+
+class Joins:
+    """Tables that predicates of one filter are answered by, each joined once to every row."""
+
+    def __init__(self, df: DataFrame, schema: CollectionSchema, terms: dict[str, FieldTerms]):
+        self.spark, self.schema, self.terms = df.sparkSession, schema, terms
+        self.columns = [F.col(f"`{c}`") for c in df.columns]
+        self.tables: list[tuple[DataFrame, Column]] = []
+        self.mark = "__filter"
+        while any(c.startswith(self.mark) for c in df.columns):
+            self.mark += "_"
+
+    def _holds(self, table: DataFrame, key: Column, subject: Column) -> Column:
+        """Whether the row's key is in the one column of a table; unknown where ``subject`` is null."""
+        name = f"{self.mark}{len(self.tables)}"
+        self.tables.append((table.toDF(name), key == F.col(name)))
+        return F.when(subject.isNotNull(), F.col(name).isNotNull())
+
+    def member(self, column: Column, members: list) -> Column:
+        if any(isinstance(m, float) for m in members):
+            kind, members = "double", [float(m) for m in members]
+        else:
+            kind = "string" if any(isinstance(m, str) for m in members) else "bigint"
+        rows = [(str(m) if kind == "string" else m,) for m in dict.fromkeys(members)]
+        table = self.spark.createDataFrame(rows, f"member {kind}")
+        return self._holds(F.broadcast(table) if len(rows) <= MAX_BROADCAST_MEMBERS else table, column, column)
+
+    def term(self, name: str, operator: str, value: Any, column: Column) -> Column | None:
+        index = self.terms.get(name)
+        if index is None:
+            return None
+        found = index.ids(operator, term_argument(operator, value, _field_analyzer(name, self.schema)))
+        return None if found is None else self._holds(found, F.col(f"`{self.schema.id_column}`"), column)
+
+
+def _tree(spec: Any, schema: CollectionSchema, joins: Joins | None = None) -> Column:
     if not isinstance(spec, dict):
         raise ValueError(f"A filter must be a dict, got {type(spec)}")
     if not spec:
@@ -64,25 +115,25 @@ def _tree(spec: Any, schema: CollectionSchema) -> Column:
         for key in spec:
             if isinstance(key, str) and key.startswith("$"):
                 raise ValueError(f"Expected only fields beside each other, got: {key}")
-        return reduce(op.and_, (_field(name, want, schema) for name, want in spec.items()))
+        return reduce(op.and_, (_field(name, want, schema, joins) for name, want in spec.items()))
     (key, body), = spec.items()
     if not (isinstance(key, str) and key.startswith("$")):
-        return _field(key, body, schema)
+        return _field(key, body, schema, joins)
     logic = key.lower()
     if logic not in LOGICAL:
         raise ValueError(f"Expected $and, $or or $not, got: {key}")
     if logic == "$not":
         if isinstance(body, dict):
-            return ~_tree(body, schema)
+            return ~_tree(body, schema, joins)
         if not isinstance(body, list) or not body:
             raise ValueError(f"$not takes a dict or a non-empty list, got {body!r}")
-        return reduce(op.and_, (~_tree(part, schema) for part in body))
+        return reduce(op.and_, (~_tree(part, schema, joins) for part in body))
     if not isinstance(body, list) or not body:
         raise ValueError(f"{key} takes a non-empty list, got {body!r}")
-    return reduce(op.and_ if logic == "$and" else op.or_, (_tree(p, schema) for p in body))
+    return reduce(op.and_ if logic == "$and" else op.or_, (_tree(p, schema, joins) for p in body))
 
 
-def _field(name: Any, body: Any, schema: CollectionSchema) -> Column:
+def _field(name: Any, body: Any, schema: CollectionSchema, joins: Joins | None = None) -> Column:
     if not isinstance(name, str):
         raise ValueError(f"A field name must be a string, got {name!r}")
     if name.startswith("$"):
@@ -111,7 +162,8 @@ def _field(name: Any, body: Any, schema: CollectionSchema) -> Column:
                 raise NotImplementedError(f"Unsupported {operator} member: {member!r}")
         if not members:
             return F.lit(operator == "$nin")
-        hit = column.isin(members)
+        long = joins is not None and len(members) > MAX_LISTED
+        hit = joins.member(column, members) if long else column.isin(members)
         return hit if operator == "$in" else ~hit
     if operator == "$like":
         return column.like(value)
@@ -122,7 +174,8 @@ def _field(name: Any, body: Any, schema: CollectionSchema) -> Column:
             raise ValueError(f"$exists takes a bool, got {value!r}")
         return column.isNotNull() if value else column.isNull()
     if operator in TERM_OPERATORS:
-        return _term_predicate(name, operator, value, column, schema)
+        hit = joins.term(name, operator, value, column) if joins else None
+        return _term_predicate(name, operator, value, column, schema) if hit is None else hit
     raise NotImplementedError(f"{operator} cannot be applied to a field")
 
 
@@ -195,22 +248,35 @@ def _field_analyzer(name: str, schema: CollectionSchema) -> Analyzer:
     )
 
 
+def term_argument(operator: str, value: Any, analyzer: Analyzer) -> Any:
+    """The checked argument of a term operator, texts taken to pieces by the field's analyzer."""
+    if operator == "$match":
+        return _match_argument(value)
+    if operator == "$ngram":
+        wanted, threshold = _ngram_argument(value)
+        return analyzer.terms(wanted), threshold
+    if operator == "$phrase":
+        segments, gaps, slop = _phrase_argument(value)
+        return [analyzer.terms(s) for s in segments], gaps, slop
+    return value
+
+
 def _term_predicate(name, operator, value, column, schema) -> Column:
     analyzer = _field_analyzer(name, schema)
     terms = analyzer.tokens(column.cast("string"))
+    argument = term_argument(operator, value, analyzer)
     if operator == "$startswith":
-        return tx.any_startswith(terms, value)
+        return tx.any_startswith(terms, argument)
     if operator == "$regex":
-        return tx.any_regex(terms, value)
+        return tx.any_regex(terms, argument)
     if operator == "$fuzzy":
-        return tx.any_fuzzy(terms, value)
+        return tx.any_fuzzy(terms, argument)
     if operator == "$match":
-        return tx.match_any(terms, *_match_argument(value))
+        return tx.match_any(terms, *argument)
     if operator == "$ngram":
-        wanted, threshold = _ngram_argument(value)
-        return tx.ngram_similarity(terms, analyzer.terms(wanted)) >= F.lit(threshold)
-    segments, gaps, slop = _phrase_argument(value)
-    return tx.phrase(terms, [analyzer.terms(s) for s in segments], gaps, slop)
+        grams, threshold = argument
+        return tx.ngram_similarity(terms, grams) >= F.lit(threshold)
+    return tx.phrase(terms, *argument)
 
 
 def _is_int(value: Any) -> bool:
@@ -251,7 +317,7 @@ def _phrase_argument(value: Any):
         raise ValueError("$phrase takes a string or an odd-length [segment, gap, segment, ...]")
     segments, gaps = list(parts[0::2]), []
     if not all(isinstance(s, str) and s for s in segments):
-        raise ValueError("$phrase segments must be non-empty strings")
+        raise ValueError("every part of a $phrase beside the gaps is a text with something in it")
     for gap in parts[1::2]:
         bounds = (gap, gap) if _is_int(gap) else gap
         if (
@@ -271,4 +337,4 @@ def _phrase_argument(value: Any):
     return segments, gaps, slop
 
 
-__all__ = ["apply_filter", "compile_filter", "json_typed"]
+__all__ = ["apply_filter", "compile_filter", "json_typed", "term_argument"]

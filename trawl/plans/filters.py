@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
-from trawl.functions.text import Analyzer
-from trawl.operators.filters import apply_filter
+from trawl.functions.text import VERBATIM, Analyzer
+from trawl.operators.fieldterms import FieldTerms
+from trawl.operators.filters import TERM_OPERATORS, apply_filter
 from trawl.plans.common import SQL_TOKENS, table
 from trawl.schema import CollectionSchema, IndexedColumn, IndexedJsonField, MetadataIndex
+from trawl.session import scratch_path
+from trawl.sources.storage import Folder
 
 EVENTS = CollectionSchema(
     id_column="event_id", json_column="props",
@@ -174,3 +178,78 @@ QUERIES["filter_typed_json_path"] = filter_typed_json_path
 ORACLES["filter_typed_json_path"] = (
     "SELECT event_id FROM events WHERE TRY_CAST(props->>'k' AS BIGINT) < 25"
 )
+
+
+# -- terms by an index --------------------------------------------------------------------
+
+_TERMS: dict[tuple, FieldTerms] = {}
+
+
+def field_terms(spark, sf, name, schema, field) -> FieldTerms:
+    """The index of one field's terms, built once per application and then read."""
+    analyzer = next((c.analyzer or VERBATIM for c in schema.metadata_index.columns or () if c.name == field), VERBATIM) \
+        if schema.metadata_index else VERBATIM
+    key = (spark.sparkContext.applicationId, sf, name, field, analyzer)
+    if key not in _TERMS:
+        path = scratch_path(spark, f"terms-{uuid.uuid4().hex}")
+        built = FieldTerms.build(table(spark, sf, name), schema.id_column, F.col(field), analyzer, buckets=8)
+        _TERMS[key] = built.write(Folder(spark, path))
+    return _TERMS[key]
+
+
+def _fields_of(spec) -> set[str]:
+    """Fields of a filter that have a term predicate."""
+    if isinstance(spec, list):
+        return set().union(*map(_fields_of, spec))
+    found = set()
+    for key, body in spec.items():
+        if key.startswith("$"):
+            found |= _fields_of(body)
+        elif isinstance(body, dict) and next(iter(body)) in TERM_OPERATORS:
+            found.add(key)
+    return found
+
+
+def _indexed(name, schema, spec):
+    def run(spark, sf):
+        terms = {f: field_terms(spark, sf, name, schema, f) for f in sorted(_fields_of(spec))}
+        return apply_filter(table(spark, sf, name), spec, schema, terms).select(schema.id_column)
+    return run
+
+
+_TERM_CASES = {k: v for k, v in CASES.items() if k.startswith("fts_")} | {
+    k: ("documents", PROSE, spec, None) for k, (spec, _) in PHRASES.items()}
+for _case, (_table, _schema, _spec, _) in _TERM_CASES.items():
+    QUERIES[f"{_case}_indexed"] = _indexed(_table, _schema, _spec)
+    ORACLES[f"{_case}_indexed"] = ORACLES[_case]
+
+# -- long lists, and fields that only some rows have ---------------------------------------
+
+LONG_LIST = list(range(0, 60_000, 3))
+
+
+def _sparse_events(spark, sf):
+    """Events of which some have no user, and some no ``big`` in their JSON."""
+    events = table(spark, sf, "events")
+    big = F.when(F.col("value") > 50, F.round("value", 2))
+    return events.select("event_id", F.expr("nullif(user_id, 5)").alias("user_id"), "event_type",
+                         F.to_json(F.struct(big.alias("big"), "event_type")).alias("metadata"))
+
+
+SPARSE = CollectionSchema(id_column="event_id", metadata_columns={"user_id": "BIGINT", "event_type": "TEXT"})
+_SPARSE_SQL = "(SELECT event_id, nullif(user_id, 5) AS user_id, event_type, value > 50 AS big FROM events)"
+for _case, _spec, _sql in (
+    ("typed_in_long", {"user_id": {"$in": LONG_LIST}}, "user_id % 3 = 0 AND user_id BETWEEN 0 AND 59999"),
+    ("typed_nin_long", {"user_id": {"$nin": LONG_LIST}}, "NOT (user_id % 3 = 0 AND user_id BETWEEN 0 AND 59999)"),
+    ("in_long_logic", {"$or": [{"$not": {"user_id": {"$in": LONG_LIST}}}, {"event_type": "click"}]},
+     "NOT (user_id % 3 = 0 AND user_id BETWEEN 0 AND 59999) OR event_type = 'click'"),
+    ("typed_exists_some", {"user_id": {"$exists": True}}, "user_id IS NOT NULL"),
+    ("typed_absent_some", {"user_id": {"$exists": False}}, "user_id IS NULL"),
+    ("json_exists_some", {"big": {"$exists": True}}, "big"),
+    ("json_absent_some", {"big": {"$exists": False}}, "big IS NULL OR NOT big"),
+    ("nor_some", {"$not": [{"event_type": "click"}, {"user_id": {"$lt": 40}}]},
+     "NOT (event_type = 'click') AND NOT (user_id < 40)"),
+):
+    QUERIES[f"filter_{_case}"] = lambda spark, sf, spec=_spec: apply_filter(
+        _sparse_events(spark, sf), spec, SPARSE).select("event_id")
+    ORACLES[f"filter_{_case}"] = f"SELECT event_id FROM {_SPARSE_SQL} WHERE {_sql}"

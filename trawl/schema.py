@@ -333,6 +333,14 @@ class CollectionSchema:
                 raise ValueError(f"the metadata index does not take {kind} columns: {column.name}")
         return {c.name: c.analyzer for c in spec.columns}
 
+    def analyzed_fields(self) -> dict[str, Analyzer]:
+        """Metadata columns and JSON text fields declared with an analyzer, which get postings."""
+        index = self.metadata_index
+        if index is None:
+            return {}
+        return ({c.name: c.analyzer for c in index.columns or () if c.analyzer}
+                | {f.path: f.analyzer for f in index.json_fields if f.is_text and f.analyzer})
+
     def json_field(self, path: str) -> IndexedJsonField | None:
         fields = self.metadata_index.json_fields if self.metadata_index else ()
         return next((f for f in fields if f.path == path), None)

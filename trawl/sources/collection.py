@@ -9,6 +9,7 @@ dropping is ``DROP TABLE``:
 ``<name>__streams``       the write number of every streamed micro-batch
 ``<name>__ix_<b>_<part>`` full-text and vector tables derived from version ``b``
 ``<name>__ix_<b>_new_<part>``  entries of later versions, partitioned by the version ``gen``
+``<name>__ix_<b>_field_<tag>_<part>`` terms of an analyzed metadata column or JSON field
 ``<name>__ix_<b>_changes`` ids changed in later versions, partitioned likewise
 
 A write appends to the log and touches nothing else.  The current rows are those of the base whose
@@ -25,6 +26,7 @@ The state row keeps the collection's definition, so that ``open`` needs no decla
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Sequence
@@ -38,7 +40,8 @@ from pyspark.sql import types as T
 from trawl.functions.embed import embed
 from trawl.functions.text import Analyzer
 from trawl.operators import dense, mutate
-from trawl.operators.filters import compile_filter
+from trawl.operators.fieldterms import FieldTerms
+from trawl.operators.filters import apply_filter, compile_filter
 from trawl.operators.graph import GraphIndex
 from trawl.operators.hybrid import HybridConfig, hybrid_search, refuse_fused_scores
 from trawl.operators.ivf import IvfIndex, filtered_search
@@ -221,6 +224,11 @@ class Collection:
         return self._current(self.state())
 
     def _current(self, state: State, upto: int | None = None) -> DataFrame:
+        kept, fresh = self._parts(state, upto)
+        return kept.unionByName(fresh)
+
+    def _parts(self, state: State, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """The rows of the base that have not changed since, and those that have."""
         key = self.schema.id_column
         base = self.spark.table(self._name(f"rows_{state.base}"))
         latest = self._latest(state.base_upto, upto)
@@ -231,8 +239,36 @@ class Collection:
         if promoted <= set(base.columns):
             # Promoted fields are stored, and filters on them reach the scan.
             columns = [*plain, *sorted(promoted)]
-            return kept.select(*columns).unionByName(self.schema.promote(fresh).select(*columns))
-        return self.schema.promote(kept.select(*plain).unionByName(fresh.select(*plain)))
+            return kept.select(*columns), self.schema.promote(fresh).select(*columns)
+        return self.schema.promote(kept.select(*plain)), self.schema.promote(fresh.select(*plain))
+
+    def find(self, filter: dict | None) -> DataFrame:
+        """Every current row a filter holds for, in the collection's own columns.
+
+        Term predicates on fields declared with an analyzer are looked up in the field's own postings, but
+        for rows that changed since the base, which are analyzed in place. Long lists are joined.
+        """
+        state = self.state()
+        kept, fresh = self._parts(state)
+        terms = {}
+        for name, analyzer in self.schema.analyzed_fields().items():
+            store = self._field_store(state.base, name, analyzer)
+            if store.has("postings"):
+                terms[name] = FieldTerms.read(store, analyzer)
+        return (apply_filter(kept, filter, self.schema, terms)
+                .unionByName(apply_filter(fresh, filter, self.schema)))
+
+    def _field_store(self, version: int, field: str, analyzer: Analyzer) -> Tables:
+        tag = hashlib.md5(repr((field, analyzer)).encode()).hexdigest()[:10]
+        return Tables(self.spark, self._name(f"ix_{version}_field_{tag}_"))
+
+    def _derive_fields(self, version: int, rows: DataFrame) -> None:
+        """Terms of every analyzed metadata column and JSON field, for ``find``."""
+        for name, analyzer in self.schema.analyzed_fields().items():
+            declared = self.schema.json_field(name)
+            value = F.col(declared.physical) if declared else F.col(f"`{name}`")
+            FieldTerms.build(rows, self.schema.id_column, value, analyzer).write(
+                self._field_store(version, name, analyzer))
 
     def _json_fields(self):
         index = self.schema.metadata_index
@@ -359,9 +395,7 @@ class Collection:
         """Delete by ids and/or filter (both must hold); False when neither is given."""
         if (ids is None or (not isinstance(ids, DataFrame) and not ids)) and not filter:
             return False
-        key, rows = self.schema.id_column, self.rows()
-        if filter:
-            rows = rows.where(compile_filter(filter, self.schema))
+        key, rows = self.schema.id_column, self.find(filter) if filter else self.rows()
         if ids is not None and (isinstance(ids, DataFrame) or ids):
             rows = rows.join(self._id_frame(ids).select(key), key, "left_semi")
         struct = self.schema.struct()
@@ -491,6 +525,7 @@ class Collection:
         stored = store.save(f"rows_{version}", rows, options=self._bloom_filters(rows))
         state = replace(state, version=version, upto=upto, base=version, base_upto=upto,
                         base_rows=stored.count(), changed=0)
+        self._derive_fields(version, stored)
         if state.text_index:
             self._derive_text(before, state, stored, dirty)
         if state.index:
@@ -659,17 +694,17 @@ class Collection:
 
     def _dense(self, queries: DataFrame, k: int, filter: dict | None) -> DataFrame:
         """Hits by distance, through the index when there is one."""
-        s, where = self.schema, self._where(filter)
+        s = self.schema
         check_query_type(self.query_options, self.index_type(), self.name)
         index = self.vector_index()
         if index is None:
-            return dense.knn_join(queries, self.rows(), k, s.metric, id=s.id_column,
-                                  vec=s.embedding_column, where=where)
+            return dense.knn_join(queries, self.find(filter), k, s.metric, id=s.id_column,
+                                  vec=s.embedding_column)
         knobs = self.query_options.knobs() if self.query_options else {}
         mode = self.query_options.filter_mode_or_auto() if self.query_options else "auto"
 
         def through_index(k: int) -> DataFrame:
-            if where is None:
+            if not filter:
                 return index.search(queries, k, **knobs)
             # Fields promoted since the index was written are read from the JSON there.
             inside = self._where(filter, index.cells.columns)
@@ -680,8 +715,8 @@ class Collection:
         if not number:
             return through_index(k)
         if number > MAX_PENDING_DELETES:
-            return dense.knn_join(queries, self.rows(), k, s.metric, id=s.id_column,
-                                  vec=s.embedding_column, where=where)
+            return dense.knn_join(queries, self.find(filter), k, s.metric, id=s.id_column,
+                                  vec=s.embedding_column)
         # Each deleted row can take one place at most.
         left = through_index(k + number).join(F.broadcast(gone), "id", "left_anti")
         return dense.rank_best(left.select("qid", "id", "distance"), k)
