@@ -27,6 +27,7 @@ from trawl.operators.dense import (
     Best, QueryBlock, arrow_schema, coarse, id_values, matrix_of, rank_best, result_schema,
     small_queries,
 )
+from trawl.operators import proven
 from trawl.operators.quant import Quantizer, codes_of, encode_table, fit, unit_vectors
 from trawl.schema import Metric
 from trawl.session import cut_lineage
@@ -122,6 +123,8 @@ class IvfIndex:
     codes: DataFrame | None = None
     id: str = "id"
     vec: str = "embedding"
+    #: ``cell, n, radius`` of the cells as they were written (``proven``).
+    radii: DataFrame | None = None
 
     index_type = "ivf"
 
@@ -165,7 +168,9 @@ class IvfIndex:
         model = self.quantizer.to_json() if self.quantizer else None
         row = [(self.metric.value, self.centroids.tolist(), model, self.id, self.vec)]
         store.save("model", spark.createDataFrame(row, MODEL_SCHEMA).coalesce(1))
-        return IvfIndex(self.metric, self.centroids, cells, self.quantizer, codes, self.id, self.vec)
+        radii = proven.cell_radii(cells, self.centroids, self.metric, self.vec).coalesce(1)
+        radii = store.save("radii", radii)
+        return IvfIndex(self.metric, self.centroids, cells, self.quantizer, codes, self.id, self.vec, radii)
 
     @classmethod
     def read(cls, store) -> "IvfIndex":
@@ -173,7 +178,7 @@ class IvfIndex:
         quantizer = Quantizer.from_json(row["quantizer"]) if row["quantizer"] else None
         codes = store.load("codes") if quantizer else None
         return cls(Metric(row["metric"]), np.array(row["centroids"], float), store.load("cells"),
-                   quantizer, codes, row["id"], row["vec"])
+                   quantizer, codes, row["id"], row["vec"], store.load("radii") if store.has("radii") else None)
 
     # -- search ---------------------------------------------------------------------------
 
@@ -229,7 +234,11 @@ class IvfIndex:
 
     def _scan(self, queries, block, k, nprobe, qid, where) -> DataFrame:
         out = result_schema(queries, qid, self.cells, self.id)
-        probes, metric, wire = self._probes(block.vectors, nprobe), self.metric, arrow_schema(out)
+        return self.scan(queries, block, k, self._probes(block.vectors, nprobe), qid, where, out)
+
+    def scan(self, queries, block, k, probes, qid, where, out) -> DataFrame:
+        """The best ``k`` of every query and task among the cells that ``probes`` names for it."""
+        metric, wire = self.metric, arrow_schema(out)
         shared = self.cells.sparkSession.sparkContext.broadcast((block, probes))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -542,12 +551,17 @@ def filtered_search(index, queries: DataFrame, k: int, where: Column, mode: str
                     *, qid: str = "qid", qvec: str = "embedding", **knobs) -> DataFrame:
     """Search under a filter that returns ``k`` rows when there are ``k``, whatever their number.
 
-    ``scan`` and ``auto`` are exact over the filtered rows.  In any other mode the filter applies
+    ``scan`` is exact over the filtered rows, and so is ``auto``, which reads the cells that may hold
+    a neighbour where the index proves which these are (``proven``).  In any other mode the filter applies
     inside the index search, and queries left short are answered exactly.
     """
     passing = index.cells.where(where)
     exact = mode in ("scan", "auto")
     knn = dict(qid=qid, qvec=qvec, id=index.id, vec=index.vec)
+    if mode == "auto":
+        found = proven.proven_search(index, queries, k, where=where, qid=qid, qvec=qvec)
+        if found is not None:
+            return found.hits
     if exact:
         return dense.knn_join(queries, passing, k, index.metric, **knn)
     found = cut_lineage(index.search(queries, k, qid=qid, qvec=qvec, where=where, **knobs))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -12,10 +13,13 @@ from trawl.operators.dense import knn_join
 from trawl.operators.filters import compile_filter
 from trawl.operators.graph import GraphIndex
 from trawl.operators.ivf import IvfIndex, assign_cells, filtered_search
+from trawl.operators.proven import proven_search
 from trawl.operators.quant import encode_table, fit
 from trawl.plans.common import embeddings, sql_knn, sql_tidy, tidy, vector_queries
 from trawl.plans.dense import LABELS, VECTORS
 from trawl.schema import Metric
+from trawl.session import scratch_path
+from trawl.sources.storage import Folder
 
 K = 5
 OPEN = 1 << 20
@@ -159,6 +163,21 @@ def _filtered(mode, nprobe):
     return run
 
 
+def _proven(metric, spec=None):
+    """Only cells that can hold a neighbour are read, and the answer is exact."""
+    def run(spark, sf):
+        folder = Folder(spark, scratch_path(spark, f"ivf-{uuid.uuid4().hex}"))
+        index = IvfIndex.build(embeddings(spark, sf), metric).write(folder)
+        where = compile_filter(spec, VECTORS) if spec else None
+        return _out(proven_search(index, vector_queries(spark, sf), K, where=where).hits)
+    return run
+
+
+for _m in ("cosine", "l2"):
+    QUERIES[f"ivf_exact_probe_{_m}"] = _proven(_m)
+    ORACLES[f"ivf_exact_probe_{_m}"] = _exact(_m)
+QUERIES["ann_filtered_proven"] = _proven("cosine", LABELS)
+ORACLES["ann_filtered_proven"] = _exact("cosine", "c.label IN (1, 3, 5) OR c.label > 7")
 QUERIES["ann_filtered_scan"] = _filtered("scan", 1)
 ORACLES["ann_filtered_scan"] = _exact("cosine", "c.label IN (1, 3, 5) OR c.label > 7")
 QUERIES["ann_filtered_auto"] = _filtered("auto", 1)

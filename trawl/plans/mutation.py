@@ -19,7 +19,7 @@ from trawl.operators.hybrid import HybridConfig
 from trawl.operators.lexical import lexical_topk
 from trawl.sources.collection import Collection
 from trawl.sources.options import IvfOptions, IvfQuery, TextIndexOptions
-from trawl.streaming.ingest import ingest
+from trawl.streaming.ingest import ingest, write_batch
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -363,3 +363,26 @@ SELECT qid, rank, id, 'text' AS kind FROM (
 UNION ALL SELECT qid, rank, id, 'dense' FROM near WHERE rank <= 5
 UNION ALL SELECT qid, rank, id, 'hybrid' FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= 5"""
+
+
+def continuous_ingest_replay(spark, sf):
+    """Three micro-batches that repeat ids, each after a restart from the checkpoint; then the first
+    arrives again, takes its old place, and changes nothing."""
+    target, run = _collection(spark), uuid.uuid4().hex
+    source, checkpoint = scratch_path(spark, f"arriving-{run}"), scratch_path(spark, f"ingest-{run}")
+    batch, number = _batch(spark, sf), F.col("id").cast("long")
+    renamed = lambda mark: F.concat(F.lit(mark), "content")
+    parts = [batch, batch.where(number % 4 == 1).withColumn("content", renamed("second ")),
+             batch.where(number % 8 == 1).withColumn("content", renamed("third "))]
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(batch.schema).parquet(source)
+        ingest(stream, target, checkpoint, refresh_every=2).awaitTermination()
+    write_batch(parts[0], target, target.stream_seq(checkpoint, 0))
+    return _dropping(target, target.rows().select("id", F.md5("content").alias("content"), "lang"))
+
+
+QUERIES["continuous_ingest_replay"] = continuous_ingest_replay
+ORACLES["continuous_ingest_replay"] = """
+SELECT doc_id::VARCHAR AS id, md5(CASE WHEN doc_id % 8 = 1 THEN 'third ' WHEN doc_id % 4 = 1 THEN 'second '
+  ELSE '' END || text) AS content, lang FROM documents"""

@@ -598,6 +598,8 @@ class Collection:
         """The cells and codes of a version."""
         index = IvfIndex.read(self._tables(state.base))
         index.cells = self._newest(state, index.cells, "cells", self.schema.id_column)
+        if state.version != state.base:
+            index.radii = None  # those of the base's own rows
         if index.codes is not None:
             index.codes = self._newest(state, index.codes, "codes", "id")
         return index
