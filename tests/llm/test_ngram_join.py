@@ -142,6 +142,26 @@ def test_components_of_chains(spark):
     assert found[101] == found[12] == 0 and found[38] == found[27] == 26 and found[201] == 200
 
 
+def test_components_of_random_links(spark):
+    rnd = np.random.default_rng(4)
+    for nodes, links in ((40, 30), (60, 90), (300, 280)):
+        names = rnd.permutation(10 * nodes)[:nodes]
+        ends = names[rnd.integers(0, nodes, (links, 2))]
+        ends = np.concatenate([ends[ends[:, 0] != ends[:, 1]], np.stack([names[:-1], names[1:]], 1)[:nodes // 3]])
+        parent = {int(x): int(x) for x in ends.ravel()}
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in ends.tolist():
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+        found = components(spark.createDataFrame([tuple(map(int, e)) for e in ends], "a long, b long")).collect()
+        assert {r["id"]: r["component"] for r in found} == {x: root(x) for x in parent} and len(found) == len(parent)
+
+
 def test_long_text_is_split_alike(monkeypatch, words):
     text = "  ".join(words(500, 1)) + "\n"
     whole = shingle_set(text)

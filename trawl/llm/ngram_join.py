@@ -331,22 +331,25 @@ def _prefix_links(sets: DataFrame, levels: np.ndarray) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` of every id in ``a, b``: the smallest id that links lead to.
 
-    Each round takes the smallest label among the neighbours, then the label of the label; both
-    halve what is left of a chain. Labels are checkpointed, as the rounds build on each other.
+    Each round moves every end of a link to its smallest neighbour, and on to that one's, and keeps the
+    links between different places alone; so the links shrink from round to round. The smallest
+    id of a component never moves. What a round builds on is checkpointed.
     """
     links = cut_lineage(links)
-    both = cut_lineage(links.unionAll(links.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(
-        F.least(F.min("b"), F.first("a")).alias("component")))
+    edges = cut_lineage(links.unionAll(links.select("b", "a")).distinct())
+    labels = edges.select(F.col("a").alias("id")).distinct().withColumn("component", F.col("id"))
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "component")
-        nearer = cut_lineage(near.unionAll(labels).groupBy("id").agg(F.min("component").alias("component")))
-        jump = nearer.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        jumped = cut_lineage(nearer.join(jump, "component").select("id", F.col("further").alias("component")))
-        changed = jumped.join(labels.withColumnRenamed("component", "old"), "id").where("component <> old")
-        if not changed.limit(1).count():
-            return jumped
-        labels = jumped
+        near = cut_lineage(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("near")))
+        beyond = near.select(F.col("a").alias("near"), F.col("near").alias("to"))
+        moved = cut_lineage(near.join(beyond, "near").select("a", "to"))
+        step = moved.select(F.col("a").alias("component"), "to")
+        labels = cut_lineage(labels.join(step, "component", "left").select(
+            "id", F.coalesce("to", "component").alias("component")))
+        edges = edges.join(moved, "a").select(F.col("to").alias("a"), "b")
+        edges = edges.join(moved.select(F.col("a").alias("b"), F.col("to").alias("c")), "b").where("a <> c")
+        edges = cut_lineage(edges.select("a", F.col("c").alias("b")).distinct())
+        if not edges.limit(1).count():
+            return labels
 
 
 # -- the search within a group -----------------------------------------------------------------
