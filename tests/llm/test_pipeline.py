@@ -12,7 +12,7 @@ def test_stages_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "language_id", "ngram_jaccard_join", "benchmark_decontamination", "best_fit_packing"]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert sorted(n.split("_")[0] for n in entry.queries() if n.startswith("op")) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(n.split("_")[0] for n in entry.queries() if n.startswith("op")) == sorted(f"op{n}" for n in range(1, 14))
 
 
 def test_each_stage_on_its_own_input(spark, tmp_path, monkeypatch):
