@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trawl.functions.text import VERBATIM, Analyzer
 from trawl.operators.fieldterms import FieldTerms
 from trawl.operators.filters import TERM_OPERATORS, apply_filter
+from trawl.operators.layout import cluster
 from trawl.plans.common import SQL_TOKENS, table
 from trawl.schema import CollectionSchema, IndexedColumn, IndexedJsonField, MetadataIndex
 from trawl.session import scratch_path
@@ -253,3 +254,21 @@ for _case, _spec, _sql in (
     QUERIES[f"filter_{_case}"] = lambda spark, sf, spec=_spec: apply_filter(
         _sparse_events(spark, sf), spec, SPARSE).select("event_id")
     ORACLES[f"filter_{_case}"] = f"SELECT event_id FROM {_SPARSE_SQL} WHERE {_sql}"
+
+
+# -- rows along a curve --------------------------------------------------------------------
+
+def filter_clustered(spark, sf):
+    """A filter on the second and the third of the columns that the rows were laid out by."""
+    rows = table(spark, sf, "events").withColumn("user_id", F.expr("nullif(user_id, 5)"))
+    store = Folder(spark, scratch_path(spark, f"clustered-{uuid.uuid4().hex}"))
+    laid = store.save("rows", cluster(rows, ["ts", "user_id", "value", "event_type"], "event_id"))
+    spec = {"user_id": {"$between": [20, 60]}, "value": {"$gt": 40.0}, "event_type": {"$ne": "error"}}
+    return apply_filter(laid, spec, EVENTS).select("event_id", "user_id")
+
+
+QUERIES["filter_clustered"] = filter_clustered
+ORACLES["filter_clustered"] = (
+    "SELECT event_id, user_id FROM (SELECT event_id, nullif(user_id, 5) AS user_id, value, event_type FROM events) "
+    "WHERE user_id BETWEEN 20 AND 60 AND value > 40 AND event_type <> 'error'"
+)

@@ -45,6 +45,7 @@ from trawl.operators.filters import apply_filter, compile_filter
 from trawl.operators.graph import GraphIndex
 from trawl.operators.hybrid import HybridConfig, hybrid_search, refuse_fused_scores
 from trawl.operators.ivf import IvfIndex, filtered_search
+from trawl.operators.layout import can_order, cluster
 from trawl.operators.lexical import LexicalIndex, build_postings, term_stats
 from trawl.operators.mmr import mmr
 from trawl.schema import CollectionSchema, MetadataIndex, Metric
@@ -59,6 +60,9 @@ STATE = ("version int, upto bigint, index string, text_index boolean, trained bi
 #: Changed rows, as a share of the base's rows, from which on a version is written whole: every row
 #: is then rewritten a bounded number of times, however many versions there are.
 REWRITE_SHARE = 0.5
+#: Rows from which on a base is laid out along a curve over its indexed columns; fewer fill few
+#: row groups, of which none could be left out.
+CLUSTER_FROM = 1_000_000
 #: Changed ids that are broadcast, at most.
 MAX_BROADCAST_CHANGES = 1_000_000
 STREAMS = "stream string, batch bigint, seq bigint"
@@ -104,13 +108,17 @@ class Collection:
                  database: str = "default", embedder: Any = None,
                  hybrid: HybridConfig | None = None,
                  query_options: IvfQuery | GraphQuery | None = None,
-                 sync_load: bool = True) -> None:
+                 sync_load: bool = True, query_embedder: Any = None,
+                 cluster_from: int = CLUSTER_FROM) -> None:
         if not NAME.fullmatch(name) or name.endswith("_"):
             raise ValueError("a collection's name holds letters, digits and single underscores")
         ship_package(spark)
         self.spark, self.name, self.schema, self.database = spark, name, schema, database
         self.embedder, self.hybrid, self.query_options = embedder, hybrid, query_options
         self.sync_load = sync_load
+        # A model may read queries in another way than documents.
+        self.query_embedder = embedder if query_embedder is None else query_embedder
+        self.cluster_from = cluster_from
 
     # -- lifecycle ------------------------------------------------------------------------
 
@@ -150,6 +158,7 @@ class Collection:
     def open(cls, spark: SparkSession, name: str, *, database: str = "default",
              embedder: Any = None, hybrid: HybridConfig | None = None,
              query_options: IvfQuery | GraphQuery | None = None, sync_load: bool = True,
+             query_embedder: Any = None, cluster_from: int = CLUSTER_FROM,
              metadata_index: MetadataIndex | None = None, **columns: Any) -> "Collection":
         """Open an existing collection as it was defined.
 
@@ -174,7 +183,8 @@ class Collection:
         if metadata_index is not None:
             schema = schema.with_index(metadata_index)
         return cls(spark, name, schema, database=database, embedder=embedder, hybrid=hybrid,
-                   query_options=query_options, sync_load=sync_load)
+                   query_options=query_options, sync_load=sync_load,
+                   query_embedder=query_embedder, cluster_from=cluster_from)
 
     def _name(self, part: str) -> str:
         return f"`{self.database}`.{self.name}__{part}"
@@ -510,19 +520,22 @@ class Collection:
         if changed and state == before and few and not whole and self._grows(state):
             self._publish(self._extend(state, dirty, number, upto))
         else:
-            self._rewrite(before, state, dirty, upto)
+            self._rewrite(before, state, dirty, upto, before.base_rows + before.changed + number)
 
     def _grows(self, state: State) -> bool:
         """Whether new entries can be added to the indexes; a graph has to be linked again."""
         options = _options(state.index)
         return options is None or (state.trained > 0 and options.index_type == "ivf")
 
-    def _rewrite(self, before: State, state: State, dirty: DataFrame | None, upto: int) -> None:
-        """The next version as a new base."""
+    def _rewrite(self, before: State, state: State, dirty: DataFrame | None, upto: int, most: int) -> None:
+        """The next version, of at most ``most`` rows, as a new base."""
         version = before.version + 1
         rows = self._current(before, upto)
+        filters, along = self._bloom_filters(rows), self._curve_columns(rows)
+        if along and most >= self.cluster_from:
+            rows = cluster(rows, along, self.schema.id_column)
         store = Tables(self.spark, self._name(""))
-        stored = store.save(f"rows_{version}", rows, options=self._bloom_filters(rows))
+        stored = store.save(f"rows_{version}", rows, options=filters)
         state = replace(state, version=version, upto=upto, base=version, base_upto=upto,
                         base_rows=stored.count(), changed=0)
         self._derive_fields(version, stored)
@@ -604,6 +617,12 @@ class Collection:
             index.codes = self._newest(state, index.codes, "codes", "id")
         return index
 
+    def _curve_columns(self, rows: DataFrame) -> list[str]:
+        """Indexed columns and promoted fields by whose ranges row groups can be left out."""
+        wanted = [*(n for n, analyzer in self.schema.indexed_columns().items() if analyzer is None),
+                  *(f.physical for f in self._json_fields() if f.analyzer is None)]
+        return [c for c in wanted if can_order(rows.schema[c].dataType)]
+
     def _bloom_filters(self, rows: DataFrame) -> dict[str, str]:
         """Parquet Bloom filters on the id and the indexed columns, for equality filters."""
         wanted = [self.schema.id_column, *self.schema.indexed_columns(),
@@ -688,10 +707,10 @@ class Collection:
                 rows = [(i, [float(x) for x in v]) for i, v in enumerate(values)]
                 query = self.spark.createDataFrame(rows, "qid int, embedding array<float>")
         if "embedding" not in query.columns:
-            if self.embedder is None:
+            if self.query_embedder is None:
                 raise ValueError("text queries need an embedder")
             # The model runs once, however often the search reads its queries.
-            query = cut_lineage(embed(query, self.embedder, "text", "embedding"))
+            query = cut_lineage(embed(query, self.query_embedder, "text", "embedding"))
         return query
 
     def _dense(self, queries: DataFrame, k: int, filter: dict | None) -> DataFrame:
