@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.operators.dense import join_hits, knn_join
-from trawl.operators.lexical import LexicalIndex, best_scores, lexical_topk
+from trawl.operators.lexical import LexicalIndex, best_scores, lexical_topk, web_topk
 from trawl.schema import Metric
 
 
@@ -24,6 +24,10 @@ class Fusion(str, enum.Enum):
 
 # The query constructors a configuration may name, and how each matches.
 TSQUERY_MODES = {"plainto_tsquery": "all", "phraseto_tsquery": "phrase"}
+#: The constructor whose queries are columns.
+STRUCTURED = "websearch_to_tsquery"
+#: Columns of a structured query, as ``web_match`` reads them.
+WEB_COLUMNS = ("must", "should", "must_not", "phrases")
 
 
 @dataclass(frozen=True)
@@ -43,11 +47,25 @@ class HybridConfig:
     def mode(self) -> str:
         if self.tsquery_function not in TSQUERY_MODES:
             raise ValueError(
-                f"{self.tsquery_function} needs a structured query: use web_match or "
-                "boolean_match and fuse() its ranking"
+                f"{self.tsquery_function} does not read a text: it needs a structured query"
             )
         return TSQUERY_MODES[self.tsquery_function]
 
+    @property
+    def structured(self) -> bool:
+        """Whether queries are columns ``must, should, must_not, phrases`` and not a text."""
+        return self.tsquery_function == STRUCTURED
+
+
+def asks_words(queries: DataFrame) -> Column:
+    """Whether a structured query has anything that a document must or should hold."""
+    missing = [c for c in WEB_COLUMNS if c not in queries.columns]
+    if missing:
+        raise ValueError(f"structured queries need the columns {', '.join(missing)}")
+    sizes = [F.size(F.coalesce(F.col(c), F.array().cast(queries.schema[c].dataType)))
+             for c in ("must", "should", "phrases")]
+    return sizes[0] + sizes[1] + sizes[2] > 0
+
 
 def fuse(lexical: DataFrame, vector: DataFrame, config: HybridConfig) -> DataFrame:
     """``qid, id, score`` from ``(qid, id, score)`` and ``(qid, id, distance)`` rankings.
@@ -100,16 +118,21 @@ def hybrid_search(
 ) -> DataFrame:
     """Best ``k`` documents per query by fused score: ``qid, id, rank, score[, columns]``.
 
-    ``where`` filters the documents inside both branches.  ``vector_search(queries, k, where)``
+    ``text`` is read as the configuration says; with ``websearch_to_tsquery`` the queries have the columns
+    of ``web_match`` instead.  ``where`` filters the documents inside both branches.  ``vector_search(queries, k, where)``
     replaces the exact vector branch, e.g. by an approximate index.
     """
     keep = None
     if where is not None:
         keep = corpus.where(where).select(F.col(id).alias("id"))
-    lexical = lexical_topk(
-        index, queries, config.secondary_top_k, config.scorer, config.mode,
-        qid=qid, text=text, keep=keep,
-    )
+    if config.structured:
+        lexical = web_topk(index, queries.where(asks_words(queries)), config.secondary_top_k, config.scorer,
+                           qid=qid, keep=keep)
+    else:
+        lexical = lexical_topk(
+            index, queries, config.secondary_top_k, config.scorer, config.mode,
+            qid=qid, text=text, keep=keep,
+        )
     if vector_search is not None:
         vector = vector_search(queries, config.primary_top_k, where)
     else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.functions.embed import hash_embedding
+from trawl.functions.embed import embed, hash_embedding
 from trawl.operators.dense import knn_join, topk, with_relevance
 from trawl.operators.filters import compile_filter
 from trawl.operators.mmr import mmr
@@ -151,3 +151,29 @@ for _name, _key, _text in (("part", "p_partkey", "p_name"), ("documents", "doc_i
     ORACLES[f"embed_hash_{_name}"] = f"""
 SELECT {_key} AS id, array_to_string(list_transform({sql_hash_embedding(_text)},
   lambda x: round(x::DOUBLE, 5)::VARCHAR), ',') AS vector FROM {_name}"""
+
+
+# -- models of the user's -------------------------------------------------------------------
+
+def embed_user_models(spark, sf):
+    """Documents and queries, each embedded by a model of its own that runs in batches."""
+    def of_documents():
+        return lambda texts: [[len(t) % 89, t.count("e"), t.count(" ")] for t in texts]
+
+    def of_queries():
+        return lambda texts: [[len(t) % 97, 2 * t.count("e"), 1 + t.count(" ")] for t in texts]
+
+    asked = embed(text_queries(spark, sf), of_queries, "text")
+    rows = embed(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), of_documents, "text")
+    return knn_join(asked, rows, K, "l2").select("qid", "id", "rank", tidy("distance"))
+
+
+QUERIES["embed_user_models"] = embed_user_models
+ORACLES["embed_user_models"] = f"""
+WITH d AS (SELECT doc_id AS id, length(text) % 89 AS a, length(text) - length(replace(text, 'e', '')) AS b,
+           length(text) - length(replace(text, ' ', '')) AS c FROM documents),
+q AS (SELECT item_id AS qid, length(text) % 97 AS a, 2 * (length(text) - length(replace(text, 'e', ''))) AS b,
+      1 + length(text) - length(replace(text, ' ', '')) AS c FROM benchmark),
+near AS (SELECT qid, id, sqrt(((q.a - d.a) ** 2 + (q.b - d.b) ** 2 + (q.c - d.c) ** 2)::DOUBLE) AS distance FROM q, d)
+SELECT qid, id, rank, {sql_tidy('distance')} AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM near) WHERE rank <= {K}"""

@@ -232,6 +232,26 @@ QUERIES["hybrid_tfidf"] = _hybrid(Fusion.NORMALIZED, scorer="TFIDF")
 ORACLES["hybrid_tfidf"] = _sql_hybrid("normalized", scorer="tfidf")
 
 
+def hybrid_web(spark, sf):
+    """Text branch by structured web queries, those of ``tsquery_web``."""
+    tokens = SPLIT_LOWER.tokens(F.col("text"))
+    asked = text_queries(spark, sf, True).select(
+        "qid", "embedding", F.array(F.array_max(tokens)).alias("must"), F.array_distinct(tokens).alias("should"),
+        F.array(F.array_min(tokens)).alias("must_not"), F.array().cast("array<array<string>>").alias("phrases"))
+    config = HybridConfig(tsquery_function="websearch_to_tsquery", primary_top_k=WINDOW, secondary_top_k=WINDOW)
+    found = hybrid_search(asked, embedded_documents(spark, sf), document_index(spark, sf), K, config, "cosine")
+    return found.select("qid", "id", "rank", tidy("score", 5))
+
+
+QUERIES["hybrid_web"] = hybrid_web
+ORACLES["hybrid_web"] = _sql_hybrid("rrf").replace(sql_scored("bm25", True).replace("scored AS", "every AS"), f"""
+shape AS (SELECT qid, list_max(toks) AS must, list_min(toks) AS banned FROM q),
+good AS (SELECT qid, id FROM shape JOIN post ON term = must
+         EXCEPT SELECT qid, id FROM shape JOIN post ON term = banned),
+{sql_scored('bm25', False).replace('scored AS', 'loose AS')},
+every AS (SELECT loose.* FROM loose SEMI JOIN good USING (qid, id))""")
+
+
 def hybrid_rows(spark, sf):
     """Fused hits joined back to the columns of their documents."""
     found = hybrid_search(

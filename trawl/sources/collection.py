@@ -43,10 +43,10 @@ from trawl.operators import dense, mutate
 from trawl.operators.fieldterms import FieldTerms
 from trawl.operators.filters import apply_filter, compile_filter
 from trawl.operators.graph import GraphIndex
-from trawl.operators.hybrid import HybridConfig, hybrid_search, refuse_fused_scores
+from trawl.operators.hybrid import HybridConfig, asks_words, hybrid_search, refuse_fused_scores
 from trawl.operators.ivf import IvfIndex, filtered_search
 from trawl.operators.layout import can_order, cluster
-from trawl.operators.lexical import LexicalIndex, build_postings, term_stats
+from trawl.operators.lexical import LexicalIndex, boolean_match, build_postings, term_stats
 from trawl.operators.mmr import mmr
 from trawl.schema import CollectionSchema, MetadataIndex, Metric
 from trawl.session import cut_lineage, ship_package
@@ -773,7 +773,9 @@ class Collection:
         """Best documents per text query: hybrid when configured, else by distance.
 
         The full-text query defaults to the query text; ``fts_query`` (a text, or the name of
-        a column) overrides it, and an empty one means a dense search.
+        a column) overrides it, and an empty one means a dense search. Where the hybrid configuration
+        names ``websearch_to_tsquery``, it is the columns ``must, should, must_not, phrases`` of ``query``,
+        in terms of the content's analyzer; a query with none but banned terms is a dense search.
         """
         queries = self._queries(query)
         if "fts_query" not in options and "text" in queries.columns:
@@ -785,13 +787,15 @@ class Collection:
         """As ``search``, but hybrid only with an explicit ``fts_query``."""
         queries, k = self._queries(query), self.schema.k if k is None else k
         config = options.get("hybrid", self.hybrid)
-        fts = options.get("fts_query")
-        if config is None or fts is None or isinstance(fts, str) and not fts:
+        fts, structured = options.get("fts_query"), config is not None and config.structured
+        if config is None or not structured and (fts is None or isinstance(fts, str) and not fts):
             return self._documents(self._dense(queries, k, filter), queries, k, False)
-        fts = F.lit(fts) if isinstance(fts, str) else fts
-        queries = queries.withColumn("__fts", fts)
-        worded = queries.where(F.coalesce(F.col("__fts"), F.lit("")) != "")
-        s = self.schema
+        if structured:
+            asks = asks_words(queries)
+        else:
+            fts = F.lit(fts) if isinstance(fts, str) else fts
+            queries, asks = queries.withColumn("__fts", fts), F.coalesce(F.col("__fts"), F.lit("")) != ""
+        worded, s = queries.where(asks), self.schema
         check_query_type(self.query_options, self.index_type(), self.name)
         where = self._where(filter)
         hits = hybrid_search(
@@ -799,13 +803,24 @@ class Collection:
             id=s.id_column, vec=s.embedding_column, where=where,
             vector_search=lambda asked, n, _: self._dense(asked, n, filter),
         ).select("qid", "id", "rank")
-        if not isinstance(options.get("fts_query"), str):
-            plain = queries.where(F.coalesce(F.col("__fts"), F.lit("")) == "")
+        if structured or not isinstance(options.get("fts_query"), str):
+            plain = queries.where(~asks)
             if not plain.isEmpty():
                 rest = self._dense(plain, k, filter).select("qid", "id", "rank")
                 hits = hits.unionByName(rest)
         return self._documents(hits, queries, k, False)
 
+    def match(self, expression: Any, filter: dict | None = None) -> DataFrame:
+        """Documents whose content satisfies a tree of ``and, or, not, phrase`` over its terms, unranked.
+
+        Terms are those of the content's analyzer. The published text index answers, over every document;
+        rows deleted since are left out.
+        """
+        key = self.schema.id_column
+        known = self.published().select(F.col(key).alias("id"))
+        ids = boolean_match(self.text_index(), expression, known).withColumnRenamed("id", key)
+        return mutate.to_documents(self.find(filter).join(ids, key, "left_semi"), self.schema, [])
+
     def search_with_score(self, query: Any, k: int | None = None, filter: dict | None = None,
                           fts_query: Any = None, hybrid: HybridConfig | None = None) -> DataFrame:
         """Documents with their distance; always by vector."""
