@@ -150,7 +150,7 @@ QUERIES = {f.__name__: _bounded(f) for f in (
     op9_token_rollup, op10_clause_toxicity, op11_personal_data,
     op12_spelling_variants, op13_embedding_whitening)}
 
-# In larger batches more shingles meet in one task and need not be shuffled; alone it has the memory.
+# It cuts slices of one size whatever the session's batches are, and so needs no setting.
 QUERIES["op4_ngram_jaccard_join"] = shipped(op4_ngram_jaccard_join)
 
 _PATTERN_SQL = " ".join(
