@@ -25,9 +25,13 @@ from trawl.schema import Metric
 MAX_BROADCAST_QUERIES = 8192
 MAX_BROADCAST_BYTES = 64 << 20
 CORPUS_BLOCK = 32768
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 16384
 MAX_BROADCAST_HITS = 1_000_000
 _PRODUCT_CELLS = 1 << 22
+#: Rows whose absolute differences are taken at once, so that they stay in a core's cache.
+_DIFFERENCE_VALUES = 1 << 16
+#: Parts of a row of distances whose least values bound the k-th.
+_PARTS = 256
 
 
 # -- block kernel ------------------------------------------------------------------------
@@ -53,7 +57,7 @@ def _even(column: pa.Array, dim: int) -> bool:
 def coarse(metric: Metric, q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """All distances of a block pair, fast; NaN where undefined."""
     if metric is Metric.L1:
-        return np.stack([np.abs(x - row).sum(axis=1) for row in q])
+        return differences(q, x)
     prod = q @ x.T
     if metric is Metric.IP:
         return -prod
@@ -64,6 +68,42 @@ def coarse(metric: Metric, q: np.ndarray, x: np.ndarray) -> np.ndarray:
         return 1.0 - prod / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1))
 
 
+def differences(q: np.ndarray, x: np.ndarray, kind: type = np.float64) -> np.ndarray:
+    """Sums of absolute differences of a block pair, piece by piece."""
+    q, x = q.astype(kind), x.astype(kind)
+    out = np.empty((len(q), len(x)), kind)
+    step, ones = max(1, _DIFFERENCE_VALUES // max(1, x.shape[1])), np.ones(x.shape[1], kind)
+    gap = np.empty((min(step, len(x)), x.shape[1]), kind)
+    for start in range(0, len(x), step):
+        part = x[start:start + step]
+        here = gap[:len(part)]
+        for row, sums in zip(q, out):
+            np.subtract(part, row, out=here)
+            np.abs(here, out=here)
+            np.dot(here, ones, out=sums[start:start + step])
+    return out
+
+
+def _defined(d: np.ndarray) -> np.ndarray:
+    d[np.isnan(d)] = np.inf
+    return d
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def bound_of_kth(d: np.ndarray, k: int) -> np.ndarray:
+    """At least the ``k``-th smallest value of each row: that of the least values of its parts."""
+    width = d.shape[1] // max(_PARTS, 4 * k)
+    if width > 1:
+        # Parts are taken across the row, so that neighbouring rows alike fall into several.
+        many = d.shape[1] // width
+        d = d[:, :many * width].reshape(len(d), width, many).min(axis=1)
+    return np.partition(d, k - 1, axis=1)[:, k - 1]
+
+
 def precise(metric: Metric, q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Distances of aligned rows, computed row by row: equal rows give equal distances."""
     if metric is Metric.L1:
@@ -90,31 +130,96 @@ class Best:
         self.ids: np.ndarray | None = None
 
     def _slack(self, x: np.ndarray) -> float:
-        """How far the fast distances may be off; rows within it are scored again."""
+        """How far the distances of ``coarse`` may be off."""
         if self.metric is Metric.COSINE:
             return 1e-9
         reach = float(np.sqrt((x * x).sum(axis=1).max(initial=0.0)))
         return 1e-6 * (self.reach + reach) + 1e-12 * self.reach * reach
 
-    def add(self, ids: np.ndarray, x: np.ndarray, which: np.ndarray | None = None) -> None:
-        """Score rows ``x`` against the queries ``which`` (default: all)."""
+    def _fast(self, x: np.ndarray) -> tuple[Callable, Callable, float]:
+        """Keys of ``x`` for given queries that order like distances, the key of a distance, and how far
+        a key may be off; rows within that are scored again.
+
+        Keys are in single precision where the values allow, and squared for L2.
+        """
+        metric, asked = self.metric, self.queries
+        reach = float(np.sqrt((x * x).sum(axis=1).max(initial=0.0)))
+        most = max(reach, self.reach)
+        if not 1e-12 < most < 1e15:
+            return lambda rows: coarse(metric, asked[rows], x), lambda d: d, self._slack(x)
+        unit = (x.shape[1] + 8) * 2.0**-23
+        if metric is Metric.L1:
+            wide = float(np.abs(x).sum(axis=1).max(initial=0.0) + np.abs(asked).sum(axis=1).max(initial=0.0))
+            return lambda rows: differences(asked[rows], x, np.float32), lambda d: d, wide * unit
+        q = asked
+        if metric is Metric.COSINE:
+            q, x = _unit(q), _unit(x)
+        low, wide = q.astype(np.float32), np.ascontiguousarray(x.astype(np.float32).T)
+        if metric is Metric.COSINE:
+            return lambda rows: -low[rows] @ wide, lambda d: d - 1.0, unit
+        if metric is Metric.IP:
+            return lambda rows: -low[rows] @ wide, lambda d: d, most * most * unit
+        own, other = (q * q).sum(1).astype(np.float32), (x * x).sum(1).astype(np.float32)
+
+        def squares(rows: np.ndarray) -> np.ndarray:
+            out = (-2 * low[rows]) @ wide
+            out += other
+            out += own[rows][:, None]
+            return out
+
+        return squares, lambda d: d * d, 8 * most * most * unit
+
+    def add(self, ids: np.ndarray, x: np.ndarray, which: np.ndarray | None = None, only=None) -> None:
+        """Score rows ``x`` against the queries ``which`` (default: all); ``only(rows)`` tells for
+        queries, if given, which rows of ``x`` each may have."""
         if not len(x) or not len(self.queries):
             return
         if x.shape[1] != self.queries.shape[1]:
             raise ValueError("vectors and queries must be of one length")
         which = np.arange(len(self.queries)) if which is None else which
-        slack = self._slack(x)
+        key, key_of, off = self._fast(x)
+        wide = self._slack(x)
+        plain = bool(np.isfinite(x).all() and np.isfinite(self.queries).all())
+        if self.metric is Metric.COSINE:
+            plain = plain and bool((x != 0).any(axis=1).all() and (self.queries != 0).any(axis=1).all())
         step = max(1, _PRODUCT_CELLS // max(1, len(x)))
+        found, size = [], 0
         for start in range(0, len(which), step):
             rows = which[start:start + step]
-            d = coarse(self.metric, self.queries[rows], x)
-            d[np.isnan(d)] = np.inf
-            bound = self.limit[rows]
-            if len(x) > self.k:
-                bound = np.minimum(bound, np.partition(d, self.k - 1, axis=1)[:, self.k - 1])
-            qi, xi = np.nonzero(d <= (bound + slack)[:, None])
-            exact = precise(self.metric, self.queries[rows[qi]], x[xi])
-            self._merge(rows[qi], exact, ids[xi])
+            allowed = None if only is None else only(rows)
+            if allowed is None or allowed.sum() * x.shape[1] > allowed.size:
+                d = key(rows) if plain else _defined(key(rows))
+                qi, xi = self._near(key_of(self.limit[rows]) + off, d, allowed, off)
+                if len(qi) > 32 * self.k * len(rows) and d.dtype != np.float64:
+                    # Lengths far above the distances: single precision told too little.
+                    qi, xi = self._near(self.limit[rows] + wide, _defined(coarse(self.metric, self.queries[rows], x)), allowed, wide)
+            else:
+                # Few pairs: to score them one by one is cheaper than all.
+                qi, xi = np.nonzero(allowed)
+            found.append((rows[qi], self._exact(rows[qi], x, xi), ids[xi]))
+            size += len(qi)
+            if size > _PRODUCT_CELLS:
+                self._merge(*map(np.concatenate, zip(*found)))
+                found, size = [], 0
+        if found:
+            self._merge(*map(np.concatenate, zip(*found)))
+
+    def _exact(self, q: np.ndarray, x: np.ndarray, xi: np.ndarray) -> np.ndarray:
+        step = max(1, _PRODUCT_CELLS // max(1, x.shape[1]))
+        parts = [precise(self.metric, self.queries[q[i:i + step]], x[xi[i:i + step]]) for i in range(0, len(q), step)]
+        return np.concatenate(parts) if parts else np.empty(0)
+
+    def _near(self, bound: np.ndarray, d: np.ndarray, allowed: np.ndarray | None, off: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) numbers that may be among the best, by their keys ``d``."""
+        if allowed is not None:
+            d[~allowed] = np.inf
+        if d.shape[1] > self.k:
+            bound = np.minimum(bound, bound_of_kth(d, self.k) + 2 * off)
+        # Up to the next number of the keys' own precision.
+        near = d <= np.nextafter(bound.astype(d.dtype), d.dtype.type(np.inf))[:, None]
+        if allowed is not None:
+            near &= allowed
+        return np.divmod(np.flatnonzero(near), d.shape[1])
 
     def _merge(self, q: np.ndarray, d: np.ndarray, ids: np.ndarray) -> None:
         q = np.concatenate([self.q, q])
@@ -238,15 +343,20 @@ def replicate(df: DataFrame, blocks: int, name: str) -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
 
+def block_grid(queries: DataFrame, corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every block of ``queries`` (``qid``, ...) beside every block of ``corpus`` (``id``, ...), by ``qb, cb``."""
+    q_blocks = block_count(queries.count(), QUERY_BLOCK)
+    c_blocks = block_count(corpus.count(), CORPUS_BLOCK)
+    left = replicate(spread(queries, "qid", q_blocks, "qb"), c_blocks, "cb")
+    right = replicate(spread(corpus, "id", c_blocks, "cb"), q_blocks, "qb")
+    return left, right
+
+
 def grid_topk(queries: DataFrame, corpus: DataFrame, out: T.StructType, k: int, metric: Metric,
               qid: str, qvec: str, id: str, vec: str) -> DataFrame:
     """Block-pair form of the exact join, for query tables too large to broadcast."""
-    q_blocks = block_count(queries.count(), QUERY_BLOCK)
-    c_blocks = block_count(corpus.count(), CORPUS_BLOCK)
-    left = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
-    left = replicate(spread(left, "qid", q_blocks, "qb"), c_blocks, "cb")
-    right = corpus.select(F.col(id).alias("id"), F.col(vec).alias("v"))
-    right = replicate(spread(right, "id", c_blocks, "cb"), q_blocks, "qb")
+    left, right = block_grid(queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv")),
+                             corpus.select(F.col(id).alias("id"), F.col(vec).alias("v")))
     return pair_blocks(left, right, ["qb", "cb"], topk_kernel(metric, k, arrow_schema(out)), out)
 
 
