@@ -217,6 +217,33 @@ def test_rescored_blocks_and_partial_probes(spark, skewed, metric, monkeypatch):
     assert hits(index.search(asked, 5, 2, 1, layout="grid")) == wanted
 
 
+def test_coarse_codes_in_blocks_are_rescored_where_they_meet(spark, skewed, monkeypatch):
+    """Coarse codes leave most pairs alive: none of them is shuffled, and no query is copied to each cell."""
+    monkeypatch.setattr(dense, "CORPUS_BLOCK", 100)
+    monkeypatch.setattr(dense, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(ivf.CodeSearch, "alive", None)
+    monkeypatch.setattr(ivf, "probe_table", None)
+    q, x = skewed
+    for kind, options in (("pq", {"pq_m": 2}), ("bq", {"nb_bits": 1, "query_bits": 4})):
+        index = IvfIndex.build(frame(spark, x), "cosine", cells=6, quant=kind, **options)
+        asked = frame(spark, q, "qid")
+        assert hits(index.search(asked, 5, 100, 1, layout="grid")) == expected("cosine", q, x, 5)
+
+
+def test_best_is_exact_far_from_the_origin(monkeypatch):
+    """Fast keys tell little where lengths are far above distances, or beyond single precision."""
+    rng = np.random.default_rng(4)
+    for scale, shift in ((1.0, 1e4), (1e-20, 0.0), (1e30, 0.0), (1.0, 0.0)):
+        x, q = (rng.normal(size=(n, 6)) * scale + shift for n in (3000, 9))
+        for metric in ("l2", "l1", "cosine", "ip"):
+            best = dense.Best(Metric(metric), q, 4)
+            best.add(np.arange(1500), x[:1500])
+            best.add(np.arange(1500, 3000), x[1500:], np.arange(9))
+            d = np.array([dense.precise(Metric(metric), np.broadcast_to(r, x.shape), x) for r in q])
+            wanted = [sorted(range(3000), key=lambda j: (d[i, j], j))[:4] for i in range(9)]
+            assert best.ids.reshape(9, 4).tolist() == wanted, (metric, scale)
+
+
 def test_stored_index(spark, skewed, tmp_path):
     q, x = skewed
     built = IvfIndex.build(frame(spark, x), "cosine", cells=5, quant="tq", nb_bits=4)

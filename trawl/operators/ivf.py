@@ -213,6 +213,8 @@ class IvfIndex:
             .agg(F.max("distance").alias("cut"), F.count("distance").alias("n"))
             .select("qid", F.when(F.col("n") >= k, F.col("cut")).alias("cut"))
         )
+        if block is None:
+            return rank_best(ask.rescored(cut_lineage(cut), width, k), k)
         return rank_best(ask.exact(cut_lineage(ask.alive(cut, width)), k), k)
 
     def _probes(self, vectors: np.ndarray, nprobe: int) -> dict[int, np.ndarray] | None:
@@ -262,9 +264,15 @@ class IvfIndex:
         return dense.pair_blocks(left, right, BLOCK_KEYS, kernel, out)
 
     def _blocks(self, queries, table, id, payload, nprobe, qid, qvec, where, extra=()):
-        """Queries and rows cut by (cell, query block, row block), each block bounded."""
+        """Queries and rows cut by (cell, query block, row block), each block bounded.
+
+        Queries that read every cell need not be copied to each: their blocks cut across the cells.
+        """
         table = table if where is None else table.where(where)
         asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"), *extra)
+        if nprobe >= len(self.centroids):
+            rows = table.select(F.col(id).alias("id"), *payload, F.lit(0).alias("cell"))
+            return dense.block_grid(asked.withColumn("cell", F.lit(0)), rows)
         probes = probe_table(asked, self.centroids, nprobe, self.metric)
         rows = table.groupBy("cell").count().withColumnRenamed("count", "rows")
         hits = probes.groupBy("cell").count().withColumnRenamed("count", "asked")
@@ -379,19 +387,6 @@ class CodeSearch:
         """``qid, id`` of all rows whose code distance, less its error, is within the cut."""
         out = T.StructType(self._schema().fields[:2])
         wire, quantizer = arrow_schema(out), self.index.quantizer
-        if self.block is None:
-            def kernel(asked: pa.Table, rows: pa.Table) -> pa.Table:
-                if not asked.num_rows or not rows.num_rows:
-                    return wire.empty_table()
-                seen, moved = quantizer.quantize_queries(matrix_of(asked.column("qv")))
-                x, err = quantizer.decode(codes_of(rows.column("code"))), rows.column("err").to_numpy()
-                cuts = _cuts(asked.column("cut"))
-                found = within(quantizer.metric, seen, moved, cuts, width, x, err)
-                qids, ids = id_values(asked.column("qid")), id_values(rows.column("id"))
-                return _pairs(found, qids, ids, wire)
-
-            return dense.pair_blocks(*self._blocks(cut), BLOCK_KEYS, kernel, out)
-
         # One value per broadcast query: as bounded as the queries themselves.
         table = cut.select("qid", "cut").toArrow()
         cuts = np.full(len(self.block.ids), np.inf)
@@ -411,6 +406,29 @@ class CodeSearch:
 
         return self._codes(probes).mapInArrow(run, out)
 
+    def rescored(self, cut: DataFrame, width: float, k: int) -> DataFrame:
+        """``qid, id, distance``: of the rows of each block that ``alive`` would name, the best ``k`` at
+        full precision.
+
+        Coarse codes leave nearly every pair alive; pairs are scored where they are found, and none is
+        shuffled.
+        """
+        out = self._schema()
+        wire, metric, quantizer = arrow_schema(out), self.index.metric, self.index.quantizer
+
+        def kernel(asked: pa.Table, rows: pa.Table) -> pa.Table:
+            if not asked.num_rows or not rows.num_rows:
+                return wire.empty_table()
+            queries = matrix_of(asked.column("qv"))
+            seen, moved = quantizer.quantize_queries(queries)
+            codes, err, cuts = quantizer.decode(codes_of(rows.column("code"))), rows.column("err").to_numpy(), _cuts(asked.column("cut"))
+            best = Best(metric, queries, k)
+            best.add(id_values(rows.column("id")), matrix_of(rows.column("v")),
+                     only=lambda which: may_be_within(quantizer.metric, seen[which], moved[which], cuts[which], width, codes, err))
+            return pa.Table.from_batches([best.batch(id_values(asked.column("qid")), wire)])
+
+        return dense.pair_blocks(*self._blocks(cut), BLOCK_KEYS, kernel, out)
+
     def exact(self, pairs: DataFrame, k: int | None = None) -> DataFrame:
         """Full-precision distances of ``qid, id`` pairs; with ``k``, the best of each task."""
         index = self.index
@@ -433,12 +451,13 @@ class CodeSearch:
         return spark.sparkContext.broadcast(payload), probes
 
     def _blocks(self, cut: DataFrame | None = None):
-        queries = self.queries
-        extra = []
+        queries, codes, payload, extra = self.queries, self.index.codes, ["code", "err"], []
         if cut is not None:
             queries = queries.join(cut.withColumnRenamed("qid", self.qid), self.qid, "left")
-            extra = ["cut"]
-        return self.index._blocks(queries, self.index.codes, "id", ["code", "err"], self.nprobe,
+            index, extra = self.index, ["cut"]
+            vectors = index.cells.select(F.col(index.id).alias("id"), F.col(index.vec).alias("v"))
+            codes, payload = codes.join(vectors, "id"), [*payload, "v"]
+        return self.index._blocks(queries, codes, "id", payload, self.nprobe,
                                   self.qid, self.qvec, self.where, extra)
 
 
@@ -467,26 +486,33 @@ def _pairs(found, qids: np.ndarray, ids: np.ndarray, wire: pa.Schema) -> pa.Tabl
     ], schema=wire)
 
 
-def within(metric, seen, moved, cuts, width, x, err, which=None):
-    """(query, row) numbers whose distance may be at most the query's cut.
+def may_be_within(metric, seen, moved, cuts, width, x, err) -> np.ndarray:
+    """(queries, rows): whether a distance may be at most the query's cut.
 
     A code distance is off by at most the row's error and the query's, scaled for inner
     products by the other side's length; ``width`` scales that margin.
     """
-    which = np.arange(len(seen)) if which is None else which
     scored, lift = _code_metric(metric)
-    length = np.sqrt((x * x).sum(axis=1))
     reach = np.sqrt((seen * seen).sum(axis=1)) + moved
+    least = coarse(scored, seen, x)
+    if metric is Metric.L2:
+        least -= (width * err)[None, :]
+        most = cuts + width * moved
+    else:
+        least -= (width * reach)[:, None] * err[None, :]
+        if moved.any():
+            least -= (width * moved)[:, None] * np.sqrt((x * x).sum(axis=1))[None, :]
+        most = cuts
+    return least <= (most - lift + 1e-6 * (1.0 + reach))[:, None]
+
+
+def within(metric, seen, moved, cuts, width, x, err, which=None):
+    """(query, row) numbers whose distance may be at most the query's cut."""
+    which = np.arange(len(seen)) if which is None else which
     step, found = max(1, (1 << 22) // max(1, len(x))), []
     for start in range(0, len(which), step):
         rows = which[start:start + step]
-        d = coarse(scored, seen[rows], x) + lift
-        if metric is Metric.L2:
-            margin = err[None, :] + moved[rows][:, None]
-        else:
-            margin = reach[rows][:, None] * err[None, :] + moved[rows][:, None] * length[None, :]
-        slack = 1e-6 * (1.0 + reach[rows])[:, None]
-        qi, xi = np.nonzero(d - width * margin - slack <= cuts[rows][:, None])
+        qi, xi = np.nonzero(may_be_within(metric, seen[rows], moved[rows], cuts[rows], width, x, err))
         found.append((rows[qi], xi))
     if not found:
         return np.empty(0, int), np.empty(0, int)

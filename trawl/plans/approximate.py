@@ -18,7 +18,7 @@ from trawl.operators.quant import encode_table, fit
 from trawl.plans.common import embeddings, sql_knn, sql_tidy, tidy, vector_queries
 from trawl.plans.dense import LABELS, VECTORS
 from trawl.schema import Metric
-from trawl.session import scratch_path
+from trawl.session import cut_lineage, scratch_path
 from trawl.sources.storage import Folder
 
 K = 5
@@ -202,7 +202,8 @@ def ivf_recall(spark, sf):
 def quant_recall(spark, sf):
     """Recall at 10 of every quantizer answering from its codes alone."""
     rows, asked = embeddings(spark, sf), vector_queries(spark, sf)
-    exact, plain = knn_join(asked, rows, 10, "cosine"), IvfIndex.build(rows, "cosine")
+    # Compared with every quantizer, so found once.
+    exact, plain = cut_lineage(knn_join(asked, rows, 10, "cosine")), IvfIndex.build(rows, "cosine")
     parts = []
     for kind, options in RESCORED.items():
         index = IvfIndex.assign(rows, plain.metric, plain.centroids,
