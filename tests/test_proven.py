@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from test_search import VECTOR, brute, frame, hits
 from trawl import IvfIndex, filtered_search, knn_join
+from trawl.operators import dense
 from trawl.operators.proven import proven_search
 from trawl.sources.storage import Folder
 
@@ -73,3 +74,27 @@ def test_fewer_rows_than_asked_ties_and_zeros(spark, tmp_path):
         assert proven_search(index, q.where("qid > 90"), 2).hits.count() == 0
     for metric in ("ip", "l1"):
         assert proven_search(IvfIndex.build(corpus, metric, cells=2).write(Folder(spark, str(tmp_path / metric))), q, 1) is None
+
+
+@pytest.mark.parametrize("where", [None, "label = 3"])
+def test_large_query_tables_are_answered_in_blocks(spark, clustered, index, where, monkeypatch):
+    q, x, corpus = clustered
+    where = None if where is None else F.expr(where)
+    wanted = hits(knn_join(frame(spark, q, "qid"), corpus, 6, index.metric, where=where))
+    monkeypatch.setattr(dense, "MAX_BROADCAST_QUERIES", 10)
+    monkeypatch.setattr(dense, "CORPUS_BLOCK", 200)
+    monkeypatch.setattr(dense, "QUERY_BLOCK", 4)
+    found = proven_search(index, frame(spark, q, "qid"), 6, where=where)
+    assert hits(found.hits) == wanted and 1 <= found.cells_read < found.cells
+
+
+def test_large_query_tables_with_zeros(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dense, "MAX_BROADCAST_QUERIES", 1)
+    x = [[1, 0], [1, 0], [0, 0], [-1, 0], [0, 2], [0, 0]]
+    corpus, q = frame(spark, x), frame(spark, [[1, 0], [0, 0], [3, 1]], "qid")
+    key = lambda df: sorted((r["qid"], r["rank"], r["id"], r["distance"] is None) for r in df.collect())
+    for metric in ("cosine", "l2"):
+        index = IvfIndex.build(corpus, metric, cells=3).write(Folder(spark, str(tmp_path / metric)))
+        for k in (2, 10):
+            assert key(proven_search(index, q, k).hits) == key(knn_join(q, corpus, k, metric, layout="grid"))
+        assert proven_search(index, q, 2, where=F.col("id") > 90).hits.count() == 0
