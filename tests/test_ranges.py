@@ -157,3 +157,14 @@ def test_text_ids_filter_and_one_reading(spark, rows):
                                            F.array(F.lit("w2")).alias("must_not"), F.lit(None).cast("array<array<string>>").alias("phrases")))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("MapInArrow") == 1  # the postings, lazily built here, are made once
+
+
+def test_files_are_as_many_as_the_documents_need(spark, rows, tmp_path, monkeypatch):
+    """More files than the session has tasks after a shuffle, each of bounded size."""
+    monkeypatch.setattr(lexical, "DOCS_PER_FILE", 10)
+    docs = spark.createDataFrame(rows, "id long, text string")
+    built = LexicalIndex.build(docs, "id", "text", positions=True, buckets=2).write(Folder(spark, str(tmp_path)), bounds=True)
+    sizes = [r["n"] for r in built.postings.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < sum(sizes) / 6
+    assert built.bounds.agg(F.sum("tf")).first()[0] > 0
+    assert built.terms.where("term = 'zebra'").first()["df"] == 12

@@ -31,7 +31,8 @@ from trawl.operators import ranges
 from trawl.session import cut_lineage
 
 DEFAULT_BUCKETS = 256
-DOCS_PER_FILE = 1_000_000
+#: Documents whose postings of all terms are as many as one file gets, about: a bucket has its share of them.
+DOCS_PER_FILE = 2_048
 SALTS = 16
 MAX_BROADCAST_TERMS = 500_000
 #: Terms that reach a scan as values.
@@ -136,17 +137,17 @@ class LexicalIndex:
     def write(self, store, bounds: bool = False) -> "LexicalIndex":
         """Save the index in a ``Folder`` or ``Tables`` store, with score ``bounds`` on request.
 
-        A bucket is cut by document into as many sorted files as keep any one term below
-        ``DOCS_PER_FILE`` rows in each, however frequent it is.
+        A bucket is cut by document into as many sorted files as keep each at the postings of about
+        ``DOCS_PER_FILE`` documents, however frequent a term is, and there are tasks for all of them.
         """
         n_docs = self.totals.select("n_docs").first()[0]
-        cuts = max(1, math.ceil(n_docs / DOCS_PER_FILE))
+        cuts = max(1, math.ceil(n_docs / (DOCS_PER_FILE * self.buckets)))
         cut = F.pmod(F.xxhash64("id"), F.lit(cuts))
         rows, order = self.postings, ["bucket", "term", "id"]
         if bounds:
             rows = rows.withColumn("range", ranges.range_of(F.col("id"), F.col("dl"), n_docs))
             order = ["bucket", "term", "range", "id"]
-        sorted_files = rows.repartition(F.col("bucket"), cut).sortWithinPartitions(*order)
+        sorted_files = self._in_files(rows, cuts, F.col("bucket"), cut).sortWithinPartitions(*order)
         postings = store.save("postings", sorted_files, partition="bucket")
         terms = store.save("terms", term_stats(postings).sortWithinPartitions("term"))
         # Only the document count is taken from the rows; tokens are summed from the terms.
@@ -159,12 +160,19 @@ class LexicalIndex:
         if bounds:
             # Dealt by a part of what is grouped by: one shuffle, and files as large as those of the postings.
             cut = F.pmod("range", F.lit(cuts)).alias("cut")
-            kept = (postings.select("bucket", cut, "term", "range", "tf", "dl").repartition("bucket", "cut")
-                    .groupBy("bucket", "cut", "term", "range").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl"))
+            kept = self._in_files(postings.select("bucket", cut, "term", "range", "tf", "dl"), cuts, "bucket", "cut")
+            kept = (kept.groupBy("bucket", "cut", "term", "range").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl"))
                     .sortWithinPartitions("bucket", "term", "range").drop("cut"))
             kept = store.save("bounds", kept, partition="bucket")
         return LexicalIndex(postings, terms, totals, self.analyzer, self.buckets, kept)
 
+    def _in_files(self, rows: DataFrame, cuts: int, *by) -> DataFrame:
+        """Rows dealt by bucket and cut: to two tasks a file, so that few share one, where the session has fewer."""
+        tasks = 2 * cuts * self.buckets
+        if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            return rows.repartition(tasks, *by)
+        return rows.repartition(*by)
+
     @classmethod
     def read(cls, store, analyzer: Analyzer = SPLIT_LOWER) -> "LexicalIndex":
         totals = store.load("totals")
