@@ -230,6 +230,15 @@ def test_coarse_codes_in_blocks_are_rescored_where_they_meet(spark, skewed, monk
         assert hits(index.search(asked, 5, 100, 1, layout="grid")) == expected("cosine", q, x, 5)
 
 
+def test_repeated_queries_in_blocks_count_as_in_probed_cells(spark, skewed):
+    q, x = skewed
+    index = IvfIndex.build(frame(spark, x), "l2", cells=1)
+    again = frame(spark, np.concatenate([q[:2], q[:1]]), "qid", names=[0, 1, 0])
+    found = hits(index.search(again, 6, 1, layout="grid"))
+    near = [j for _, _, j in expected("l2", q[:2], x, 6)]
+    assert [h[2] for h in found] == [near[0]] * 4 + [near[1]] * 2 + near[6:]
+
+
 def test_best_is_exact_far_from_the_origin(monkeypatch):
     """Fast keys tell little where lengths are far above distances, or beyond single precision."""
     rng = np.random.default_rng(4)

@@ -272,6 +272,8 @@ class IvfIndex:
         asked = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"), *extra)
         if nprobe >= len(self.centroids):
             rows = table.select(F.col(id).alias("id"), *payload, F.lit(0).alias("cell"))
+            # As with probes: rows of one qid are asked once for each of them, rows without one never.
+            asked = asked.select("qid").join(asked, "qid")
             return dense.block_grid(asked.withColumn("cell", F.lit(0)), rows)
         probes = probe_table(asked, self.centroids, nprobe, self.metric)
         rows = table.groupBy("cell").count().withColumnRenamed("count", "rows")
@@ -427,7 +429,9 @@ class CodeSearch:
                      only=lambda which: may_be_within(quantizer.metric, seen[which], moved[which], cuts[which], width, codes, err))
             return pa.Table.from_batches([best.batch(id_values(asked.column("qid")), wire)])
 
-        return dense.pair_blocks(*self._blocks(cut), BLOCK_KEYS, kernel, out)
+        hits = dense.pair_blocks(*self._blocks(cut), BLOCK_KEYS, kernel, out)
+        # As ``exact`` counts them, whose pairs meet every query of their qid.
+        return hits.join(self.queries.select(F.col(self.qid).alias("qid")), "qid")
 
     def exact(self, pairs: DataFrame, k: int | None = None) -> DataFrame:
         """Full-precision distances of ``qid, id`` pairs; with ``k``, the best of each task."""
