@@ -3,7 +3,8 @@
 The graph links every vector to its nearest neighbours (found within the nearest inverted-file
 cells) and back.  A search keeps a beam of the ``ef_search`` best rows per query; each round joins
 the beam's unexpanded rows with the graph, scores the new rows, and stops when no beam changes.
-Rounds are cut by reliable checkpoints, so neither the plan nor the lineage grows.
+Rounds are cut by reliable checkpoints, so neither the plan nor the lineage grows.  Query tables too
+large to broadcast walk in ``walk``, which ships no vectors of rows.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from trawl.functions.distance import distance
 from trawl.operators.dense import knn_join, rank_best, small_queries
 from trawl.operators.ivf import IvfIndex, check_search, probe_table, score_joined, score_pairs
 from trawl.operators.quant import decode_table
+from trawl.operators.walk import walk_beams
 from trawl.schema import Metric
 from trawl.session import cut_lineage
 
@@ -105,7 +107,10 @@ class GraphIndex:
         allowed = None
         if where is not None:
             allowed = self.cells.where(where).select(F.col(self.id).alias("id"))
-        hits = self._walk(asked, vectors, ef, block, allowed)
+        if block is None:
+            hits = walk_beams(asked, vectors, self.ivf, self.edges, self.entries, ef, ENTRY_CELLS, allowed)
+        else:
+            hits = self._walk(asked, vectors, ef, block, allowed)
         if coded and rescore_width != 0:
             hits = self._score(hits.select("qid", "id"), asked, exact, block)
         return rank_best(hits, k)

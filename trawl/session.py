@@ -69,10 +69,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
+def cut_lineage(df: DataFrame, dealt: bool = False) -> DataFrame:
+    """Reliable checkpoint: the rows survive the loss of any executor.
+
+    ``dealt`` keeps how rows are partitioned and sorted, which adaptive plans forget: joins by that
+    key leave them where they are.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not dealt:
+        return df.checkpoint(eager=True)
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    adaptive = conf.get(name)
+    try:
+        conf.set(name, "false")
+        # A new plan: that of ``df`` may have been made before.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        conf.set(name, adaptive)
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
