@@ -167,3 +167,50 @@ def test_long_text_is_split_alike(monkeypatch, words):
     whole = shingle_set(text)
     monkeypatch.setattr(ngram_join, "_SLICE_CHARS", 50)
     assert np.array_equal(shingle_set(text), whole)
+
+
+def test_linked_sets_have_a_mark_in_common():
+    rnd = np.random.default_rng(2)
+    for n in [1, 2, 3, 4, 5, 7, 8, 9, 16, 40, 64, 100, 103, 240, 300, 420, 1000, 3000]:
+        for _ in range(20):
+            shared = rnd.integers(0, 2**63, ngram_join.least_overlap(n), np.uint64)
+            own = rnd.integers(0, 2**63, n - len(shared), np.uint64)
+            # Exactly at the threshold: the rest of one set, or as much of both as it allows.
+            most = (len(shared) * 4 // 3) - n
+            other = rnd.integers(0, 2**63, max(0, most), np.uint64)
+            a, b = np.unique(np.append(shared, own)), np.unique(np.append(shared, other))
+            assert ngram_join._linked(len(shared), len(a), len(b))
+            levels = rnd.integers(0, 4, 1 << 16).astype(np.uint8)
+            bands = [{x, x + 1} for x in (ngram_join._band(len(a)), ngram_join._band(len(b)))]
+            assert bands[0] & bands[1]
+            for pair in bands[0] & bands[1]:
+                for thin in {True, any(ngram_join._thin(s, pair) for s in (a, b))}:
+                    marks = [ngram_join._marks(s, levels[(s & np.uint64(0xFFFF)).astype(np.int64)], pair, thin, 5)
+                             for s in (a, b)]
+                    assert len(np.intersect1d(*marks))
+
+
+def test_sets_without_enough_parts_are_told():
+    one_part = np.arange(2000, dtype=np.uint64)
+    one_part = one_part[ngram_join._parts(one_part, 17)[0] == ngram_join._parts(one_part, 17)[0][0]][:3]
+    assert len(one_part) == 3 and ngram_join._thin(one_part, 17)
+    assert not ngram_join._thin(np.arange(160, dtype=np.uint64), 17)
+
+
+def test_shingles_shared_by_chance_join_no_groups(spark, docs_of, words, monkeypatch):
+    """Pairs of near copies, each of which shares a line with four other pairs."""
+    rows, slots = [], np.random.default_rng(7).permutation(np.repeat(np.arange(300), 2)).reshape(150, 4)
+    for i, lines in enumerate(slots):
+        text = [f"own{i}y{j}" for j in range(140)]
+        for at, line in zip((120, 90, 60, 30), lines):
+            text[at:at] = [f"line{line}x{j}" for j in range(8)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join([*text[:75], "edit", *text[75:]]))]
+    seen, links_within = [], ngram_join._links_within
+
+    def counted(members):
+        seen.append(members.groupBy("grp").count().agg({"count": "max"}).first()[0])
+        return links_within(members)
+
+    monkeypatch.setattr(ngram_join, "_links_within", counted)
+    assert answer(near_duplicates(docs_of(rows))) == brute(rows)
+    assert seen[0] < 60  # one group held nearly all of the 300

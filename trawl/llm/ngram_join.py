@@ -6,11 +6,13 @@ A document is its set of distinct five-word shingles; two link when their sets'
 1. Documents with equal sets are one class and go on as one.
 2. A linked class shares three quarters of its shingles with others. Blocks of shingles are counted
    by slices of the hash space, and classes with fewer shared shingles drop out: nearly all unique text.
-3. Linked classes also share a shingle among the first quarter of their own, in any common order,
-   and one has three quarters of the other's shingles at least. The order puts shingles that a count
-   sketch knows as frequent last. Among classes of two neighbouring bands of size, sharing one joins
-   them into coarse groups; links lie within the groups of some pair of bands. A passage that texts of
-   all sizes share does not join them all.
+3. One of two linked classes has three quarters of the other's shingles at least, so that they are of
+   one or two neighbouring bands of size. For each pair of bands the hash space is cut into parts; as
+   linked classes differ in a third of their shingles at most, they hold the same in most parts. What a
+   class holds of a part is hashed as a whole, and linked classes have one such hash in common among the
+   first third of their own, in any common order. The order puts last what a count sketch knows as
+   frequent, and single shingles. Sharing one joins classes into coarse groups; links lie within the groups
+   of some pair of bands. Neither shingles that texts share by chance nor a passage joins them all.
 4. Within a group, classes search the inverted lists of its shingles (DivideSkip): the lists of rare
    shingles are merged, the documents that could still reach the required overlap are looked up in
    the long lists by binary search. A class that is already in the largest component need not search.
@@ -45,8 +47,10 @@ PIECE_ROWS, PIECE_SHINGLES = 16_384, 2_000_000
 BAND_RATIO = 1.35
 #: Nodes of a class: one for each pair of bands, numbered below this.
 BANDS = 128
-#: Counters of the frequency sketch.
-SKETCH_BITS = 18
+#: Counters of the frequency sketch, one for so many shingles, between two bounds; tasks that count.
+SKETCH_SHINGLES, SKETCH_BITS, SKETCH_TASKS = 8, (16, 24), 64
+#: Entries that a task links before it sends them on, and in a slice of them, on average.
+LINK_ENTRIES, LINK_SLICE = 2_000_000, 1_000_000
 #: Ids, and bytes of sets, up to which one side of a join is sent to every executor.
 BROADCAST_IDS, BROADCAST_BYTES = 2_000_000, 32 << 20
 _SLICE_CHARS = 1 << 21
@@ -227,7 +231,10 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 
 
 def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFrame:
-    """``rep, n, band, shingles, node`` of the classes that share enough of their shingles to link at all."""
+    """``rep, n, band, thin, shingles, node`` of the classes that share enough of their shingles to link at all.
+
+    ``thin`` lists the pairs of bands whose parts hold too few of the class's shingles apart.
+    """
     bits = max(0, math.ceil(math.log2(max(1, shingles / SLICE_SHINGLES))))
     credits = _sliced(docs, bits).groupBy("slice").applyInArrow(
         _credits, "batch long, owners binary, keys binary, credits binary")
@@ -235,18 +242,19 @@ def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFram
               .groupBy("key8").agg(F.max("credit").alias("credit")))
     kept = cut_lineage(classes.join(shared, "key8")
                        .where(f"{DENOMINATOR} * credit >= {NUMERATOR} * n").select(F.col("rep").alias("doc_id"), "key8"))
-    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("band", pa.int32()), ("shingles", pa.binary())])
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("band", pa.int32()),
+                        ("thin", pa.list_(pa.int32())), ("shingles", pa.binary())])
 
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t) for t in texts_of(batch)]
-            own = [(r, len(s), int(math.log(len(s)) / math.log(BAND_RATIO)), s.tobytes()) for r, k, s in zip(
+            own = [(r, len(s), b := _band(len(s)), [p for p in (b, b + 1) if _thin(s, p)], s.tobytes()) for r, k, s in zip(
                 texts_of(batch, "doc_id"), texts_of(batch, "key8"), sets) if len(s) and _key8(_key(s)) == k]
-            yield batch_of(schema, *(zip(*own) if own else [[]] * 4))
+            yield batch_of(schema, *(zip(*own) if own else [[]] * 5))
 
     # Of rows that repeat an id only those with the text of its class; several of them do no harm.
     found = (docs.join(_sized(kept, kept.count()), "doc_id").select("doc_id", "key8", "text")
-             .mapInArrow(run, "rep long, n long, band int, shingles binary"))
+             .mapInArrow(run, "rep long, n long, band int, thin array<int>, shingles binary"))
     # A class takes part in two pairs of bands: node + band with the one below, node + band + 1 with the one above.
     return cut_lineage(found.withColumn("node", F.monotonically_increasing_id() * BANDS))
 
@@ -254,78 +262,140 @@ def sharing_sets(docs: DataFrame, classes: DataFrame, shingles: int) -> DataFram
 # -- coarse groups -----------------------------------------------------------------------------
 
 
-def frequency_levels(sets: DataFrame) -> np.ndarray:
-    """For every hash cell the rounded binary logarithm of how many sets have a shingle in it."""
-    cells, segments = 1 << SKETCH_BITS, 64
+def _band(n: int) -> int:
+    return int(math.log(n) / math.log(BAND_RATIO))
+
+
+def _most_apart(n: int) -> int:
+    """Shingles that one of two linked sets holds and the other does not, at most; one set has ``n``."""
+    return (DENOMINATOR - NUMERATOR) * n // NUMERATOR
+
+
+def _parts(shingles: np.ndarray, pair: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each shingle the part of the hash space it is in, for a pair of bands, and another hash of it.
+
+    Parts hold up to 1.6 shingles, and fewer of small sets.
+    """
+    most = BAND_RATIO ** (pair + 1)
+    parts = max(math.ceil(most / 1.6), math.ceil(4096 / most), 64)
+    mixed = _mix(shingles + np.uint64(0x9E3779B97F4A7C15))
+    return ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), mixed
+
+
+def _thin(shingles: np.ndarray, pair: int) -> bool:
+    """Whether all parts that are not empty may differ in a linked set."""
+    return np.count_nonzero(np.bincount(_parts(shingles, pair)[0])) <= _most_apart(len(shingles))
+
+
+def frequency_levels(sets: DataFrame, shingles: int) -> np.ndarray:
+    """For every hash cell the rounded binary logarithm of how many sets have a shingle in it.
+
+    A task counts up to 255 and there are few tasks, so that what they send is bounded.
+    """
+    low, high = SKETCH_BITS
+    cells, segments = 1 << min(high, max(low, math.ceil(math.log2(max(1, shingles / SKETCH_SHINGLES))))), 64
     schema = pa.schema([("segment", pa.int32()), ("counts", pa.binary())])
 
     def count(batches):
-        total = np.zeros(cells, np.uint32)
+        total = np.zeros(cells, np.uint8)
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                held = [np.frombuffer(s, np.uint64) for s in batch.column(0).slice(start, 4096).to_pylist()]
-                cell = (np.concatenate(held) & np.uint64(cells - 1)).astype(np.int64)
-                total += np.bincount(cell, minlength=cells).astype(np.uint32)
+            for start in range(0, batch.num_rows, 1024):
+                held = [np.frombuffer(s, np.uint64) for s in batch.column(0).slice(start, 1024).to_pylist()]
+                cell, times = np.unique(np.concatenate(held) & np.uint64(cells - 1), return_counts=True)
+                cell = cell.astype(np.int64)
+                total[cell] = np.minimum(255, total[cell] + times)
         if total.any():
             yield batch_of(schema, list(range(segments)), [x.tobytes() for x in total.reshape(segments, -1)])
 
     def add(table: pa.Table) -> pa.Table:
         summed = np.zeros(cells // segments, np.int64)
         for x in table["counts"].to_pylist():
-            summed += np.frombuffer(x, np.uint32)
-        return pa.table({"segment": table["segment"][:1], "counts": pa.array([summed.tobytes()], pa.binary())})
+            summed += np.frombuffer(x, np.uint8)
+        levels = np.round(np.log2(1 + summed)).astype(np.uint8)
+        return pa.table({"segment": table["segment"][:1], "levels": pa.array([levels.tobytes()], pa.binary())})
 
-    rows = (sets.select("shingles").mapInArrow(count, "segment int, counts binary")
-            .groupBy("segment").applyInArrow(add, "segment int, counts binary").collect())  # 2 MB
+    rows = (sets.select("shingles").coalesce(SKETCH_TASKS).mapInArrow(count, "segment int, counts binary")
+            .groupBy("segment").applyInArrow(add, "segment int, levels binary").collect())  # 16 MB at most
     levels = np.zeros((segments, cells // segments), np.uint8)
-    for segment, counts in rows:
-        levels[segment] = np.round(np.log2(1 + np.frombuffer(counts, np.int64)))
+    for segment, found in rows:
+        levels[segment] = np.frombuffer(found, np.uint8)
     return levels.reshape(-1)
 
 
-def _prefix_links(sets: DataFrame, levels: np.ndarray) -> DataFrame:
-    """``a, b``: pairs of nodes of one pair of bands that share a prefix shingle, as stars around the smallest.
+def _marks(shingles: np.ndarray, level: np.ndarray, pair: int, thin: bool, top: int) -> np.ndarray:
+    """Hashes of which two linked sets of a pair of bands have one in common at least.
 
-    A task links the classes it holds to the smallest with the same shingle, and sends on that one
-    alone, so that a shingle of many classes costs a row for each task.
+    Where a set of the pair of bands is ``thin``, these are its least frequent shingles alone.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(levels)
-    schema = pa.schema([("shingle", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-
-    def stars(reps, hashes):
-        order = np.lexsort((reps, hashes))
-        reps, hashes = reps[order], hashes[order]
-        starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        least = np.repeat(reps[starts], np.diff(np.append(starts, len(hashes))))
-        links = np.unique(np.stack([reps, least])[:, reps != least], axis=1)
-        yield batch_of(schema, pa.array(hashes[starts].view(np.int64)), pa.array(reps[starts]),
-                       pa.nulls(len(starts), pa.int64()))
-        yield batch_of(schema, pa.nulls(links.shape[1], pa.int64()), pa.array(links[0]), pa.array(links[1]))
+    if thin:
+        keep = len(shingles) - least_overlap(len(shingles)) + 1
+        return _mix(shingles[np.argsort(level, kind="stable")[:keep]] + np.uint64(pair))
+    part, mixed = _parts(shingles, pair)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    marks = _mix(np.add.reduceat(_mix(mixed[order]), starts) + np.uint64(pair))
+    # Rare shingles, and several of them, are seldom held by chance.
+    score = np.add.reduceat(top - level[order].astype(np.int64), starts)
+    return marks[np.lexsort((marks, -score))[:_most_apart(len(shingles)) + 1]]
+
+
+def _stars(nodes: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every mark with its smallest node, and links of the others to it."""
+    order = np.lexsort((nodes, marks))
+    nodes, marks = nodes[order], marks[order]
+    starts = np.flatnonzero(np.append(True, marks[1:] != marks[:-1]))
+    least = np.repeat(nodes[starts], np.diff(np.append(starts, len(marks))))
+    return marks[starts], nodes[starts], np.unique(np.stack([nodes, least])[:, nodes != least], axis=1)
+
+
+def _coarse_links(sets: DataFrame, levels: np.ndarray, shingles: int) -> DataFrame:
+    """``a, b``: pairs of nodes of one pair of bands that share a mark, as stars around the smallest.
+
+    A task links the classes it holds to the smallest with the same mark, and sends on that one
+    alone, so that a mark of many classes costs an entry for each task; entries go packed, by slices of
+    the marks.
+    """
+    thin = frozenset(r[0] for r in sets.select(F.explode("thin")).distinct().collect())
+    shared = sets.sparkSession.sparkContext.broadcast((levels, thin, int(levels.max(initial=0)) + 1))
+    bits = max(0, math.ceil(math.log2(max(1, shingles / LINK_SLICE))))
+    schema = pa.schema([("slice", pa.int32()), ("marks", pa.binary()), ("nodes", pa.binary()), ("links", pa.binary())])
+
+    def packed(nodes, marks):
+        marks, least, links = _stars(np.concatenate(nodes), np.concatenate(marks))
+        edges = np.searchsorted(marks >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else [
+            0, len(marks)]
+        rows = [(s, marks[lo:hi].tobytes(), least[lo:hi].tobytes(), None)
+                for s, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < hi]
+        rows[0] = (*rows[0][:3], links.tobytes())
+        return batch_of(schema, *zip(*rows))
 
     def run(batches):
-        levels = shared.value
-        reps, hashes, held = [], [], 0
+        levels, thin, top = shared.value
+        nodes, marks, held = [], [], 0
         for batch in batches:
-            for node, n, band, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for node, band, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 s = np.frombuffer(raw, np.uint64)
                 level = levels[(s & np.uint64(len(levels) - 1)).astype(np.int64)]
-                keep = n - least_overlap(n) + 1
-                prefix = s[np.argsort(level, kind="stable")[:keep]]
                 for pair in (band, band + 1):
-                    reps.append(np.full(keep, node + pair, np.int64))
-                    hashes.append(_mix(prefix + np.uint64(pair)))
-                held += 2 * keep
-                if held > 2_000_000:
-                    yield from stars(np.concatenate(reps), np.concatenate(hashes))
-                    reps, hashes, held = [], [], 0
+                    marks.append(_marks(s, level, pair, pair in thin, top))
+                    nodes.append(np.full(len(marks[-1]), node + pair, np.int64))
+                    held += len(marks[-1])
+                if held > LINK_ENTRIES:
+                    yield packed(nodes, marks)
+                    nodes, marks, held = [], [], 0
         if held:
-            yield from stars(np.concatenate(reps), np.concatenate(hashes))
+            yield packed(nodes, marks)
+
+    def link(table: pa.Table) -> pa.Table:
+        joined = {n: [np.frombuffer(x, np.uint64 if n == "marks" else np.int64)
+                      for x in table[n].to_pylist() if x is not None] for n in ("marks", "nodes", "links")}
+        _, _, links = _stars(np.concatenate(joined["nodes"]), np.concatenate(joined["marks"]))
+        links = np.concatenate([links, *(x.reshape(2, -1) for x in joined["links"])], axis=1)
+        return pa.table({"a": pa.array(links[0]), "b": pa.array(links[1])})
 
-    found = cut_lineage(sets.select("node", "n", "band", "shingles").mapInArrow(run, "shingle long, a long, b long"))
-    tasks = found.where("shingle IS NOT NULL")
-    least = tasks.groupBy("shingle").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1")
-    across = tasks.select("shingle", "a").join(least.select("shingle", "b"), "shingle").where("a > b").select("a", "b")
-    return found.where("shingle IS NULL").select("a", "b").unionAll(across)
+    return (sets.select("node", "band", "shingles").mapInArrow(run, "slice int, marks binary, nodes binary, links binary")
+            .groupBy("slice").applyInArrow(link, "a long, b long"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -531,12 +601,14 @@ def _labelled(docs: DataFrame) -> DataFrame:
 
 def _components_of(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     sets = sharing_sets(docs, classes, total)
-    coarse = components(_prefix_links(sets, frequency_levels(sets)))
+    held = sets.agg(F.sum("n")).first()[0] or 0
+    coarse = components(_coarse_links(sets, frequency_levels(sets, held), held))
     groups = coarse.select(F.col("id").alias("node"), F.col("component").alias("grp"))
     nodes = F.explode(F.array(F.col("node") + F.col("band"), F.col("node") + F.col("band") + 1))
-    members = cut_lineage(sets.select("rep", "n", "shingles", nodes.alias("node"))
-                          .join(_sized(groups, groups.count()), "node"))
-    return components(_links_within(members))
+    number = groups.count()
+    members = sets.select("rep", "n", "shingles", nodes.alias("node")).join(_sized(groups, number), "node")
+    # Beside a broadcast the sets stay where they are, and need not be stored a second and third time.
+    return components(_links_within(members if number <= BROADCAST_IDS else cut_lineage(members)))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
