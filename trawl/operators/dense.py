@@ -169,9 +169,17 @@ class Best:
 
         return squares, lambda d: d * d, 8 * most * most * unit
 
-    def add(self, ids: np.ndarray, x: np.ndarray, which: np.ndarray | None = None, only=None) -> None:
+    def plain(self, x: np.ndarray) -> bool:
+        """Whether every distance to a row of ``x`` is defined."""
+        found = bool(np.isfinite(x).all() and np.isfinite(self.queries).all())
+        if self.metric is Metric.COSINE:
+            found = found and bool((x != 0).any(axis=1).all() and (self.queries != 0).any(axis=1).all())
+        return found
+
+    def add(self, ids: np.ndarray, x: np.ndarray, which: np.ndarray | None = None, only=None, keep=None) -> None:
         """Score rows ``x`` against the queries ``which`` (default: all); ``only(rows)`` tells for
-        queries, if given, which rows of ``x`` each may have."""
+        queries, if given, which rows of ``x`` each may have, and ``keep(queries, rows)`` for single pairs,
+        where it would not refuse any within the limit."""
         if not len(x) or not len(self.queries):
             return
         if x.shape[1] != self.queries.shape[1]:
@@ -179,9 +187,7 @@ class Best:
         which = np.arange(len(self.queries)) if which is None else which
         key, key_of, off = self._fast(x)
         wide = self._slack(x)
-        plain = bool(np.isfinite(x).all() and np.isfinite(self.queries).all())
-        if self.metric is Metric.COSINE:
-            plain = plain and bool((x != 0).any(axis=1).all() and (self.queries != 0).any(axis=1).all())
+        plain = self.plain(x)
         step = max(1, _PRODUCT_CELLS // max(1, len(x)))
         found, size = [], 0
         for start in range(0, len(which), step):
@@ -196,6 +202,9 @@ class Best:
             else:
                 # Few pairs: to score them one by one is cheaper than all.
                 qi, xi = np.nonzero(allowed)
+            if keep is not None:
+                kept = keep(rows[qi], xi)
+                qi, xi = qi[kept], xi[kept]
             found.append((rows[qi], self._exact(rows[qi], x, xi), ids[xi]))
             size += len(qi)
             if size > _PRODUCT_CELLS:
@@ -213,6 +222,11 @@ class Best:
         """(query, row) numbers that may be among the best, by their keys ``d``."""
         if allowed is not None:
             d[~allowed] = np.inf
+        elif np.isfinite(bound).all():
+            # The limit alone mostly leaves few rows, and the k-th of these need not be found.
+            near = np.flatnonzero(d <= np.nextafter(bound.astype(d.dtype), d.dtype.type(np.inf))[:, None])
+            if len(near) <= 4 * self.k * len(d):
+                return np.divmod(near, d.shape[1])
         if d.shape[1] > self.k:
             bound = np.minimum(bound, bound_of_kth(d, self.k) + 2 * off)
         # Up to the next number of the keys' own precision.

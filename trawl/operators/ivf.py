@@ -413,7 +413,8 @@ class CodeSearch:
         full precision.
 
         Coarse codes leave nearly every pair alive; pairs are scored where they are found, and none is
-        shuffled.
+        shuffled. With a width of one or more, codes rule out no row within the cut, and rows beyond it are not
+        among the best ``k``: then only pairs within the cut are held against the codes.
         """
         out = self._schema()
         wire, metric, quantizer = arrow_schema(out), self.index.metric, self.index.quantizer
@@ -424,9 +425,14 @@ class CodeSearch:
             queries = matrix_of(asked.column("qv"))
             seen, moved = quantizer.quantize_queries(queries)
             codes, err, cuts = quantizer.decode(codes_of(rows.column("code"))), rows.column("err").to_numpy(), _cuts(asked.column("cut"))
-            best = Best(metric, queries, k)
-            best.add(id_values(rows.column("id")), matrix_of(rows.column("v")),
-                     only=lambda which: may_be_within(quantizer.metric, seen[which], moved[which], cuts[which], width, codes, err))
+            best, ids, x = Best(metric, queries, k), id_values(rows.column("id")), matrix_of(rows.column("v"))
+            if width >= 1 and best.plain(x):
+                best.limit = cuts.copy()
+                best.add(ids, x, keep=lambda q, r: pair_may_be_within(
+                    quantizer.metric, seen[q], moved[q], cuts[q], width, codes[r], err[r]))
+            else:
+                best.add(ids, x, only=lambda which: may_be_within(
+                    quantizer.metric, seen[which], moved[which], cuts[which], width, codes, err))
             return pa.Table.from_batches([best.batch(id_values(asked.column("qid")), wire)])
 
         hits = dense.pair_blocks(*self._blocks(cut), BLOCK_KEYS, kernel, out)
@@ -510,6 +516,17 @@ def may_be_within(metric, seen, moved, cuts, width, x, err) -> np.ndarray:
     return least <= (most - lift + 1e-6 * (1.0 + reach))[:, None]
 
 
+def pair_may_be_within(metric, seen, moved, cuts, width, x, err) -> np.ndarray:
+    """The same for aligned queries and rows."""
+    scored, lift = _code_metric(metric)
+    reach = np.sqrt((seen * seen).sum(axis=1)) + moved
+    least = dense.precise(scored, seen, x)
+    if metric is Metric.L2:
+        return least - width * err <= cuts + width * moved + 1e-6 * (1.0 + reach)
+    margin = reach * err + moved * np.sqrt((x * x).sum(axis=1))
+    return least - width * margin <= cuts - lift + 1e-6 * (1.0 + reach)
+
+
 def within(metric, seen, moved, cuts, width, x, err, which=None):
     """(query, row) numbers whose distance may be at most the query's cut."""
     which = np.arange(len(seen)) if which is None else which
