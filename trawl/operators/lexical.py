@@ -134,9 +134,12 @@ class LexicalIndex:
     def with_bucket(self, postings: DataFrame) -> DataFrame:
         return postings.withColumn("bucket", _bucket(F.col("term"), self.buckets))
 
-    def write(self, store, bounds: bool = False) -> "LexicalIndex":
+    def write(self, store, bounds: bool = False, filed: DataFrame | None = None) -> "LexicalIndex":
         """Save the index in a ``Folder`` or ``Tables`` store, with score ``bounds`` on request.
 
+        ``filed`` are postings of further documents from files of another index with as many buckets; they
+        are copied file by file, and not shuffled.
+
         A bucket is cut by document into as many sorted files as keep each at the postings of about
         ``DOCS_PER_FILE`` documents, however frequent a term is, and there are tasks for all of them.
         """
@@ -149,6 +152,9 @@ class LexicalIndex:
             order = ["bucket", "term", "range", "id"]
         sorted_files = self._in_files(rows, cuts, F.col("bucket"), cut).sortWithinPartitions(*order)
         postings = store.save("postings", sorted_files, partition="bucket")
+        if filed is not None:
+            filed = filed.select(*postings.columns).sortWithinPartitions(*order)
+            postings = store.add("postings", filed, partition="bucket")
         terms = store.save("terms", term_stats(postings).sortWithinPartitions("term"))
         # Only the document count is taken from the rows; tokens are summed from the terms.
         n_tokens = terms.agg(F.coalesce(F.sum("ttf"), F.lit(0))).first()[0]

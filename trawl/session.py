@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,5 +90,21 @@ def cut_lineage(df: DataFrame, dealt: bool = False) -> DataFrame:
         conf.set(name, adaptive)
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written inside drops its shuffle files when it ends, and not when the driver happens to
+    collect its garbage; so a table's files never lie beside those of all earlier shuffles."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), *parts)

@@ -7,7 +7,7 @@ dropping is ``DROP TABLE``:
 ``<name>__log``           writes since then, partitioned by write number ``seq``
 ``<name>__state``         one appended row per published version
 ``<name>__streams``       the write number of every streamed micro-batch
-``<name>__ix_<b>_<part>`` full-text and vector tables derived from version ``b``
+``<name>__ix_<b>_<part>`` full-text and vector tables derived from version ``b``; contents stay in the rows
 ``<name>__ix_<b>_new_<part>``  entries of later versions, partitioned by the version ``gen``
 ``<name>__ix_<b>_field_<tag>_<part>`` terms of an analyzed metadata column or JSON field
 ``<name>__ix_<b>_changes`` ids changed in later versions, partitioned likewise
@@ -101,6 +101,20 @@ def _options(text: str | None):
     return kind(**spec)
 
 
+def _without(rows: DataFrame, gone: DataFrame | None, key: str, column: str | None = None) -> DataFrame:
+    """The rows but those of the ids that are gone; ``column`` is what the rows call the ids."""
+    if gone is None:
+        return rows
+    return rows.join(gone.withColumnRenamed(key, column or key), column or key, "left_anti")
+
+
+def _named(filter: Any) -> set[str]:
+    """Columns that a filter names, among other words."""
+    if isinstance(filter, dict):
+        return {str(k).partition(".")[0] for k in filter}.union(*map(_named, filter.values()))
+    return set().union(*map(_named, filter)) if isinstance(filter, (list, tuple)) else set()
+
+
 class Collection:
     """A named collection; DataFrames in and out, one job per call for any number of queries."""
 
@@ -218,11 +232,29 @@ class Collection:
     def _log(self, after: int) -> DataFrame:
         return self.spark.table(self._name("log")).where(F.col("seq") > after)
 
-    def _latest(self, after: int, upto: int | None = None) -> DataFrame:
-        """The last logged row of each id among the writes after one, up to another."""
+    def _latest(self, after: int, upto: int | None = None, once: bool = False) -> DataFrame:
+        """The last logged row of each id among the writes after one, up to another; ``once`` says that
+        no id is there twice."""
         log = self._log(after)
         log = log if upto is None else log.where(F.col("seq") <= upto)
-        return mutate.last_per_id(log, self.schema.id_column, ("seq", "_pos"))
+        return log if once else mutate.last_per_id(log, self.schema.id_column, ("seq", "_pos"))
+
+    def _once(self, after: int, upto: int) -> bool:
+        """Whether no id was written twice among the writes after one, up to another."""
+        ids = self._log(after).where(F.col("seq") <= upto).select(self.schema.id_column)
+        return ids.count() == ids.distinct().count()
+
+    def _held(self, held: DataFrame, changed: DataFrame) -> DataFrame | None:
+        """The changed ids that ``held`` has, to be left out of it; ``None`` if it has none of them.
+
+        Only ids are shuffled; where most are new, what is left out of a large table is broadcast or nothing.
+        """
+        key = self.schema.id_column
+        both = cut_lineage(held.select(key).join(changed.select(key), key, "left_semi"))
+        number = both.count()
+        if not number:
+            return None
+        return F.broadcast(both) if number <= MAX_BROADCAST_CHANGES else both
 
     def published(self) -> DataFrame:
         """The rows of the published version."""
@@ -237,12 +269,16 @@ class Collection:
         kept, fresh = self._parts(state, upto)
         return kept.unionByName(fresh)
 
-    def _parts(self, state: State, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
-        """The rows of the base that have not changed since, and those that have."""
+    def _parts(self, state: State, upto: int | None = None, written: bool = False) -> tuple[DataFrame, DataFrame]:
+        """The rows of the base that have not changed since, and those that have.
+
+        For rows to be ``written`` it is first looked up which ids repeat; so rows are not shuffled for others.
+        """
         key = self.schema.id_column
         base = self.spark.table(self._name(f"rows_{state.base}"))
-        latest = self._latest(state.base_upto, upto)
-        kept = base.join(latest.select(key), key, "left_anti")
+        latest = self._latest(state.base_upto, upto, written and self._once(state.base_upto, upto))
+        gone = self._held(base, latest) if written else latest.select(key)
+        kept = _without(base, gone, key)
         fresh = latest.where(F.col("_op") == "upsert").drop("_op", "_pos", "seq")
         promoted = {f.physical for f in self._json_fields()}
         plain = [c for c in base.columns if not c.startswith("json__")]
@@ -530,7 +566,8 @@ class Collection:
     def _rewrite(self, before: State, state: State, dirty: DataFrame | None, upto: int, most: int) -> None:
         """The next version, of at most ``most`` rows, as a new base."""
         version = before.version + 1
-        rows = self._current(before, upto)
+        kept, fresh = self._parts(before, upto, written=True)
+        rows = kept.unionByName(fresh)
         filters, along = self._bloom_filters(rows), self._curve_columns(rows)
         if along and most >= self.cluster_from:
             rows = cluster(rows, along, self.schema.id_column)
@@ -539,10 +576,15 @@ class Collection:
         state = replace(state, version=version, upto=upto, base=version, base_upto=upto,
                         base_rows=stored.count(), changed=0)
         self._derive_fields(version, stored)
+        gone = new = None
+        if dirty is not None and (state.text_index or state.index):
+            # Ids that the indexes hold otherwise, and the rows that are new to them.
+            gone = self._held(self._current(before, before.upto), dirty)
+            new = self._latest(before.upto, upto, self._once(before.upto, upto)).where(F.col("_op") == "upsert")
         if state.text_index:
-            self._derive_text(before, state, stored, dirty)
+            self._derive_text(before, state, stored, new, gone)
         if state.index:
-            state = self._derive_vectors(before, state, stored, dirty)
+            state = self._derive_vectors(before, state, stored, new, gone)
         self._publish(state)
 
     def _extend(self, before: State, dirty: DataFrame, number: int, upto: int) -> State:
@@ -570,8 +612,8 @@ class Collection:
             store.put("new_docs", count.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_docs")), "gen", gen)
         if before.index:
             base = IvfIndex.read(store)
-            new = IvfIndex.assign(self.schema.promote(fresh), s.metric, base.centroids, base.quantizer,
-                                  id=s.id_column, vec=s.embedding_column)
+            new = IvfIndex.assign(self._indexed(self.schema.promote(fresh), base), s.metric, base.centroids,
+                                  base.quantizer, id=s.id_column, vec=s.embedding_column)
             store.put("new_cells", new.cells.select(*base.cells.columns), "gen", gen)
             if new.codes is not None:
                 store.put("new_codes", new.codes.select(*base.codes.columns), "gen", gen)
@@ -607,6 +649,10 @@ class Collection:
         postings = self._newest(state, base.postings, "postings", "id")
         return LexicalIndex(postings, terms, totals, base.analyzer, base.buckets)
 
+    def _indexed(self, rows: DataFrame, index: IvfIndex) -> DataFrame:
+        """The rows in the columns of an index at rest, as far as they have them."""
+        return rows.select(*(c for c in index.cells.columns if c in rows.columns))
+
     def _vector_view(self, state: State) -> IvfIndex:
         """The cells and codes of a version."""
         index = IvfIndex.read(self._tables(state.base))
@@ -633,20 +679,24 @@ class Collection:
             for c in wanted if isinstance(rows.schema[c].dataType, kinds)
         }
 
-    def _derive_text(self, before: State, state: State, rows: DataFrame, dirty) -> None:
+    def _derive_text(self, before: State, state: State, rows: DataFrame, new, gone) -> None:
         s, analyzer = self.schema, self.schema.content_analyzer
-        fresh = LexicalIndex.build(rows, s.id_column, s.content_column, analyzer, positions=True)
+        fresh, filed = LexicalIndex.build(rows, s.id_column, s.content_column, analyzer, positions=True), None
         same = CollectionSchema.from_json(before.definition).content_analyzer == analyzer
-        if before.text_index and before.version > 0 and dirty is not None and same:
+        if before.text_index and before.version > 0 and new is not None and same:
             old = self._text_view(before)
-            ids = dirty.withColumnRenamed(s.id_column, "id")
-            part = rows.join(dirty, s.id_column, "left_semi")
-            new = build_postings(part, s.id_column, s.content_column, analyzer, True)
-            kept = old.postings.join(ids, "id", "left_anti")
-            fresh.postings = kept.unionByName(fresh.with_bucket(new)).select(*fresh.postings.columns)
-        fresh.write(self._tables(state.version))
-
-    def _derive_vectors(self, before: State, state: State, rows: DataFrame, dirty) -> State:
+            kept = _without(old.postings, gone, s.id_column, "id")
+            new = build_postings(new, s.id_column, s.content_column, analyzer, True)
+            new = fresh.with_bucket(new).select(*fresh.postings.columns)
+            few = gone is None or gone.count() <= MAX_BROADCAST_CHANGES
+            if few and before.version == before.base and old.buckets == fresh.buckets:
+                # The base's files hold the postings of a bucket each, and keep them where they lie.
+                fresh.postings, filed = new, kept
+            else:
+                fresh.postings = kept.select(*new.columns).unionByName(new)
+        fresh.write(self._tables(state.version), filed=filed)
+
+    def _derive_vectors(self, before: State, state: State, rows: DataFrame, new, gone) -> State:
         s, options = self.schema, _options(state.index)
         n_rows = rows.count()
         if n_rows == 0:
@@ -655,19 +705,17 @@ class Collection:
         kind = spec.pop("kind")
         names = dict(id=s.id_column, vec=s.embedding_column)
         keep = before.index == state.index and min(before.trained, state.trained) > 0
-        if keep and dirty is not None:
+        if keep and new is not None:
             old = self._vector_view(before)
-            part = rows.join(dirty, s.id_column, "left_semi")
-            new = IvfIndex.assign(part, s.metric, old.centroids, old.quantizer, **names)
-            old.cells = old.cells.join(dirty, s.id_column, "left_anti").unionByName(new.cells)
+            new = IvfIndex.assign(self._indexed(self.schema.promote(new), old), s.metric, old.centroids, old.quantizer, **names)
+            old.cells = _without(old.cells, gone, s.id_column).unionByName(new.cells)
             if old.codes is not None:
-                ids = dirty.withColumnRenamed(s.id_column, "id")
-                old.codes = old.codes.join(ids, "id", "left_anti").unionByName(new.codes)
+                old.codes = _without(old.codes, gone, s.id_column, "id").unionByName(new.codes)
             index, trained = old, before.trained
-        elif keep and dirty is None:
+        elif keep:
             index, trained = self._vector_view(before), before.trained
         else:
-            index = IvfIndex.build(rows, s.metric, cells=options.cells, quant=kind, **names, **spec)
+            index = IvfIndex.build(rows.drop(s.content_column), s.metric, cells=options.cells, quant=kind, **names, **spec)
             trained = n_rows
         index = index.write(self._tables(state.version))
         if options.index_type == "hnsw":
@@ -729,6 +777,8 @@ class Collection:
                 return index.search(queries, k, **knobs)
             # Fields promoted since the index was written are read from the JSON there.
             inside = self._where(filter, index.cells.columns)
+            if s.content_column in _named(filter) and s.content_column not in index.cells.columns:
+                self._add_content(index.ivf if isinstance(index, GraphIndex) else index)
             return filtered_search(index, queries, k, inside, mode, **knobs)
 
         gone = self._pending_deletes()
@@ -742,6 +792,14 @@ class Collection:
         left = through_index(k + number).join(F.broadcast(gone), "id", "left_anti")
         return dense.rank_best(left.select("qid", "id", "distance"), k)
 
+    def _add_content(self, index: IvfIndex) -> None:
+        """Contents beside the index's entries, for filters that read them."""
+        key = self.schema.id_column
+        texts = self.published().select(key, self.schema.content_column)
+        index.cells = index.cells.join(texts, key)
+        if index.codes is not None:
+            index.codes = index.codes.join(texts.withColumnRenamed(key, "id"), "id")
+
     def _pending_deletes(self) -> DataFrame:
         """Ids that the published version holds and a later write deleted."""
         latest = self._latest(self.state().upto).where(F.col("_op") == "delete")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.session import dropping_shuffles
+
 
 @dataclass(frozen=True)
 class Folder:
@@ -18,7 +20,8 @@ class Folder:
     def save(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         writer = df.write.mode("overwrite")
         writer = writer.partitionBy(partition) if partition else writer
-        writer.parquet(f"{self.path}/{name}")
+        with dropping_shuffles(self.spark):
+            writer.parquet(f"{self.path}/{name}")
         # The schema is known, so an empty dataset reads back as well.
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
@@ -41,7 +44,14 @@ class Tables:
              options: dict[str, str] | None = None) -> DataFrame:
         writer = df.write.mode("overwrite").format("parquet").options(**(options or {}))
         writer = writer.partitionBy(partition) if partition else writer
-        writer.saveAsTable(self.prefix + name)
+        with dropping_shuffles(self.spark):
+            writer.saveAsTable(self.prefix + name)
+        return self.load(name)
+
+    def add(self, name: str, df: DataFrame, partition: str) -> DataFrame:
+        """Write ``df`` beside what the table holds."""
+        with dropping_shuffles(self.spark):
+            df.write.mode("append").format("parquet").partitionBy(partition).saveAsTable(self.prefix + name)
         return self.load(name)
 
     def load(self, name: str) -> DataFrame:
@@ -53,10 +63,11 @@ class Tables:
     def put(self, name: str, df: DataFrame, partition: str, value: int) -> None:
         """Write ``df`` as the one partition ``value``, replacing it alone; other files stay as they are."""
         df = df.withColumn(partition, F.lit(value))
-        if not self.has(name):
-            df.write.format("parquet").partitionBy(partition).saveAsTable(self.prefix + name)
-            return
-        columns = [c for c in self.load(name).columns if c != partition]
-        df.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {self.prefix}{name} PARTITION ({partition} = {int(value)}) SELECT * FROM {{rows}}",
-            rows=df.select(*columns))
+        with dropping_shuffles(self.spark):
+            if not self.has(name):
+                df.write.format("parquet").partitionBy(partition).saveAsTable(self.prefix + name)
+                return
+            columns = [c for c in self.load(name).columns if c != partition]
+            df.sparkSession.sql(
+                f"INSERT OVERWRITE TABLE {self.prefix}{name} PARTITION ({partition} = {int(value)}) SELECT * FROM {{rows}}",
+                rows=df.select(*columns))
